@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askloom.config import CHUNK_OVERLAP, CHUNK_SIZE, EMBEDDING_DIM, TOP_K
+from askloom.config import CHUNK_OVERLAP, CHUNK_SIZE, EMBEDDING_DIM, SEPARATORS, TOP_K
 from askloom.functions.text import SENTENCE_BREAK, TOKEN, WHITESPACE
 from askloom.operators.chunking import window_chunks
 from askloom.operators.embedding import embed
@@ -107,6 +107,43 @@ def sql_chunks(size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> str:
     FROM (SELECT *, unnest(range({count})) AS i FROM documents)"""
 
 
+def sql_recursive_chunks(size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> str:
+    """The recursive split, stated on sets: every level cuts the ranges that the level
+    before left too long, runs of short pieces are islands, and islands are packed."""
+    levels, islands = [], []
+    longer = "SELECT doc_id, CAST(0 AS BIGINT) AS lo, text FROM documents WHERE text <> ''"
+    for n, separator in enumerate(SEPARATORS):
+        s = sql_text(separator)
+        parts = (f"list_filter(list_transform(string_split(text, {s}), lambda x, i: "
+                 f"CASE WHEN i > 1 THEN {s} || x ELSE x END), lambda x: x <> '')"
+                 if separator else "regexp_extract_all(text, '(?s).')")
+        levels.append(f"""
+    piece{n} AS (SELECT doc_id, lo AS parent, lo + sum(length(p)) OVER w - length(p) AS lo, p AS text
+                 FROM (SELECT doc_id, lo, unnest({parts}) AS p, generate_subscripts({parts}, 1) AS pos
+                       FROM ({longer}))
+                 WINDOW w AS (PARTITION BY doc_id, lo ORDER BY pos)),
+    run{n} AS (SELECT *, sum(CASE WHEN length(text) >= {size} THEN 1 ELSE 0 END) OVER (
+                   PARTITION BY doc_id, parent ORDER BY lo) AS run FROM piece{n})""")
+        islands.append(f"""SELECT doc_id, min(lo) AS lo, list_append(list(lo ORDER BY lo), max(lo + length(text))) AS bounds
+                 FROM run{n} WHERE length(text) < {size} GROUP BY doc_id, parent, run""")
+        longer = f"SELECT doc_id, lo, text FROM piece{n} WHERE length(text) >= {size}"
+    return f"""
+    WITH RECURSIVE {','.join(levels)},
+    islands AS ({' UNION ALL '.join(islands)}),
+    packed AS (
+        SELECT doc_id, lo, CAST(1 AS BIGINT) AS a, len(list_filter(bounds, lambda x: x <= bounds[1] + {size})) AS b
+        FROM islands
+        UNION ALL
+        SELECT doc_id, lo, next_a, len(list_filter(bounds, lambda x: x <= bounds[next_a] + {size}))
+        FROM (SELECT doc_id, lo, bounds, least(b, 1 + len(list_filter(bounds, lambda x:
+                         x < greatest(bounds[b] - {overlap}, bounds[b + 1] - {size})))) AS next_a
+              FROM packed JOIN islands USING (doc_id, lo) WHERE b < len(bounds))),
+    cut AS (SELECT doc_id, source, lo, a, {sql_strip('substr(text, CAST(bounds[a] AS BIGINT) + 1, CAST(bounds[b] - bounds[a] AS BIGINT))')} AS text
+            FROM packed JOIN islands USING (doc_id, lo) JOIN documents USING (doc_id))
+    SELECT doc_id, source, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY lo, a) - 1 AS INTEGER) AS chunk_no, text
+    FROM cut WHERE text <> ''"""
+
+
 def sql_vectors(rows: str, ids: str, text: str) -> str:
     """Long form of the default embedding: (ids, b, w) with w the stored FLOAT."""
     return f"""

@@ -6,7 +6,8 @@ from pyspark.sql import types as T
 
 from askloom import schemas
 from askloom.catalog.base import (
-    documents, messages, query, questions, sql_chunks, sql_round, sql_strip, sql_vectors,
+    documents, messages, query, questions, sql_chunks, sql_recursive_chunks, sql_round,
+    sql_strip, sql_vectors,
 )
 from askloom.functions.text import strip_space
 from askloom.functions.vectors import l2_normalize, round_score
@@ -68,12 +69,14 @@ def character_windows_500(spark: SparkSession, folder: str) -> DataFrame:
     return _digests(window_chunks(documents(spark, folder, "doc_id", "text"), 500, 100))
 
 
-@query()
+@query(f"""SELECT doc_id, chunk_no, source, CAST(length(text) AS INTEGER) AS n, md5(text) AS digest
+           FROM ({sql_recursive_chunks()})""")
 def recursive_split(spark: SparkSession, folder: str) -> DataFrame:
     return _digests(recursive_chunks(documents(spark, folder, "doc_id", "source", "text")), "source")
 
 
-@query()
+@query(f"""SELECT doc_id, chunk_no, CAST(length(text) AS INTEGER) AS n, md5(text) AS digest
+           FROM ({sql_recursive_chunks(500, 100)})""")
 def recursive_split_500(spark: SparkSession, folder: str) -> DataFrame:
     return _digests(recursive_chunks(documents(spark, folder, "doc_id", "text"), 500, 100))
 

@@ -69,7 +69,10 @@ def char_count(text: Column | str) -> Column:
 
 
 def word_count(text: Column | str) -> Column:
-    return F.regexp_count(as_column(text), F.lit(f"[^{WHITESPACE}]+"))
+    # Blanks first: splitting at one plain character is several times faster than matching
+    # a character class.
+    blanks = F.translate(as_column(text), WHITESPACE, " " * len(WHITESPACE))
+    return F.size(F.array_remove(F.split(blanks, " "), ""))
 
 
 def title_from_file(name: Column | str) -> Column:

@@ -45,7 +45,7 @@ def hashing_embedder(dim: int = EMBEDDING_DIM) -> EmbedderFactory:
         def bucket(token: str) -> int:
             if len(known) >= TOKENS_REMEMBERED:
                 known.clear()
-            known[token] = value = int(md5(token.encode()).hexdigest()[:8], 16) % dim
+            known[token] = value = int.from_bytes(md5(token.encode()).digest()[:4], "big") % dim
             return value
 
         def embed(texts: list[str]) -> np.ndarray:
@@ -113,5 +113,9 @@ def embed(
 
 
 def nonzero(df: DataFrame, *keys: str, vector: str = "embedding") -> DataFrame:
-    """Long form ``(keys, bucket, weight)`` of the non-zero components."""
-    return df.select(*keys, F.posexplode(vector).alias("bucket", "weight")).where("weight <> 0")
+    """Long form ``(keys, bucket, weight)`` of the non-zero components.
+
+    The outer generator keeps the optimizer from putting a non-empty test on the vector
+    below the model, which would run the model twice; NULL weights fall to the filter.
+    """
+    return df.select(*keys, F.posexplode_outer(vector).alias("bucket", "weight")).where("weight <> 0")
