@@ -10,17 +10,23 @@ from pyspark.sql import types as T
 
 from askloom import schemas
 
-_CSV = {"header": True, "quote": '"', "escape": '"', "emptyValue": "", "encoding": "UTF-8"}
+_CSV = {
+    "header": True, "quote": '"', "escape": '"', "encoding": "UTF-8",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+# An empty string is written in quotes and NULL as nothing.  On reading, "nothing" gets a
+# name that no text has, so that the quoted empty string stays a string.
+_WRITE = {**_CSV, "emptyValue": '""', "nullValue": ""}
+_READ = {**_CSV, "emptyValue": "", "nullValue": "\x00", "multiLine": True}
 
 
 def write_results(rows: DataFrame, path: str) -> None:
     """CSV with header; values may hold quotes, commas and newlines."""
-    # Empty strings are quoted and NULLs are not, so both come back as they were.
-    rows.write.mode("overwrite").options(**{**_CSV, "emptyValue": '""'}).csv(path)
+    rows.write.mode("overwrite").options(**_WRITE).csv(path)
 
 
 def read_results(spark: SparkSession, path: str, schema: T.StructType = schemas.RESULTS) -> DataFrame:
-    return spark.read.schema(schema).options(**_CSV).option("multiLine", True).csv(path)
+    return spark.read.schema(schema).options(**_READ).csv(path)
 
 
 def run_record(

@@ -3,6 +3,9 @@ import sys
 
 import pytest
 
+# Python workers import the hooks of the test modules from here.
+os.environ["PYTHONPATH"] = os.pathsep.join(
+    filter(None, [os.path.dirname(os.path.abspath(__file__)), os.environ.get("PYTHONPATH")]))
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from askloom.testing import local_session  # noqa: E402
