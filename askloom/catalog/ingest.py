@@ -18,7 +18,7 @@ from askloom.operators.embedding import embed, nonzero
 from askloom.operators.windows import running_number
 from askloom.session import read_table, scratch_path
 from askloom.sources.files import concat_documents, decode_text, load_summary as summarize
-from askloom.sources.index import append_index, read_index, write_index
+from askloom.sources.index import append_index, read_index, write_index, write_sessions
 from askloom.streaming.incremental import ingest_new_documents
 
 
@@ -180,11 +180,10 @@ _ROLES = ("assistant", "system", "user")
 @query("""SELECT role AS session_id, count(*) AS n_rows, CAST(sum(length(text)) AS BIGINT) AS n_chars
           FROM conversations GROUP BY role""")
 def session_indexes(spark: SparkSession, folder: str) -> DataFrame:
-    """One session per role; each is read back alone."""
+    """One session per role, written together; each is read back alone."""
     path = scratch_path(spark, "index")
     turns = messages(spark, folder)
-    for role in _ROLES:
-        write_index(turns.where(F.col("role") == role).select(_TURNS.names), path, session=role)
+    write_sessions(turns.select(F.col("role").alias("session_id"), *_TURNS.names), path)
     own = [read_index(spark, path, role, _TURNS) for role in _ROLES]
     return concat_documents(*own).groupBy("session_id").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(F.char_length("text")).alias("n_chars"))

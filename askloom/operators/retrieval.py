@@ -29,6 +29,7 @@ from askloom.functions.vectors import SCORE_UNITS, cosine, round_score
 
 CHUNK_KEY = ("source", "page", "chunk_no")
 MAX_BROADCAST_BYTES = 64 * 2**20
+MAX_BROADCAST_HITS = 250_000
 QUESTIONS_PER_BLOCK = 8_192
 INDEX_ROWS_PER_BLOCK = 65_536
 CELLS_AT_ONCE = 2_000_000
@@ -265,7 +266,7 @@ def retrieve(
     if block is None:
         return hydrate(top_k_blocks(questions, index, k, question, key, vector), index.drop(vector), key)
     hits = top_k_broadcast(block, index, k, question, key, vector)
-    return hydrate(hits, index.drop(vector), key, few=True)
+    return hydrate(hits, index.drop(vector), key, few=block.num_rows * k <= MAX_BROADCAST_HITS)
 
 
 def off_topic_gate(

@@ -8,7 +8,7 @@ number that is unique within a key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,30 +18,41 @@ from askloom.session import cut_lineage
 GROUP = 4096
 
 
-def _group(order: str, width: int) -> Column:
-    return F.floor(F.col(order) / width)
+def with_group(df: DataFrame, order: str, width: int = GROUP) -> DataFrame:
+    """Add ``_group`` unless it is there.
 
+    Functions that are given it keep it: windows that share the column share the shuffle.
+    """
+    return df if "_group" in df.columns else df.withColumn("_group", F.floor(F.col(order) / width))
 
-def running_sum(
-    df: DataFrame, keys: Sequence[str], order: str, value: Column, out: str, width: int = GROUP
+
+def _tidy(df: DataFrame, given: DataFrame) -> DataFrame:
+    return df if "_group" in given.columns else df.drop("_group")
+
+
+def running_sums(
+    df: DataFrame, keys: Sequence[str], order: str, values: Mapping[str, Column], width: int = GROUP
 ) -> DataFrame:
-    """Add the sum of ``value`` up to and including the row."""
-    df = df.withColumn("_group", _group(order, width)).withColumn("_value", value)
+    """Add, under each name, the sum of the value up to and including the row."""
+    grouped = with_group(df, order, width).withColumns({f"_v_{n}": v for n, v in values.items()})
     parts = [*keys, "_group"]
     inside = Window.partitionBy(*parts).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     across = Window.partitionBy(*keys).orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        df.groupBy(*parts).agg(F.sum("_value").alias("_total"))
-        .select(*parts, F.sum("_total").over(across).alias("_carried"))
-        .where(F.col("_carried") != 0)
-    )
-    total = F.sum("_value").over(inside)
-    return (
-        df.withColumn(out, total)
-        .join(carried, parts, "left")
-        .withColumn(out, F.col(out) + F.coalesce("_carried", F.lit(0)))
-        .drop("_group", "_value", "_carried")
-    )
+    totals = grouped.groupBy(*parts).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in values])
+    # Only keys with several groups carry anything over a border.
+    carried = totals.select(
+        *parts, *[F.sum(f"_t_{n}").over(across).alias(f"_c_{n}") for n in values]
+    ).where(F.coalesce(*[F.col(f"_c_{n}") for n in values]).isNotNull())
+    summed = grouped.withColumns({n: F.sum(f"_v_{n}").over(inside) for n in values})
+    joined = summed.join(carried, parts, "left").withColumns(
+        {n: F.col(n) + F.coalesce(f"_c_{n}", F.lit(0)) for n in values})
+    return _tidy(joined.drop(*[f"_{k}_{n}" for n in values for k in "vc"]), df)
+
+
+def running_sum(
+    df: DataFrame, keys: Sequence[str], order: str, value: Column, out: str, width: int = GROUP
+) -> DataFrame:
+    return running_sums(df, keys, order, {out: value}, width)
 
 
 def neighbor(
@@ -49,21 +60,21 @@ def neighbor(
 ) -> DataFrame:
     """Add ``value`` of the next (``step=1``) or the previous (``step=-1``) row."""
     shift, edge = (F.lead, F.min_by) if step > 0 else (F.lag, F.max_by)
-    df = df.withColumn("_group", _group(order, width)).withColumn("_value", value)
+    grouped = with_group(df, order, width).withColumn("_value", value)
     parts = [*keys, "_group"]
     inside = Window.partitionBy(*parts).orderBy(order)
     across = Window.partitionBy(*keys).orderBy("_group")
-    groups = df.groupBy(*parts).agg(edge("_value", order).alias("_edge"))
+    edges = grouped.groupBy(*parts).agg(edge("_value", order).alias("_edge"))
     carried = (
-        groups.select(*parts, shift("_edge").over(across).alias("_carried"))
+        edges.select(*parts, shift("_edge").over(across).alias("_carried"))
         .where(F.col("_carried").isNotNull())
     )
-    return (
-        df.withColumn(out, shift("_value").over(inside))
+    joined = (
+        grouped.withColumn(out, shift("_value").over(inside))
         .join(carried, parts, "left")
         .withColumn(out, F.coalesce(out, "_carried"))
-        .drop("_group", "_value", "_carried")
     )
+    return _tidy(joined.drop("_value", "_carried"), df)
 
 
 def running_number(df: DataFrame, *order: Column | str, out: str = "row_no") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from askloom.config import Settings
-from askloom.operators.chat import chat_history, dialogue, standalone_questions
+from askloom.operators.chat import chat_history, dialogue, standalone_questions, with_pending
 from askloom.operators.citations import attach_sources
 from askloom.operators.embedding import EmbedderFactory, embed
 from askloom.operators.generation import GeneratorFactory, answer
@@ -56,9 +56,10 @@ def ask(
 
 
 def conversation_questions(messages: DataFrame) -> DataFrame:
-    """Every user turn as a stand-alone question with its history of earlier turns."""
-    talk = dialogue(messages)
-    history = chat_history(talk, asked=F.col("role") == "user").select("conv_id", "turn", "history")
+    """The pending user turn of every conversation as a stand-alone question with the
+    history of the earlier turns."""
+    talk = with_pending(dialogue(messages))
+    history = chat_history(talk, asked=F.col("pending")).select("conv_id", "turn", "history")
     rewritten = standalone_questions(messages).select(
         "conv_id", "turn", F.col("standalone").alias("question"))
     return rewritten.join(history, ["conv_id", "turn"]).withColumn(

@@ -7,7 +7,7 @@ import zipfile
 from collections.abc import Callable, Iterator, Mapping
 from xml.etree import ElementTree
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,32 +92,44 @@ def parse_files(files: DataFrame, parsers: Mapping[str, Parser] | None = None) -
     """``(source, page, text, error)``: the sections of every supported file.
 
     A file that cannot be read gives one row with ``error`` and never stops the others.
-    Text files are decoded by Spark; only the formats with a parser go through Python.
+    The files are read once: text is decoded by Spark, and only the bytes of formats that
+    have a parser are handed to Python.
     """
     parsers = {**PARSERS, **(parsers or {})}
-    files = files.where(is_supported("path")).withColumn("_ext", F.lower(file_extension("path")))
-    plain = files.where(~F.col("_ext").isin(*parsers))
+    extension = F.lower(file_extension("path"))
+    files = files.where(is_supported("path")).withColumn("_parsed", extension.isin(*parsers))
     text = decode_text("content")
-    decoded = plain.select(
-        F.col("path").alias("source"), F.lit(None).cast("int").alias("page"), text.alias("text"),
-        F.when(text.isNull(), "not valid UTF-8").alias("error"),
-    )
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for path, content, ext in zip(batch["path"], batch["content"], batch["_ext"]):
-                try:
-                    rows += [(path, page, body, None) for page, body in parsers[ext](bytes(content))]
-                except ImportError as problem:
-                    rows.append((path, None, None, f"missing dependency: {problem}"))
-                except Exception as problem:  # noqa: BLE001 - any failure of a parser becomes data
-                    rows.append((path, None, None, f"{type(problem).__name__}: {problem}"))
-            out = pd.DataFrame(rows, columns=schemas.PARSED_FILES.names)
-            yield out.astype({"page": "Int32"})
-
-    binary = files.where(F.col("_ext").isin(*parsers))
-    return decoded.unionByName(binary.mapInPandas(run, schemas.PARSED_FILES))
+    problem = F.when(text.isNull(), "not valid UTF-8")
+    plain = F.array(F.struct(
+        F.lit(None).cast("int").alias("page"), text.alias("text"), problem.alias("error")))
+    parsed = _parse(parsers)(F.when(F.col("_parsed"), F.col("content")), extension)
+    sections = files.select(
+        F.col("path").alias("source"),
+        F.explode_outer(F.when(F.col("_parsed"), parsed).otherwise(plain)).alias("_s"))
+    return sections.select("source", "_s.page", "_s.text", "_s.error").where(
+        F.col("text").isNotNull() | F.col("error").isNotNull())
+
+
+def _parse(parsers: Mapping[str, Parser]) -> Callable[[Column, Column], Column]:
+    section = pa.struct([("page", pa.int32()), ("text", pa.string()), ("error", pa.string())])
+
+    def sections(content: bytes | None, extension: str) -> list[dict] | None:
+        if content is None:
+            return None
+        try:
+            return [{"page": page, "text": text} for page, text in parsers[extension](content)]
+        except ImportError as problem:
+            return [{"error": f"missing dependency: {problem}"}]
+        except Exception as problem:  # noqa: BLE001 - any failure of a parser becomes data
+            return [{"error": f"{type(problem).__name__}: {problem}"}]
+
+    @F.arrow_udf("array<struct<page:int,text:string,error:string>>")
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for contents, extensions in batches:
+            rows = [sections(c.as_py(), e.as_py()) for c, e in zip(contents, extensions)]
+            yield pa.array(rows, pa.list_(section))
+
+    return run
 
 
 def good_documents(parsed: DataFrame) -> DataFrame:

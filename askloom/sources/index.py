@@ -51,6 +51,18 @@ def _write(chunks: DataFrame, path: str, session: str, load_id: str, keep_other_
         rows.withColumn("load_id", F.lit(load_id)).write.mode("overwrite").partitionBy("load_id").parquet(target)
 
 
+def write_sessions(chunks: DataFrame, path: str) -> None:
+    """Build the indexes of all sessions in the ``session_id`` column in one pass.
+
+    The rows are rebalanced by session, so that small sessions do not become many small
+    files and a very large one is still written by many tasks.  Sessions that are not in
+    ``chunks`` keep what they have.
+    """
+    rows = chunks.hint("rebalance", F.col("session_id")).withColumns(
+        {"row_id": F.monotonically_increasing_id(), "load_id": F.lit(BASE_LOAD)})
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS).parquet(path)
+
+
 def read_index(
     spark: SparkSession, path: str, session: str | None = SHARED, schema: T.StructType = schemas.INDEX
 ) -> DataFrame:

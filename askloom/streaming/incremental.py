@@ -13,6 +13,9 @@ from askloom.plans.ingest import index_rows
 from askloom.sources.files import Parser, good_documents, parse_files
 from askloom.sources.index import SHARED, append_index
 
+# A large backlog is worked off in batches of this many files, each with its own commit.
+FILES_PER_BATCH = 100_000
+
 BINARY_FILES = T.StructType([
     T.StructField("path", T.StringType()),
     T.StructField("modificationTime", T.TimestampType()),
@@ -53,9 +56,13 @@ def ingest_new_files(
     embedder: EmbedderFactory | None = None,
     parsers: Mapping[str, Parser] | None = None,
     session: str = SHARED,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> None:
     """Incremental form of the ingest flow over ``settings.docs_folder``."""
-    files = spark.readStream.format("binaryFile").schema(BINARY_FILES).load(settings.docs_folder)
+    files = (
+        spark.readStream.format("binaryFile").schema(BINARY_FILES)
+        .option("maxFilesPerTrigger", files_per_batch).load(settings.docs_folder)
+    )
 
     def to_rows(batch: DataFrame) -> DataFrame:
         return index_rows(good_documents(parse_files(batch, parsers)), settings, embedder)
@@ -72,7 +79,11 @@ def ingest_new_documents(
     to_rows: Callable[[DataFrame], DataFrame] = index_rows,
     pattern: str = "*.parquet",
     session: str = SHARED,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> None:
     """Incremental ingest of document tables that arrive as Parquet files."""
-    arriving = spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+    arriving = (
+        spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+        .option("maxFilesPerTrigger", files_per_batch).parquet(folder)
+    )
     stream_into_index(arriving, to_rows, index_path, checkpoint, session)

@@ -53,7 +53,7 @@ def test_search_finds_the_right_file(spark, settings, index):
 def test_ask_with_history_and_a_generator(spark, settings, index):
     messages = spark.createDataFrame([
         (1, 0, "system", "be kind"), (1, 1, "user", "when are roses pruned"), (1, 2, "assistant", "In spring."),
-        (1, 3, "user", "and watered"),
+        (1, 3, "user", "and watered"), (2, 0, "user", "who logs every ship"),
     ], "conv_id int, turn int, role string, text string")
     asked = conversation_questions(messages)
     echo = lambda: (lambda prompts: [f"[{p}]" for p in prompts])
@@ -62,7 +62,7 @@ def test_ask_with_history_and_a_generator(spark, settings, index):
     assert second.question == "when are roses pruned and watered"
     assert "user: when are roses pruned\nassistant: In spring." in second.prompt and "be kind" not in second.prompt
     assert second.answer == f"[{second.prompt}]" and second.sources[0].source == "gardens.txt"
-    assert rows["1/1"].prompt.count("user:") == 0
+    assert rows.keys() == {"1/3", "2/0"} and "user:" not in rows["2/0"].prompt
 
 
 def test_default_answer_comes_from_the_contexts(spark, settings, index):

@@ -1,7 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 
 from askloom import schemas
-from askloom.sources.index import append_index, load_or_create, read_index, write_index
+from askloom.sources.index import append_index, load_or_create, read_index, write_index, write_sessions
 
 ROWS = [("s", None, 0, "a", [1.0, 0.0]), ("s", 1, 1, "b", None)]
 
@@ -60,3 +61,13 @@ def test_sessions_are_separate_and_pruned(spark, chunks, tmp_path):
     assert read_index(spark, path, "two").count() == 3
     plan = read_index(spark, path, "two")._jdf.queryExecution().executedPlan().toString()
     assert "session_id" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_all_sessions_in_one_pass(spark, chunks, tmp_path):
+    path = str(tmp_path / "index")
+    write_index(chunks, path, session="kept")
+    write_index(chunks.unionByName(chunks), path, session="a")
+    both = chunks.withColumn("session_id", F.lit("a")).unionByName(chunks.limit(1).withColumn("session_id", F.lit("b")))
+    write_sessions(both, path)
+    assert [read_index(spark, path, s).count() for s in ("kept", "a", "b")] == [2, 2, 1]
+    assert stored(read_index(spark, path, "a")) == EXPECTED
