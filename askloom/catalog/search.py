@@ -65,7 +65,7 @@ def text_search_in_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """The way that is taken when the questions are too many to broadcast."""
     return top_k_blocks(
         cut_lineage(embedded_questions(spark, folder)), cut_lineage(corpus_index(spark, folder)), key=KEY,
-        questions_per_block=64, index_rows_per_block=8_192)
+        questions_per_block=16, index_rows_per_block=4_096)
 
 
 @query(f"""WITH {sql_search()} SELECT question_id, rank, doc_id, chunk_no, source, md5(text) AS digest

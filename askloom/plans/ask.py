@@ -59,7 +59,7 @@ def conversation_questions(messages: DataFrame) -> DataFrame:
     """The pending user turn of every conversation as a stand-alone question with the
     history of the earlier turns."""
     talk = with_pending(dialogue(messages))
-    history = chat_history(talk, asked=F.col("pending")).select("conv_id", "turn", "history")
+    history = chat_history(talk, F.col("pending")).select("conv_id", "turn", "history")
     rewritten = standalone_questions(messages).select(
         "conv_id", "turn", F.col("standalone").alias("question"))
     return rewritten.join(history, ["conv_id", "turn"]).withColumn(
