@@ -192,12 +192,12 @@ def session_indexes(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""SELECT source, count(*) AS n_chunks, CAST(sum(length(text)) AS BIGINT) AS n_chars
            FROM ({sql_chunks()}) GROUP BY source""")
 def incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    """The documents file as a stream, cut and appended to an index; the second run finds
+    """The documents table as a stream, cut and appended to an index; the second run finds
     nothing new."""
     path, checkpoint = scratch_path(spark, "index"), scratch_path(spark, "stream")
     for _ in range(2):
         ingest_new_documents(
-            spark, folder, _TEXTS, path, checkpoint, to_rows=window_chunks, pattern="documents.parquet")
+            spark, f"{folder}/documents.parquet", _TEXTS, path, checkpoint, to_rows=window_chunks)
     return read_index(spark, path, schema=_TEXTS).groupBy("source").agg(
         F.count(F.lit(1)).alias("n_chunks"), F.sum(F.char_length("text")).alias("n_chars"))
 

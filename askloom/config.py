@@ -43,6 +43,21 @@ Reply with the translated question alone.
 {question}
 """
 
+FOLLOW_UP_TEMPLATE = """Earlier turns of a conversation:
+{chat_history}
+
+Word the next question so that it is understood without them.
+Reply with that question alone.
+
+{question}
+"""
+
+BACK_QUESTION_TEMPLATE = """Which question does this text answer?
+Reply with the question alone.
+
+{answer}
+"""
+
 
 @dataclass(frozen=True)
 class Settings:

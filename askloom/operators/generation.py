@@ -14,10 +14,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from askloom.config import TRANSLATION_TEMPLATE
+from askloom.config import FOLLOW_UP_TEMPLATE, TRANSLATION_TEMPLATE
 from askloom.functions.language import detect_language
 from askloom.functions.text import (
-    as_column, bind, distinct_tokens, fill_template, sentences, strip_quotes,
+    as_column, bind, distinct_tokens, fill_template, render_history, sentences, strip_quotes,
 )
 
 Generator = Callable[[list[str]], list[str]]
@@ -110,7 +110,29 @@ def translate(
     if factory is None:
         return questions.withColumn(out, F.col(question))
     wanted = F.when(F.col("language") == "fr", fill_template(template, question=F.col(question)))
-    reply = questions.withColumn("_reply", call_generator(wanted, factory))
+    return _reword(questions, wanted, factory, question, out)
+
+
+def reword_follow_ups(
+    questions: DataFrame,
+    factory: GeneratorFactory,
+    question: str = "question",
+    history: str = "history",
+    out: str = "question",
+    template: str = FOLLOW_UP_TEMPLATE,
+) -> DataFrame:
+    """Set ``out`` to the question worded without its history.
+
+    A question without history is not sent, and one whose call fails stays as it is.
+    """
+    filled = fill_template(template, chat_history=render_history(history), question=F.col(question))
+    return _reword(questions, F.when(F.size(history) > 0, filled), factory, question, out)
+
+
+def _reword(
+    questions: DataFrame, prompt: Column, factory: GeneratorFactory, question: str, out: str
+) -> DataFrame:
+    reply = questions.withColumn("_reply", call_generator(prompt, factory))
     return reply.withColumn(out, F.coalesce(strip_quotes("_reply.text"), F.col(question))).drop("_reply")
 
 

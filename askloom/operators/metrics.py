@@ -8,9 +8,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from askloom.functions.text import as_column, bind, distinct_tokens, sentences
+from askloom.config import BACK_QUESTION_TEMPLATE
+from askloom.functions.text import as_column, bind, distinct_tokens, fill_template, sentences
 from askloom.functions.vectors import cosine, round_score
 from askloom.operators.embedding import EmbedderFactory, embed_text
+from askloom.operators.generation import GeneratorFactory, call_generator
 
 # ``(statements, contexts) -> one verdict per statement``
 Judge = Callable[[list[str], list[str]], Sequence[bool]]
@@ -63,6 +65,20 @@ def first_sentence(answer: Column | str) -> Column:
     return F.get(sentences(answer), F.lit(0))
 
 
+def back_questions(
+    answer: Column | str, generator: GeneratorFactory | None = None, n: int = 1,
+    template: str = BACK_QUESTION_TEMPLATE,
+) -> Column:
+    """``n`` questions that the answer would be an answer to, as an array.
+
+    The default is the answer's first sentence, once.  Failed calls give no question.
+    """
+    if generator is None:
+        return F.array(first_sentence(answer))
+    filled = fill_template(template, answer=as_column(answer))
+    return F.array_compact(F.array(*[call_generator(filled, generator)["text"] for _ in range(n)]))
+
+
 def answer_relevancy(
     rows: DataFrame,
     question_id: str = "question_id",
@@ -76,7 +92,7 @@ def answer_relevancy(
 
     The cosine divides by both lengths, so the model need not return unit vectors.
     """
-    made = F.array(first_sentence(answer)) if generated is None else generated
+    made = back_questions(answer) if generated is None else generated
     pairs = rows.select(question_id, question, F.explode_outer(made).alias("_made"))
     return (
         pairs.select(question_id, cosine(embed_text(question, embedder), embed_text("_made", embedder)).alias("c"))

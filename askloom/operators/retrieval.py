@@ -32,6 +32,7 @@ MAX_BROADCAST_BYTES = 64 * 2**20
 MAX_BROADCAST_HITS = 250_000
 QUESTIONS_PER_BLOCK = 8_192
 INDEX_ROWS_PER_BLOCK = 65_536
+FEWEST_ROWS_PER_BLOCK = 2_048
 CELLS_AT_ONCE = 2_000_000
 
 
@@ -101,8 +102,12 @@ def top_k_blocks(
 ) -> DataFrame:
     key = list(key)
     asked, narrow = questions.select(question, vector), index.select(*key, vector)
+    n_rows = max(1, narrow.count())
     q_blocks = -(-max(1, asked.count()) // questions_per_block)
-    i_blocks = -(-max(1, narrow.count()) // index_rows_per_block)
+    # Blocks are smaller than their bound when there would be fewer pairs than cores.
+    cores = index.sparkSession.sparkContext.defaultParallelism
+    i_blocks = max(-(-n_rows // index_rows_per_block),
+                   min(-(-2 * cores // q_blocks), -(-n_rows // FEWEST_ROWS_PER_BLOCK)))
     left = (
         asked.withColumn("_qb", F.pmod(F.xxhash64(question), F.lit(q_blocks)))
         .withColumn("_ib", F.explode(F.sequence(F.lit(0), F.lit(i_blocks - 1)).cast("array<bigint>")))

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from askloom.config import Settings
 from askloom.operators.chat import chat_history, dialogue, standalone_questions, with_pending
 from askloom.operators.citations import attach_sources
 from askloom.operators.embedding import EmbedderFactory, embed
-from askloom.operators.generation import GeneratorFactory, answer
+from askloom.operators.generation import GeneratorFactory, answer, reword_follow_ups
 from askloom.operators.prompts import assemble_contexts, default_contexts, prompt
 from askloom.operators.retrieval import CHUNK_KEY, retrieve
 from askloom.session import cut_lineage
@@ -55,12 +55,19 @@ def ask(
     return attach_sources(answer(prepared, generator, question=text), hits)
 
 
-def conversation_questions(messages: DataFrame) -> DataFrame:
+def conversation_questions(
+    messages: DataFrame, generator: GeneratorFactory | None = None, reset: Column | None = None
+) -> DataFrame:
     """The pending user turn of every conversation as a stand-alone question with the
-    history of the earlier turns."""
-    talk = with_pending(dialogue(messages))
-    history = chat_history(talk, F.col("pending")).select("conv_id", "turn", "history")
-    rewritten = standalone_questions(messages).select(
+    history of the earlier turns.
+
+    A generator words follow-ups anew; the default puts the previous user turn in front.
+    """
+    asked = chat_history(with_pending(dialogue(messages)), F.col("pending"), reset).select(
+        "conv_id", "turn", F.concat_ws("/", "conv_id", "turn").alias("question_id"),
+        F.col("text").alias("question"), "history")
+    if generator is not None:
+        return cut_lineage(reword_follow_ups(asked, generator))
+    rewritten = standalone_questions(messages, reset).select(
         "conv_id", "turn", F.col("standalone").alias("question"))
-    return rewritten.join(history, ["conv_id", "turn"]).withColumn(
-        "question_id", F.concat_ws("/", "conv_id", "turn"))
+    return asked.drop("question").join(rewritten, ["conv_id", "turn"])

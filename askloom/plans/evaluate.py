@@ -13,7 +13,7 @@ from askloom.config import Settings
 from askloom.operators import scoring
 from askloom.operators.embedding import EmbedderFactory
 from askloom.operators.generation import GeneratorFactory, answer, succeeded, translate
-from askloom.operators.metrics import JudgeFactory, answer_relevancy, faithfulness
+from askloom.operators.metrics import JudgeFactory, answer_relevancy, back_questions, faithfulness
 from askloom.operators.prompts import assemble_contexts, default_contexts, prompt
 from askloom.operators.retrieval import CHUNK_KEY, off_topic_gate
 from askloom.plans.ask import search
@@ -53,13 +53,18 @@ def score_answers(
     gated: DataFrame,
     embedder: EmbedderFactory | None = None,
     judge: JudgeFactory | None = None,
-    generated: F.Column | None = None,
+    back_generator: GeneratorFactory | None = None,
 ) -> DataFrame:
-    """Answered questions with both metrics.  Off-topic and failed ones are left out."""
+    """Answered questions with both metrics.  Off-topic and failed ones are left out.
+
+    Written once when a model takes part, as the scores feed several results.
+    """
     rows = succeeded(gated).where(~F.col("off_topic"))
-    relevancy = answer_relevancy(rows, question="question_en", generated=generated, embedder=embedder)
-    return rows.withColumn("faithfulness", faithfulness("answer", "contexts", judge)).join(
+    relevancy = answer_relevancy(
+        rows, question="question_en", generated=back_questions("answer", back_generator), embedder=embedder)
+    scored = rows.withColumn("faithfulness", faithfulness("answer", "contexts", judge)).join(
         relevancy, "question_id", "left")
+    return scored if judge is None and back_generator is None else cut_lineage(scored)
 
 
 @dataclass(frozen=True)
@@ -80,10 +85,11 @@ def evaluate(
     embedder: EmbedderFactory | None = None,
     generator: GeneratorFactory | None = None,
     judge: JudgeFactory | None = None,
+    back_generator: GeneratorFactory | None = None,
     key: Sequence[str] = CHUNK_KEY,
 ) -> Evaluation:
     gated = gated_answers(questions, index, settings, embedder, generator, key)
-    rows = score_answers(gated, embedder, judge)
+    rows = score_answers(gated, embedder, judge, back_generator)
     gate = scoring.quality_gate(scoring.mean_scores(rows), settings.quality_threshold)
     return Evaluation(rows, scoring.question_counts(gated), gate)
 
@@ -123,7 +129,10 @@ def record_evaluation(
             "score_global": gate["score_global"],
             "temps_moyen_reponse": round(gate["temps_moyen_reponse"], 2),
         },
-        tags={"qualite": gate["qualite"], "llm": settings.generator_model, **(tags or {})},
+        tags={
+            "qualite": gate["qualite"], "llm": settings.generator_model,
+            "evaluation": "faithfulness+answer_relevancy", **(tags or {}),
+        },
         artifact=results_path,
     )
     append_run(record, runs_path)

@@ -72,18 +72,22 @@ def ingest_new_files(
 
 def ingest_new_documents(
     spark: SparkSession,
-    folder: str,
+    table: str,
     schema: T.StructType,
     index_path: str,
     checkpoint: str,
     to_rows: Callable[[DataFrame], DataFrame] = index_rows,
-    pattern: str = "*.parquet",
     session: str = SHARED,
     files_per_batch: int = FILES_PER_BATCH,
 ) -> None:
-    """Incremental ingest of document tables that arrive as Parquet files."""
+    """Incremental ingest of a document table that grows by Parquet files.
+
+    A stream takes a plain path for a folder; written as a pattern that only matches
+    itself, the path may also be a single file.
+    """
+    table = f"{table[:-1]}[{table[-1]}]"
     arriving = (
-        spark.readStream.schema(schema).option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", files_per_batch).parquet(folder)
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", files_per_batch).parquet(table)
     )
     stream_into_index(arriving, to_rows, index_path, checkpoint, session)

@@ -83,6 +83,14 @@ def test_missing_library_is_an_error_row(spark, folder):
         assert lost[0].error.startswith("missing dependency")
 
 
+def test_folder_names_with_special_characters(spark, tmp_path):
+    for name in ("with space", "é+%20", "a=b"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x y.txt").write_text("here")
+        assert [r.text for r in load_documents(spark, str(tmp_path / name)).collect()] == ["here"]
+        assert [r.text for r in load_documents(spark, str(tmp_path / name) + "/").collect()] == ["here"]
+
+
 @pytest.mark.parametrize("name", ["", "absent"])
 def test_empty_and_missing_folder(spark, tmp_path, name):
     docs = load_documents(spark, str(tmp_path / name))

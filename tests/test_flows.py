@@ -65,6 +65,20 @@ def test_ask_with_history_and_a_generator(spark, settings, index):
     assert rows.keys() == {"1/3", "2/0"} and "user:" not in rows["2/0"].prompt
 
 
+def test_follow_ups_can_be_worded_by_a_generator(spark):
+    messages = spark.createDataFrame([
+        (1, 0, "user", "who is Ada"), (1, 1, "assistant", "A writer."), (1, 2, "user", "when"), (2, 0, "user", "first"),
+    ], "conv_id int, turn int, role string, text string")
+
+    def model():
+        return lambda prompts: [f'"when did {p.splitlines()[1].split()[-1]} live"' for p in prompts]
+
+    got = {r.question_id: (r.question, len(r.history)) for r in conversation_questions(messages, model).collect()}
+    assert got == {"1/2": ("when did Ada live", 2), "2/0": ("first", 0)}
+    after_reset = conversation_questions(messages, model, reset=F.col("turn") == 2).collect()
+    assert {r.question for r in after_reset} == {"when", "first"}
+
+
 def test_default_answer_comes_from_the_contexts(spark, settings, index):
     asked = spark.createDataFrame([(1, "when are roses pruned")], "question_id int, question string")
     row = ask(asked, index, settings, key=STORED_KEY).head()
@@ -99,10 +113,18 @@ def test_evaluate_and_record(spark, settings, index, tmp_path):
     assert passed == run.passed
     assert read_results(spark, paths[0]).count() == len(rows)
     record = read_runs(spark, paths[1]).head()
-    assert len(record.params) == 9 and len(record.metrics) == 4
+    assert len(record.params) == 9 and len(record.metrics) == 4 and len(record.tags) == 4
     assert record.params["nb_questions_evaluees"] == str(len(rows)) and record.tags["commit"] == "abc"
 
 
+def test_metrics_with_models(spark, settings, index):
+    judge = lambda: (lambda statements, contexts: [False] * len(statements))
+    back = lambda: (lambda prompts: ["when are roses pruned"] * len(prompts))
+    asked = spark.createDataFrame(QUESTIONS[:1], "question_id int, question string, ground_truth string")
+    [row] = evaluate(asked, index, settings, judge=judge, back_generator=back, key=STORED_KEY).rows.collect()
+    assert row.faithfulness == 0 and row.answer_relevancy == pytest.approx(1)
+
+
 def test_nothing_evaluated(spark, settings, index, tmp_path):
     asked = spark.createDataFrame([(1, "volcano", "x")], "question_id int, question string, ground_truth string")
     run = evaluate(asked, index, settings, key=STORED_KEY)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from askloom.operators import scoring
-from askloom.operators.metrics import answer_relevancy, context_relevancy, faithfulness
+from askloom.operators.metrics import answer_relevancy, back_questions, context_relevancy, faithfulness
 
 NAN = float("nan")
 SCHEMA = "faithfulness double, answer_relevancy double, seconds double"
@@ -83,6 +83,13 @@ def test_relevancy(spark):
     assert all(math.isclose(r.answer_relevancy, 0.5, abs_tol=1e-6) for r in many.collect())
 
 
+def test_back_questions_come_from_a_generator(evaluate):
+    seen = lambda: (lambda prompts: [p.strip().splitlines()[-1].upper() for p in prompts])
+    assert evaluate(back_questions("a", seen, n=3), "a string", "some answer") == ["SOME ANSWER"] * 3
+    broken = lambda: (lambda prompts: 1 / 0)
+    assert evaluate(back_questions("a", broken, n=2), "a string", "some answer") == []
+
+
 def test_context_relevancy(evaluate):
     got = evaluate(context_relevancy("q", "c"), "q string, c array<string>", "what is a red fox", ["Red!", "a fox"])
     assert got == pytest.approx(3 / 5)
