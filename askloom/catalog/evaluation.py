@@ -16,7 +16,9 @@ from askloom.operators.chat import question_answer_pairs
 from askloom.operators.generation import failed, generate, succeeded, translate
 from askloom.operators.metrics import answer_relevancy, faithfulness, rounded
 from askloom.plans.evaluate import gated_answers, score_answers
-from askloom.session import read_table
+from askloom.session import read_table, scratch_path
+from askloom.sources.results import append_run, read_runs, run_record, write_report
+from askloom.sources.results import evaluation_report as report
 
 
 def _sql_markers(x: str) -> str:
@@ -161,6 +163,34 @@ def quality_gate(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(gate, "score_global").select("score_global", "threshold", "passed", "qualite")
 
 
+@query(f"""SELECT 'eval_labels' AS run_name, unnest(['faithfulness', 'answer_relevancy', 'score_global', 'temps_moyen_reponse']) AS metric,
+                  unnest([{sql_round('f')}, {sql_round('r')}, {sql_round('(f + r) / 2')}, {sql_round('s')}]) AS value,
+                  CAST(n AS VARCHAR) AS n_evaluated, CASE WHEN (f + r) / 2 >= 0.5 THEN '{LABEL_PASS}' ELSE '{LABEL_FAIL}' END AS qualite
+           FROM ({_MEANS})""")
+def run_log(spark: SparkSession, folder: str) -> DataFrame:
+    """A run record written, read back and laid out by metric."""
+    path = scratch_path(spark, "runs")
+    gate = scoring.quality_gate(scoring.mean_scores(_label_scores(spark, folder))).head().asDict()
+    metrics = ("faithfulness", "answer_relevancy", "score_global", "temps_moyen_reponse")
+    append_run(run_record(
+        spark, "eval_labels", {"nb_questions_evaluees": gate["n_evaluated"]}, {m: gate[m] for m in metrics},
+        {"qualite": gate["qualite"]}, "none"), path)
+    return read_runs(spark, path).select(
+        "run_name", F.explode("metrics").alias("metric", "value"),
+        F.col("params")["nb_questions_evaluees"].alias("n_evaluated"), F.col("tags")["qualite"].alias("qualite"),
+    ).withColumn("value", round_score("value"))
+
+
+@query(f"""SELECT {sql_round('f')} AS faithfulness, {sql_round('r')} AS answer_relevancy,
+                  CAST(0 AS DOUBLE) AS execution_time, 'completed' AS status FROM ({_MEANS})""")
+def evaluation_report(spark: SparkSession, folder: str) -> DataFrame:
+    gate = scoring.quality_gate(scoring.mean_scores(_label_scores(spark, folder)))
+    path = scratch_path(spark, "report")
+    write_report(report(gate, 0.0), path)
+    stored = spark.read.schema("faithfulness double, answer_relevancy double, execution_time double, status string").json(path)
+    return rounded(stored, "faithfulness", "answer_relevancy")
+
+
 @query(f"""SELECT doc_id, coalesce(f >= 0.8, false) AS passed FROM ({_SCORES})""")
 def threshold_check(spark: SparkSession, folder: str) -> DataFrame:
     scores = _label_scores(spark, folder)

@@ -9,7 +9,7 @@ from askloom.catalog.base import (
     documents, messages, query, questions, sql_chunks, sql_recursive_chunks, sql_round,
     sql_strip, sql_vectors,
 )
-from askloom.functions.text import strip_space
+from askloom.functions.text import is_session_id, session_id, strip_space
 from askloom.functions.vectors import l2_normalize, round_score
 from askloom.operators.chunking import (
     check_chunk_size, chunk_report, recursive_chunks, window_chunks, windows,
@@ -18,7 +18,11 @@ from askloom.operators.embedding import embed, nonzero
 from askloom.operators.windows import running_number
 from askloom.session import read_table, scratch_path
 from askloom.sources.files import concat_documents, decode_text, load_summary as summarize
-from askloom.sources.index import append_index, read_index, write_index, write_sessions
+from askloom.sources.index import (
+    append_index, load_or_create, read_index, write_index, write_sessions,
+)
+from askloom.sources.questions import read_questions
+from askloom.sources.results import read_results, write_results
 from askloom.streaming.incremental import ingest_new_documents
 
 
@@ -170,6 +174,17 @@ def index_append(spark: SparkSession, folder: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_rows"), F.sum(F.char_length("text")).alias("n_chars"))
 
 
+@query("""SELECT source, count(*) AS n_rows, CAST(sum(length(text)) AS BIGINT) AS n_chars
+          FROM documents GROUP BY source""")
+def loaded_or_created_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Created by the first call, loaded by the second."""
+    path = scratch_path(spark, "index")
+    docs = documents(spark, folder, *_TEXTS.names)
+    load_or_create(spark, path, docs, schema=_TEXTS)
+    return load_or_create(spark, path, docs.unionByName(docs), schema=_TEXTS).groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.char_length("text")).alias("n_chars"))
+
+
 _TURNS = T.StructType([
     T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
     T.StructField("text", T.StringType()),
@@ -205,3 +220,41 @@ def incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"SELECT doc_id, md5({sql_strip('text')}) AS digest FROM documents")
 def stripped_documents(spark: SparkSession, folder: str) -> DataFrame:
     return documents(spark, folder, "doc_id", "text").select("doc_id", F.md5(strip_space("text")).alias("digest"))
+
+
+@query("""SELECT item_id AS place, CAST(length(text) AS INTEGER) AS n, md5(text) AS digest FROM benchmark""")
+def question_set(spark: SparkSession, folder: str) -> DataFrame:
+    """The benchmark written as JSON and read back as a question set; the truth carries
+    the item's number."""
+    path = scratch_path(spark, "questions")
+    items = questions(spark, folder)
+    items.select("question", F.col("question_id").cast("string").alias("ground_truth")).write.json(path)
+    return read_questions(spark, path, lines=True).select(
+        F.col("ground_truth").cast("bigint").alias("place"), F.char_length("question").alias("n"),
+        F.md5("question").alias("digest"))
+
+
+@query("""SELECT conv_id, turn, md5(text) AS answer, CASE WHEN role = 'user' THEN '' ELSE role END AS truth,
+                 CASE WHEN role = 'system' THEN NULL ELSE md5(role || ', "' || text || '"') END AS quoted
+          FROM conversations""")
+def result_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """All messages through the result CSV: newlines, quotes, empty strings and NULL."""
+    path = scratch_path(spark, "results")
+    rows = messages(spark, folder).select(
+        F.concat_ws("/", "conv_id", "turn").alias("question_originale"),
+        F.when(F.col("role") != "system", F.concat("role", F.lit(', "'), "text", F.lit('"'))).alias("question_anglais"),
+        F.col("text").alias("reponse_rag"),
+        F.when(F.col("role") == "user", "").otherwise(F.col("role")).alias("ground_truth"))
+    write_results(rows, path)
+    ids = F.split("question_originale", "/").cast("array<bigint>")
+    return read_results(spark, path).select(
+        ids[0].alias("conv_id"), ids[1].alias("turn"), F.md5("reponse_rag").alias("answer"),
+        F.col("ground_truth").alias("truth"), F.md5("question_anglais").alias("quoted"))
+
+
+@query("SELECT conv_id, true AS valid, count(*) AS n_ids FROM conversations GROUP BY conv_id")
+def new_session_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """A new session id for every message, all well formed."""
+    ids = messages(spark, folder).select("conv_id", session_id().alias("s"))
+    return ids.groupBy("conv_id").agg(
+        F.bool_and(is_session_id("s")).alias("valid"), F.count("s").alias("n_ids"))

@@ -55,16 +55,12 @@ def score_answers(
     judge: JudgeFactory | None = None,
     back_generator: GeneratorFactory | None = None,
 ) -> DataFrame:
-    """Answered questions with both metrics.  Off-topic and failed ones are left out.
-
-    Written once when a model takes part, as the scores feed several results.
-    """
+    """Answered questions with both metrics.  Off-topic and failed ones are left out."""
     rows = succeeded(gated).where(~F.col("off_topic"))
     relevancy = answer_relevancy(
         rows, question="question_en", generated=back_questions("answer", back_generator), embedder=embedder)
-    scored = rows.withColumn("faithfulness", faithfulness("answer", "contexts", judge)).join(
+    return rows.withColumn("faithfulness", faithfulness("answer", "contexts", judge)).join(
         relevancy, "question_id", "left")
-    return scored if judge is None and back_generator is None else cut_lineage(scored)
 
 
 @dataclass(frozen=True)
@@ -88,8 +84,10 @@ def evaluate(
     back_generator: GeneratorFactory | None = None,
     key: Sequence[str] = CHUNK_KEY,
 ) -> Evaluation:
+    """The whole flow.  The scores are written once, as the gate, the result table and the
+    run log all read them."""
     gated = gated_answers(questions, index, settings, embedder, generator, key)
-    rows = score_answers(gated, embedder, judge, back_generator)
+    rows = cut_lineage(score_answers(gated, embedder, judge, back_generator))
     gate = scoring.quality_gate(scoring.mean_scores(rows), settings.quality_threshold)
     return Evaluation(rows, scoring.question_counts(gated), gate)
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from askloom.config import Settings
 from askloom.operators.chunking import recursive_chunks
 from askloom.operators.embedding import EmbedderFactory, embed
-from askloom.sources.files import Parser, folder_files, good_documents, parse_files
+from askloom.sources.files import Parser, load_documents
 from askloom.sources.index import SHARED, append_index, write_index
 
 
@@ -30,7 +30,7 @@ def ingest_folder(
     append: bool = False,
 ) -> bool:
     """Index the documents of ``settings.docs_folder``; False when there are none."""
-    documents = good_documents(parse_files(folder_files(spark, settings.docs_folder), parsers))
+    documents = load_documents(spark, settings.docs_folder, parsers)
     if documents.isEmpty():
         return False
     write = append_index if append else write_index

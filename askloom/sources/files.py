@@ -55,16 +55,22 @@ def _word_text(xml: bytes) -> str:
 PARSERS: Mapping[str, Parser] = {".pdf": parse_pdf, ".docx": parse_docx}
 
 
-def folder_files(spark: SparkSession, folder: str) -> DataFrame:
+# The supported extensions in any letter case, as a file name pattern.
+SUPPORTED_NAMES = "*{%s}" % ",".join(
+    "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in ext) for ext in EXTENSIONS)
+
+
+def folder_files(spark: SparkSession, folder: str, supported_only: bool = False) -> DataFrame:
     """``(path, content)`` of the direct files of a folder; no rows when it is absent.
 
-    Names that start with ``_`` or ``.`` are invisible to Spark's file sources.
+    With ``supported_only`` other files are dropped while listing, before their content is
+    read.  Names that start with ``_`` or ``.`` are invisible to Spark's file sources.
     """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if supported_only:
+        reader = reader.option("pathGlobFilter", SUPPORTED_NAMES)
     try:
-        found = (
-            spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-            .select("path", "content")
-        )
+        found = reader.load(folder).select("path", "content")
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], "path string, content binary")
@@ -144,7 +150,7 @@ def load_documents(
     spark: SparkSession, folder: str, parsers: Mapping[str, Parser] | None = None
 ) -> DataFrame:
     """``(source, page, text)`` of every readable file of a folder."""
-    return good_documents(parse_files(folder_files(spark, folder), parsers))
+    return good_documents(parse_files(folder_files(spark, folder, supported_only=True), parsers))
 
 
 def in_order(documents: DataFrame, *order: str) -> DataFrame:

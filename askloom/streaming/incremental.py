@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from askloom.config import Settings
 from askloom.operators.embedding import EmbedderFactory
 from askloom.plans.ingest import index_rows
-from askloom.sources.files import Parser, good_documents, parse_files
+from askloom.sources.files import SUPPORTED_NAMES, Parser, good_documents, parse_files
 from askloom.sources.index import SHARED, append_index
 
 # A large backlog is worked off in batches of this many files, each with its own commit.
@@ -60,7 +60,7 @@ def ingest_new_files(
 ) -> None:
     """Incremental form of the ingest flow over ``settings.docs_folder``."""
     files = (
-        spark.readStream.format("binaryFile").schema(BINARY_FILES)
+        spark.readStream.format("binaryFile").schema(BINARY_FILES).option("pathGlobFilter", SUPPORTED_NAMES)
         .option("maxFilesPerTrigger", files_per_batch).load(settings.docs_folder)
     )
 

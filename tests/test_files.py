@@ -69,6 +69,11 @@ def test_folder(spark, folder):
         "A.TXT": 1, "b.txt": 1, "c.docx": 1, "d.pdf": 2}
 
 
+def test_other_files_are_dropped_while_listing(spark, folder):
+    names = {r.path.rsplit("/", 1)[1] for r in folder_files(spark, folder, supported_only=True).select("path").collect()}
+    assert names == {"A.TXT", "b.txt", "bad.txt", "c.docx", "broken.docx", "d.pdf", "broken.pdf"}
+
+
 def test_docx_text():
     [(page, text)] = parse_docx(docx("one", "two", header="top"))
     assert page is None and text.split() == ["top", "end", "one", "end", "two", "end"]
