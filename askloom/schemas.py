@@ -8,8 +8,6 @@ DOCUMENTS = T.StructType([
     T.StructField("text", T.StringType()),
 ])
 
-PARSED_FILES = T.StructType(DOCUMENTS.fields + [T.StructField("error", T.StringType())])
-
 CHUNKS = T.StructType([
     T.StructField("source", T.StringType()),
     T.StructField("page", T.IntegerType()),

@@ -12,7 +12,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askloom import schemas
 from askloom.config import EXTENSIONS
 from askloom.functions.text import as_column, file_extension, unix_newlines
 
