@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from askloom.llm.decontamination import contaminated
 from askloom.llm.frames import read
+from askloom.llm.jaccard import jaccard_components
 from askloom.llm.mixing import mix_sources
 from askloom.llm.secrets import names, scan_secrets
 from askloom.llm.url_reputation import Rule, judge_pages
@@ -24,6 +26,10 @@ def op2_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(read(spark, folder, "documents"))
+
+
 def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(read(spark, folder, "documents"), WEIGHTS)
 
@@ -43,5 +49,10 @@ def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.size("added").cast("long").alias("n_added"))
 
 
-QUERIES = {f.__name__: f for f in (op2_url_reputation, op4_source_mix, op6_secret_scan)}
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op2_url_reputation, op3_jaccard_join, op4_source_mix, op6_secret_scan, op9_decontamination)}
 ORACLE_SQL: dict[str, str] = {}
