@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from askloom.llm.decontamination import contaminated
-from askloom.llm.frames import read
+from askloom.llm.frames import held_out, read
+from askloom.llm.grid_order import link_vectors
 from askloom.llm.jaccard import jaccard_components
 from askloom.llm.mixing import mix_sources
+from askloom.llm.quality import score_quality, train_quality
 from askloom.llm.secrets import names, scan_secrets
+from askloom.llm.toxicity import score_toxicity, train_toxicity
 from askloom.llm.url_reputation import Rule, judge_pages
 
 #: Fixed values of the contract: rules for URLs, weights of sources.
@@ -49,10 +52,34 @@ def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.size("added").cast("long").alias("n_added"))
 
 
+def training_labels(spark: SparkSession, folder: str, name: str, folds: int, part: int) -> DataFrame:
+    """doc_id and label of the rows that learning may see."""
+    return read(spark, folder, "labels").where(~held_out("doc_id", folds, part)).select("doc_id", F.col(name).alias("label"))
+
+
+def op7_quality_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents")
+    model = train_quality(documents, training_labels(spark, folder, "quality", 4, 2))
+    return score_quality(documents, model).select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", "predicted")
+
+
+def op8_toxic_sentences(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents")
+    model = train_toxicity(documents, training_labels(spark, folder, "toxic", 3, 1))
+    scored = score_toxicity(documents, model)
+    return scored.withColumn("held_out", held_out("doc_id", 3, 1)).select(
+        "doc_id", "held_out", "score", "predicted", "n_sentences", "worst_start", "worst_end", "worst_score")
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+def op10_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
+    return link_vectors(read(spark, folder, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_url_reputation, op3_jaccard_join, op4_source_mix, op6_secret_scan, op9_decontamination)}
+    op2_url_reputation, op3_jaccard_join, op4_source_mix, op6_secret_scan, op7_quality_ranking,
+    op8_toxic_sentences, op9_decontamination, op10_embedding_links)}
 ORACLE_SQL: dict[str, str] = {}
