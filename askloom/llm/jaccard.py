@@ -32,13 +32,13 @@ from askloom.llm.components import components
 from askloom.llm.frames import written
 from askloom.llm.tokens import distinct, mixed, shingles, slices, words
 
-GROUPS = 64
+GROUPS = 256
 LEAF = 16
 #: Rows of a block that one tree takes; larger blocks are split into cells of pairs of parts.
 PART = 1024
-#: Documents whose shingles tell which are frequent, and how many must hold one.  The order of
-#: shingles decides how large blocks get, never which pairs link.
-SAMPLE_DOCS, FREQUENT_DOCS = 4000, 4
+#: One of so many documents tells which shingles are frequent: those that two of them hold, or one
+#: in ``FREQUENT`` of them.  The order of shingles decides how large blocks get, never which pairs link.
+SAMPLED, FREQUENT = 8, 20_000
 #: Ids of nodes to fetch that may be sent to all tasks (about 24 bytes each); more are joined.
 BROADCAST_IDS = 1 << 20
 TOP = np.uint64(1) << np.uint64(63)
@@ -62,6 +62,12 @@ def _sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
             yield i + d, held[first[d]:first[d + 1]]
 
 
+def _counts(held: np.ndarray) -> np.ndarray:
+    """Counts by group; a set too large for its counters has all of them full, which prunes nothing."""
+    counts = np.bincount((held >> np.uint64(56)).astype(np.int64), minlength=GROUPS)
+    return (counts if counts.max() < 255 else np.full(GROUPS, 255)).astype(np.uint8)
+
+
 def _needed(n: int, least: Fraction) -> int:
     """Fewest shingles that a set of ``n`` shares with any set it links to."""
     return -(-n * least.numerator // least.denominator)
@@ -73,8 +79,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, held in _sets(batch.column(1)):
             size.append(len(held))
             node.append(_node(held) if len(held) else None)
-            counts.append(np.minimum(np.bincount((held >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS), 65535)
-                          .astype(np.uint16).tobytes() if len(held) else None)
+            counts.append(_counts(held).tobytes() if len(held) else None)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(counts, pa.binary())],
             ["row_id", "node", "n", "counts"])
@@ -186,17 +191,17 @@ def _block_rows(cols, lead, fresh, ends, least):
             [pa.array(c[keep]) for c in (token, node, n, leader)], ["token", "node", "n", "leader"])
 
 
-def tree_pairs(counts: np.ndarray, n: np.ndarray, group: np.ndarray, left: np.ndarray, right: np.ndarray,
-               least: Fraction) -> np.ndarray:
-    """Pairs of places, of different ``group``, whose counts allow a link; one of ``left``, one of ``right``.
+def tree_pairs(counts: np.ndarray, n: np.ndarray, group: np.ndarray, side: np.ndarray, least: Fraction) -> np.ndarray:
+    """Pairs of places, of different ``group``, whose counts allow a link.
 
+    ``side`` is 0 for rows that meet all others, 1 and 2 for rows that meet the other side only.
     Rows are sorted by size and packed into leaves; a leaf pair is opened only if the minima
     of the upper corners leave room for a link between its smallest sets, their sizes fit, and
-    not all rows are of one group.  Sets too large for their counters are never pruned.
+    not all rows are of one group.
     """
     num, den = least.numerator, least.denominator
     order = np.argsort(n, kind="stable")
-    counts, n, group, left, right = counts[order].astype(np.int64), n[order], group[order], left[order], right[order]
+    counts, n, group, side = counts[order], n[order], group[order], side[order]
     m = len(n)
     edges = np.arange(0, m, LEAF)
     corner = np.maximum.reduceat(counts, edges, axis=0)
@@ -205,34 +210,85 @@ def tree_pairs(counts: np.ndarray, n: np.ndarray, group: np.ndarray, left: np.nd
     found = []
     for a in range(len(edges)):
         b = np.arange(a, len(edges))
-        room = np.minimum(corner[a], corner[b]).sum(1)
-        # shared >= least / (1 + least) * (|x| + |y|), and |x| >= least * |y|
-        fits = (room * (num + den) >= num * (small[a] + small[b])) | (large[a] > 65535)
+        fits = np.minimum(corner[a], corner[b]).sum(1, dtype=np.int64) * (num + den) >= num * (small[a] + small[b])
+        fits |= (corner[a].min() == 255) | (corner[b].min(1) == 255)
         fits &= large[a] * den >= small[b] * num
         fits &= ~((g_low[a] == g_high[a]) & (g_low[b] == g_high[b]) & (g_low[a] == g_low[b]))
         rows_a = np.arange(edges[a], min(edges[a] + LEAF, m))
         for leaf in b[fits]:
             rows_b = np.arange(edges[leaf], min(edges[leaf] + LEAF, m))
             x, y = np.repeat(rows_a, len(rows_b)), np.tile(rows_b, len(rows_a))
-            ok = (x < y) & (group[x] != group[y]) & ((left[x] & right[y]) | (left[y] & right[x])) & (n[x] * den >= n[y] * num)
-            x, y = x[ok], y[ok]
-            ok = (np.minimum(counts[x], counts[y]).sum(1) * (num + den) >= num * (n[x] + n[y])) | (n[y] > 65535)
-            if ok.any():
-                found.append(np.stack([order[x[ok]], order[y[ok]]], 1))
+            apart = x < y
+            x, y = _allowed(counts, n, group, side, x[apart], y[apart], least)
+            found.append(np.stack([order[x], order[y]], 1))
     return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
 
 
+def _allowed(counts, n, group, side, x, y, least: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs (x, y), those of different groups and sides whose sizes and counts allow a link."""
+    num, den = least.numerator, least.denominator
+    small, large = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+    ok = (group[x] != group[y]) & ((side[x] == 0) | (side[x] != side[y])) & (small * den >= large * num)
+    x, y = x[ok], y[ok]
+    # shared >= least / (1 + least) * (|x| + |y|)
+    keep = [np.zeros(0, bool)]
+    for k in range(0, len(x), 1 << 14):
+        i, j = x[k:k + (1 << 14)], y[k:k + (1 << 14)]
+        room = np.minimum(counts[i], counts[j]).sum(1, dtype=np.int64)
+        full = (counts[i, 0] == 255) | (counts[j, 0] == 255)
+        keep.append((room * (num + den) >= num * (n[i] + n[j])) | full)
+    keep = np.concatenate(keep)
+    return x[keep], y[keep]
+
+
 def _tree_join(least: Fraction):
-    """Candidate pairs of one cell: rows node, n, component, side (0 both, 1 left, 2 right), counts."""
+    """Candidate pairs from rows sorted by cell (token, i, j): node, n, component, side, counts.
+
+    The pairs of small cells are formed for many cells at once; a larger cell has a tree.
+    What is kept back for the next rows is one cell, of at most two parts.
+    """
 
-    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        side = table.column("side").to_numpy()
-        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint16).reshape(-1, GROUPS)
-        pairs = tree_pairs(counts, table.column("n").to_numpy(), table.column("component").to_numpy(),
-                           side != 2, side != 1, least)
-        node = table.column("node").to_numpy()
-        x, y = node[pairs[:, 0]], node[pairs[:, 1]]
-        return pa.table({"x": np.minimum(x, y), "y": np.maximum(x, y)})
+    def of_cells(cols: list[np.ndarray], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        token, i, j, node, n, group, side = cols
+        new = np.ones(len(token), bool)
+        new[1:] = (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        first = np.flatnonzero(new)
+        size = np.diff(np.append(first, len(token)))
+        xs, ys = [], []
+        for m in range(2, LEAF + 1):  # all cells of one size together
+            of = first[size == m]
+            p, q = np.triu_indices(m, 1)
+            x, y = (of[:, None] + p).ravel(), (of[:, None] + q).ravel()
+            x, y = _allowed(counts, n, group, side, x, y, least)
+            xs.append(node[x])
+            ys.append(node[y])
+        for f, m in zip(first[size > LEAF], size[size > LEAF]):
+            at = slice(f, f + m)
+            pairs = tree_pairs(counts[at], n[at], group[at], side[at], least) + f
+            xs.append(node[pairs[:, 0]])
+            ys.append(node[pairs[:, 1]])
+        x, y = np.concatenate(xs), np.concatenate(ys)
+        pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0)
+        return pairs[:, 0], pairs[:, 1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, kept_counts = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(7)]
+            counts = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint8).reshape(-1, GROUPS)
+            if kept is not None:
+                cols, counts = [np.concatenate(c) for c in zip(kept, cols)], np.concatenate([kept_counts, counts])
+            same = (cols[0] == cols[0][-1]) & (cols[1] == cols[1][-1]) & (cols[2] == cols[2][-1])
+            cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
+            kept, kept_counts = [c[cut:] for c in cols], counts[cut:]
+            if cut:
+                x, y = of_cells([c[:cut] for c in cols], counts[:cut])
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
+        if kept is not None:
+            x, y = of_cells(kept, kept_counts)
+            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
 
     return run
 
@@ -302,14 +358,15 @@ def jaccard_components(documents: DataFrame, least: Fraction = Fraction(3, 4), i
 
 
 def _frequent(documents: DataFrame) -> np.ndarray:
-    """Shingles that at least ``FREQUENT_DOCS`` of about ``SAMPLE_DOCS`` documents hold, sorted.
+    """Shingles that are frequent among one in ``SAMPLED`` documents, sorted.
 
-    At most a quarter of the sample's shingles, whatever the size of the corpus.
+    There are at most ``FREQUENT`` times as many as a document has on average, whatever the
+    size of the corpus.
     """
-    parts = max(1, documents.count() // SAMPLE_DOCS)
-    sample = documents.where(F.pmod(F.xxhash64("row_id"), F.lit(parts)) == 0).select("text")
+    sample = documents.where(F.pmod(F.xxhash64("row_id"), F.lit(SAMPLED)) == 0).select("text")
+    least = max(2, sample.count() // FREQUENT)
     counts = sample.mapInArrow(_values, "token long").groupBy("token").count()
-    return np.sort(counts.where(F.col("count") >= FREQUENT_DOCS).select("token").toPandas()["token"].to_numpy(np.int64).view(np.uint64))
+    return np.sort(counts.where(F.col("count") >= least).select("token").toPandas()["token"].to_numpy(np.int64).view(np.uint64))
 
 
 def node_links(documents: DataFrame, described: DataFrame, least: Fraction) -> DataFrame:
@@ -345,5 +402,6 @@ def _tree_candidates(shared: DataFrame, described: DataFrame, found: DataFrame,
     cells = rows.withColumn("p", part).withColumn("q", F.explode(every)).select(
         "token", "node", "n", "component", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"),
         F.when(F.col("p") == F.col("q"), 0).when(F.col("p") < F.col("q"), 1).otherwise(2).alias("side"))
-    return cells.join(counts, "node").groupBy("token", "i", "j").applyInArrow(
+    dealt = cells.join(counts, "node").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    return dealt.select("token", "i", "j", "node", "n", "component", "side", "counts").mapInArrow(
         _tree_join(least), "x long, y long").distinct()

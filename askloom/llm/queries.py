@@ -12,6 +12,7 @@ from askloom.llm.jaccard import jaccard_components
 from askloom.llm.mixing import mix_sources
 from askloom.llm.quality import score_quality, train_quality
 from askloom.llm.secrets import names, scan_secrets
+from askloom.llm.suffix_dedup import remove_repeats
 from askloom.llm.toxicity import score_toxicity, train_toxicity
 from askloom.llm.url_reputation import Rule, judge_pages
 
@@ -21,6 +22,10 @@ RULES = (Rule("allow", "com/"), Rule("block", "example.com/en/"), Rule("allow",
 WEIGHTS = (5, 2, 1)
 
 
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(read(spark, folder, "documents"))
+
+
 def op2_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
     """Pages have no outcomes of their own: the quality label of the same number is taken for it."""
     labels = read(spark, folder, "labels").select(
@@ -80,6 +85,6 @@ def op10_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_url_reputation, op3_jaccard_join, op4_source_mix, op6_secret_scan, op7_quality_ranking,
+    op1_suffix_dedup, op2_url_reputation, op3_jaccard_join, op4_source_mix, op6_secret_scan, op7_quality_ranking,
     op8_toxic_sentences, op9_decontamination, op10_embedding_links)}
 ORACLE_SQL: dict[str, str] = {}

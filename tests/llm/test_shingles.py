@@ -126,10 +126,10 @@ def test_component_odd_rows(spark):
 def test_tree_loses_no_pair():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 6, (30, jaccard.GROUPS))
-    counts = np.maximum(np.repeat(base, 6, 0) + rng.integers(-1, 2, (180, jaccard.GROUPS)), 0).astype(np.uint16)
+    counts = np.maximum(np.repeat(base, 6, 0) + rng.integers(-1, 2, (180, jaccard.GROUPS)), 0).astype(np.uint8)
     n, group = counts.sum(1).astype(np.int64), rng.integers(0, 90, 180)
-    every = np.ones(180, bool)
-    got = {tuple(sorted(p)) for p in tree_pairs(counts, n, group, every, every, Fraction(3, 4)).tolist()}
+    side = np.zeros(180, np.int64)
+    got = {tuple(sorted(p)) for p in tree_pairs(counts, n, group, side, Fraction(3, 4)).tolist()}
     want = {(i, j) for i in range(180) for j in range(i + 1, 180) if group[i] != group[j]
             and 7 * int(np.minimum(counts[i], counts[j]).sum()) >= 3 * (n[i] + n[j]) and 4 * min(n[i], n[j]) >= 3 * max(n[i], n[j])}
     assert got == want and want
