@@ -13,6 +13,7 @@ from askloom.llm.mixing import mix_sources
 from askloom.llm.quality import score_quality, train_quality
 from askloom.llm.secrets import names, scan_secrets
 from askloom.llm.suffix_dedup import remove_repeats
+from askloom.llm.suffix_tree_lm import learn, score_texts
 from askloom.llm.toxicity import score_toxicity, train_toxicity
 from askloom.llm.url_reputation import Rule, judge_pages
 
@@ -42,6 +43,13 @@ def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(read(spark, folder, "documents"), WEIGHTS)
 
 
+def op5_suffix_tree_lm(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents")
+    tree, vocabulary = learn(documents.where(~held_out("doc_id", 10, 0)))
+    return score_texts(documents, tree, vocabulary).select(
+        "doc_id", held_out("doc_id", 10, 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """The source is the owner; its documents in one language are a repository."""
     found = scan_secrets(read(spark, folder, "documents").select(
@@ -85,6 +93,7 @@ def op10_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_suffix_dedup, op2_url_reputation, op3_jaccard_join, op4_source_mix, op6_secret_scan, op7_quality_ranking,
+    op1_suffix_dedup, op2_url_reputation, op3_jaccard_join, op4_source_mix, op5_suffix_tree_lm,
+    op6_secret_scan, op7_quality_ranking,
     op8_toxic_sentences, op9_decontamination, op10_embedding_links)}
 ORACLE_SQL: dict[str, str] = {}
