@@ -136,33 +136,54 @@ def _with_later(level: np.ndarray, doc: np.ndarray, shift: int) -> np.ndarray:
     return out
 
 
+def _found(items: Items, need: np.ndarray, texts: pa.Array) -> Iterator[tuple[int, int, int]]:
+    """(row, item, shared shingles) of the texts that contain enough of an item."""
+    for i, j, data, offsets in slices(texts):
+        value, doc, _ = shingles(words(data, offsets))
+        first = np.searchsorted(doc, np.arange(j - i + 1))
+        last, own = -1, None
+        for d, k in candidates(value, first, items):
+            if d != last:
+                last, own = d, np.unique(value[first[d]:first[d + 1]])
+            want = items.sets[k]
+            at = np.minimum(np.searchsorted(own, want), len(own) - 1)
+            shared = int((own[at] == want).sum())
+            if shared >= need[k]:
+                yield i + int(d), int(k), shared
+
+
+def _needed(items: Items, least: float) -> np.ndarray:
+    return np.array([-(-round(len(s) * least * 1e9) // 10**9) for s in items.sets], np.int64)
+
+
 def _search(items: Items, least: float):
-    need = np.array([-(-round(len(s) * least * 1e9) // 10**9) for s in items.sets], np.int64)
+    need = _needed(items, least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_shared", pa.int64()),
                             ("n_item", pa.int64()), ("containment", pa.float64())])
         for batch in batches:
             ids = batch.column(0)
-            for i, j, data, offsets in slices(batch.column(1)):
-                value, doc, _ = shingles(words(data, offsets))
-                first = np.searchsorted(doc, np.arange(j - i + 1))
-                rows = []
-                last, own = -1, None
-                for d, k in candidates(value, first, items):
-                    if d != last:
-                        last, own = d, np.unique(value[first[d]:first[d + 1]])
-                    want = items.sets[k]
-                    at = np.minimum(np.searchsorted(own, want), len(own) - 1)
-                    shared = int((own[at] == want).sum())
-                    if shared >= need[k]:
-                        rows.append((ids[i + int(d)].as_py(), items.ids[k], shared, len(want), shared / len(want)))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+            rows = [(ids[i].as_py(), items.ids[k], shared, len(items.sets[k]), shared / len(items.sets[k]))
+                    for i, k, shared in _found(items, need, batch.column(1))]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     return run
 
 
+def _blocks(benchmark: DataFrame) -> Iterator[Items]:
+    """Indexes of the distinct items, each of at most about ``BLOCK_BYTES`` of text."""
+    queries = benchmark.select("item_id", "text").where("text IS NOT NULL").distinct()
+    size = queries.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    blocks = int(-(-size // BLOCK_BYTES))
+    for b in range(blocks):
+        part = queries.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else queries
+        items = index_items([(r["item_id"], r["text"]) for r in part.collect()])
+        if items.ids:
+            yield items
+
+
 def contaminated(documents: DataFrame, benchmark: DataFrame, least: float = 0.75) -> DataFrame:
     """Pairs of ``documents`` (doc_id, text) and ``benchmark`` (item_id, text) rows, by whole texts.
 
@@ -175,16 +196,34 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, least: float = 0.75
     The items are the stated queries.  They are read in blocks of at most ``BLOCK_BYTES`` of
     text, each sent to all tasks; the documents are scanned once per block and never shuffled.
     """
-    queries = benchmark.select("item_id", "text").where("text IS NOT NULL").distinct()
-    size = queries.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    blocks = int(-(-size // BLOCK_BYTES))
     scan = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = None
-    for b in range(blocks):
-        part = queries.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else queries
-        items = index_items([(r["item_id"], r["text"]) for r in part.collect()])
-        if items.ids:
-            pairs = scan.mapInArrow(_search(items, least), OUT)
-            found = pairs if found is None else found.unionByName(pairs)
+    for items in _blocks(benchmark):
+        pairs = scan.mapInArrow(_search(items, least), OUT)
+        found = pairs if found is None else found.unionByName(pairs)
     empty = scan.limit(0).select("doc_id", *(F.lit(None).cast(t).alias(n) for n, t in (f.split() for f in OUT.split(", ")[1:])))
     return empty if found is None else found
+
+
+def drop_contaminated(documents: DataFrame, benchmark: DataFrame, least: float = 0.75) -> DataFrame:
+    """The rows of ``documents`` (any columns, with text) that contain no item, unchanged and in place.
+
+    What contains an item is told as by ``contaminated``; repeated rows and null ids are judged each.
+    """
+    text = documents.columns.index("text")
+
+    def without(items: Items):
+        need = _needed(items, least)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                keep[[i for i, _, _ in _found(items, need, batch.column(text))]] = False
+                yield batch.filter(pa.array(keep))
+
+        return run
+
+    kept = documents
+    for items in _blocks(benchmark):
+        kept = kept.mapInArrow(without(items), documents.schema)
+    return kept

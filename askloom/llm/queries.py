@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from askloom.llm import oracles
 from askloom.llm.decontamination import contaminated
 from askloom.llm.frames import held_out, read
 from askloom.llm.grid_order import link_vectors
@@ -36,7 +37,7 @@ def op2_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard_components(read(spark, folder, "documents"))
+    return jaccard_components(read(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
@@ -96,4 +97,10 @@ QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_url_reputation, op3_jaccard_join, op4_source_mix, op5_suffix_tree_lm,
     op6_secret_scan, op7_quality_ranking,
     op8_toxic_sentences, op9_decontamination, op10_embedding_links)}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_url_reputation": oracles.url_rules(RULES),
+    "op3_jaccard_join": oracles.JACCARD,
+    "op6_secret_scan": oracles.secret_spans(),
+    "op9_decontamination": oracles.CONTAINMENT,
+    "op10_embedding_links": oracles.EMBEDDINGS,
+}

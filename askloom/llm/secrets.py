@@ -149,3 +149,30 @@ def scan_secrets(documents: DataFrame, max_owners: int = 2) -> DataFrame:
     return found.join(per_row, "row_id", "left").select(
         "doc_id", F.sort_array("base").alias("base"), F.coalesce("added", none).alias("added"),
         F.coalesce("n_shared", F.lit(0)).alias("n_shared"), "row_id")
+
+
+#: Documents with spans that may be sent to all tasks (a few hundred bytes each); more are joined.
+BROADCAST_ROWS = 1 << 17
+
+
+def redact_secrets(documents: DataFrame, owner: Column, repo: Column, max_owners: int = 2, mark: str = "[secret]") -> DataFrame:
+    """``documents`` (any columns, with doc_id and text) with every secret replaced by ``mark``.
+
+    Spans are those of ``scan_secrets``.  Rows without one are unchanged, a null text stays
+    null, and n_chars, if there, becomes the length of a changed text.  Equal rows have equal
+    spans, so id and a hash of the text bring the spans back to their rows.
+    """
+    key = F.xxhash64("text")
+    rows = documents.select(F.struct("doc_id", key.alias("hash")).alias("doc_id"), owner.alias("owner"), repo.alias("repo"), "text")
+    found = scan_secrets(rows, max_owners).withColumn("spans", F.sort_array(F.concat("base", "added"))).where("size(spans) > 0")
+    found = written(found.groupBy("doc_id").agg(F.first("spans").alias("spans")).select(
+        F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.hash").alias("_hash"), F.col("spans").alias("_spans")), "secrets")
+    few = found.count() <= BROADCAST_ROWS
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_hash"))
+    joined = documents.join(F.broadcast(found) if few else found, same, "left")
+    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col("_spans"), mark))
+    out = joined.withColumn("_text", text)
+    columns = {"text": F.col("_text")}
+    if "n_chars" in documents.columns:
+        columns["n_chars"] = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("_text")).cast(documents.schema["n_chars"].dataType)
+    return out.select(*(columns.get(c, F.col(c)).alias(c) for c in documents.columns))

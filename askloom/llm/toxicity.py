@@ -211,6 +211,30 @@ def _document_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
                 [pa.array(label[i:j][owner[new]]), pa.array(hashes[new].view(np.int64))], ["label", "feature"])
 
 
+def _clean(model: Model, data: np.ndarray, offsets: np.ndarray, docs: int):
+    """Log probability that all sentences of each document are clean, with the scores and places of sentences."""
+    pairs, doc, start, end = _held(model, data, offsets)
+    z = np.bincount(pairs[:, 0], weights=model.weights[pairs[:, 1]], minlength=len(doc)) + model.base
+    return np.bincount(doc, weights=-_softplus(z), minlength=docs), z, doc, start, end
+
+
+def drop_toxic(documents: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``documents`` (any columns, with text) that ``model`` does not reject, unchanged and in place.
+
+    Null and empty texts stay; repeated rows and null ids are judged each.
+    """
+    text = documents.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [model.calibrated(_clean(model, data, offsets, j - i)[0]) < CUT
+                    for i, j, data, offsets in slices(batch.column(text))]
+            if keep:
+                yield batch.filter(pa.array(np.concatenate(keep)))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def score_toxicity(documents: DataFrame, model: Model) -> DataFrame:
     """doc_id, score, predicted, n_sentences and the worst sentence of every row of ``documents`` (doc_id, text).
 
@@ -225,10 +249,8 @@ def score_toxicity(documents: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             out = []
             for i, j, data, offsets in slices(batch.column(1)):
-                pairs, doc, start, end = _held(model, data, offsets)
-                z = np.bincount(pairs[:, 0], weights=model.weights[pairs[:, 1]], minlength=len(doc)) + model.base
-                number = np.bincount(doc, minlength=j - i)
-                score = model.calibrated(np.bincount(doc, weights=-_softplus(z), minlength=j - i))
+                clean, z, doc, start, end = _clean(model, data, offsets, j - i)
+                number, score = np.bincount(doc, minlength=j - i), model.calibrated(clean)
                 first = np.zeros(j - i + 1, np.int64)
                 np.cumsum(number, out=first[1:])
                 for d in range(j - i):
