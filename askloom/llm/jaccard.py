@@ -12,8 +12,8 @@ come first.  Shingles have one global order, those that a sample finds frequent
 linked pair shares one of the first ``n - ceil(0.75 n) + 1`` shingles of both (the first part
 below).  A block is the sets with one such shingle; this loses no link.
 
-Equal sets are one node.  Most nodes of a block are near copies, so first every node is
-compared with its block's leader only, and components are taken.  Trees then look for links
+Equal sets are one node.  Blocks of near copies are large, so first every node is compared
+with its block's leader only, and components are taken.  Trees then look for links
 between different components of a block.  A large block is split into cells for every pair
 of its parts.
 """
@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from askloom.llm.components import components
 from askloom.llm.frames import written
 from askloom.llm.tokens import distinct, mixed, shingles, slices, words
+from askloom.operators.windows import running_number
 
 GROUPS = 256
 LEAF = 16
@@ -118,77 +119,31 @@ def _first_parts(frequent: np.ndarray, least: Fraction):
     return run
 
 
-def _leaders(least: Fraction):
-    """From rows sorted by token, step of size and node: the rows of blocks of more than one, each with its leader."""
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by token: those of blocks of more than one.  The last row waits for the next ones."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = None  # the last row, whose block may go on, and (token, step, leader, size) so far
-        lead = None
-        fresh = True
-        for batch in batches:
-            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
-            if kept is not None:
-                cols = [np.concatenate([[a], b]) for a, b in zip(kept, cols)]
-            if not len(cols[0]):
-                continue
-            yield from _block_rows(cols, lead, fresh, False, least)
-            lead, fresh = _carry(cols, lead, fresh)
-            kept = [c[-1] for c in cols]
-        if kept is not None:
-            yield from _block_rows([np.array([c]) for c in kept], lead, fresh, True, least)
-
-    return run
+    def kept(cols: list[np.ndarray], before, ends: bool) -> pa.RecordBatch:
+        token = cols[0]
+        same = np.zeros(len(token) + 1, bool)
+        same[1:-1] = token[1:] == token[:-1]
+        same[0] = before is not None and before == token[0]
+        keep = same[:-1] | same[1:]
+        if not ends:
+            keep[-1] = False
+        return pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols], ["token", "node", "n"])
 
-
-def _starts(cols: list[np.ndarray], lead: tuple | None) -> tuple[np.ndarray, np.ndarray]:
-    token, step = cols[0], cols[1]
-    opens, block = np.ones(len(token), bool), np.ones(len(token), bool)
-    opens[1:] = (token[1:] != token[:-1]) | (step[1:] != step[:-1])
-    block[1:] = token[1:] != token[:-1]
-    if lead is not None and lead[0] == token[0]:
-        block[0] = False
-        opens[0] = lead[1] != step[0]
-    return opens, block
-
-
-def _carry(cols, lead, fresh):
-    """Leader and whether the last row is the first of its block, for the rows to come (the last row comes again)."""
-    n = len(cols[0])
-    if n == 1:
-        return lead, fresh
-    opens, block = _starts(cols, lead if not fresh else None)
-    last = n - 1
-    if block[last]:
-        return None, True
-    # The row before the last one is of the same block: its leader leads on.
-    at = np.flatnonzero(opens[:last])
-    k = at[-1] if len(at) else -1
-    leader = (cols[0][last - 1], cols[1][last - 1], cols[2][k] if k >= 0 else lead[2], cols[3][k] if k >= 0 else lead[3])
-    return leader, False
-
-
-def _block_rows(cols, lead, fresh, ends, least):
-    token, step, node, n = cols
-    opens, block = _starts(cols, lead if not fresh else None)
-    index = np.arange(len(token))
-    at = np.maximum.accumulate(np.where(opens, index, -1))
-    leader = np.where(at >= 0, node[at], lead[2] if lead is not None and not fresh else 0)
-    # The first row of a step is tied to the row before it in the block, if their sizes allow a link.
-    before = np.flatnonzero(opens & ~block & (index > 0))
-    near = n[before] * least.numerator <= n[before - 1] * least.denominator
-    leader[before[near]] = node[before[near] - 1]
-    if len(token) and opens[0] and not block[0] and not fresh and n[0] * least.numerator <= lead[3] * least.denominator:
-        leader[0] = lead[2]
-    alone = block.copy()
-    alone[:-1] &= block[1:]
-    if not ends:
-        alone[-1] = True  # it comes again with the next rows
-    keep = ~alone
-    if not ends:
-        keep[-1] = False
-    if keep.any():
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c[keep]) for c in (token, node, n, leader)], ["token", "node", "n", "leader"])
+    held, before = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [batch.column(k).to_numpy() for k in range(3)]
+        if held is not None:
+            cols = [np.concatenate(c) for c in zip(held, cols)]
+        yield kept(cols, before, False)
+        before = cols[0][-2] if len(cols[0]) > 1 else before
+        held = [c[-1:] for c in cols]
+    if held is not None:
+        yield kept(held, before, True)
 
 
 def tree_pairs(counts: np.ndarray, n: np.ndarray, group: np.ndarray, side: np.ndarray, least: Fraction) -> np.ndarray:
@@ -315,8 +270,10 @@ def _verify(least: Fraction):
     return run
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, least: Fraction) -> DataFrame:
-    """The (x, y) of ``pairs`` that link; ``texts`` has node and text of every node of them."""
+def _linked(pairs: DataFrame, documents: DataFrame, described: DataFrame, least: Fraction) -> DataFrame:
+    """The (x, y) of ``pairs`` that link, by the whole sets of both."""
+    pairs = written(pairs, "possible")
+    texts = _texts(documents, pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct(), described)
     first = pairs.join(texts.select(F.col("node").alias("x"), F.col("text").alias("text_x")), "x")
     both = first.join(texts.select(F.col("node").alias("y"), F.col("text").alias("text_y")), "y")
     return both.select("x", "y", "text_x", "text_y").mapInArrow(_verify(least), "x long, y long")
@@ -357,6 +314,23 @@ def jaccard_components(documents: DataFrame, least: Fraction = Fraction(3, 4), i
     return linked.unionByName(rest)
 
 
+def keep_one_of_each(documents: DataFrame, least: Fraction = Fraction(3, 4)) -> DataFrame:
+    """The rows of ``documents`` (any columns, with doc_id and text) without those whose component has a smaller id.
+
+    Rows without words and rows with a null id stay.  Of rows that repeat an id and are linked
+    one stays; if ids repeat, rows are numbered first, by id and text.
+    """
+    odd = documents.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count()
+    rows = running_number(documents, F.col("doc_id").asc_nulls_last(), "text", out="_row") if odd else documents
+    key = "_row" if odd else "doc_id"
+    given = rows.where("doc_id IS NOT NULL") if odd else rows
+    gone = written(jaccard_components(given.select(key, "text"), least, key).where("doc_id <> component_id").select(
+        F.col("doc_id").alias("_gone")), "gone")
+    few = gone.count() <= BROADCAST_IDS
+    kept = rows.join(F.broadcast(gone) if few else gone, F.col(key) == F.col("_gone"), "left_anti")
+    return kept.select(*documents.columns)
+
+
 def _frequent(documents: DataFrame) -> np.ndarray:
     """Shingles that are frequent among one in ``SAMPLED`` documents, sorted.
 
@@ -371,23 +345,66 @@ def _frequent(documents: DataFrame) -> np.ndarray:
 
 def node_links(documents: DataFrame, described: DataFrame, least: Fraction) -> DataFrame:
     """Links (x, y) that connect every component of nodes; not all links inside a component."""
+    counts = written(described.dropDuplicates(["node"]).select("node", "n", "counts"), "counts")
     tokens = documents.select("text").mapInArrow(_first_parts(_frequent(documents), least), "token long, node long, n long")
-    step = F.floor(F.log("n") / float(np.log(1 / float(least)))).cast("int")
-    # Splitting a large block here only gives it more leaders.
-    dealt = tokens.withColumn("step", step).hint("rebalance", "token").select("token", "step", "node", "n")
-    shared = written(dealt.sortWithinPartitions("token", "step", "node").mapInArrow(
-        _leaders(least), "token long, node long, n long, leader long"), "shared")
-    pairs = written(shared.where("node <> leader").select(
-        F.least("node", "leader").alias("x"), F.greatest("node", "leader").alias("y")).distinct(), "pairs")
-    nodes = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
-    first = written(_linked(pairs, _texts(documents, nodes, described), least), "links")
-    near = written(_tree_candidates(shared, described, components(first), least).join(pairs, ["x", "y"], "left_anti"), "near")
-    nodes = near.select(F.col("x").alias("node")).union(near.select("y")).distinct()
-    second = written(_linked(near, _texts(documents, nodes, described), least), "links")
+    shared = written(tokens.repartition("token").sortWithinPartitions("token").mapInArrow(
+        _shared, "token long, node long, n long"), "shared")
+    part = F.col("n") - F.ceil(F.col("n") * least.numerator / least.denominator) + 1
+    score = shared.groupBy("node").agg((F.count(F.lit(1)) / F.first(part)).alias("score"))
+    shared = written(_unlike_blocks(shared), "blocks")
+    pairs = written(_leader_pairs(shared, score, least), "pairs")
+    first = written(_linked(_possible(pairs, counts, least), documents, described, least), "links")
+    near = written(_tree_candidates(shared, counts, components(first), least).join(pairs, ["x", "y"], "left_anti"), "near")
+    second = written(_linked(near, documents, described, least), "links")
     return first.unionByName(second)
 
 
-def _tree_candidates(shared: DataFrame, described: DataFrame, found: DataFrame, least: Fraction) -> DataFrame:
+def _unlike_blocks(shared: DataFrame) -> DataFrame:
+    """The rows of one of all blocks that hold the same nodes: a passage makes many such blocks."""
+    blocks = shared.groupBy("token").agg(
+        F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("one"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("two"))
+    tokens = written(blocks.groupBy("size", "one", "two").agg(F.min("token").alias("token")).select("token"), "tokens")
+    few = tokens.count() <= BROADCAST_IDS
+    return shared.join(F.broadcast(tokens) if few else tokens, "token", "left_semi")
+
+
+def _leader_pairs(shared: DataFrame, score: DataFrame, least: Fraction) -> DataFrame:
+    """Every node with the leader of each of its blocks.
+
+    A block's leader is the node with the highest ``score``, the share of its own first part that
+    others hold too: what copies were made from shares all of it, a copy's changes are its own.
+    """
+    score = written(score, "score")
+    few = score.count() <= BROADCAST_IDS
+    rows = shared.join(F.broadcast(score) if few else score, "node")
+    leaders = rows.groupBy("token").agg(F.max_by(F.struct(F.col("node").alias("leader"), F.col("n").alias("size")),
+                                                 F.struct("score", "node")).alias("l"))
+    num, den = least.numerator, least.denominator
+    fits = (F.least("n", "l.size") * den >= F.greatest("n", "l.size") * num) & (F.col("node") != F.col("l.leader"))
+    return shared.join(leaders, "token").where(fits).select(
+        F.least("node", "l.leader").alias("x"), F.greatest("node", "l.leader").alias("y")).distinct()
+
+
+def _possible(pairs: DataFrame, counts: DataFrame, least: Fraction) -> DataFrame:
+    """The (x, y) of ``pairs`` whose counts allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            m = batch.num_rows
+            if not m:
+                continue
+            both = np.frombuffer(b"".join(batch.column(4).to_pylist() + batch.column(5).to_pylist()), np.uint8).reshape(-1, GROUPS)
+            n = np.concatenate([batch.column(2).to_numpy(), batch.column(3).to_numpy()])
+            at, _ = _allowed(both, n, np.arange(2 * m), np.zeros(2 * m, np.int64), np.arange(m), np.arange(m, 2 * m), least)
+            yield batch.select([0, 1]).take(pa.array(at))
+
+    side = [counts.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("counts").alias(f"counts_{k}")) for k in "xy"]
+    return pairs.join(side[0], "x").join(side[1], "y").select("x", "y", "n_x", "n_y", "counts_x", "counts_y").mapInArrow(
+        run, "x long, y long")
+
+
+def _tree_candidates(shared: DataFrame, counts: DataFrame, found: DataFrame, least: Fraction) -> DataFrame:
     """Pairs of different components that share a block and whose counts allow a link."""
     rows = shared.select("token", "node", "n").join(found, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
@@ -395,13 +412,12 @@ def _tree_candidates(shared: DataFrame, described: DataFrame, found: DataFrame,
         F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")
     ).where("low <> high").select("token", F.ceil(F.col("size") / PART).cast("int").alias("parts"))
     rows = written(rows.join(mixed_blocks, "token"), "mixed")
-    counts = described.dropDuplicates(["node"]).select("node", "counts")
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     every = F.sequence(F.lit(0), F.col("parts") - 1)
     # A row of part p meets part q in the cell (p, q) or (q, p), the smaller first.
     cells = rows.withColumn("p", part).withColumn("q", F.explode(every)).select(
         "token", "node", "n", "component", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"),
         F.when(F.col("p") == F.col("q"), 0).when(F.col("p") < F.col("q"), 1).otherwise(2).alias("side"))
-    dealt = cells.join(counts, "node").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    dealt = cells.join(counts.select("node", "counts"), "node").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
     return dealt.select("token", "i", "j", "node", "n", "component", "side", "counts").mapInArrow(
         _tree_join(least), "x long, y long").distinct()
