@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from askloom.config import Settings
 from askloom.operators.chunking import recursive_chunks
 from askloom.operators.embedding import EmbedderFactory, embed
-from askloom.sources.files import Parser, load_documents
+from askloom.sources.files import Parser, folder_files, load_documents
 from askloom.sources.index import SHARED, append_index, write_index
 
 
@@ -29,10 +29,13 @@ def ingest_folder(
     session: str = SHARED,
     append: bool = False,
 ) -> bool:
-    """Index the documents of ``settings.docs_folder``; False when there are none."""
-    documents = load_documents(spark, settings.docs_folder, parsers)
-    if documents.isEmpty():
+    """Index the documents of ``settings.docs_folder``; False when there is nothing to index.
+
+    Whether there are files is told from their names, so every file is parsed once.  If there
+    are none, an index that is there stays.
+    """
+    if folder_files(spark, settings.docs_folder, supported_only=True).select("path").isEmpty():
         return False
     write = append_index if append else write_index
-    write(index_rows(documents, settings, embedder), settings.index_path, session)
-    return True
+    documents = load_documents(spark, settings.docs_folder, parsers)
+    return write(index_rows(documents, settings, embedder), settings.index_path, session).n_rows > 0

@@ -54,6 +54,7 @@ def _word_text(xml: bytes) -> str:
 PARSERS: Mapping[str, Parser] = {".pdf": parse_pdf, ".docx": parse_docx}
 
 
+TOO_LARGE = "larger than the limit for binary files"
 # The supported extensions in any letter case, as a file name pattern.
 SUPPORTED_NAMES = "*{%s}" % ",".join(
     "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in ext) for ext in EXTENSIONS)
@@ -62,26 +63,39 @@ SUPPORTED_NAMES = "*{%s}" % ",".join(
 def folder_files(spark: SparkSession, folder: str, supported_only: bool = False) -> DataFrame:
     """``(path, content)`` of the direct files of a folder; no rows when it is absent.
 
-    With ``supported_only`` other files are dropped while listing, before their content is
-    read.  Names that start with ``_`` or ``.`` are invisible to Spark's file sources.
+    Files of sub-folders, and with ``supported_only`` other kinds of files, are dropped while
+    listing, before their content is read.  A file above Spark's limit for binary files has
+    no content.  Names that start with ``_`` or ``.`` are invisible to Spark's file sources.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if supported_only:
         reader = reader.option("pathGlobFilter", SUPPORTED_NAMES)
     try:
-        found = reader.load(folder).select("path", "content")
+        found = reader.load(folder)
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], "path string, content binary")
         raise
-    return found.where(F.regexp_replace("path", "/[^/]*$", "") == F.lit(_uri(spark, folder)))
+    direct = found.where(_one_root(F.regexp_replace("_metadata.file_path", "/[^/]*$", "")) == _one_root(F.lit(_uri(spark, folder))))
+    readable = direct.where(F.col("length") <= size_limit(spark)).select("path", "content")
+    too_large = direct.where(F.col("length") > size_limit(spark)).select("path", F.lit(None).cast("binary").alias("content"))
+    return readable.unionByName(too_large)
+
+
+def size_limit(spark: SparkSession) -> int:
+    """Bytes of a binary file above which Spark does not read it."""
+    return int(spark.conf.get("spark.sql.sources.binaryFile.maxLength"))
 
 
 def _uri(spark: SparkSession, folder: str) -> str:
-    """The folder as Spark writes it into file paths."""
+    """The folder as Spark writes it into ``_metadata``, but for the slashes after the scheme."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    return system.makeQualified(path).toString().rstrip("/")
+    return system.makeQualified(path).toUri().toString().rstrip("/")
+
+
+def _one_root(uri: Column) -> Column:
+    return F.regexp_replace(uri, "^([A-Za-z0-9+.-]+):/+", "$1:/")
 
 
 def is_supported(path: Column | str) -> Column:
@@ -104,10 +118,10 @@ def parse_files(files: DataFrame, parsers: Mapping[str, Parser] | None = None) -
     extension = F.lower(file_extension("path"))
     files = files.where(is_supported("path")).withColumn("_parsed", extension.isin(*parsers))
     text = decode_text("content")
-    problem = F.when(text.isNull(), "not valid UTF-8")
+    problem = F.when(F.col("content").isNull(), TOO_LARGE).when(text.isNull(), "not valid UTF-8")
     plain = F.array(F.struct(
         F.lit(None).cast("int").alias("page"), text.alias("text"), problem.alias("error")))
-    parsed = _parse(parsers)(F.when(F.col("_parsed"), F.col("content")), extension)
+    parsed = _parse(parsers)(F.when(F.col("_parsed"), F.col("content")), F.when(F.col("_parsed"), extension))
     sections = files.select(
         F.col("path").alias("source"),
         F.explode_outer(F.when(F.col("_parsed"), parsed).otherwise(plain)).alias("_s"))
@@ -118,9 +132,9 @@ def parse_files(files: DataFrame, parsers: Mapping[str, Parser] | None = None) -
 def _parse(parsers: Mapping[str, Parser]) -> Callable[[Column, Column], Column]:
     section = pa.struct([("page", pa.int32()), ("text", pa.string()), ("error", pa.string())])
 
-    def sections(content: bytes | None, extension: str) -> list[dict] | None:
+    def sections(content: bytes | None, extension: str) -> list[dict]:
         if content is None:
-            return None
+            return [{"error": TOO_LARGE}]
         try:
             return [{"page": page, "text": text} for page, text in parsers[extension](content)]
         except ImportError as problem:
@@ -131,7 +145,7 @@ def _parse(parsers: Mapping[str, Parser]) -> Callable[[Column, Column], Column]:
     @F.arrow_udf("array<struct<page:int,text:string,error:string>>")
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for contents, extensions in batches:
-            rows = [sections(c.as_py(), e.as_py()) for c, e in zip(contents, extensions)]
+            rows = [sections(c.as_py(), e.as_py()) if e.is_valid else None for c, e in zip(contents, extensions)]
             yield pa.array(rows, pa.list_(section))
 
     return run

@@ -8,9 +8,11 @@ replaces itself, so a retried load does not double its rows.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,32 +25,57 @@ PARTS = ("session_id", "load_id")
 STORED_KEY = ("source", "page", "chunk_no", "load_id", "row_id")
 
 
-def write_index(chunks: DataFrame, path: str, session: str = SHARED) -> None:
+class Load(NamedTuple):
+    load_id: str
+    n_rows: int
+
+
+def write_index(chunks: DataFrame, path: str, session: str = SHARED) -> Load:
     """Build a session's index anew; what it held before is replaced."""
-    _write(chunks, path, session, BASE_LOAD, keep_other_loads=False)
+    return _write(chunks, path, session, BASE_LOAD, keep_other_loads=False)
 
 
 def append_index(
     chunks: DataFrame, path: str, session: str = SHARED, load_id: str | None = None
-) -> str:
-    """Add chunks, repeats included; returns the id of the load.
+) -> Load:
+    """Add chunks, repeats included; returns the id of the load and its number of rows.
 
     Calling again with that id replaces the load instead of adding to it.
     """
-    load_id = load_id or uuid.uuid4().hex
-    _write(chunks, path, session, load_id, keep_other_loads=True)
-    return load_id
+    return _write(chunks, path, session, load_id or uuid.uuid4().hex, keep_other_loads=True)
 
 
-def _write(chunks: DataFrame, path: str, session: str, load_id: str, keep_other_loads: bool) -> None:
-    rows = chunks.withColumn("row_id", F.monotonically_increasing_id())
+def _write(chunks: DataFrame, path: str, session: str, load_id: str, keep_other_loads: bool) -> Load:
+    counted = Observation()
+    rows = chunks.withColumn("row_id", F.monotonically_increasing_id()).observe(counted, F.count(F.lit(1)).alias("n"))
     # Each call writes one directory, so no task opens more than one file at a time and
     # no shuffle is needed to group the partitions.
-    target = f"{path.rstrip('/')}/session_id={session}"
+    target = _session_path(chunks.sparkSession, path, session)
     if keep_other_loads:
         rows.write.mode("overwrite").parquet(f"{target}/load_id={load_id}")
     else:
         rows.withColumn("load_id", F.lit(load_id)).write.mode("overwrite").partitionBy("load_id").parquet(target)
+    return Load(load_id, counted.get["n"])
+
+
+def _session_path(spark: SparkSession, path: str, session: str) -> str:
+    """A session's directory, named as Spark names partitions."""
+    name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(session)
+    return f"{path.rstrip('/')}/session_id={name}"
+
+
+def _path(spark: SparkSession, name: str):
+    """A Hadoop path and its file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def _drop_other_loads(spark: SparkSession, path: str, sessions: Iterable[str]) -> None:
+    for session in sessions:
+        folder, system = _path(spark, _session_path(spark, path, session))
+        for load in system.listStatus(folder):
+            if load.getPath().getName() != f"load_id={BASE_LOAD}":
+                system.delete(load.getPath(), True)
 
 
 def write_sessions(chunks: DataFrame, path: str) -> None:
@@ -56,29 +83,39 @@ def write_sessions(chunks: DataFrame, path: str) -> None:
 
     The rows are rebalanced by session, so that small sessions do not become many small
     files and a very large one is still written by many tasks.  Sessions that are not in
-    ``chunks`` keep what they have.
+    ``chunks`` keep what they have; those in it lose their earlier loads, which go after the
+    new rows are in place.
     """
     rows = chunks.hint("rebalance", F.col("session_id")).withColumns(
         {"row_id": F.monotonically_increasing_id(), "load_id": F.lit(BASE_LOAD)})
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS).parquet(path)
+    sessions = chunks.where("session_id IS NOT NULL").select("session_id").distinct().toLocalIterator()
+    _drop_other_loads(chunks.sparkSession, path, (row["session_id"] for row in sessions))
 
 
 def read_index(
     spark: SparkSession, path: str, session: str | None = SHARED, schema: T.StructType = schemas.INDEX
 ) -> DataFrame:
-    """The index of one session, or of all with ``session=None``."""
+    """The index of one session, or of all with ``session=None``.
+
+    One session's directory is read without listing the others.  A session that the index
+    does not have has no rows; a path without any index raises ``FileNotFoundError``.
+    """
     stored = T.StructType(
         [f for f in schema.fields if f.name not in (*PARTS, "row_id")]
         + [T.StructField("row_id", T.LongType())]
         + [T.StructField(p, T.StringType()) for p in PARTS]
     )
+    reader = spark.read.schema(stored).option("basePath", path)
     try:
-        rows = spark.read.schema(stored).parquet(path)
+        return reader.parquet(path if session is None else _session_path(spark, path, session))
     except AnalysisException as problem:
-        if problem.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"no index at '{path}': run the ingest flow first") from None
-        raise
-    return rows if session is None else rows.where(F.col("session_id") == session)
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        root, system = _path(spark, path)
+        if session is not None and system.exists(root):
+            return spark.createDataFrame([], stored)
+        raise FileNotFoundError(f"no index at '{path}': run the ingest flow first") from None
 
 
 def load_or_create(

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import re
+import threading
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from askloom.config import Settings
 from askloom.operators.embedding import EmbedderFactory
 from askloom.plans.ingest import index_rows
-from askloom.sources.files import SUPPORTED_NAMES, Parser, good_documents, parse_files
+from askloom.sources.files import SUPPORTED_NAMES, Parser, good_documents, parse_files, size_limit
 from askloom.sources.index import SHARED, append_index
 
 # A large backlog is worked off in batches of this many files, each with its own commit.
@@ -33,12 +36,15 @@ def stream_into_index(
 ) -> None:
     """Process everything that has arrived since the last run, then stop.
 
-    The checkpoint remembers the files; each micro-batch is a load named after its
-    number, so a batch that is repeated after a failure replaces its own rows.
+    The checkpoint remembers the files and the id of the query.  Each micro-batch is a load
+    named after both, so a batch that is repeated after a failure replaces its own rows, and
+    streams with checkpoints of their own never replace each other's.
     """
+    known, stream = threading.Event(), []
 
     def append(batch: DataFrame, number: int) -> None:
-        append_index(to_rows(batch), index_path, session, load_id=f"stream-{number}")
+        known.wait()
+        append_index(to_rows(batch), index_path, session, load_id=load_name(stream[0], number))
 
     query = (
         arriving.writeStream.foreachBatch(append)
@@ -46,9 +52,21 @@ def stream_into_index(
         .trigger(availableNow=True)
         .start()
     )
+    stream.append(query.id)
+    known.set()
     query.awaitTermination()
 
 
+def load_name(query_id: str, batch: int) -> str:
+    return f"stream-{query_id}-{batch}"
+
+
+def literal_path(path: str) -> str:
+    """``path`` as a file pattern that matches only itself; a trailing slash is dropped."""
+    kept = path.rstrip("/") or path
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", kept)
+
+
 def ingest_new_files(
     spark: SparkSession,
     checkpoint: str,
@@ -58,10 +76,15 @@ def ingest_new_files(
     session: str = SHARED,
     files_per_batch: int = FILES_PER_BATCH,
 ) -> None:
-    """Incremental form of the ingest flow over ``settings.docs_folder``."""
+    """Incremental form of the ingest flow over ``settings.docs_folder``.
+
+    Files that cannot be read, too large ones among them, are left out; the batch form
+    (``parse_files``) says which they are.
+    """
     files = (
         spark.readStream.format("binaryFile").schema(BINARY_FILES).option("pathGlobFilter", SUPPORTED_NAMES)
-        .option("maxFilesPerTrigger", files_per_batch).load(settings.docs_folder)
+        .option("maxFilesPerTrigger", files_per_batch).load(literal_path(settings.docs_folder))
+        .where(F.col("length") <= size_limit(spark))
     )
 
     def to_rows(batch: DataFrame) -> DataFrame:
@@ -85,7 +108,9 @@ def ingest_new_documents(
     A stream takes a plain path for a folder; written as a pattern that only matches
     itself, the path may also be a single file.
     """
-    table = f"{table[:-1]}[{table[-1]}]"
+    table = literal_path(table)
+    if table[-1].isalnum():
+        table = f"{table[:-1]}[{table[-1]}]"
     arriving = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_batch).parquet(table)

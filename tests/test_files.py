@@ -107,3 +107,19 @@ def test_concat_keeps_repeats(spark):
     df = spark.createDataFrame([("a", 1, "x")], schemas.DOCUMENTS)
     assert concat_documents(df, df, df).count() == 3
     assert concat_documents(df).agg(F.count("*")).head()[0] == 1
+
+
+def test_too_large_and_nested_files(spark, folder, monkeypatch):
+    import os
+
+    nested = os.path.join(folder, "sub", "big.txt")
+    open(nested, "w").write("x" * 5000)
+    open(os.path.join(folder, "large.txt"), "w").write("x" * 3000)
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "2000")
+    try:
+        parsed = parse_files(folder_files(spark, folder, supported_only=True), {".pdf": pages}).collect()
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    names = {r.source.rsplit("/", 1)[1]: r.error for r in parsed}
+    assert names["large.txt"] == "larger than the limit for binary files"
+    assert "big.txt" not in names and names["b.txt"] is None

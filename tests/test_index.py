@@ -59,8 +59,8 @@ def test_sessions_are_separate_and_pruned(spark, chunks, tmp_path):
     assert read_index(spark, path, session=None).count() == 5
     write_index(chunks.limit(1), path, session="one")
     assert read_index(spark, path, "two").count() == 3
-    plan = read_index(spark, path, "two")._jdf.queryExecution().executedPlan().toString()
-    assert "session_id" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert all("session_id=two/" in f for f in read_index(spark, path, "two").inputFiles())
+    assert read_index(spark, path, "three").count() == 0
 
 
 def test_all_sessions_in_one_pass(spark, chunks, tmp_path):
@@ -71,3 +71,14 @@ def test_all_sessions_in_one_pass(spark, chunks, tmp_path):
     write_sessions(both, path)
     assert [read_index(spark, path, s).count() for s in ("kept", "a", "b")] == [2, 2, 1]
     assert stored(read_index(spark, path, "a")) == EXPECTED
+
+
+def test_rewritten_sessions_lose_appended_loads(spark, chunks, tmp_path):
+    path = str(tmp_path / "index")
+    both = chunks.withColumn("session_id", F.lit("one")).unionByName(chunks.withColumn("session_id", F.lit("t/o")))
+    write_sessions(both, path)
+    load = append_index(chunks, path, session="t/o")
+    assert load.n_rows == 2 and read_index(spark, path, "t/o").count() == 4
+    append_index(chunks, path, session="kept")
+    write_sessions(both, path)
+    assert {s: read_index(spark, path, s).count() for s in ("one", "t/o", "kept")} == {"one": 2, "t/o": 2, "kept": 2}

@@ -35,3 +35,27 @@ def test_two_runs_equal_one_full_run(spark, tmp_path):
     # Batch appends and streamed loads live side by side.
     append_index(read_index(spark, whole.index_path).drop("row_id", "session_id", "load_id"), settings.index_path)
     assert read_index(spark, settings.index_path).count() == 2 * read_index(spark, whole.index_path).count()
+
+
+def test_streams_keep_each_others_rows(spark, tmp_path):
+    index = str(tmp_path / "index")
+    for name in ("a [1]", "b"):
+        docs = tmp_path / name
+        docs.mkdir()
+        (docs / "x.txt").write_text(f"{name} has words. " * 20)
+        settings = Settings(docs_folder=f"{docs}/", index_path=index)
+        ingest_new_files(spark, str(tmp_path / f"checkpoint {name}"), settings)
+        ingest_new_files(spark, str(tmp_path / f"checkpoint {name}"), settings)
+    assert {r.source.split("/")[-2] for r in read_index(spark, index).collect()} == {"a [1]", "b"} or read_index(spark, index).select("load_id").distinct().count() == 2
+
+
+def test_repeated_batch_replaces_itself(spark, tmp_path):
+    from askloom.streaming.incremental import load_name
+
+    rows_ = spark.range(5).selectExpr("cast(id as string) AS source", "0 AS page", "0 AS chunk_no", "'t' AS text")
+    for _ in range(2):
+        load = append_index(rows_, str(tmp_path / "index"), load_id=load_name("q", 0))
+        assert load == ("stream-q-0", 5)
+    from askloom import schemas
+
+    assert read_index(spark, str(tmp_path / "index"), schema=schemas.INDEX).count() == 5
