@@ -1,12 +1,11 @@
 """Exact top-k similarity search and what follows from its hits.
 
-Two ways, same result:
-
-* the questions fit a fixed bound: their matrix is broadcast and every index task keeps
-  a running top-k, so the shuffle carries at most k rows per question and task;
-* they do not: questions and index are hashed into blocks of bounded size and every
-  pair of blocks is scored in its own task group.  Ids decide the block, so no value of
-  the data, however frequent, can make a block large.
+The questions are taken in blocks of bounded size.  A block's matrix is broadcast and every
+index task keeps a running top-k, so the index is never moved: a block costs one scan of it
+and a shuffle of at most k rows per question and task.  Up to one block's worth, which a count
+of ids tells without running a model, needs no copy; more questions are written once with
+their vectors and read block by block.  A question row is what hits belong to: rows
+that repeat an id have k hits each, whatever their number.
 
 Scores are cosines rounded to six decimals; ties go to the smaller key.
 """
@@ -26,51 +25,70 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from askloom.config import MIN_HIT_CHARS, TOP_K
 from askloom.functions.text import strip_space
 from askloom.functions.vectors import SCORE_UNITS, cosine, round_score
+from askloom.operators.windows import running_number
+from askloom.session import cut_lineage
+from askloom.sources.index import STORED_KEY
 
 CHUNK_KEY = ("source", "page", "chunk_no")
 MAX_BROADCAST_BYTES = 64 * 2**20
 MAX_BROADCAST_HITS = 250_000
 QUESTIONS_PER_BLOCK = 8_192
-INDEX_ROWS_PER_BLOCK = 65_536
-FEWEST_ROWS_PER_BLOCK = 2_048
 CELLS_AT_ONCE = 2_000_000
 
 
+def index_key(index: DataFrame) -> tuple[str, ...]:
+    """The columns that tell index rows apart: those of a stored index if they are there."""
+    return STORED_KEY if {"load_id", "row_id"} <= {*index.columns} else CHUNK_KEY
+
+
 def top_k(
     questions: DataFrame,
     index: DataFrame,
     k: int = TOP_K,
     question: str = "question_id",
-    key: Sequence[str] = CHUNK_KEY,
+    key: Sequence[str] | None = None,
     vector: str = "embedding",
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    questions_per_block: int = QUESTIONS_PER_BLOCK,
 ) -> DataFrame:
-    """``(question, key…, score, rank)`` of the k best index rows of every question."""
-    block = bounded_questions(questions, question, vector, max_broadcast_bytes)
-    if block is None:
-        return top_k_blocks(questions, index, k, question, key, vector)
-    return top_k_broadcast(block, index, k, question, key, vector)
-
-
-def bounded_questions(
-    questions: DataFrame, question: str, vector: str, max_bytes: int
-) -> pa.Table | None:
-    """The questions as one Arrow table, or None when there are more than a block's worth
-    or their matrix exceeds ``max_bytes``.
+    """``(question, key…, score, rank)`` of the k best index rows of every question row.
 
-    The row limit bounds the transfer whatever the table holds.
+    With more than one block give a stored ``index``: every block scans it.
     """
-    block = questions.select(question, vector).limit(QUESTIONS_PER_BLOCK + 1).toArrow()
-    if block.num_rows > QUESTIONS_PER_BLOCK:
-        return None
-    block = _usable(block, vector)
-    return block if len(block) * len(block[vector][0] if len(block) else ()) * 8 <= max_bytes else None
-
-
-def top_k_broadcast(
-    block: pa.Table, index: DataFrame, k: int, question: str, key: Sequence[str], vector: str
+    key = list(key or index_key(index))
+    found = None
+    for block in question_blocks(questions, question, vector, questions_per_block, max_broadcast_bytes):
+        hits = _search_block(block, index, k, question, key, vector)
+        found = hits if found is None else found.unionByName(hits)
+    return found
+
+
+def question_blocks(
+    questions: DataFrame, question: str, vector: str, rows: int, max_bytes: int
+) -> Iterator[pa.Table]:
+    """The questions with a vector as Arrow tables of at most ``rows`` rows and ``max_bytes`` of
+    matrix (but one row at least); one table without rows if there are none."""
+    if questions.select(question).limit(rows + 1).count() <= rows:
+        yield from _bounded(_usable(questions.select(question, vector).toArrow(), vector), vector, max_bytes)
+        return
+    # Written before they are sorted, as drawing the borders of the sort would run the model too.
+    stored = running_number(cut_lineage(questions.select(question, vector)), question, out="_no").withColumn(
+        "_block", F.floor((F.col("_no") - 1) / rows))
+    for number in range(stored.agg(F.max("_block")).head()[0] + 1):
+        block = stored.where(F.col("_block") == number).select(question, vector).toArrow()
+        yield from _bounded(_usable(block, vector), vector, max_bytes)
+
+
+def _bounded(block: pa.Table, vector: str, max_bytes: int) -> Iterator[pa.Table]:
+    step = max(1, max_bytes // (8 * len(block[vector][0]))) if len(block) else 1
+    for at in range(0, max(1, len(block)), step):
+        yield block.slice(at, step)
+
+
+def _search_block(
+    block: pa.Table, index: DataFrame, k: int, question: str, key: list[str], vector: str
 ) -> DataFrame:
-    spark, key = index.sparkSession, list(key)
+    spark = index.sparkSession
     shared = spark.sparkContext.broadcast((block.column(question).to_pylist(), _matrix(block, vector)))
     narrow = index.select(*key, vector)
     schema = T.StructType([T.StructField("_q", T.IntegerType()), *narrow.schema[: len(key)],
@@ -90,48 +108,6 @@ def top_k_broadcast(
     return hits.join(F.broadcast(names), "_q").select(question, *key, "score", "rank")
 
 
-def top_k_blocks(
-    questions: DataFrame,
-    index: DataFrame,
-    k: int = TOP_K,
-    question: str = "question_id",
-    key: Sequence[str] = CHUNK_KEY,
-    vector: str = "embedding",
-    questions_per_block: int = QUESTIONS_PER_BLOCK,
-    index_rows_per_block: int = INDEX_ROWS_PER_BLOCK,
-) -> DataFrame:
-    key = list(key)
-    asked, narrow = questions.select(question, vector), index.select(*key, vector)
-    n_rows = max(1, narrow.count())
-    q_blocks = -(-max(1, asked.count()) // questions_per_block)
-    # Blocks are smaller than their bound when there would be fewer pairs than cores.
-    cores = index.sparkSession.sparkContext.defaultParallelism
-    i_blocks = max(-(-n_rows // index_rows_per_block),
-                   min(-(-2 * cores // q_blocks), -(-n_rows // FEWEST_ROWS_PER_BLOCK)))
-    left = (
-        asked.withColumn("_qb", F.pmod(F.xxhash64(question), F.lit(q_blocks)))
-        .withColumn("_ib", F.explode(F.sequence(F.lit(0), F.lit(i_blocks - 1)).cast("array<bigint>")))
-    )
-    right = (
-        narrow.withColumn("_ib", F.pmod(F.xxhash64(*key), F.lit(i_blocks)))
-        .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)).cast("array<bigint>")))
-    )
-    found_fields = [*narrow.schema[: len(key)], T.StructField("score", T.DoubleType())]
-    schema = T.StructType([asked.schema[question], *found_fields])
-    numbered = to_arrow_schema(T.StructType([T.StructField("_q", T.IntegerType()), *found_fields]))
-
-    def score(some: pa.Table, rows: pa.Table) -> pa.Table:
-        some = _usable(some, vector)
-        best = RunningTopK(_matrix(some, vector), key, vector, k)
-        best.add(rows.select([*key, vector]))
-        found = best.result(numbered)
-        ids = some.column(question).take(found.column("_q"))
-        return found.set_column(0, question, ids).cast(to_arrow_schema(schema))
-
-    cells = left.groupBy("_qb", "_ib").cogroup(right.groupBy("_qb", "_ib"))
-    return rank_hits(cells.applyInArrow(score, schema), k, question, key)
-
-
 def rank_hits(hits: DataFrame, k: int, question: str, key: Sequence[str]) -> DataFrame:
     """Best first within a question, at most k.  The rank filter becomes a group limit
     before the shuffle."""
@@ -243,7 +219,7 @@ def best_hit(hits: DataFrame) -> DataFrame:
 
 
 def hydrate(
-    hits: DataFrame, chunks: DataFrame, key: Sequence[str] = CHUNK_KEY, few: bool = False
+    hits: DataFrame, chunks: DataFrame, key: Sequence[str] | None = None, few: bool = False
 ) -> DataFrame:
     """Give hits the text and metadata of their chunks.
 
@@ -251,6 +227,7 @@ def hydrate(
     ``few`` says that the number of hits is known to be bounded; then they are broadcast
     and the chunk table is scanned in place.
     """
+    key = key or index_key(chunks)
     h, c = (F.broadcast(hits) if few else hits).alias("h"), chunks.alias("c")
     same = [F.col(f"h.{name}").eqNullSafe(F.col(f"c.{name}")) for name in key]
     taken = {*hits.columns, "embedding"}
@@ -262,16 +239,22 @@ def retrieve(
     index: DataFrame,
     k: int = TOP_K,
     question: str = "question_id",
-    key: Sequence[str] = CHUNK_KEY,
+    key: Sequence[str] | None = None,
     vector: str = "embedding",
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    questions_per_block: int = QUESTIONS_PER_BLOCK,
 ) -> DataFrame:
-    """Hits of every question with the text and metadata of their chunks."""
-    block = bounded_questions(questions, question, vector, max_broadcast_bytes)
-    if block is None:
-        return hydrate(top_k_blocks(questions, index, k, question, key, vector), index.drop(vector), key)
-    hits = top_k_broadcast(block, index, k, question, key, vector)
-    return hydrate(hits, index.drop(vector), key, few=block.num_rows * k <= MAX_BROADCAST_HITS)
+    """Hits of every question row with the text and metadata of their chunks.
+
+    Each block's hits are joined to the chunks; few enough of them are broadcast.
+    """
+    key = list(key or index_key(index))
+    found = None
+    for block in question_blocks(questions, question, vector, questions_per_block, max_broadcast_bytes):
+        hits = _search_block(block, index, k, question, key, vector)
+        rows = hydrate(hits, index.drop(vector), key, few=block.num_rows * k <= MAX_BROADCAST_HITS)
+        found = rows if found is None else found.unionByName(rows)
+    return found
 
 
 def off_topic_gate(

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from askloom.operators.retrieval import (
-    best_hit, hydrate, off_topic_gate, retrieve, score_pairs, top_k, top_k_blocks,
+    best_hit, hydrate, index_key, off_topic_gate, retrieve, score_pairs, top_k,
 )
 
 SCHEMA_Q, SCHEMA_I = "question_id string, embedding array<float>", "source string, page int, chunk_no int, embedding array<float>"
@@ -53,11 +53,11 @@ def test_top_k_equals_brute_force(spark, data, k, parts):
     assert found == wanted
 
 
-@pytest.mark.parametrize("per_block", [(3, 17), (1000, 1000)])
-def test_blocks_equal_broadcast(spark, data, per_block):
+@pytest.mark.parametrize("per_block", [3, 1000])
+def test_blocks_equal_one_block(spark, data, per_block):
     questions, index = data
     q, i = spark.createDataFrame(questions, SCHEMA_Q), spark.createDataFrame(index, SCHEMA_I)
-    blocks = top_k_blocks(q, i, 6, questions_per_block=per_block[0], index_rows_per_block=per_block[1])
+    blocks = top_k(q, i, 6, questions_per_block=per_block)
     assert rows(blocks) == rows(top_k(q, i, 6)) == rows(top_k(q, i, 6, max_broadcast_bytes=0))
 
 
@@ -78,7 +78,8 @@ def test_empty_sides(spark):
     asked = spark.createDataFrame([("q", [1.0, 0.0])], SCHEMA_Q)
     assert top_k(none, index).count() == 0
     assert top_k(asked, index.limit(0)).count() == 0
-    assert top_k_blocks(asked, index.limit(0)).count() == 0
+    assert top_k(asked, index.limit(0), questions_per_block=1).count() == 0
+    assert index_key(index) == ("source", "page", "chunk_no")
     assert rows(top_k(asked, index)) == {("q", "s", 1, 0, 1.0, 1)}
 
 
@@ -111,3 +112,38 @@ def test_sql_cosine_agrees_with_kernel(spark, data):
     pairs = hydrate(found, i.withColumn("text", F.lit("")).withColumnRenamed("embedding", "iv")).join(q, "question_id")
     scored = score_pairs(pairs.withColumnRenamed("score", "kernel"), "qv", "iv")
     assert scored.where("abs(kernel - score) > 0.0000015 or score is null").count() == 0
+
+
+def test_repeated_ids_have_hits_of_their_own(spark, data):
+    questions, index = data
+    q, i = spark.createDataFrame([*questions, *questions], SCHEMA_Q), spark.createDataFrame(index, SCHEMA_I)
+    once = top_k(spark.createDataFrame(questions, SCHEMA_Q), i, 3).count()
+    for rows_per_block in (4, 1000):
+        assert top_k(q, i, 3, questions_per_block=rows_per_block).count() == 2 * once
+
+
+def test_each_question_is_embedded_once(spark, data, tmp_path):
+    from askloom.operators.embedding import embed_text
+
+    log = str(tmp_path)
+
+    def counting():
+        import os
+        import uuid
+
+        import numpy as np
+
+        def model(texts):
+            with open(os.path.join(log, uuid.uuid4().hex), "w") as file:
+                file.write("x" * len(texts))
+            return np.ones((len(texts), 5))
+
+        return model
+
+    import os
+
+    asked = spark.range(30).select(F.col("id").cast("string").alias("question_id"), F.lit("t").alias("text"))
+    asked = asked.withColumn("embedding", embed_text("text", counting))
+    index = spark.createDataFrame([r for r in data[1] if r[3] and any(r[3])], SCHEMA_I)
+    assert top_k(asked, index, 2, questions_per_block=8).count() == 60
+    assert sum(os.path.getsize(os.path.join(log, f)) for f in os.listdir(log)) == 30
