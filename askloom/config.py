@@ -72,6 +72,7 @@ class Settings:
     top_k: int = TOP_K
     temperature: float = 0.3
     quality_threshold: float = QUALITY_THRESHOLD
+    time_limit: float | None = None  # seconds for one call of the generator
     prompt_template: str = field(default=PROMPT_TEMPLATE, repr=False)
 
     def __post_init__(self) -> None:

@@ -87,6 +87,42 @@ def embed_text(
     return embed(as_column(text))
 
 
+VECTOR_OR_ERROR = pa.struct([("vector", pa.list_(pa.float32())), ("error", pa.string())])
+
+
+def embed_or_error(text: Column | str, factory: EmbedderFactory | None = None) -> Column:
+    """``STRUCT<vector, error>``: like ``embed_text``, but a failing model does not stop the job.
+
+    A failing call is repeated text by text, so an error stays with its own row.
+    """
+    load = factory or hashing_embedder()
+
+    def call(model: Embedder, texts: list[str]) -> list[dict]:
+        try:
+            vectors = np.asarray(model(texts), dtype=np.float64)
+            if len(vectors) != len(texts):
+                raise ValueError(f"{len(vectors)} vectors of {len(texts)} texts")
+        except Exception as problem:  # noqa: BLE001 - any failure of a hook becomes data
+            if len(texts) > 1:
+                return [call(model, [t])[0] for t in texts]
+            return [{"vector": None, "error": f"{type(problem).__name__}: {problem}"}]
+        norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+        return [{"vector": (v / n).astype(np.float32) if n > 0 else None, "error": None} for v, n in zip(vectors, norms)]
+
+    @F.arrow_udf("vector array<float>, error string")
+    def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = load()
+        for batch in batches:
+            texts = batch.to_pylist()
+            sent = [i for i, t in enumerate(texts) if t is not None]
+            rows: list[dict | None] = [None] * len(texts)
+            for i, row in zip(sent, call(model, [texts[i] for i in sent]) if sent else []):
+                rows[i] = row
+            yield pa.array(rows, VECTOR_OR_ERROR)
+
+    return embed.asNondeterministic()(as_column(text))
+
+
 def _place(present: np.ndarray, usable: np.ndarray) -> np.ndarray:
     mask = present.copy()
     mask[present] = usable

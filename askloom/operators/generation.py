@@ -7,6 +7,8 @@ then fed batches.
 
 from __future__ import annotations
 
+import queue
+import threading
 import time
 from collections.abc import Callable, Iterator
 
@@ -27,10 +29,38 @@ CALL_SIZE = 32
 REPLY = pa.struct([("text", pa.string()), ("error", pa.string()), ("seconds", pa.float64())])
 
 
-def call_generator(prompt: Column | str, factory: GeneratorFactory, call_size: int = CALL_SIZE) -> Column:
+def within(limit: float | None, model: Generator, prompts: list[str]) -> list[str]:
+    """The model's replies, or ``TimeoutError`` after ``limit`` seconds.
+
+    A call that never returns keeps its thread, which ends with the worker.
+    """
+    if limit is None:
+        return model(prompts)
+    replies: queue.Queue = queue.Queue()
+
+    def call() -> None:
+        try:
+            replies.put((model(prompts), None))
+        except Exception as problem:  # noqa: BLE001 - handed to the caller
+            replies.put((None, problem))
+
+    threading.Thread(target=call, daemon=True).start()
+    try:
+        found, problem = replies.get(timeout=limit)
+    except queue.Empty:
+        raise TimeoutError(f"no reply within {limit} seconds") from None
+    if problem is not None:
+        raise problem
+    return found
+
+
+def call_generator(
+    prompt: Column | str, factory: GeneratorFactory, call_size: int = CALL_SIZE, time_limit: float | None = None
+) -> Column:
     """``STRUCT<text, error, seconds>`` per prompt; a NULL prompt is not sent.
 
-    A failing call is repeated prompt by prompt, so an error stays with its own row.
+    A failing call, or one that takes longer than ``time_limit`` seconds, is repeated prompt by
+    prompt, so an error stays with its own row.
     Marked as non-deterministic so that no optimizer rule duplicates the calls; write
     the result (``session.cut_lineage``) before using it more than once.
     """
@@ -38,7 +68,7 @@ def call_generator(prompt: Column | str, factory: GeneratorFactory, call_size: i
     def call(model: Generator, prompts: list[str]) -> list[dict]:
         started = time.perf_counter()
         try:
-            replies = model(prompts)
+            replies = within(time_limit, model, prompts)
             if len(replies) != len(prompts):
                 raise ValueError(f"{len(replies)} replies to {len(prompts)} prompts")
         except Exception as problem:  # noqa: BLE001 - any failure of a hook becomes data
@@ -72,6 +102,7 @@ def generate(
     out: str = "answer",
     call_size: int = CALL_SIZE,
     concurrency: int | None = None,
+    time_limit: float | None = None,
 ) -> DataFrame:
     """Add ``out``, ``error`` and ``seconds``.
 
@@ -79,7 +110,7 @@ def generate(
     """
     if concurrency:
         df = df.repartition(concurrency)
-    replied = df.withColumn("_reply", call_generator(prompt, factory, call_size))
+    replied = df.withColumn("_reply", call_generator(prompt, factory, call_size, time_limit))
     return replied.select(
         "*", F.col("_reply.text").alias(out), F.col("_reply.error").alias("error"),
         F.col("_reply.seconds").alias("seconds"),
@@ -152,10 +183,10 @@ def extractive_answer(question: Column | str, contexts: Column | str) -> Column:
 
 
 def answer(df: DataFrame, factory: GeneratorFactory | None = None, prompt: str = "prompt",
-           question: str = "question", contexts: str = "contexts") -> DataFrame:
+           question: str = "question", contexts: str = "contexts", time_limit: float | None = None) -> DataFrame:
     """Add ``answer``, ``error`` and ``seconds`` from a generator or the default."""
     if factory is not None:
-        return generate(df, prompt, factory)
+        return generate(df, prompt, factory, time_limit=time_limit)
     return df.select(
         "*", extractive_answer(question, contexts).alias("answer"),
         F.lit(None).cast("string").alias("error"), F.lit(0.0).alias("seconds"),

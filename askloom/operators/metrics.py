@@ -17,6 +17,7 @@ from askloom.operators.generation import GeneratorFactory, call_generator
 # ``(statements, contexts) -> one verdict per statement``
 Judge = Callable[[list[str], list[str]], Sequence[bool]]
 JudgeFactory = Callable[[], Judge]
+VERDICT = pa.struct([("share", pa.float64()), ("error", pa.string())])
 
 
 def context_tokens(contexts: Column | str) -> Column:
@@ -29,10 +30,10 @@ def faithfulness(
     """Share of the answer's statements that the contexts support; NULL without any.
 
     The default judge accepts a statement when at least half of its distinct tokens
-    occur in the contexts.
+    occur in the contexts.  A judge that fails gives NULL; ``judged`` tells why.
     """
     if judge is not None:
-        return _judged(judge)(sentences(answer), as_column(contexts))
+        return judged(answer, contexts, judge)["share"]
 
     def share(statements: Column) -> Column:
         def supported(known: Column) -> Column:
@@ -47,18 +48,28 @@ def faithfulness(
     return bind(sentences(answer), share)
 
 
-def _judged(judge: JudgeFactory) -> Callable[[Column, Column], Column]:
-    @F.arrow_udf("double")
+def judged(answer: Column | str, contexts: Column | str, judge: JudgeFactory) -> Column:
+    """``STRUCT<share, error>`` of an answer; a judge that raises or gives another number of
+    verdicts than statements leaves the share NULL and says so in ``error``."""
+
+    def row(decide: Judge, some: list[str] | None, known: list[str] | None) -> dict:
+        if not some:
+            return {"share": None, "error": None}
+        try:
+            verdicts = decide(some, known or [])
+            if len(verdicts) != len(some):
+                raise ValueError(f"{len(verdicts)} verdicts on {len(some)} statements")
+        except Exception as problem:  # noqa: BLE001 - any failure of a hook becomes data
+            return {"share": None, "error": f"{type(problem).__name__}: {problem}"}
+        return {"share": sum(map(bool, verdicts)) / len(some), "error": None}
+
+    @F.arrow_udf("share double, error string")
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         decide = judge()
         for statements, contexts in batches:
-            shares = []
-            for some, known in zip(statements.to_pylist(), contexts.to_pylist()):
-                verdicts = decide(some, known or []) if some else []
-                shares.append(sum(map(bool, verdicts)) / len(some) if some else None)
-            yield pa.array(shares, pa.float64())
+            yield pa.array([row(decide, s, c) for s, c in zip(statements.to_pylist(), contexts.to_pylist())], VERDICT)
 
-    return run.asNondeterministic()
+    return run.asNondeterministic()(sentences(answer), as_column(contexts))
 
 
 def first_sentence(answer: Column | str) -> Column:

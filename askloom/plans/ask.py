@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from askloom.config import Settings
-from askloom.operators.chat import chat_history, dialogue, standalone_questions, with_pending
+from askloom.operators.chat import chat_history, dialogue, standalone_questions, with_epoch, with_pending
 from askloom.operators.citations import attach_sources
-from askloom.operators.embedding import EmbedderFactory, embed
+from askloom.operators.embedding import EmbedderFactory, embed_or_error
 from askloom.operators.generation import GeneratorFactory, answer, reword_follow_ups
 from askloom.operators.prompts import assemble_contexts, default_contexts, prompt
-from askloom.operators.retrieval import CHUNK_KEY, retrieve
+from askloom.operators.retrieval import retrieve
 from askloom.session import cut_lineage
 
 
@@ -23,11 +23,21 @@ def search(
     settings: Settings = Settings(),
     embedder: EmbedderFactory | None = None,
     text: str = "question",
-    key: Sequence[str] = CHUNK_KEY,
+    key: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Hits of a questions table ``(question_id, text)`` with their chunk texts."""
-    vectors = embed(questions.select("question_id", text), embedder, text=text).drop(text)
-    return retrieve(vectors, index, settings.top_k, key=key)
+    """Hits of a questions table ``(question_id, text)`` with their chunk texts.
+
+    A question on which the embedder fails has none; ``question_vectors`` says why.
+    """
+    return retrieve(question_vectors(questions, embedder, text).drop("embed_error"), index, settings.top_k, key=key)
+
+
+def question_vectors(
+    questions: DataFrame, embedder: EmbedderFactory | None = None, text: str = "question"
+) -> DataFrame:
+    """``(question_id, embedding, embed_error)``."""
+    made = questions.select("question_id", embed_or_error(text, embedder).alias("_made"))
+    return made.select("question_id", F.col("_made.vector").alias("embedding"), F.col("_made.error").alias("embed_error"))
 
 
 def ask(
@@ -37,7 +47,7 @@ def ask(
     embedder: EmbedderFactory | None = None,
     generator: GeneratorFactory | None = None,
     text: str = "question",
-    key: Sequence[str] = CHUNK_KEY,
+    key: Sequence[str] | None = None,
     cite: bool = False,
 ) -> DataFrame:
     """``questions`` with ``contexts``, ``prompt``, ``answer``, ``error``, ``seconds`` and
@@ -52,7 +62,7 @@ def ask(
         .withColumn("contexts", default_contexts("contexts"))
         .withColumn("prompt", prompt(text, "contexts", history, settings.prompt_template))
     )
-    return attach_sources(answer(prepared, generator, question=text), hits)
+    return attach_sources(answer(prepared, generator, question=text, time_limit=settings.time_limit), hits)
 
 
 def conversation_questions(
@@ -62,8 +72,10 @@ def conversation_questions(
     history of the earlier turns.
 
     A generator words follow-ups anew; the default puts the previous user turn in front.
+    A reset counts on any row, system messages included.
     """
-    asked = chat_history(with_pending(dialogue(messages)), F.col("pending"), reset).select(
+    turns = with_pending(dialogue(with_epoch(messages, reset)))
+    asked = chat_history(turns, F.col("pending")).select(
         "conv_id", "turn", F.concat_ws("/", "conv_id", "turn").alias("question_id"),
         F.col("text").alias("question"), "history")
     if generator is not None:

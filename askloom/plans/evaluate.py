@@ -3,6 +3,7 @@ aggregates -> quality gate -> result CSV and run log."""
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -13,12 +14,12 @@ from askloom.config import Settings
 from askloom.operators import scoring
 from askloom.operators.embedding import EmbedderFactory
 from askloom.operators.generation import GeneratorFactory, answer, succeeded, translate
-from askloom.operators.metrics import JudgeFactory, answer_relevancy, back_questions, faithfulness
+from askloom.operators.metrics import JudgeFactory, answer_relevancy, back_questions, faithfulness, judged
 from askloom.operators.prompts import assemble_contexts, default_contexts, prompt
-from askloom.operators.retrieval import CHUNK_KEY, off_topic_gate
-from askloom.plans.ask import search
+from askloom.operators.retrieval import off_topic_gate, retrieve
+from askloom.plans.ask import question_vectors
 from askloom.session import cut_lineage
-from askloom.sources.results import append_run, run_record, write_results
+from askloom.sources.results import append_run, evaluation_report, run_record, write_report, write_results
 
 
 def gated_answers(
@@ -27,7 +28,7 @@ def gated_answers(
     settings: Settings = Settings(),
     embedder: EmbedderFactory | None = None,
     generator: GeneratorFactory | None = None,
-    key: Sequence[str] = CHUNK_KEY,
+    key: Sequence[str] | None = None,
 ) -> DataFrame:
     """All questions with ``language``, ``question_en``, ``off_topic`` and, for those on
     topic, ``contexts``, ``answer``, ``error`` and ``seconds``.
@@ -38,15 +39,21 @@ def gated_answers(
     asked = translate(questions, generator)
     if generator is not None:
         asked = cut_lineage(asked)
-    hits = cut_lineage(search(asked, index, settings, embedder, "question_en", key))
+    vectors = cut_lineage(question_vectors(asked, embedder, "question_en"))
+    hits = cut_lineage(retrieve(vectors.drop("embed_error"), index, settings.top_k, key=key))
     gated = (
         off_topic_gate(asked, hits)
+        .join(vectors.drop("embedding"), "question_id", "left")
+        .withColumn("off_topic", F.col("off_topic") & F.col("embed_error").isNull())
         .join(assemble_contexts(hits), "question_id", "left")
-        .withColumn("contexts", default_contexts("contexts"))
+        .withColumn("contexts", F.when(~F.col("off_topic"), default_contexts("contexts")))
         .withColumn("prompt", F.when(
-            ~F.col("off_topic"), prompt("question_en", "contexts", None, settings.prompt_template)))
+            ~F.col("off_topic") & F.col("embed_error").isNull(), prompt("question_en", "contexts", None, settings.prompt_template)))
     )
-    return cut_lineage(answer(gated, generator, question="question_en").drop("prompt"))
+    answered = answer(gated, generator, question="question_en", time_limit=settings.time_limit).drop("prompt")
+    return cut_lineage(answered.withColumns({
+        "answer": F.when(~F.col("off_topic") & F.col("embed_error").isNull(), F.col("answer")),
+        "error": F.coalesce("embed_error", "error")}).drop("embed_error"))
 
 
 def score_answers(
@@ -55,12 +62,21 @@ def score_answers(
     judge: JudgeFactory | None = None,
     back_generator: GeneratorFactory | None = None,
 ) -> DataFrame:
-    """Answered questions with both metrics.  Off-topic and failed ones are left out."""
+    """Answered questions with both metrics.  Off-topic and failed ones are left out.
+
+    A judge that fails leaves ``faithfulness`` NULL and its message in ``judge_error``; means
+    skip such rows.
+    """
     rows = succeeded(gated).where(~F.col("off_topic"))
     relevancy = answer_relevancy(
         rows, question="question_en", generated=back_questions("answer", back_generator), embedder=embedder)
-    return rows.withColumn("faithfulness", faithfulness("answer", "contexts", judge)).join(
-        relevancy, "question_id", "left")
+    if judge is None:
+        scored = rows.withColumn("faithfulness", faithfulness("answer", "contexts")).withColumn(
+            "judge_error", F.lit(None).cast("string"))
+    else:
+        scored = rows.withColumn("_judged", judged("answer", "contexts", judge)).withColumn(
+            "faithfulness", F.col("_judged.share")).withColumn("judge_error", F.col("_judged.error")).drop("_judged")
+    return scored.join(relevancy, "question_id", "left")
 
 
 @dataclass(frozen=True)
@@ -68,6 +84,7 @@ class Evaluation:
     rows: DataFrame
     counts: DataFrame
     gate: DataFrame
+    seconds: float  # from the questions to the written scores
 
     @property
     def passed(self) -> bool:
@@ -82,14 +99,15 @@ def evaluate(
     generator: GeneratorFactory | None = None,
     judge: JudgeFactory | None = None,
     back_generator: GeneratorFactory | None = None,
-    key: Sequence[str] = CHUNK_KEY,
+    key: Sequence[str] | None = None,
 ) -> Evaluation:
     """The whole flow.  The scores are written once, as the gate, the result table and the
     run log all read them."""
+    started = time.perf_counter()
     gated = gated_answers(questions, index, settings, embedder, generator, key)
     rows = cut_lineage(score_answers(gated, embedder, judge, back_generator))
     gate = scoring.quality_gate(scoring.mean_scores(rows), settings.quality_threshold)
-    return Evaluation(rows, scoring.question_counts(gated), gate)
+    return Evaluation(rows, scoring.question_counts(gated), gate, time.perf_counter() - started)
 
 
 def record_evaluation(
@@ -98,8 +116,9 @@ def record_evaluation(
     runs_path: str,
     settings: Settings = Settings(),
     tags: Mapping[str, str] | None = None,
+    report_path: str | None = None,
 ) -> bool:
-    """Write the result CSV and one run record; True when the gate is passed.
+    """Write the result CSV, one run record and, if asked for, the report; True when the gate is passed.
 
     Raises ``NothingEvaluated`` when no question reached the metrics.
     """
@@ -134,4 +153,6 @@ def record_evaluation(
         artifact=results_path,
     )
     append_run(record, runs_path)
+    if report_path:
+        write_report(evaluation_report(run.gate, run.seconds), report_path)
     return gate["passed"]

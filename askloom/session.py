@@ -25,9 +25,25 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+# What this driver has put into the shared folder.
+SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    SCRATCH.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Remove the intermediate tables of this driver once their results are stored; returns how many."""
+    gone = 0
+    while SCRATCH:
+        path = spark._jvm.org.apache.hadoop.fs.Path(SCRATCH.pop())
+        system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        gone += bool(system.delete(path, True))
+    return gone
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -105,3 +105,20 @@ def test_seconds_measure_the_call(spark):
 
     df = spark.createDataFrame([("a",)], "prompt string")
     assert generate(df, "prompt", slow).head().seconds >= 0.2
+
+
+def hanging():
+    def reply(prompts):
+        if any("slow" in p for p in prompts):
+            time.sleep(30)
+        return [p.upper() for p in prompts]
+    return reply
+
+
+def test_time_limit(spark):
+    df = spark.createDataFrame([("a",), ("slow",), ("b",)], "prompt string").coalesce(1)
+    started = time.perf_counter()
+    rows = {r.prompt: r for r in generate(df, "prompt", hanging, time_limit=1.0).collect()}
+    assert time.perf_counter() - started < 25
+    assert rows["slow"].answer is None and rows["slow"].error.startswith("TimeoutError")
+    assert rows["a"].answer == "A" and rows["b"].answer == "B"
