@@ -14,7 +14,8 @@ from askloom.functions.vectors import round_score
 from askloom.operators import scoring
 from askloom.operators.chat import question_answer_pairs
 from askloom.operators.generation import failed, generate, succeeded, translate
-from askloom.operators.metrics import answer_relevancy, faithfulness, rounded
+from askloom.operators.embedding import hashing_embedder
+from askloom.operators.metrics import answer_relevancy, faithfulness, judged, rounded
 from askloom.plans.evaluate import gated_answers, score_answers
 from askloom.session import read_table, scratch_path
 from askloom.sources.results import append_run, read_runs, run_record, write_report
@@ -240,8 +241,9 @@ def formatted_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""WITH {sql_search()}, {sql_answers()} SELECT md5(question) AS question_originale,
-                  md5(question) AS question_anglais, md5(answer) AS reponse_rag, md5('') AS ground_truth
-           FROM answers""")
+                  md5(question) AS question_anglais, md5('') AS ground_truth,
+                  md5(CASE WHEN length({sql_strip('t.text')}) >= 50 THEN answer ELSE '' END) AS reponse_rag
+           FROM answers LEFT JOIN (SELECT question_id, text FROM texts WHERE rank = 1) t USING (question_id)""")
 def result_table(spark: SparkSession, folder: str) -> DataFrame:
     """The result table of the evaluate flow without a translator."""
     asked = questions(spark, folder).withColumn("ground_truth", F.lit(""))
@@ -278,3 +280,47 @@ def evaluated_benchmark(spark: SparkSession, folder: str) -> DataFrame:
     gate = scoring.quality_gate(scoring.mean_scores(rows))
     return rounded(gate, "faithfulness", "answer_relevancy", "score_global").select(
         "faithfulness", "answer_relevancy", "n_evaluated", "score_global", "passed")
+
+
+def _failing_judge():
+    """Stands for a judge that fails on answers with an odd number of statements."""
+
+    def decide(statements, contexts):
+        if len(statements) % 2:
+            raise RuntimeError("odd")
+        return [True] * len(statements)
+
+    return decide
+
+
+@query(f"""SELECT doc_id, CASE WHEN len(st) > 0 AND len(st) % 2 = 0 THEN 1.0 END AS share,
+                  CASE WHEN len(st) % 2 = 1 THEN 'RuntimeError: odd' END AS error
+           FROM (SELECT doc_id, {sql_sentences('text')} AS st FROM documents)""")
+def failed_judgements(spark: SparkSession, folder: str) -> DataFrame:
+    """A judge that fails leaves NULL and its message, and the other rows their shares."""
+    rows = documents(spark, folder, "doc_id", "text")
+    return rows.select("doc_id", judged("text", F.array("text"), _failing_judge).alias("j")).select("doc_id", "j.share", "j.error")
+
+
+def _failing_embedder():
+    """Stands for a model that fails on texts whose length five divides."""
+    model = hashing_embedder()()
+
+    def embed(texts):
+        if any(len(t) % 5 == 0 for t in texts):
+            raise RuntimeError("five")
+        return model(texts)
+
+    return embed
+
+
+@query(f"""WITH {sql_search()},
+    gated AS (SELECT question_id, length(question) % 5 = 0 AS failed,
+                     t.text IS NULL OR length({sql_strip('t.text')}) < 50 AS off
+              FROM asked LEFT JOIN (SELECT question_id, text FROM texts WHERE rank = 1) t USING (question_id))
+    SELECT question_id, NOT failed AND off AS off_topic, CASE WHEN failed THEN 'RuntimeError: five' END AS error,
+           NOT failed AND NOT off AS answered FROM gated""")
+def failed_retrievals(spark: SparkSession, folder: str) -> DataFrame:
+    """A question that cannot be embedded counts as on topic and as failed; the others are answered."""
+    gated = gated_answers(questions(spark, folder), corpus_index(spark, folder), embedder=_failing_embedder, key=KEY)
+    return gated.select("question_id", "off_topic", "error", F.col("answer").isNotNull().alias("answered"))

@@ -189,19 +189,44 @@ _TURNS = T.StructType([
     T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
     T.StructField("text", T.StringType()),
 ])
-_ROLES = ("assistant", "system", "user")
+_SESSIONS = """SELECT role AS session_id, count(*) AS n_rows, CAST(sum(length(text)) AS BIGINT) AS n_chars
+               FROM conversations GROUP BY role"""
 
 
-@query("""SELECT role AS session_id, count(*) AS n_rows, CAST(sum(length(text)) AS BIGINT) AS n_chars
-          FROM conversations GROUP BY role""")
+def _by_session(index: DataFrame) -> DataFrame:
+    return index.groupBy("session_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.char_length("text")).alias("n_chars"))
+
+
+@query(_SESSIONS)
 def session_indexes(spark: SparkSession, folder: str) -> DataFrame:
-    """One session per role, written together; each is read back alone."""
+    """One session per role, written together."""
     path = scratch_path(spark, "index")
-    turns = messages(spark, folder)
-    write_sessions(turns.select(F.col("role").alias("session_id"), *_TURNS.names), path)
-    own = [read_index(spark, path, role, _TURNS) for role in _ROLES]
-    return concat_documents(*own).groupBy("session_id").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum(F.char_length("text")).alias("n_chars"))
+    write_sessions(messages(spark, folder).select(F.col("role").alias("session_id"), *_TURNS.names), path)
+    return _by_session(read_index(spark, path, None, _TURNS))
+
+
+@query(f"SELECT * FROM ({_SESSIONS}) WHERE session_id = 'user'")
+def rewritten_session(spark: SparkSession, folder: str) -> DataFrame:
+    """Sessions written again after an append hold what was written last; one is read alone."""
+    path = scratch_path(spark, "index")
+    turns = messages(spark, folder).select(F.col("role").alias("session_id"), *_TURNS.names)
+    write_sessions(turns, path)
+    append_index(turns.drop("session_id"), path, session="user")
+    write_sessions(turns, path)
+    return _by_session(read_index(spark, path, "user", _TURNS))
+
+
+@query(f"""SELECT source, 2 * count(*) AS n_chunks, CAST(2 * sum(length(text)) AS BIGINT) AS n_chars
+           FROM ({sql_chunks()}) GROUP BY source""")
+def two_streams(spark: SparkSession, folder: str) -> DataFrame:
+    """Two streams with checkpoints of their own into one index keep each other's rows."""
+    path = scratch_path(spark, "index")
+    for _ in range(2):
+        ingest_new_documents(spark, f"{folder}/documents.parquet/", _TEXTS, path, scratch_path(spark, "stream"),
+                             to_rows=window_chunks)
+    return read_index(spark, path, schema=_TEXTS).groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_chunks"), F.sum(F.char_length("text")).alias("n_chars"))
 
 
 @query(f"""SELECT source, count(*) AS n_chunks, CAST(sum(length(text)) AS BIGINT) AS n_chars

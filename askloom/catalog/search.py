@@ -13,8 +13,9 @@ from askloom.operators.citations import attach_sources, distinct_sources, file_l
 from askloom.operators.generation import extractive_answer
 from askloom.operators.metrics import context_relevancy
 from askloom.operators.prompts import assemble_contexts, default_contexts, prompt
-from askloom.operators.retrieval import best_hit, off_topic_gate, top_k, top_k_blocks
-from askloom.session import cut_lineage, read_table
+from askloom.operators.retrieval import best_hit, off_topic_gate, top_k
+from askloom.session import cut_lineage, read_table, scratch_path
+from askloom.sources.index import append_index, read_index, write_index
 
 _CENTROID_HITS = f"""
     WITH parts AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x,
@@ -62,10 +63,30 @@ def text_search(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(_HITS)
 def text_search_in_blocks(spark: SparkSession, folder: str) -> DataFrame:
-    """The way that is taken when the questions are too many to broadcast."""
-    return top_k_blocks(
-        cut_lineage(embedded_questions(spark, folder)), cut_lineage(corpus_index(spark, folder)), key=KEY,
-        questions_per_block=16, index_rows_per_block=4_096)
+    """More questions than a block holds: a scan of the written index for each block."""
+    return top_k(embedded_questions(spark, folder), cut_lineage(corpus_index(spark, folder)), key=KEY,
+                 questions_per_block=16)
+
+
+@query(f"""WITH {sql_search()} SELECT question_id, doc_id, chunk_no, score, CAST(4 AS BIGINT) AS n FROM hits""")
+def repeated_questions(spark: SparkSession, folder: str) -> DataFrame:
+    """Every question asked twice, in one block and in several: each row has its own hits."""
+    asked = embedded_questions(spark, folder)
+    asked, index = asked.unionByName(asked), cut_lineage(corpus_index(spark, folder))
+    hits = [top_k(asked, index, key=KEY, questions_per_block=rows) for rows in (10**6, 16)]
+    return hits[0].unionByName(hits[1]).groupBy("question_id", "doc_id", "chunk_no", "score").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""WITH {sql_search()} SELECT question_id, score, CAST(2 * rank - twice AS INTEGER) AS rank
+           FROM hits, (SELECT unnest([0, 1]) AS twice) WHERE rank <= 3""")
+def stored_search(spark: SparkSession, folder: str) -> DataFrame:
+    """Written, appended once more, read and searched: every chunk is there twice, and both are hits."""
+    path, rows = scratch_path(spark, "index"), corpus_index(spark, folder)
+    write_index(rows, path)
+    append_index(rows, path)
+    index = read_index(spark, path, schema=rows.schema)
+    return top_k(embedded_questions(spark, folder), index).select("question_id", "score", "rank")
 
 
 @query(f"""WITH {sql_search()} SELECT question_id, rank, doc_id, chunk_no, source, md5(text) AS digest
@@ -158,23 +179,26 @@ def filled_prompts(spark: SparkSession, folder: str) -> DataFrame:
         f"len(list_intersect({sql_distinct_tokens('question')}, "
         f"{sql_distinct_tokens('array_to_string(contexts, chr(10))')})) "
         f"/ len({sql_distinct_tokens('question')})")} AS relevancy
-    FROM asked JOIN contexts USING (question_id)""")
+    FROM (SELECT question_id, question, coalesce(contexts, ['']) AS contexts
+          FROM asked LEFT JOIN contexts USING (question_id))""")
 def context_relevancies(spark: SparkSession, folder: str) -> DataFrame:
-    asked = questions(spark, folder).join(assemble_contexts(search_hits(spark, folder)), "question_id")
-    return asked.select("question_id", round_score(context_relevancy("question", "contexts")).alias("relevancy"))
+    asked = questions(spark, folder).join(assemble_contexts(search_hits(spark, folder)), "question_id", "left")
+    return asked.select("question_id", round_score(
+        context_relevancy("question", default_contexts("contexts"))).alias("relevancy"))
 
 
 @query(f"""WITH {sql_search()}, {sql_answers()}
     SELECT question_id, md5(a.question) AS question, md5(a.answer) AS answer,
-           md5(array_to_string(contexts, '|')) AS contexts, md5(d.text) AS ground_truth
-    FROM answers a JOIN contexts USING (question_id) JOIN documents d ON d.doc_id = a.question_id""")
+           md5(array_to_string(coalesce(contexts, ['']), '|')) AS contexts, md5(d.text) AS ground_truth
+    FROM answers a LEFT JOIN contexts USING (question_id) LEFT JOIN documents d ON d.doc_id = a.question_id""")
 def aligned_results(spark: SparkSession, folder: str) -> DataFrame:
     """Question, answer, contexts and truth joined by id; here the truth is the document of
     the same number."""
     asked = questions(spark, folder)
     truth = documents(spark, folder, "doc_id", "text").withColumnsRenamed(
         {"doc_id": "question_id", "text": "ground_truth"})
-    rows = asked.join(assemble_contexts(search_hits(spark, folder)), "question_id").join(truth, "question_id")
+    rows = asked.join(assemble_contexts(search_hits(spark, folder)), "question_id", "left").join(
+        truth, "question_id", "left").withColumn("contexts", default_contexts("contexts"))
     rows = rows.withColumn("answer", extractive_answer("question", "contexts"))
     return rows.select(
         "question_id", F.md5("question").alias("question"), F.md5("answer").alias("answer"),
