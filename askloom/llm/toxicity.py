@@ -20,9 +20,9 @@ from askloom.llm.tokens import LOWER, mixed, prefix_hashes, slices, span_hashes,
 
 CUT = 0.7
 #: Labelled documents that the fit takes at most (the bounded sample), and features kept.
-TRAIN_DOCS, KEPT, LEAST_DOCS = 20_000, 1024, 4
+TRAIN_DOCS, KEPT, LEAST_DOCS = 20_000, 4096, 4
 AFFIX = range(3, 8)
-ROUNDS, RATE, RIDGE = 400, 0.15, 2e-4
+ROUNDS, RATE, RIDGE = 600, 0.15, 1e-4
 ENDS = np.zeros(256, bool)
 ENDS[[10, 33, 46, 63]] = True
 CORE = np.zeros(256, bool)
