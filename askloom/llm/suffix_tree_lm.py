@@ -34,11 +34,11 @@ END = 0x0A00
 END_TOKEN = -0x5DEECE66D0A00B
 DISCOUNT = 0.7
 #: A state occurs in one of so many training positions at least, a kept next symbol in one of so many.
-STATE_SHARE, NEXT_SHARE = 2_000_000, 50_000_000
+STATE_SHARE, NEXT_SHARE = 1_000_000, 20_000_000
 LEAST_STATE, LEAST_NEXT = 8, 2
 #: Gain in nats over the parent for each different next symbol.
 GAIN_EACH = 1.0
-HELD = 6 << 20
+HELD = 4 << 20
 VOCABULARY_BLOCK = 8 << 20
 
 
@@ -106,7 +106,8 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Tree:
-    """For each depth the sorted states with what they leave to the parent, and the kept next symbols with probabilities."""
+    """For each depth the sorted states with the log10 of what they leave to the parent, and the kept
+    next symbols with the log10 of their probabilities."""
 
     states: list[np.ndarray]
     left: list[np.ndarray]
@@ -120,13 +121,13 @@ class Tree:
         for d in range(DEPTH, -1, -1):
             own = _below(key[open_], d + 1)
             at, hit = _find(self.nexts[d], own)
-            out[open_[hit]] += np.log10(self.chances[d][at[hit]])
+            out[open_[hit]] += self.chances[d][at[hit]]
             open_ = open_[~hit]
             if d:
                 at, hit = _find(self.states[d], _below(key[open_], d + 1) >> BITS)
-                out[open_[hit]] += np.log10(self.left[d][at[hit]])
+                out[open_[hit]] += self.left[d][at[hit]]
             else:
-                out[open_] += np.log10(self.left[0][0]) - 16 * np.log10(2)
+                out[open_] += self.left[0][0] - 16 * np.log10(2)
         return out
 
 
@@ -146,7 +147,7 @@ def build_tree(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Tree:
 
     A gram's chance is its discounted share plus what the context leaves, by the parent.
     """
-    tree = Tree([], [], [], [])
+    tree, chances = Tree([], [], [], []), np.zeros(0)
     for d, (key, n, total) in enumerate(levels):
         order = np.argsort(key)
         key, n, total = key[order], n[order].astype(np.float64), total[order].astype(np.float64)
@@ -160,11 +161,12 @@ def build_tree(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Tree:
             parent = np.full(len(key), 2.0 ** -16)
         else:
             at, hit = _find(tree.nexts[d - 1], _below(key, d))
-            parent = np.where(hit, tree.chances[d - 1][at] if len(tree.chances[d - 1]) else 0.0, 0.0)
+            parent = np.where(hit, chances[at] if len(chances) else 0.0, 0.0)
+        chances = (n - DISCOUNT) / total + (left[of] * parent if len(of) else 0.0)
         tree.states.append(states)
-        tree.left.append(left)
+        tree.left.append(np.log10(np.maximum(left, 1e-12)).astype(np.float32))
         tree.nexts.append(key)
-        tree.chances.append((n - DISCOUNT) / total + (left[of] * parent if len(of) else 0.0))
+        tree.chances.append(np.log10(chances).astype(np.float32))
     return tree
 
 
@@ -223,10 +225,10 @@ class Vocabulary:
         return max(1, -(-self.distinct // VOCABULARY_BLOCK))
 
     def block(self, b: int) -> tuple[np.ndarray, np.ndarray]:
-        table = self.counts.where(F.pmod(F.xxhash64("key"), F.lit(self.blocks())) == b).toArrow()
-        key, n = table.column("key").to_numpy().view(np.uint64), table.column("n").to_numpy()
-        order = np.argsort(key)
-        return key[order], n[order].astype(np.int32 if n.max(initial=0) < 1 << 31 else np.int64)
+        own = self.counts.where(F.pmod(F.xxhash64("key"), F.lit(self.blocks())) == b)
+        table = own.select("key", F.col("n").cast("int" if self.tokens < 1 << 31 else "long").alias("n")).toArrow()
+        order = np.argsort(table.column("key").to_numpy().view(np.uint64))
+        return table.column("key").to_numpy().view(np.uint64)[order], table.column("n").to_numpy()[order]
 
 
 def learn(training: DataFrame) -> tuple[Tree, Vocabulary]:
