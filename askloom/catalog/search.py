@@ -9,8 +9,9 @@ from askloom.catalog.base import (
 )
 from askloom.config import PROMPT_TEMPLATE
 from askloom.functions.vectors import round_score
-from askloom.operators.citations import attach_sources, distinct_sources, file_label, page_label
+from askloom.operators.citations import distinct_sources, file_label, page_label
 from askloom.operators.generation import extractive_answer
+from askloom.operators.hits import gather_hits, or_no_sources
 from askloom.operators.metrics import context_relevancy
 from askloom.operators.prompts import assemble_contexts, default_contexts, prompt
 from askloom.operators.retrieval import best_hit, off_topic_gate, top_k
@@ -146,12 +147,11 @@ def extractive_answers(spark: SparkSession, folder: str) -> DataFrame:
            md5(coalesce(s, '')) AS sources
     FROM answers LEFT JOIN listed USING (question_id)""")
 def answers_with_sources(spark: SparkSession, folder: str) -> DataFrame:
-    hits = cut_lineage(search_hits(spark, folder))
-    asked = questions(spark, folder).join(assemble_contexts(hits), "question_id", "left")
+    asked = questions(spark, folder).join(gather_hits(search_hits(spark, folder)), "question_id", "left")
     answers = asked.withColumn("answer", extractive_answer("question", default_contexts("contexts")))
-    shown = F.transform("sources", lambda s: F.concat_ws(" ", s["source"], s["page"], s["excerpt"]))
-    return attach_sources(answers, hits).select(
-        "question_id", F.md5("answer").alias("answer"), F.size("sources").alias("n_sources"),
+    shown = F.transform(or_no_sources(), lambda s: F.concat_ws(" ", s["source"], s["page"], s["excerpt"]))
+    return answers.select(
+        "question_id", F.md5("answer").alias("answer"), F.size(or_no_sources()).alias("n_sources"),
         F.md5(F.array_join(shown, "|")).alias("sources"))
 
 

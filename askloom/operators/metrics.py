@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from askloom.config import BACK_QUESTION_TEMPLATE
 from askloom.functions.text import as_column, bind, distinct_tokens, fill_template, sentences
 from askloom.functions.vectors import cosine, round_score
-from askloom.operators.embedding import EmbedderFactory, embed_text
+from askloom.operators.embedding import EmbedderFactory, embed_or_error
 from askloom.operators.generation import GeneratorFactory, call_generator
 
 # ``(statements, contexts) -> one verdict per statement``
@@ -90,26 +90,42 @@ def back_questions(
     return F.array_compact(F.array(*[call_generator(filled, generator)["text"] for _ in range(n)]))
 
 
-def answer_relevancy(
+def with_relevancy(
     rows: DataFrame,
-    question_id: str = "question_id",
     question: str = "question",
-    answer: str = "answer",
     generated: Column | None = None,
     embedder: EmbedderFactory | None = None,
+    n: int = 1,
 ) -> DataFrame:
-    """``(question_id, answer_relevancy)``: mean cosine between the question and the
+    """Add ``answer_relevancy``: the mean cosine between the question and the up to ``n``
     questions ``generated`` from the answer (default: the answer's first sentence).
 
-    The cosine divides by both lengths, so the model need not return unit vectors.
+    Row by row: nothing is shuffled.  A question that cannot be compared is skipped, as is one
+    on which the embedder fails.  The cosine divides by both lengths, so the model need not
+    return unit vectors.
     """
+    made = rows.withColumn("_made", back_questions("answer") if generated is None else generated)
+    for i in range(n):
+        made = made.withColumn(f"_v{i}", embed_or_error(F.get("_made", F.lit(i)), embedder)["vector"])
+    made = made.withColumn("_q", embed_or_error(question, embedder)["vector"])
+    cosines = F.array_compact(F.array(*[cosine("_q", f"_v{i}") for i in range(n)]))
+    mean = F.aggregate(cosines, F.lit(0.0), lambda acc, c: acc + c) / F.nullif(F.size(cosines), F.lit(0))
+    return made.withColumn("answer_relevancy", mean).drop("_made", "_q", *[f"_v{i}" for i in range(n)])
+
+
+def answer_relevancy(
+    rows: DataFrame,
+    question_id: str = "question_id",
+    question: str = "question",
+    answer: str = "answer",
+    generated: Column | None = None,
+    embedder: EmbedderFactory | None = None,
+    n: int = 1,
+) -> DataFrame:
+    """``(question_id, answer_relevancy)``, see ``with_relevancy``."""
     made = back_questions(answer) if generated is None else generated
-    pairs = rows.select(question_id, question, F.explode_outer(made).alias("_made"))
-    return (
-        pairs.select(question_id, cosine(embed_text(question, embedder), embed_text("_made", embedder)).alias("c"))
-        .groupBy(question_id)
-        .agg(F.avg("c").alias("answer_relevancy"))
-    )
+    return with_relevancy(rows.select(question_id, question, answer), question, made, embedder, n).select(
+        question_id, "answer_relevancy")
 
 
 def context_relevancy(question: Column | str, contexts: Column | str) -> Column:

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from askloom.config import Settings
 from askloom.operators.chat import chat_history, dialogue, standalone_questions, with_epoch, with_pending
-from askloom.operators.citations import attach_sources
 from askloom.operators.embedding import EmbedderFactory, embed_or_error
 from askloom.operators.generation import GeneratorFactory, answer, reword_follow_ups
-from askloom.operators.prompts import assemble_contexts, default_contexts, prompt
+from askloom.operators.hits import gather_hits, or_no_sources
+from askloom.operators.prompts import default_contexts, prompt
 from askloom.operators.retrieval import retrieve
 from askloom.session import cut_lineage
 
@@ -52,17 +52,16 @@ def ask(
 ) -> DataFrame:
     """``questions`` with ``contexts``, ``prompt``, ``answer``, ``error``, ``seconds`` and
     ``sources``.  A ``history`` column of earlier messages goes into the prompt.
-
-    The hits feed both the contexts and the sources, so they are written once.
     """
-    hits = cut_lineage(search(questions, index, settings, embedder, text, key))
+    hits = search(questions, index, settings, embedder, text, key)
     history = F.col("history") if "history" in questions.columns else None
     prepared = (
-        questions.join(assemble_contexts(hits, cite=cite), "question_id", "left")
+        questions.join(gather_hits(hits, cite=cite).drop("best_chars"), "question_id", "left")
         .withColumn("contexts", default_contexts("contexts"))
         .withColumn("prompt", prompt(text, "contexts", history, settings.prompt_template))
     )
-    return attach_sources(answer(prepared, generator, question=text, time_limit=settings.time_limit), hits)
+    answered = answer(prepared, generator, question=text, time_limit=settings.time_limit)
+    return answered.withColumn("sources", or_no_sources())
 
 
 def conversation_questions(

@@ -14,9 +14,10 @@ from askloom.config import Settings
 from askloom.operators import scoring
 from askloom.operators.embedding import EmbedderFactory
 from askloom.operators.generation import GeneratorFactory, answer, succeeded, translate
-from askloom.operators.metrics import JudgeFactory, answer_relevancy, back_questions, faithfulness, judged
-from askloom.operators.prompts import assemble_contexts, default_contexts, prompt
-from askloom.operators.retrieval import off_topic_gate, retrieve
+from askloom.operators.metrics import JudgeFactory, back_questions, faithfulness, judged, with_relevancy
+from askloom.operators.hits import gather_hits, is_off_topic
+from askloom.operators.prompts import default_contexts, prompt
+from askloom.operators.retrieval import retrieve
 from askloom.plans.ask import question_vectors
 from askloom.session import cut_lineage
 from askloom.sources.results import append_run, evaluation_report, run_record, write_report, write_results
@@ -40,12 +41,11 @@ def gated_answers(
     if generator is not None:
         asked = cut_lineage(asked)
     vectors = cut_lineage(question_vectors(asked, embedder, "question_en"))
-    hits = cut_lineage(retrieve(vectors.drop("embed_error"), index, settings.top_k, key=key))
+    hits = retrieve(vectors.drop("embed_error"), index, settings.top_k, key=key)
     gated = (
-        off_topic_gate(asked, hits)
-        .join(vectors.drop("embedding"), "question_id", "left")
-        .withColumn("off_topic", F.col("off_topic") & F.col("embed_error").isNull())
-        .join(assemble_contexts(hits), "question_id", "left")
+        asked.join(vectors.drop("embedding"), "question_id", "left")
+        .join(gather_hits(hits).drop("sources"), "question_id", "left")
+        .withColumn("off_topic", is_off_topic() & F.col("embed_error").isNull()).drop("best_chars")
         .withColumn("contexts", F.when(~F.col("off_topic"), default_contexts("contexts")))
         .withColumn("prompt", F.when(
             ~F.col("off_topic") & F.col("embed_error").isNull(), prompt("question_en", "contexts", None, settings.prompt_template)))
@@ -67,16 +67,15 @@ def score_answers(
     A judge that fails leaves ``faithfulness`` NULL and its message in ``judge_error``; means
     skip such rows.
     """
-    rows = succeeded(gated).where(~F.col("off_topic"))
-    relevancy = answer_relevancy(
-        rows, question="question_en", generated=back_questions("answer", back_generator), embedder=embedder)
+    rows = with_relevancy(
+        succeeded(gated).where(~F.col("off_topic")), "question_en", back_questions("answer", back_generator), embedder)
     if judge is None:
         scored = rows.withColumn("faithfulness", faithfulness("answer", "contexts")).withColumn(
             "judge_error", F.lit(None).cast("string"))
     else:
         scored = rows.withColumn("_judged", judged("answer", "contexts", judge)).withColumn(
             "faithfulness", F.col("_judged.share")).withColumn("judge_error", F.col("_judged.error")).drop("_judged")
-    return scored.join(relevancy, "question_id", "left")
+    return scored
 
 
 @dataclass(frozen=True)
@@ -129,6 +128,7 @@ def record_evaluation(
     record = run_record(
         run.rows.sparkSession,
         f"eval_{settings.generator_model}",
+        # The names of parameters, metrics and tags.
         params={
             "llm_model": settings.generator_model,
             "embedding_model": settings.embedding_model,

@@ -24,6 +24,7 @@ QUESTIONS = T.StructType([
     T.StructField("ground_truth", T.StringType()),
 ])
 
+# The column names of the result table and of the run log.
 RESULTS = T.StructType([
     T.StructField("question_originale", T.StringType()),
     T.StructField("question_anglais", T.StringType()),

@@ -61,18 +61,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def read_table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     """Read ``folder/name.parquet``, column-pruned.
 
-    A scan with fewer splits than the session has cores (one small file) is spread
-    over them; a scan of many files keeps its own splits and is not shuffled.
+    A scan of a few splits (one small file) is spread over all cores; any other keeps its
+    splits and is not shuffled.
     """
     df = spark.read.parquet(f"{folder}/{name}.parquet")
     return spread(df.select(*columns) if columns else df)
 
 
+# A scan of fewer splits is spread: below a gigabyte at Spark's default size of a split.
+FEW_SPLITS = 8
+
+
 def spread(scan: DataFrame) -> DataFrame:
-    """Spread a bare scan over all cores when it has too few splits for that.
+    """Spread a bare scan of a few splits over all cores; a larger scan is never shuffled.
 
     Call it on scans only: asking a plan with shuffles for its partition count
     would run those shuffles.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < min(cores, FEW_SPLITS) else scan

@@ -79,7 +79,7 @@ def test_relevancy(spark):
                                  "question_id int, question string, answer string")
     got = {r.question_id: r.answer_relevancy for r in answer_relevancy(rows).collect()}
     assert got[1] == pytest.approx(1) and got[2] == pytest.approx(0, abs=1e-9) and got[3] is None
-    many = answer_relevancy(rows, generated=F.array(F.lit("red fox"), F.lit("blue whale")))
+    many = answer_relevancy(rows, generated=F.array(F.lit("red fox"), F.lit("blue whale")), n=2)
     assert all(math.isclose(r.answer_relevancy, 0.5, abs_tol=1e-6) for r in many.collect())
 
 
