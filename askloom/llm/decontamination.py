@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,11 @@ class SizeClass:
     size: int
     values: list[np.ndarray]
     owners: list[np.ndarray]
-    bits: list[np.ndarray]
+
+    @cached_property
+    def bits(self) -> list[np.ndarray]:
+        """Made where they are used, not sent."""
+        return [_bits(v) for v in self.values]
 
 
 @dataclass
@@ -87,14 +92,13 @@ def index_items(rows: list[tuple]) -> Items:
     built = []
     for size, members in sorted(classes.items()):
         of = np.array(members, np.int64)
-        vals, own, bits = [], [], []
+        vals, own = [], []
         for m in MULTIPLIERS:
             v = np.array([(sets[k] * m).min() for k in members], np.uint64)
             o = np.argsort(v, kind="stable")
             vals.append(v[o])
             own.append(of[o])
-            bits.append(_bits(v))
-        built.append(SizeClass(size, vals, own, bits))
+        built.append(SizeClass(size, vals, own))
     return Items(ids, sets, built, values[order], owners[order], _bits(values))
 
 

@@ -41,6 +41,9 @@ class _Powers:
     def __init__(self, base: np.uint64):
         self.base, self.kept = base, np.ones(1, np.uint64)
 
+    def __reduce__(self):
+        return _Powers, (self.base,)  # a function sent to tasks does not carry the table
+
     def upto(self, n: int) -> np.ndarray:
         if len(self.kept) < n:
             grown = np.full(max(n, SLICE + 1), self.base, np.uint64)
