@@ -22,6 +22,8 @@ CUT = 0.7
 #: Labelled documents that the fit takes at most (the bounded sample), and features kept.
 TRAIN_DOCS, KEPT, LEAST_DOCS = 20_000, 4096, 4
 AFFIX = range(3, 8)
+#: Bytes of text taken at once: every word has about eleven features.
+BYTES = 1 << 19
 ROUNDS, RATE, RIDGE = 600, 0.15, 1e-4
 ENDS = np.zeros(256, bool)
 ENDS[[10, 33, 46, 63]] = True
@@ -180,7 +182,7 @@ def train_toxicity(documents: DataFrame, labels: DataFrame, sample: int = TRAIN_
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label, rows = batch.column(0).to_pylist(), []
-            for i, j, data, offsets in slices(batch.column(1)):
+            for i, j, data, offsets in slices(batch.column(1), BYTES):
                 pairs, doc, _, _ = _held(bare, data, offsets)
                 number = np.bincount(doc, minlength=j - i)
                 bounds = np.searchsorted(doc[pairs[:, 0]], np.arange(j - i + 1)) if len(pairs) else np.zeros(j - i + 1, np.int64)
@@ -200,7 +202,7 @@ def train_toxicity(documents: DataFrame, labels: DataFrame, sample: int = TRAIN_
 def _document_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         label = batch.column(0).to_numpy()
-        for i, j, data, offsets in slices(batch.column(1)):
+        for i, j, data, offsets in slices(batch.column(1), BYTES):
             hashes, of, doc, *_ = instances(data, offsets)
             owner = doc[of]
             order = np.lexsort((hashes, owner))
@@ -228,7 +230,7 @@ def drop_toxic(documents: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [model.calibrated(_clean(model, data, offsets, j - i)[0]) < CUT
-                    for i, j, data, offsets in slices(batch.column(text))]
+                    for i, j, data, offsets in slices(batch.column(text), BYTES)]
             if keep:
                 yield batch.filter(pa.array(np.concatenate(keep)))
 
@@ -248,7 +250,7 @@ def score_toxicity(documents: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for i, j, data, offsets in slices(batch.column(1)):
+            for i, j, data, offsets in slices(batch.column(1), BYTES):
                 clean, z, doc, start, end = _clean(model, data, offsets, j - i)
                 number, score = np.bincount(doc, minlength=j - i), model.calibrated(clean)
                 first = np.zeros(j - i + 1, np.int64)
