@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -110,22 +111,30 @@ def _softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, z)
 
 
-def fit(known: np.ndarray, docs: list[tuple[int, int, list[int], list[int]]]) -> Model:
-    """Fit weights on (label, number of sentences, sentence of each feature, feature) per document."""
+@dataclass
+class Bags:
+    """Labelled documents: label, number of sentences, and of each its features with their sentences, one after another."""
+
+    label: np.ndarray
+    number: np.ndarray
+    first: np.ndarray  # place of each document's features, n + 1 places
+    sentence: np.ndarray
+    feature: np.ndarray
+
+
+def fit(known: np.ndarray, bags: Bags | None) -> Model:
+    """Fit weights on labelled documents; with one label only no document is toxic."""
     k = len(known)
     empty = Model(known, np.zeros(k), -8.0, 0.5)
-    label = np.array([d[0] for d in docs], np.float64)
-    if not len(label) or label.min() == label.max():
+    if bags is None or not len(bags.label) or bags.label.min() == bags.label.max():
         return empty
-    feature = np.concatenate([np.asarray(d[3], np.int64) for d in docs])
-    sent, doc, shift = [], [], 0
-    for i, d in enumerate(docs):
-        ids, place = np.unique(np.asarray(d[2], np.int64), return_inverse=True)
-        sent.append(place + shift)
-        doc.append(np.full(len(ids), i))
-        shift += len(ids)
-    sent, doc = np.concatenate(sent).astype(np.int64), np.concatenate(doc).astype(np.int64)
-    plain = np.array([d[1] for d in docs], np.float64) - np.bincount(doc, minlength=len(docs))
+    label, docs, feature = bags.label.astype(np.float64), range(len(bags.label)), bags.feature
+    of = np.repeat(np.arange(len(label)), np.diff(bags.first))
+    new = np.ones(len(of), bool)
+    new[1:] = (of[1:] != of[:-1]) | (bags.sentence[1:] != bags.sentence[:-1])
+    sent, doc = np.cumsum(new) - 1, of[new]
+    shift = len(doc)
+    plain = bags.number - np.bincount(doc, minlength=len(label)).astype(np.float64)
     w = np.append(np.zeros(k), -6.0)
     m, v = np.zeros(k + 1), np.zeros(k + 1)
     for step in range(1, ROUNDS + 1):  # Adam on the log likelihood of noisy-or
@@ -167,7 +176,7 @@ def train_toxicity(documents: DataFrame, labels: DataFrame, sample: int = TRAIN_
     total = chosen.agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")).head()
     yes, no = float(total["a"] or 0), float(total["b"] or 0)
     if not yes or not no:
-        return fit(np.zeros(0, np.uint64), [])
+        return fit(np.zeros(0, np.uint64), None)
     part = F.lit(yes / (yes + no))
     n = F.col("a") + F.col("b")
 
@@ -181,22 +190,25 @@ def train_toxicity(documents: DataFrame, labels: DataFrame, sample: int = TRAIN_
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            label, rows = batch.column(0).to_pylist(), []
+            label = batch.column(0)
             for i, j, data, offsets in slices(batch.column(1), BYTES):
                 pairs, doc, _, _ = _held(bare, data, offsets)
-                number = np.bincount(doc, minlength=j - i)
                 bounds = np.searchsorted(doc[pairs[:, 0]], np.arange(j - i + 1)) if len(pairs) else np.zeros(j - i + 1, np.int64)
-                for d in range(j - i):
-                    own = pairs[bounds[d]:bounds[d + 1]]
-                    rows.append((label[i + d], int(number[d]), own[:, 0].tolist(), own[:, 1].tolist()))
-            if rows:
+                places = pa.array(bounds.astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())))],
+                    [label.slice(i, j - i), pa.array(np.bincount(doc, minlength=j - i).astype(np.int32)),
+                     pa.ListArray.from_arrays(places, pa.array(pairs[:, 0].astype(np.int32))),
+                     pa.ListArray.from_arrays(places, pa.array(pairs[:, 1].astype(np.int32)))],
                     ["label", "n", "sentence", "feature"])
 
-    rows = texts.mapInArrow(bags, "label long, n long, sentence array<long>, feature array<long>").collect()
-    # Sorted, so that the fit does not depend on the order of rows.
-    return fit(known, sorted((r["label"], r["n"], [s - r["sentence"][0] for s in r["sentence"]], r["feature"]) for r in rows))
+    # Sorted, so that the fit depends on the order of rows as little as can be.
+    rows = texts.mapInArrow(bags, "label long, n int, sentence array<int>, feature array<int>")
+    rows = rows.withColumn("key", F.xxhash64("feature")).toArrow().sort_by(
+        [(c, "ascending") for c in ("label", "n", "key")]).combine_chunks()
+    feature, sentence = rows.column("feature").combine_chunks(), rows.column("sentence").combine_chunks()
+    first = np.append(0, np.cumsum(pc.list_value_length(feature).to_numpy(zero_copy_only=False))).astype(np.int64)
+    return fit(known, Bags(rows.column("label").to_numpy(), rows.column("n").to_numpy(), first,
+                           sentence.flatten().to_numpy(zero_copy_only=False), feature.flatten().to_numpy(zero_copy_only=False)))
 
 
 def _document_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
