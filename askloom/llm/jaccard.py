@@ -120,7 +120,10 @@ def _first_parts(frequent: np.ndarray, least: Fraction):
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by token: those of blocks of more than one.  The last row waits for the next ones."""
+    """From rows sorted by token and node: those of blocks of more than one node, each once.
+
+    Tasks that read equal sets send the same rows.  The last row waits for the next ones.
+    """
 
     def kept(cols: list[np.ndarray], before, ends: bool) -> pa.RecordBatch:
         token = cols[0]
@@ -139,6 +142,9 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols = [batch.column(k).to_numpy() for k in range(3)]
         if held is not None:
             cols = [np.concatenate(c) for c in zip(held, cols)]
+        new = np.ones(len(cols[0]), bool)
+        new[1:] = (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])
+        cols = [c[new] for c in cols]
         yield kept(cols, before, False)
         before = cols[0][-2] if len(cols[0]) > 1 else before
         held = [c[-1:] for c in cols]
@@ -347,7 +353,7 @@ def node_links(documents: DataFrame, described: DataFrame, least: Fraction) -> D
     """Links (x, y) that connect every component of nodes; not all links inside a component."""
     counts = written(described.dropDuplicates(["node"]).select("node", "n", "counts"), "counts")
     tokens = documents.select("text").mapInArrow(_first_parts(_frequent(documents), least), "token long, node long, n long")
-    shared = written(tokens.repartition("token").sortWithinPartitions("token").mapInArrow(
+    shared = written(tokens.repartition("token").sortWithinPartitions("token", "node").mapInArrow(
         _shared, "token long, node long, n long"), "shared")
     part = F.col("n") - F.ceil(F.col("n") * least.numerator / least.denominator) + 1
     score = shared.groupBy("node").agg((F.count(F.lit(1)) / F.first(part)).alias("score"))

@@ -107,6 +107,29 @@ def test_components_equal_brute_force(spark, monkeypatch, part):
     assert got == plain_components(table)
 
 
+def test_near_copies_with_exact_copies_in_other_tasks(spark):
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    texts = near_copies(rng, vocabulary, 30, 2, 80)
+    table = dict(enumerate(texts + texts))
+    # Four tasks: every text is read by two of them.
+    rows = spark.sparkContext.parallelize(list(table.items()), 4)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_components(docs).collect()}
+    want = plain_components(table)
+    assert got == want and len({c for _, c in want.values()}) < 50
+
+
+@pytest.mark.parametrize("rows", [1, 2, 3, 100])
+def test_rows_of_blocks_are_distinct(rows):
+    token = [1, 1, 1, 2, 2, 3, 4, 4, 4, 4, 5]
+    node = [7, 7, 8, 7, 7, 9, 5, 5, 6, 6, 5]
+    table = pa.RecordBatch.from_pydict({"token": token, "node": node, "n": [4] * len(token)})
+    batches = [table.slice(k, rows) for k in range(0, len(token), rows)]
+    got = [(r["token"], r["node"]) for b in jaccard._shared(iter(batches)) for r in b.to_pylist()]
+    assert got == [(1, 7), (1, 8), (4, 5), (4, 6)]
+
+
 def test_components_of_the_tables(spark):
     docs = read(spark, FOLDER, "documents")
     table = {r["doc_id"]: r["text"] for r in docs.collect()}
