@@ -10,14 +10,16 @@ without its oldest symbol) by more than chance and its size allow.  Next-symbol
 are discounted, and what is left goes to the parent's distribution.  A symbol is scored from
 the longest suffix of what came before that is a state.
 
-Counts are gathered from all training texts.  Which states and symbols are kept goes by shares
-of the training symbols, so the tree that is sent to all tasks has a bounded size; the
-vocabulary for the base score has none and is sent in blocks of ``VOCABULARY_BLOCK`` words.
+Counts are gathered from all training texts.  Which states and symbols are kept goes by the
+divergence and by fixed least counts, whatever the size of the corpus, so the tree grows with
+it.  It is sent to the tasks in blocks of about ``TREE_BLOCK`` next symbols, the vocabulary for
+the base score in blocks of ``VOCABULARY_BLOCK`` words, and each pass over the texts takes one
+block of both.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,13 +35,14 @@ BITS = np.uint64(16)
 END = 0x0A00
 END_TOKEN = -0x5DEECE66D0A00B
 DISCOUNT = 0.7
-#: A state occurs in one of so many training positions at least, a kept next symbol in one of so many.
-STATE_SHARE, NEXT_SHARE = 1_000_000, 20_000_000
+#: A state occurs so many times at least, a kept next symbol so many times.
 LEAST_STATE, LEAST_NEXT = 8, 2
 #: Gain in nats over the parent for each different next symbol.
 GAIN_EACH = 1.0
 HELD = 4 << 20
 VOCABULARY_BLOCK = 8 << 20
+#: Next symbols after two and three symbols that go to the tasks at once (about 12 bytes each).
+TREE_BLOCK = 2 << 20
 
 
 def symbols(data: np.ndarray, w: Words, docs: int) -> tuple[np.ndarray, np.ndarray]:
@@ -130,6 +133,46 @@ class Tree:
                 out[open_] += self.left[0][0] - 16 * np.log10(2)
         return out
 
+    def blocks(self) -> int:
+        return 1
+
+    def block(self, b: int) -> Tree:
+        return self
+
+
+@dataclass
+class StoredTree:
+    """A tree too large for one block: for each depth the kept (key, n, total), read again for every block.
+
+    A block has what follows some of all pairs of symbols, and what follows less than a pair,
+    at most the grams of four bytes.  A gram is scored by the block of the pair before it.
+    """
+
+    levels: list[DataFrame]
+    number: int
+
+    def blocks(self) -> int:
+        return self.number
+
+    def block(self, b: int) -> Tree:
+        pair = F.shiftrightunsigned("key", 16).bitwiseAND(_mask(2))
+        own = F.shiftright(pair * PAIR_FACTOR, 16) % self.number == b
+        return build_tree(_arrays(level.where(own) if d > 1 else level) for d, level in enumerate(self.levels))
+
+
+#: Deals the pairs of symbols (32 bits) to blocks; the product stays below 2 to the 63.
+PAIR_FACTOR = 1640531527
+
+
+def _in_block(key: np.ndarray, b: int, blocks: int) -> np.ndarray:
+    pair = (key >> BITS) & np.uint64(_mask(2))
+    return ((pair * np.uint64(PAIR_FACTOR)) >> np.uint64(16)) % np.uint64(blocks) == np.uint64(b)
+
+
+def _arrays(level: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    table = level.select("key", "n", "total").toArrow()
+    return table.column(0).to_numpy().view(np.uint64), table.column(1).to_numpy(), table.column(2).to_numpy()
+
 
 def _below(key: np.ndarray, count: int) -> np.ndarray:
     return key if count * 16 >= 64 else key & np.uint64((1 << (16 * count)) - 1)
@@ -142,7 +185,7 @@ def _find(table: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, table[at] == key
 
 
-def build_tree(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Tree:
+def build_tree(levels: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Tree:
     """From the kept (gram, count, count of its context) of every depth to chances.
 
     A gram's chance is its discounted share plus what the context leaves, by the parent.
@@ -178,19 +221,18 @@ def _context(key: Column) -> Column:
     return F.shiftrightunsigned(key, 16)
 
 
-def learn_tree(counts: DataFrame) -> Tree:
+def learn_tree(counts: DataFrame) -> Tree | StoredTree:
     """Choose states from gram counts (key, n) and build the tree."""
     levels = {DEPTH: counts}
     for d in range(DEPTH - 1, -1, -1):
         own = levels[d + 1].groupBy(F.col("key").bitwiseAND(_mask(d + 1)).alias("key")).agg(F.sum("n").alias("n"))
         levels[d] = written(own, f"level{d}")
     total = levels[0].agg(F.sum("n")).head()[0] or 0
-    least_state, least_next = max(LEAST_STATE, total // STATE_SHARE), max(LEAST_NEXT, total // NEXT_SHARE)
     chosen: dict[int, DataFrame] = {}
     sizes = {0: levels[0].agg(F.sum("n").alias("total")).select(F.lit(0).cast("long").alias("context"), "total")}
     for d in range(1, DEPTH + 1):
         sizes[d] = levels[d].groupBy(_context(F.col("key")).alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("types"))
-        frequent = written(sizes[d].where(F.col("total") >= least_state), f"frequent{d}")
+        frequent = written(sizes[d].where(F.col("total") >= LEAST_STATE), f"frequent{d}")
         own = levels[d].withColumn("context", _context(F.col("key"))).join(frequent, "context")
         up = levels[d - 1].select(F.col("key").alias("up"), F.col("n").alias("n_up"), _context(F.col("key")).alias("context_up")).join(
             sizes[d - 1].select(F.col("context").alias("context_up"), F.col("total").alias("total_up")), "context_up")
@@ -203,14 +245,13 @@ def learn_tree(counts: DataFrame) -> Tree:
         suffixes = chosen[d].select(F.col("context").bitwiseAND(_mask(d - 1)).alias("context")).distinct()
         chosen[d - 1] = sizes[d - 1].join(
             suffixes.unionByName(chosen[d - 1].select("context")).distinct(), "context").select("context", "total")
-    kept = [(levels[0].where(F.col("n") >= least_next).withColumn("total", F.lit(total).cast("long")))]
+    kept = [(levels[0].where(F.col("n") >= LEAST_NEXT).withColumn("total", F.lit(total).cast("long")))]
     for d in range(1, DEPTH + 1):
-        kept.append(levels[d].where(F.col("n") >= least_next).withColumn("context", _context(F.col("key"))).join(chosen[d], "context"))
-    arrays = []
-    for frame in kept:
-        table = frame.select("key", "n", "total").toArrow()
-        arrays.append(tuple(table.column(c).to_numpy() for c in range(3)))
-    return build_tree([(k.view(np.uint64), n, t) for k, n, t in arrays])
+        kept.append(levels[d].where(F.col("n") >= LEAST_NEXT).withColumn("context", _context(F.col("key"))).join(chosen[d], "context"))
+    kept = [written(frame.select("key", "n", "total"), f"kept{d}") for d, frame in enumerate(kept)]
+    blocks = max(1, -(-sum(level.count() for level in kept[2:]) // TREE_BLOCK))
+    stored = StoredTree(kept, blocks)
+    return stored.block(0) if blocks == 1 else stored
 
 
 @dataclass
@@ -231,7 +272,7 @@ class Vocabulary:
         return table.column("key").to_numpy().view(np.uint64)[order], table.column("n").to_numpy()[order]
 
 
-def learn(training: DataFrame) -> tuple[Tree, Vocabulary]:
+def learn(training: DataFrame) -> tuple[Tree | StoredTree, Vocabulary]:
     """Count ``training`` (text: null is empty) once and build both models."""
     counts = written(training.select("text").mapInArrow(_gather, "kind int, key long, n long").groupBy("kind", "key").agg(
         F.sum("n").alias("n")), "counts")
@@ -240,26 +281,43 @@ def learn(training: DataFrame) -> tuple[Tree, Vocabulary]:
     return learn_tree(counts.where("kind = 0").select("key", "n")), Vocabulary(vocabulary, row[0] or 0, row[1])
 
 
-def score_texts(documents: DataFrame, tree: Tree, vocabulary: Vocabulary) -> DataFrame:
+def score_texts(documents: DataFrame, tree: Tree | StoredTree, vocabulary: Vocabulary) -> DataFrame:
     """Scores of every row of ``documents`` (doc_id, text).
 
     Returns doc_id, n_tokens, n_known, train_tokens, base_score and score.  Null and empty texts are one
     end token.  Repeated rows and null ids are scored each; other columns are not read; an
     empty table gives no rows.  Without any training text nothing is known and the tree is
-    uniform over all pairs of bytes.
+    uniform over all pairs of bytes.  With several blocks, equal rows have equal sums, so id and
+    a hash of the text bring the sums of a row together.
     """
     whole = vocabulary.tokens + 0.1 * (vocabulary.distinct + 1)
-    blocks = vocabulary.blocks()
-    frame = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(0).cast("long").alias("n_known"), F.lit(0.0).alias("known"))
-    for b in range(blocks - 1):
-        frame = written(frame.mapInArrow(_base(*vocabulary.block(b), whole, None), "doc_id long, text string, n_known long, known double"), "scored")
-    out = frame.mapInArrow(_base(*vocabulary.block(blocks - 1), whole, tree),
-                           "doc_id long, n_tokens long, n_known long, base_score double, score double")
-    return out.withColumn("train_tokens", F.lit(vocabulary.tokens).cast("long"))
-
-
-def _base(keys: np.ndarray, counts: np.ndarray, whole: float, tree: Tree | None):
-    """Add the known words of one block of the vocabulary; with ``tree`` also finish."""
+    frame = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text")
+    passes = max(vocabulary.blocks(), tree.blocks())
+
+    def sums(b: int) -> DataFrame:
+        words_of = vocabulary.block(b) if b < vocabulary.blocks() else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        tree_of = tree.block(b) if b < tree.blocks() else None
+        return frame.mapInArrow(_sums(*words_of, whole, tree_of, b, tree.blocks()),
+                                "doc_id long, hash long, n_tokens long, n_known long, known double, score double")
+
+    if passes == 1:
+        out = sums(0)
+    else:
+        each = written(sums(0), "sums")
+        for b in range(1, passes):
+            each = each.unionByName(written(sums(b), "sums"))
+        copies = F.count(F.lit(1)) / passes
+        out = each.groupBy("doc_id", "hash").agg(
+            F.max("n_tokens").alias("n_tokens"), F.round(F.sum("n_known") / copies).cast("long").alias("n_known"),
+            (F.sum("known") / copies).alias("known"), (F.sum("score") / copies).alias("score"), copies.cast("int").alias("copies")
+        ).withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+    unknown = (F.col("n_tokens") - F.col("n_known")) * F.lit(float(np.log10(0.1 / whole)))
+    return out.select("doc_id", "n_tokens", "n_known", (F.col("known") + unknown).alias("base_score"), "score",
+                      F.lit(vocabulary.tokens).cast("long").alias("train_tokens"))
+
+
+def _sums(keys: np.ndarray, counts: np.ndarray, whole: float, tree: Tree | None, b: int, blocks: int):
+    """Of rows (doc_id, hash, text): the known words of one block of the vocabulary and the grams of block ``b`` of the tree."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([END_TOKEN]).view(np.uint64)
@@ -267,31 +325,34 @@ def _base(keys: np.ndarray, counts: np.ndarray, whole: float, tree: Tree | None)
         end_share = float(np.log10((counts[at_end[0]] + 0.1) / whole)) if knows_end[0] else 0.0
         for batch in batches:
             known, tokens, share, score = [], [], [], []
-            for i, j, data, offsets in slices(batch.column(1)):
+            for i, j, data, offsets in slices(batch.column(2)):
                 docs = j - i
                 w = words(data, offsets)
-                kinds, of = np.unique(w.hash, return_inverse=True)
-                at, hit = _find(keys, kinds)
-                value = np.where(hit, np.log10((counts[at] + 0.1) / whole), 0.0) if len(keys) else np.zeros(len(kinds))
-                known.append(np.bincount(w.doc, weights=hit[of], minlength=docs).astype(np.int64) + int(knows_end[0]))
-                share.append(np.bincount(w.doc, weights=value[of], minlength=docs) + end_share)
                 tokens.append(np.diff(w.first) + 1)
+                if len(keys):
+                    kinds, of = np.unique(w.hash, return_inverse=True)
+                    at, hit = _find(keys, kinds)
+                    value = np.where(hit, np.log10((counts[at] + 0.1) / whole), 0.0)
+                    known.append(np.bincount(w.doc, weights=hit[of], minlength=docs).astype(np.int64) + int(knows_end[0]))
+                    share.append(np.bincount(w.doc, weights=value[of], minlength=docs) + end_share)
+                else:
+                    known.append(np.zeros(docs, np.int64))
+                    share.append(np.zeros(docs))
                 if tree is not None:
                     symbol, first = symbols(data, w, docs)
-                    each, of = np.unique(grams(symbol, first), return_inverse=True)
-                    score.append(np.add.reduceat(tree.log10(each)[of], first[:-1]))
+                    key = grams(symbol, first)
+                    doc = np.repeat(np.arange(docs), np.diff(first))
+                    if blocks > 1:
+                        own = _in_block(key, b, blocks)
+                        key, doc = key[own], doc[own]
+                    each, of = np.unique(key, return_inverse=True)
+                    score.append(np.bincount(doc, weights=tree.log10(each)[of], minlength=docs).astype(np.float64))
+                else:
+                    score.append(np.zeros(docs))
             if not known:
                 continue
-            n_known = np.concatenate(known) + batch.column(2).to_numpy()
-            sums = np.concatenate(share) + batch.column(3).to_numpy()
-            if tree is None:
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n_known), pa.array(sums)],
-                                                 ["doc_id", "text", "n_known", "known"])
-            else:
-                n = np.concatenate(tokens)
-                sums = sums + (n - n_known) * np.log10(0.1 / whole)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(n), pa.array(n_known), pa.array(sums), pa.array(np.concatenate(score))],
-                    ["doc_id", "n_tokens", "n_known", "base_score", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1)] + [pa.array(np.concatenate(x)) for x in (tokens, known, share, score)],
+                ["doc_id", "hash", "n_tokens", "n_known", "known", "score"])
 
     return run

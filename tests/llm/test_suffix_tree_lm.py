@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from askloom.llm import suffix_tree_lm
 from askloom.llm.frames import read
 from askloom.llm.queries import QUERIES
-from askloom.llm.suffix_tree_lm import DEPTH, END, grams, learn, score_texts, symbols
+from askloom.llm.suffix_tree_lm import DEPTH, END, grams, learn, learn_tree, score_texts, symbols
 from askloom.llm.tokens import slices, words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -82,6 +82,36 @@ def test_chances_sum_to_one(spark):
         assert total == pytest.approx(1)
 
 
+def test_a_passage_is_kept_whatever_the_size_of_the_corpus(spark):
+    def key(*symbols):
+        return sum(s << 16 * (DEPTH - k) for k, s in enumerate(symbols))
+
+    passage = [(key(10, 11, 12, 13), 100), (key(30, 11, 12, 14), 100)]
+    for filler in (100, 10 ** 11):
+        rows = [*passage, (key(1, 2, 3, 4), filler), (key(1, 2, 3, 13), filler)]
+        tree = learn_tree(spark.createDataFrame(rows, "key long, n long"))
+        assert key(10, 11, 12, 13) in tree.nexts[3].tolist() and key(0, 0, 12, 13) in tree.nexts[1].tolist()
+        assert tree.log10(np.array([key(10, 11, 12, 13)], np.uint64))[0] > -0.1
+
+
+def test_blocks_of_the_tree(spark, monkeypatch):
+    docs = read(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
+    odd = spark.createDataFrame([(None, "a b"), (None, "a b"), (1, None), (1, None), (1, ""), (1, "the end")], "doc_id long, text string")
+    docs = docs.unionByName(odd)
+
+    def got():
+        tree, vocabulary = learn(docs)
+        return tree.blocks(), sorted(map(tuple, score_texts(docs, tree, vocabulary).collect()), key=lambda r: (str(r[0]), r[1:]))
+
+    one, want = got()
+    monkeypatch.setattr(suffix_tree_lm, "TREE_BLOCK", 3000)
+    monkeypatch.setattr(suffix_tree_lm, "VOCABULARY_BLOCK", 3000)
+    many, have = got()
+    assert one == 1 and many > 2 and len(have) == len(want)
+    for a, b in zip(have, want):
+        assert a[:3] == b[:3] and a[3:5] == pytest.approx(b[3:5]) and a[5] == b[5]
+
+
 def test_odd_rows(spark):
     rows = [(None, "a b"), (1, None), (1, None), (2, ""), (3, "?"), (4, "long " * 20000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("known", F.lit("clash")).withColumn("key", F.lit(1))
