@@ -53,6 +53,91 @@ EMBEDDINGS = f"""
     FROM (SELECT node AS vec_id, min(c) AS component_id FROM reach GROUP BY node) LEFT JOIN degrees ON a = vec_id"""
 
 
+FILTER_AUDIT = """
+    WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+    firsts AS (SELECT t, min(doc_id) AS least FROM d GROUP BY t),
+    worded AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w FROM d),
+    failing AS MATERIALIZED (
+        SELECT doc_id, part, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+                              100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t),
+                              regexp_matches(t, '[#$%&*|]'), doc_id > least] AS f
+        FROM worded JOIN firsts USING (t)),
+    known AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+    patterns AS MATERIALIZED (
+        SELECT part, f, count(*) AS n, count(CASE WHEN good THEN 1 END) AS good, count(CASE WHEN toxic THEN 1 END) AS toxic
+        FROM failing LEFT JOIN known USING (doc_id) GROUP BY part, f),
+    orders AS (SELECT [1]::INTEGER[] AS o WHERE false UNION ALL
+               SELECT [a, b, c, d, e]::INTEGER[] FROM range(1, 6) x(a), range(1, 6) y(b), range(1, 6) z(c), range(1, 6) u(d), range(1, 6) v(e)
+               WHERE len(list_distinct([a, b, c, d, e])) = 5),
+    steps AS (SELECT array_to_string(list_transform(o, lambda i: 'ABCDE'[i]), '') AS filter_order, s AS step, o[s] AS i, o[1:s - 1] AS before
+              FROM orders, range(1, 6) r(s)),
+    met AS (SELECT part, filter_order, step, i, n, good, toxic, f[i] AS fails,
+                   coalesce(list_bool_or(list_transform(before, lambda k: f[k])), false) AS gone,
+                   len(list_filter(f, lambda x: x)) AS failed
+            FROM patterns, steps),
+    counted AS (SELECT part, filter_order, step, i,
+                       coalesce(sum(n) FILTER (NOT gone AND NOT fails), 0)::BIGINT AS kept,
+                       coalesce(sum(n) FILTER (fails AND NOT gone), 0)::BIGINT AS removed,
+                       coalesce(sum(n) FILTER (fails AND gone), 0)::BIGINT AS redundant,
+                       coalesce(sum(n) FILTER (fails AND failed = 1), 0)::BIGINT AS unique_fails,
+                       coalesce(sum(good) FILTER (fails AND NOT gone), 0)::BIGINT AS good_lost,
+                       coalesce(sum(toxic) FILTER (fails AND NOT gone), 0)::BIGINT AS toxic_lost
+                FROM met GROUP BY part, filter_order, step, i)
+    SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+           sum(removed) OVER (PARTITION BY part, i)::BIGINT AS shapley
+    FROM counted"""
+
+WINDOWS = """
+    WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    windows AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS s
+                FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+    again AS MATERIALIZED (SELECT doc_id, i FROM (
+        SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS r FROM windows) WHERE r > 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM again),
+    each AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+             FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+    SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+    FROM d LEFT JOIN kept USING (doc_id)"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    step = "list_reduce([c] || range(8), lambda a, k: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END)"
+    bits = step.replace("[c]", "[xor(a, x)]").replace("lambda a, k", "lambda y, k").replace("a % 2", "y % 2").replace("a // 2", "y // 2")
+    return (f"xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(string_split({text}, ''), "
+            f"lambda ch: ascii(ch)::BIGINT), lambda a, x: {bits}))")
+
+
+PREFIX_TRIE = f"""
+    WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                      row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+               FROM conversations WHERE conv_id IS NOT NULL),
+    own AS MATERIALIZED (SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY place) AS turns FROM t GROUP BY conv_id),
+    cut AS (SELECT conv_id, turns, conv_id - conv_id % 20 AS base, ({_crc32('conv_id::VARCHAR')} % 4)::BIGINT AS h FROM own),
+    rebuilt AS MATERIALIZED (
+        SELECT c.conv_id, CASE WHEN c.base = c.conv_id THEN c.turns
+                               ELSE list_concat(coalesce(b.turns[1:h], []), c.turns[h + 1:]) END AS turns
+        FROM cut c LEFT JOIN own b ON b.conv_id = c.base),
+    prefixes AS (SELECT conv_id, turns[1:d] AS p, d AS depth, len(turns) = d AS ends
+                 FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)),
+    nodes AS MATERIALIZED (
+        SELECT p, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+               sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+        FROM prefixes GROUP BY p, depth),
+    joined AS MATERIALIZED (
+        SELECT n.*, q.conv_id AS parent_conv_id, (n.n_convs - 1) * CASE WHEN n.depth = 0 THEN 0
+                   ELSE len(regexp_extract_all(n.p[n.depth].text, '[^\x20\x09-\x0D]+')) END AS saved
+        FROM nodes n LEFT JOIN nodes q ON q.depth = n.depth - 1 AND q.p = n.p[1:n.depth - 1]),
+    children AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM joined WHERE depth > 0 GROUP BY ALL),
+    counted AS MATERIALIZED (SELECT j.*, coalesce(n_children, 0) AS n_children FROM joined j LEFT JOIN children USING (conv_id, depth)),
+    above AS (SELECT p[1:d] AS p, d AS depth, saved, n_children FROM (
+                  SELECT p, saved, n_children, unnest(range(0, depth + 1)) AS d FROM counted)),
+    below AS (SELECT p, depth, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM above GROUP BY p, depth)
+    SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, ends_sha256
+    FROM counted JOIN below USING (p, depth)"""
+
+
 def url_rules(rules: tuple[Rule, ...], least: float = 0.5, z: float = 1.645) -> str:
     def choose(value: str) -> str:
         cases = " ".join(

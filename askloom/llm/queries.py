@@ -7,16 +7,19 @@ from pyspark.sql import functions as F
 
 from askloom.llm import oracles
 from askloom.llm.decontamination import contaminated
+from askloom.llm.filter_audit import audit_filters
 from askloom.llm.frames import held_out, read
 from askloom.llm.grid_order import link_vectors
 from askloom.llm.jaccard import jaccard_components
 from askloom.llm.mixing import mix_sources
+from askloom.llm.prefix_trie import prefix_trie
 from askloom.llm.quality import score_quality, train_quality
 from askloom.llm.secrets import names, scan_secrets
 from askloom.llm.suffix_dedup import remove_repeats
 from askloom.llm.suffix_tree_lm import learn, score_texts
 from askloom.llm.toxicity import score_toxicity, train_toxicity
 from askloom.llm.url_reputation import Rule, judge_pages
+from askloom.llm.window_sketch import remove_repeated_words
 
 #: Fixed values of the contract: rules for URLs, weights of sources.
 RULES = (Rule("allow", "com/"), Rule("block", "example.com/en/"), Rule("allow", "www.example.com/en/"),
@@ -93,14 +96,30 @@ def op10_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
     return link_vectors(read(spark, folder, "embeddings"))
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit_filters(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(read(spark, folder, "conversations"))
+
+
+def op13_window_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeated_words(read(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_url_reputation, op3_jaccard_join, op4_source_mix, op5_suffix_tree_lm,
     op6_secret_scan, op7_quality_ranking,
-    op8_toxic_sentences, op9_decontamination, op10_embedding_links)}
+    op8_toxic_sentences, op9_decontamination, op10_embedding_links, op11_filter_audit, op12_prefix_trie,
+    op13_window_sketch)}
 ORACLE_SQL: dict[str, str] = {
     "op2_url_reputation": oracles.url_rules(RULES),
     "op3_jaccard_join": oracles.JACCARD,
     "op6_secret_scan": oracles.secret_spans(),
     "op9_decontamination": oracles.CONTAINMENT,
     "op10_embedding_links": oracles.EMBEDDINGS,
+    "op11_filter_audit": oracles.FILTER_AUDIT,
+    "op12_prefix_trie": oracles.PREFIX_TRIE,
+    "op13_window_sketch": oracles.WINDOWS,
 }

@@ -96,9 +96,10 @@ def span_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mixed((sums[end] - sums[start]) * _UP.upto(len(sums))[start] + (end - start).astype(np.uint64))
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Words of lower-cased (A-Z) documents; documents do not run into each other."""
-    data = LOWER[data]
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> Words:
+    """Words of documents, lower-cased (A-Z) unless told not to; documents do not run into each other."""
+    if lower:
+        data = LOWER[data]
     n, docs = len(data), len(offsets) - 1
     solid = ~SPACE[data]
     edge = np.zeros(n + 1, bool)
