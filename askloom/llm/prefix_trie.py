@@ -86,7 +86,8 @@ def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Conversations (conv_id, n turns) and their rebuilt turns (conv_id, depth from 1, turn_key, words).
 
     A conversation c begins with the first h turns of c - c % ``STRIDE`` and goes on with its own turns
-    after its first h, where h = crc32(c) % ``MOST_SHARED``.
+    after its first h, where h = crc32(c) % ``MOST_SHARED``.  The remainder of a negative id is
+    negative, as in SQL.
     """
     base = F.col("conv_id") - F.col("conv_id") % STRIDE
     convs = written(turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("own")).withColumn("base", base).withColumn(
