@@ -234,7 +234,8 @@ def repeated_windows(documents: DataFrame) -> DataFrame:
     first = written(held.groupBy("gram", "segment").agg(F.min(at).alias("at")).select("gram", "at.doc", "at.place"), "first")
     copies = repeated.where("gone").select("doc", "place").unionByName(
         held.select("doc", "place").join(first.select("doc", "place"), ["doc", "place"], "left_anti"))
-    several = first.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    # Written, so that the join below deals both sides itself and a hot gram's part can be split.
+    several = written(first.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "several")
     wanted = first.join(several, "gram").groupBy("doc").agg(F.collect_list("place").alias("places"))
     windows = written(documents.select("doc", "text").join(wanted, "doc").select("doc", "text", "places").mapInArrow(
         _opened, "one long, two long, doc long, place long"), "windows")
