@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from askloom import schemas
 from askloom.config import Settings
 from askloom.operators.chunking import recursive_chunks
 from askloom.operators.embedding import EmbedderFactory, embed
-from askloom.sources.files import Parser, folder_files, load_documents
-from askloom.sources.index import SHARED, append_index, write_index
+from askloom.session import stored
+from askloom.sources.files import Parser, folder_files, good_documents, load_documents, parse_files, quarantine
+from askloom.sources.index import SHARED, Load, append_index, read_index, write_index
 
 
 def index_rows(
@@ -21,6 +23,28 @@ def index_rows(
     return embed(pieces, embedder)
 
 
+def index_parsed(
+    parsed: DataFrame, to_index: Callable[[DataFrame], Load], to_errors: Callable[[DataFrame], Load]
+) -> Load:
+    """Hand the readable sections to one sink and the failures to another; returns the index load.
+
+    The sections are stored in between, so both sinks see the same and every file is parsed once.
+    """
+    with stored(parsed, "parsed") as once:
+        to_errors(quarantine(once))
+        return to_index(good_documents(once))
+
+
+def errors_of(index_path: str) -> str:
+    """Where the flows keep the failures of an index's files, unless told otherwise."""
+    return f"{index_path.rstrip('/')}-errors"
+
+
+def read_errors(spark: SparkSession, path: str, session: str | None = SHARED) -> DataFrame:
+    """``(source, error)`` of files that could not be read, with ``session_id`` and ``load_id``."""
+    return read_index(spark, path, session, schemas.ERRORS).drop("row_id")
+
+
 def ingest_folder(
     spark: SparkSession,
     settings: Settings = Settings(),
@@ -28,14 +52,23 @@ def ingest_folder(
     parsers: Mapping[str, Parser] | None = None,
     session: str = SHARED,
     append: bool = False,
+    errors_path: str | None = None,
 ) -> bool:
     """Index the documents of ``settings.docs_folder``; False when there is nothing to index.
 
     Whether there are files is told from their names, so every file is parsed once.  If there
-    are none, an index that is there stays.
+    are none, an index that is there stays.  With ``errors_path`` files that cannot be read are
+    recorded there, see ``read_errors``; the sections are then stored in between.
     """
-    if folder_files(spark, settings.docs_folder, supported_only=True).select("path").isEmpty():
+    files = folder_files(spark, settings.docs_folder, supported_only=True)
+    if files.select("path").isEmpty():
         return False
     write = append_index if append else write_index
-    documents = load_documents(spark, settings.docs_folder, parsers)
-    return write(index_rows(documents, settings, embedder), settings.index_path, session).n_rows > 0
+
+    def to_index(documents: DataFrame) -> Load:
+        return write(index_rows(documents, settings, embedder), settings.index_path, session)
+
+    if errors_path is None:
+        return to_index(load_documents(spark, settings.docs_folder, parsers)).n_rows > 0
+    return index_parsed(
+        parse_files(files, parsers), to_index, lambda failures: write(failures, errors_path, session)).n_rows > 0

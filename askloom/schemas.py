@@ -15,6 +15,12 @@ CHUNKS = T.StructType([
     T.StructField("text", T.StringType()),
 ])
 
+# Files that could not be read.
+ERRORS = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("error", T.StringType()),
+])
+
 VECTOR = T.ArrayType(T.FloatType())
 
 INDEX = T.StructType(CHUNKS.fields + [T.StructField("embedding", VECTOR)])

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,12 +43,39 @@ def drop_scratch(spark: SparkSession) -> int:
     """Remove the intermediate tables of this driver once their results are stored; returns how many."""
     gone = 0
     while SCRATCH:
-        path = spark._jvm.org.apache.hadoop.fs.Path(SCRATCH.pop())
-        system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-        gone += bool(system.delete(path, True))
+        gone += delete_path(spark, SCRATCH.pop())
     return gone
 
 
+def file_system(spark: SparkSession, name: str):
+    """A Hadoop path and its file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def delete_path(spark: SparkSession, name: str) -> bool:
+    path, system = file_system(spark, name)
+    return bool(system.delete(path, True))
+
+
+def literal_path(path: str) -> str:
+    """``path`` as a file pattern that matches only itself; a trailing slash is dropped."""
+    kept = path.rstrip("/") or path
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", kept)
+
+
+@contextmanager
+def stored(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` written once to the shared folder, for as long as the block lasts."""
+    path = scratch_path(df.sparkSession, name)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        SCRATCH.remove(path)
+        delete_path(df.sparkSession, path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to reliable storage and go on from the written copy.
 

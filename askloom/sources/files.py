@@ -76,7 +76,18 @@ def folder_files(spark: SparkSession, folder: str, supported_only: bool = False)
         if problem.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], "path string, content binary")
         raise
-    direct = found.where(_one_root(F.regexp_replace("_metadata.file_path", "/[^/]*$", "")) == _one_root(F.lit(_uri(spark, folder))))
+    return direct_files(found, folder)
+
+
+def direct_files(found: DataFrame, folder: str) -> DataFrame:
+    """``(path, content)`` of the files that lie in ``folder`` itself, of a batch or a stream of binary files.
+
+    A folder whose name looks like a partition is a sub-folder like any other, if ``found`` is
+    listed with ``recursiveFileLookup``.  A file above Spark's limit has no content.
+    """
+    spark = found.sparkSession
+    parent = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+    direct = found.where(_one_root(parent) == _one_root(F.lit(_uri(spark, folder))))
     readable = direct.where(F.col("length") <= size_limit(spark)).select("path", "content")
     too_large = direct.where(F.col("length") > size_limit(spark)).select("path", F.lit(None).cast("binary").alias("content"))
     return readable.unionByName(too_large)
@@ -166,6 +177,14 @@ def load_documents(
     return good_documents(parse_files(folder_files(spark, folder, supported_only=True), parsers))
 
 
+def write_texts(texts: DataFrame, folder: str) -> None:
+    """Write the ``text`` of every row as a file of its own, named by Spark, ending with a newline.
+
+    ``load_documents`` reads such a folder back.  Files that are there stay.
+    """
+    texts.select("text").write.mode("append").option("maxRecordsPerFile", 1).text(folder)
+
+
 def in_order(documents: DataFrame, *order: str) -> DataFrame:
     return documents.orderBy(*(order or ("source", "page")))
 

@@ -8,7 +8,7 @@ replaces itself, so a retried load does not double its rows.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from askloom import schemas
+from askloom.session import delete_path, file_system, literal_path
 
 SHARED = "shared"
 BASE_LOAD = "base"
 PARTS = ("session_id", "load_id")
+DELETES_AT_ONCE = 32
 # Natural order first; the last two tell repeated chunks apart.
 STORED_KEY = ("source", "page", "chunk_no", "load_id", "row_id")
 
@@ -64,33 +66,34 @@ def _session_path(spark: SparkSession, path: str, session: str) -> str:
     return f"{path.rstrip('/')}/session_id={name}"
 
 
-def _path(spark: SparkSession, name: str):
-    """A Hadoop path and its file system."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(name)
-    return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+def _replaced_loads(spark: SparkSession, path: str, load_id: str) -> list[str]:
+    """The other loads of all sessions that have the load ``load_id``, told by one listing."""
+    root = path.rstrip("/")
+    pattern, system = file_system(spark, f"{literal_path(root)}/session_id=*/load_id=*")
+    loads = [status.getPath() for status in system.globStatus(pattern) or []]
+    fresh = {load.getParent().toString() for load in loads if load.getName() == f"load_id={load_id}"}
+    return [load.toString() for load in loads
+            if load.getName() != f"load_id={load_id}" and load.getParent().toString() in fresh]
 
 
-def _drop_other_loads(spark: SparkSession, path: str, sessions: Iterable[str]) -> None:
-    for session in sessions:
-        folder, system = _path(spark, _session_path(spark, path, session))
-        for load in system.listStatus(folder):
-            if load.getPath().getName() != f"load_id={BASE_LOAD}":
-                system.delete(load.getPath(), True)
-
-
-def write_sessions(chunks: DataFrame, path: str) -> None:
+def write_sessions(chunks: DataFrame, path: str) -> int:
     """Build the indexes of all sessions in the ``session_id`` column in one pass.
 
     The rows are rebalanced by session, so that small sessions do not become many small
     files and a very large one is still written by many tasks.  Sessions that are not in
     ``chunks`` keep what they have; those in it lose their earlier loads, which go after the
-    new rows are in place.
+    new rows are in place.  Returns how many loads went.
+
+    ``chunks`` is evaluated once: which sessions it had is told by where its load lies.  A session
+    costs no call of its own; a load that goes costs one, and many go at a time.
     """
+    spark, load_id = chunks.sparkSession, f"{BASE_LOAD}-{uuid.uuid4().hex}"
     rows = chunks.hint("rebalance", F.col("session_id")).withColumns(
-        {"row_id": F.monotonically_increasing_id(), "load_id": F.lit(BASE_LOAD)})
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS).parquet(path)
-    sessions = chunks.where("session_id IS NOT NULL").select("session_id").distinct().toLocalIterator()
-    _drop_other_loads(chunks.sparkSession, path, (row["session_id"] for row in sessions))
+        {"row_id": F.monotonically_increasing_id(), "load_id": F.lit(load_id)})
+    rows.write.mode("append").partitionBy(*PARTS).parquet(path)
+    gone = _replaced_loads(spark, path, load_id)
+    with ThreadPoolExecutor(DELETES_AT_ONCE) as pool:
+        return sum(pool.map(lambda load: delete_path(spark, load), gone))
 
 
 def read_index(
@@ -112,7 +115,7 @@ def read_index(
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-        root, system = _path(spark, path)
+        root, system = file_system(spark, path)
         if session is not None and system.exists(root):
             return spark.createDataFrame([], stored)
         raise FileNotFoundError(f"no index at '{path}': run the ingest flow first") from None

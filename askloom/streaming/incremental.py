@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import threading
 from collections.abc import Callable, Mapping
 
@@ -12,8 +11,9 @@ from pyspark.sql import types as T
 
 from askloom.config import Settings
 from askloom.operators.embedding import EmbedderFactory
-from askloom.plans.ingest import index_rows
-from askloom.sources.files import SUPPORTED_NAMES, Parser, good_documents, parse_files, size_limit
+from askloom.plans.ingest import errors_of, index_parsed, index_rows
+from askloom.session import literal_path
+from askloom.sources.files import SUPPORTED_NAMES, Parser, direct_files, parse_files
 from askloom.sources.index import SHARED, append_index
 
 # A large backlog is worked off in batches of this many files, each with its own commit.
@@ -27,27 +27,21 @@ BINARY_FILES = T.StructType([
 ])
 
 
-def stream_into_index(
-    arriving: DataFrame,
-    to_rows: Callable[[DataFrame], DataFrame],
-    index_path: str,
-    checkpoint: str,
-    session: str = SHARED,
-) -> None:
-    """Process everything that has arrived since the last run, then stop.
+def process_arrivals(arriving: DataFrame, handle: Callable[[DataFrame, str], None], checkpoint: str) -> None:
+    """Hand everything that has arrived since the last run to ``handle``, batch by batch, then stop.
 
     The checkpoint remembers the files and the id of the query.  Each micro-batch is a load
-    named after both, so a batch that is repeated after a failure replaces its own rows, and
-    streams with checkpoints of their own never replace each other's.
+    named after both: a batch that is repeated after a failure comes with the same name, and
+    streams with checkpoints of their own never share one.
     """
     known, stream = threading.Event(), []
 
-    def append(batch: DataFrame, number: int) -> None:
+    def take(batch: DataFrame, number: int) -> None:
         known.wait()
-        append_index(to_rows(batch), index_path, session, load_id=load_name(stream[0], number))
+        handle(batch, load_name(stream[0], number))
 
     query = (
-        arriving.writeStream.foreachBatch(append)
+        arriving.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -57,14 +51,29 @@ def stream_into_index(
     query.awaitTermination()
 
 
+def stream_into_index(
+    arriving: DataFrame,
+    to_rows: Callable[[DataFrame], DataFrame],
+    index_path: str,
+    checkpoint: str,
+    session: str = SHARED,
+) -> None:
+    """Append everything that has arrived since the last run; a repeated batch replaces its own rows."""
+    process_arrivals(
+        arriving, lambda batch, load: append_index(to_rows(batch), index_path, session, load_id=load), checkpoint)
+
+
 def load_name(query_id: str, batch: int) -> str:
     return f"stream-{query_id}-{batch}"
 
 
-def literal_path(path: str) -> str:
-    """``path`` as a file pattern that matches only itself; a trailing slash is dropped."""
-    kept = path.rstrip("/") or path
-    return re.sub(r"([\\*?\[\]{}])", r"\\\1", kept)
+def arriving_files(spark: SparkSession, folder: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """A stream of ``(path, content)`` of the files that ``folder_files`` reads: direct ones of supported kinds."""
+    found = (
+        spark.readStream.format("binaryFile").schema(BINARY_FILES).option("pathGlobFilter", SUPPORTED_NAMES)
+        .option("recursiveFileLookup", True).option("maxFilesPerTrigger", files_per_batch).load(literal_path(folder))
+    )
+    return direct_files(found, folder)
 
 
 def ingest_new_files(
@@ -75,22 +84,23 @@ def ingest_new_files(
     parsers: Mapping[str, Parser] | None = None,
     session: str = SHARED,
     files_per_batch: int = FILES_PER_BATCH,
+    errors_path: str | None = None,
 ) -> None:
     """Incremental form of the ingest flow over ``settings.docs_folder``.
 
-    Files that cannot be read, too large ones among them, are left out; the batch form
-    (``parse_files``) says which they are.
+    It reads what the batch form reads.  Files that cannot be read, too large ones among them,
+    are rows of the table at ``errors_path`` (next to the index if not given), under the load
+    of their batch, see ``plans.ingest.read_errors``: the checkpoint takes them for done.
     """
-    files = (
-        spark.readStream.format("binaryFile").schema(BINARY_FILES).option("pathGlobFilter", SUPPORTED_NAMES)
-        .option("maxFilesPerTrigger", files_per_batch).load(literal_path(settings.docs_folder))
-        .where(F.col("length") <= size_limit(spark))
-    )
+    errors = errors_path or errors_of(settings.index_path)
 
-    def to_rows(batch: DataFrame) -> DataFrame:
-        return index_rows(good_documents(parse_files(batch, parsers)), settings, embedder)
+    def handle(batch: DataFrame, load: str) -> None:
+        index_parsed(
+            parse_files(batch, parsers),
+            lambda documents: append_index(index_rows(documents, settings, embedder), settings.index_path, session, load),
+            lambda failures: append_index(failures, errors, session, load))
 
-    stream_into_index(files, to_rows, settings.index_path, checkpoint, session)
+    process_arrivals(arriving_files(spark, settings.docs_folder, files_per_batch), handle, checkpoint)
 
 
 def ingest_new_documents(

@@ -82,3 +82,27 @@ def test_rewritten_sessions_lose_appended_loads(spark, chunks, tmp_path):
     append_index(chunks, path, session="kept")
     write_sessions(both, path)
     assert {s: read_index(spark, path, s).count() for s in ("one", "t/o", "kept")} == {"one": 2, "t/o": 2, "kept": 2}
+
+
+def test_very_many_sessions(spark, tmp_path, monkeypatch):
+    """No call for a session of its own, one for each load that goes, and the rows are made once."""
+    from askloom.sources import index
+
+    path, made, deleted = str(tmp_path / "index"), spark.sparkContext.accumulator(0), []
+    whole = index.delete_path
+    monkeypatch.setattr(index, "delete_path", lambda s, load: deleted.append(load) or whole(s, load))
+    monkeypatch.setattr(index, "_session_path", None)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(800).selectExpr("'x' AS source", "0 AS page", "0 AS chunk_no", "'t' AS text", "array(1f) AS embedding",
+                                       "concat('s/', id % 400) AS session_id")
+    rows = rows.mapInArrow(counted, rows.schema)
+    assert write_sessions(rows, path) == 0 and made.value == 800
+    assert write_sessions(rows.where("session_id < 's/2'"), path) == len(deleted) == 112
+    assert read_index(spark, path, None).count() == 800
+    assert read_index(spark, path, None).select("session_id", "load_id").distinct().count() == 400
+    assert not any("s%2F2" in load for load in deleted)

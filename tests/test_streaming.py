@@ -1,5 +1,7 @@
+import pytest
+
 from askloom.config import Settings
-from askloom.plans.ingest import ingest_folder
+from askloom.plans.ingest import errors_of, ingest_folder, read_errors
 from askloom.sources.index import append_index, read_index
 from askloom.streaming.incremental import ingest_new_files
 
@@ -46,7 +48,85 @@ def test_streams_keep_each_others_rows(spark, tmp_path):
         settings = Settings(docs_folder=f"{docs}/", index_path=index)
         ingest_new_files(spark, str(tmp_path / f"checkpoint {name}"), settings)
         ingest_new_files(spark, str(tmp_path / f"checkpoint {name}"), settings)
-    assert {r.source.split("/")[-2] for r in read_index(spark, index).collect()} == {"a [1]", "b"} or read_index(spark, index).select("load_id").distinct().count() == 2
+    found = read_index(spark, index).collect()
+    assert sorted(r.text.split(" has")[0] for r in found) == ["a [1]", "b"]
+    assert len({r.load_id for r in found}) == 2
+
+
+def test_folders_inside_the_folder(spark, tmp_path):
+    """The stream reads what batch reads: direct files, beside folders that look like partitions."""
+    docs = tmp_path / "documents"
+    for inner in ("sub/k=2", "k=1", "k=2"):
+        (docs / inner).mkdir(parents=True)
+        (docs / inner / "inner.txt").write_text("not direct")
+    (docs / "a.txt").write_text("direct one")
+    (docs / "B.TXT").write_text("direct two")
+    settings = Settings(docs_folder=str(docs), index_path=str(tmp_path / "stream"))
+    whole = Settings(docs_folder=str(docs), index_path=str(tmp_path / "whole"))
+    for name in (None, "late.txt"):
+        if name:
+            (docs / name).write_text("came later")
+        ingest_new_files(spark, str(tmp_path / "checkpoint"), settings)
+        ingest_folder(spark, whole)
+        assert rows(read_index(spark, settings.index_path)) == rows(read_index(spark, whole.index_path))
+    assert {r.text for r in read_index(spark, settings.index_path).collect()} == {"direct one", "direct two", "came later"}
+
+
+def failures(spark, path):
+    return sorted((r.source.rsplit("/", 1)[1], r.error) for r in read_errors(spark, path).collect())
+
+
+def test_unreadable_files_are_error_rows(spark, tmp_path):
+    docs = tmp_path / "documents"
+    docs.mkdir()
+    (docs / "good.txt").write_text("fine")
+    (docs / "bad.txt").write_bytes(b"\xc3\x28")
+    (docs / "large.txt").write_text("x" * 3000)
+    (docs / "broken.docx").write_bytes(b"no zip")
+    settings = Settings(docs_folder=str(docs), index_path=str(tmp_path / "stream"))
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "2000")
+    try:
+        ingest_new_files(spark, str(tmp_path / "checkpoint"), settings)
+        (docs / "more.txt").write_bytes(b"\xff")
+        ingest_new_files(spark, str(tmp_path / "checkpoint"), settings)
+        ingest_new_files(spark, str(tmp_path / "checkpoint"), settings)
+        whole = Settings(docs_folder=str(docs), index_path=str(tmp_path / "whole"))
+        assert ingest_folder(spark, whole, errors_path=str(tmp_path / "failures"))
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert [r.text for r in read_index(spark, settings.index_path).collect()] == ["fine"]
+    found = failures(spark, errors_of(settings.index_path))
+    assert [name for name, _ in found] == ["bad.txt", "broken.docx", "large.txt", "more.txt"]
+    assert dict(found)["bad.txt"] == "not valid UTF-8" and dict(found)["large.txt"].startswith("larger than the limit")
+    assert found == failures(spark, str(tmp_path / "failures"))
+    loads = read_errors(spark, errors_of(settings.index_path)).select("load_id").distinct().count()
+    assert loads == 2
+
+
+def test_repeated_file_batch_replaces_rows_and_errors(spark, tmp_path, monkeypatch):
+    """The process ends after both sinks are written and before the batch is committed."""
+    from askloom.streaming import incremental
+
+    docs = tmp_path / "documents"
+    docs.mkdir()
+    (docs / "good.txt").write_text("fine")
+    (docs / "bad.txt").write_bytes(b"\xc3\x28")
+    settings = Settings(docs_folder=str(docs), index_path=str(tmp_path / "stream"))
+    kept, whole = [], incremental.index_parsed
+
+    def fails_once(*sinks):
+        kept.append(whole(*sinks))
+        if len(kept) == 1:
+            raise RuntimeError("lost")
+        return kept[-1]
+
+    monkeypatch.setattr(incremental, "index_parsed", fails_once)
+    with pytest.raises(Exception, match="lost"):
+        ingest_new_files(spark, str(tmp_path / "checkpoint"), settings)
+    ingest_new_files(spark, str(tmp_path / "checkpoint"), settings)
+    assert len(kept) == 2 and kept[0] == kept[1]
+    assert read_index(spark, settings.index_path).count() == 1
+    assert failures(spark, errors_of(settings.index_path)) == [("bad.txt", "not valid UTF-8")]
 
 
 def test_repeated_batch_replaces_itself(spark, tmp_path):
