@@ -7,7 +7,7 @@ from askloom.catalog.base import (
     KEY, corpus_index, documents, embedded_questions, query, questions, search_hits, sql_answers,
     sql_distinct_tokens, sql_round, sql_search, sql_strip, sql_text,
 )
-from askloom.config import PROMPT_TEMPLATE
+from askloom.config import EMBEDDING_DIM, PROMPT_TEMPLATE
 from askloom.functions.vectors import round_score
 from askloom.operators.citations import distinct_sources, file_label, page_label
 from askloom.operators.generation import extractive_answer
@@ -64,9 +64,11 @@ def text_search(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(_HITS)
 def text_search_in_blocks(spark: SparkSession, folder: str) -> DataFrame:
-    """More questions than a block holds: a scan of the written index for each block."""
-    return top_k(embedded_questions(spark, folder), cut_lineage(corpus_index(spark, folder)), key=KEY,
-                 questions_per_block=16)
+    """Three portions of questions, a scan of the written index for each, several blocks in each."""
+    asked = embedded_questions(spark, folder)
+    third = -(-asked.select("question_id").count() // 3)
+    return top_k(asked, cut_lineage(corpus_index(spark, folder)), key=KEY,
+                 max_broadcast_bytes=8 * EMBEDDING_DIM * third, questions_per_block=16)
 
 
 @query(f"""WITH {sql_search()} SELECT question_id, doc_id, chunk_no, score, CAST(4 AS BIGINT) AS n FROM hits""")

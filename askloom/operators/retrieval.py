@@ -1,11 +1,11 @@
 """Exact top-k similarity search and what follows from its hits.
 
-The questions are taken in blocks of bounded size.  A block's matrix is broadcast and every
-index task keeps a running top-k, so the index is never moved: a block costs one scan of it
-and a shuffle of at most k rows per question and task.  Up to one block's worth, which a count
-of ids tells without running a model, needs no copy; more questions are written once with
-their vectors and read block by block.  A question row is what hits belong to: rows
-that repeat an id have k hits each, whatever their number.
+The questions are written once with their vectors and taken in portions of bounded size.  A
+portion's matrices are broadcast, every index task keeps a running top-k, and the index is
+never moved: a portion costs one scan of it and a shuffle of at most k rows per question and
+task.  Portions run one after another: a portion's hits are stored and its matrices are
+given up before the next is read, so neither driver nor executors hold more than one.
+A question row is what hits belong to: rows that repeat an id have k hits each.
 
 Scores are cosines rounded to six decimals; ties go to the smaller key.
 """
@@ -13,6 +13,7 @@ Scores are cosines rounded to six decimals; ties go to the smaller key.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from askloom.config import MIN_HIT_CHARS, TOP_K
 from askloom.functions.text import strip_space
 from askloom.functions.vectors import SCORE_UNITS, cosine, round_score
-from askloom.operators.windows import running_number
-from askloom.session import cut_lineage
+from askloom.operators.windows import numbered_as_they_lie
+from askloom.session import cut_lineage, scratch_path
 from askloom.sources.index import STORED_KEY
 
 CHUNK_KEY = ("source", "page", "chunk_no")
@@ -53,59 +54,70 @@ def top_k(
 ) -> DataFrame:
     """``(question, key…, score, rank)`` of the k best index rows of every question row.
 
-    With more than one block give a stored ``index``: every block scans it.
+    A scan serves as many questions as ``max_broadcast_bytes`` of matrix hold, and multiplies
+    ``questions_per_block`` at a time.  For more questions give a stored ``index``: every portion
+    scans it.
     """
-    key = list(key or index_key(index))
-    found = None
-    for block in question_blocks(questions, question, vector, questions_per_block, max_broadcast_bytes):
-        hits = _search_block(block, index, k, question, key, vector)
-        found = hits if found is None else found.unionByName(hits)
-    return found
-
-
-def question_blocks(
-    questions: DataFrame, question: str, vector: str, rows: int, max_bytes: int
-) -> Iterator[pa.Table]:
-    """The questions with a vector as Arrow tables of at most ``rows`` rows and ``max_bytes`` of
-    matrix (but one row at least); one table without rows if there are none."""
-    if questions.select(question).limit(rows + 1).count() <= rows:
-        yield from _bounded(_usable(questions.select(question, vector).toArrow(), vector), vector, max_bytes)
-        return
-    # Written before they are sorted, as drawing the borders of the sort would run the model too.
-    stored = running_number(cut_lineage(questions.select(question, vector)), question, out="_no").withColumn(
-        "_block", F.floor((F.col("_no") - 1) / rows))
-    for number in range(stored.agg(F.max("_block")).head()[0] + 1):
-        block = stored.where(F.col("_block") == number).select(question, vector).toArrow()
-        yield from _bounded(_usable(block, vector), vector, max_bytes)
-
-
-def _bounded(block: pa.Table, vector: str, max_bytes: int) -> Iterator[pa.Table]:
-    step = max(1, max_bytes // (8 * len(block[vector][0]))) if len(block) else 1
-    for at in range(0, max(1, len(block)), step):
-        yield block.slice(at, step)
-
-
-def _search_block(
-    block: pa.Table, index: DataFrame, k: int, question: str, key: list[str], vector: str
-) -> DataFrame:
-    spark = index.sparkSession
-    shared = spark.sparkContext.broadcast((block.column(question).to_pylist(), _matrix(block, vector)))
-    narrow = index.select(*key, vector)
-    schema = T.StructType([T.StructField("_q", T.IntegerType()), *narrow.schema[: len(key)],
-                           T.StructField("score", T.DoubleType())])
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = RunningTopK(shared.value[1], key, vector, k)
-        for batch in batches:
-            best.add(pa.Table.from_batches([batch]))
-        yield from best.result(to_arrow_schema(schema)).to_batches()
-
-    hits = rank_hits(narrow.mapInArrow(scan, schema), k, "_q", key)
-    # Positions become ids again; this table has as many rows as the broadcast block.
-    names = spark.createDataFrame(
-        pa.table({"_q": pa.array(range(block.num_rows), pa.int32()), question: block.column(question)})
-    )
-    return hits.join(F.broadcast(names), "_q").select(question, *key, "score", "rank")
+    return _search(questions, index, k, question, list(key or index_key(index)), vector, max_broadcast_bytes,
+                   questions_per_block).hits
+
+
+class Found(NamedTuple):
+    hits: DataFrame
+    most: int  # no more hits than this
+
+
+def _search(
+    questions: DataFrame, index: DataFrame, k: int, question: str, key: list[str], vector: str,
+    max_bytes: int, block_rows: int,
+) -> Found:
+    stored = numbered_as_they_lie(questions.select(question, vector), out="_no")
+    n, width = stored.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size(vector)), F.lit(1))).head()
+    rows = max(1, max_bytes // (8 * max(1, width)))
+    if n <= rows:
+        portion = _Portion(stored, question, vector, block_rows)
+        return Found(portion.hits(index, k, question, key, vector), n * k)
+    path = scratch_path(index.sparkSession, "hits")
+    for at in range(0, n, rows):
+        portion = _Portion(stored.where(F.col("_no").between(at + 1, at + rows)), question, vector, block_rows)
+        hits = portion.hits(index, k, question, key, vector)
+        hits.write.mode("append").parquet(path)
+        portion.shared.destroy()
+    return Found(index.sparkSession.read.schema(hits.schema).parquet(path), n * k)
+
+
+class _Portion:
+    """Questions whose matrices all tasks hold at once, in blocks of at most ``block_rows``."""
+
+    def __init__(self, stored: DataFrame, question: str, vector: str, block_rows: int) -> None:
+        asked = _usable(stored.select(question, vector).toArrow(), vector)
+        self.spark, self.names = stored.sparkSession, asked.column(question)
+        self.shared = self.spark.sparkContext.broadcast(
+            [_matrix(asked.slice(at, block_rows), vector) for at in range(0, max(1, len(asked)), block_rows)])
+
+    def hits(self, index: DataFrame, k: int, question: str, key: list[str], vector: str) -> DataFrame:
+        shared = self.shared
+        narrow = index.select(*key, vector)
+        schema = T.StructType([T.StructField("_q", T.IntegerType()), *narrow.schema[: len(key)],
+                               T.StructField("score", T.DoubleType())])
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best, first = [], 0
+            for matrix in shared.value:
+                best.append(RunningTopK(matrix, key, vector, k, first))
+                first += len(matrix)
+            for batch in batches:
+                rows = pa.Table.from_batches([batch])
+                for block in best:
+                    block.add(rows)
+            for block in best:
+                yield from block.result(to_arrow_schema(schema)).to_batches()
+
+        hits = rank_hits(narrow.mapInArrow(scan, schema), k, "_q", key)
+        # Positions become ids again; this table has as many rows as the portion.
+        names = self.spark.createDataFrame(
+            pa.table({"_q": pa.array(range(len(self.names)), pa.int32()), question: self.names}))
+        return hits.join(F.broadcast(names), "_q").select(question, *key, "score", "rank")
 
 
 def rank_hits(hits: DataFrame, k: int, question: str, key: Sequence[str]) -> DataFrame:
@@ -139,8 +151,8 @@ class RunningTopK:
 
     EMPTY = -(2**62)
 
-    def __init__(self, matrix: np.ndarray, key: list[str], vector: str, k: int) -> None:
-        self.matrix, self.key, self.vector, self.k = matrix, key, vector, k
+    def __init__(self, matrix: np.ndarray, key: list[str], vector: str, k: int, first: int = 0) -> None:
+        self.matrix, self.key, self.vector, self.k, self.first = matrix, key, vector, k, first
         self.units = np.full((len(matrix), k), self.EMPTY, dtype=np.int64)
         self.slots = np.full((len(matrix), k), -1, dtype=np.int64)
         self.pool: pa.Table | None = None
@@ -195,12 +207,12 @@ class RunningTopK:
         self.pool, self.slots = pool.take(pa.array(kept)), again
 
     def result(self, schema: pa.Schema) -> pa.Table:
-        """Rows ``(_q, key…, score)``; ``_q`` is the row of the question matrix."""
+        """Rows ``(_q, key…, score)``; ``_q`` is the row of the question matrix after the ``first``."""
         if self.pool is None:
             return schema.empty_table()
         row, column = np.nonzero(self.slots >= 0)
         found = self.pool.take(pa.array(self.slots[row, column]))
-        found = found.add_column(0, "_q", pa.array(row, pa.int32()))
+        found = found.add_column(0, "_q", pa.array(row + self.first, pa.int32()))
         found = found.append_column("score", pa.array(self.units[row, column] / SCORE_UNITS))
         return found.cast(schema)
 
@@ -246,15 +258,11 @@ def retrieve(
 ) -> DataFrame:
     """Hits of every question row with the text and metadata of their chunks.
 
-    Each block's hits are joined to the chunks; few enough of them are broadcast.
+    The hits of all portions are joined to the chunks once; few enough of them are broadcast.
     """
     key = list(key or index_key(index))
-    found = None
-    for block in question_blocks(questions, question, vector, questions_per_block, max_broadcast_bytes):
-        hits = _search_block(block, index, k, question, key, vector)
-        rows = hydrate(hits, index.drop(vector), key, few=block.num_rows * k <= MAX_BROADCAST_HITS)
-        found = rows if found is None else found.unionByName(rows)
-    return found
+    found = _search(questions, index, k, question, key, vector, max_broadcast_bytes, questions_per_block)
+    return hydrate(found.hits, index.drop(vector), key, few=found.most <= MAX_BROADCAST_HITS)
 
 
 def off_topic_gate(

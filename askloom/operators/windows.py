@@ -91,11 +91,18 @@ def neighbor(
 def running_number(df: DataFrame, *order: Column | str, out: str = "row_no") -> DataFrame:
     """Number all rows from 1 in the given order, without a single-task window.
 
-    The rows are range-partitioned and sorted; a row's number is its place in its
-    partition plus the sizes of the partitions before.  The sorted rows are written out
-    first: a second run of the sort could draw other borders.
+    The rows are range-partitioned and sorted and numbered as they lie then.
     """
-    placed = cut_lineage(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))
+    return numbered_as_they_lie(df.orderBy(*order), out)
+
+
+def numbered_as_they_lie(df: DataFrame, out: str) -> DataFrame:
+    """Number all rows from 1, partition by partition, without a shuffle.
+
+    A row's number is its place in its partition plus the sizes of the partitions before.  The
+    rows are written out first: a second run could deal them otherwise.
+    """
+    placed = cut_lineage(df.withColumn("_at", F.monotonically_increasing_id()))
     part = F.shiftright("_at", 33)
     place = F.col("_at").bitwiseAND(2**33 - 1)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

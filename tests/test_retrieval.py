@@ -145,5 +145,53 @@ def test_each_question_is_embedded_once(spark, data, tmp_path):
     asked = spark.range(30).select(F.col("id").cast("string").alias("question_id"), F.lit("t").alias("text"))
     asked = asked.withColumn("embedding", embed_text("text", counting))
     index = spark.createDataFrame([r for r in data[1] if r[3] and any(r[3])], SCHEMA_I)
-    assert top_k(asked, index, 2, questions_per_block=8).count() == 60
-    assert sum(os.path.getsize(os.path.join(log, f)) for f in os.listdir(log)) == 30
+    for n, most in enumerate((2**20, 8 * 5 * 7), 1):
+        assert top_k(asked, index, 2, questions_per_block=8, max_broadcast_bytes=most).count() == 60
+        assert sum(os.path.getsize(os.path.join(log, f)) for f in os.listdir(log)) == 30 * n
+
+
+def test_plan_of_questions_runs_once(spark, data):
+    """Whatever makes the vectors, as many rows pass it as there are questions."""
+    made = spark.sparkContext.accumulator(0)
+
+    def vectors(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            made.add(batch.num_rows)
+            ids = [str(i) for i in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids), pa.array([[1.0] * 5] * len(ids), pa.list_(pa.float32()))], ["question_id", "embedding"])
+
+    asked = spark.range(40).repartition(5).mapInArrow(vectors, SCHEMA_Q)
+    index = spark.createDataFrame([r for r in data[1] if r[3] and any(r[3])], SCHEMA_I)
+    for n, most in enumerate((2**20, 8 * 5 * 9), 1):
+        assert top_k(asked, index, 2, max_broadcast_bytes=most).count() == 80
+        assert made.value == 40 * n
+
+
+def test_one_portion_at_a_time(spark, data, monkeypatch):
+    """A portion's matrices are given up before the next portion's are made."""
+    from pyspark import Broadcast
+
+    from askloom.operators import retrieval
+
+    alive, most = [], []
+    made, destroy = retrieval._Portion.__init__, Broadcast.destroy
+
+    def counted(self, *args):
+        made(self, *args)
+        alive.append(self)
+        most.append(len(alive))
+
+    def given_up(self, *args, **kwargs):
+        alive.pop()
+        destroy(self, *args, **kwargs)
+
+    monkeypatch.setattr(retrieval._Portion, "__init__", counted)
+    monkeypatch.setattr(Broadcast, "destroy", given_up)
+    questions, index = data
+    q, i = spark.createDataFrame(questions, SCHEMA_Q), spark.createDataFrame([r for r in index if r[3] and any(r[3])], SCHEMA_I)
+    found = top_k(q, i, 6, max_broadcast_bytes=8 * 5 * 4)
+    assert max(most) == 1 and len(most) == -(-len(questions) // 4)
+    assert rows(found) == brute(questions, [r for r in index if r[3] and any(r[3])], 6)
