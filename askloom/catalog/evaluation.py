@@ -1,5 +1,7 @@
 """Language, translation, model calls, metrics, aggregates and the gate."""
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,9 +17,11 @@ from askloom.operators import scoring
 from askloom.operators.chat import question_answer_pairs
 from askloom.operators.generation import failed, generate, succeeded, translate
 from askloom.operators.embedding import hashing_embedder
-from askloom.operators.metrics import answer_relevancy, faithfulness, judged, rounded
+from askloom.operators.metrics import (
+    answer_relevancy, back_questions, faithfulness, judged, rounded, with_relevancy,
+)
 from askloom.plans.evaluate import gated_answers, score_answers
-from askloom.session import read_table, scratch_path
+from askloom.session import cut_lineage, read_table, scratch_path
 from askloom.sources.results import append_run, read_runs, run_record, write_report
 from askloom.sources.results import evaluation_report as report
 
@@ -302,6 +306,27 @@ def failed_judgements(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", judged("text", F.array("text"), _failing_judge).alias("j")).select("doc_id", "j.share", "j.error")
 
 
+def _hanging(*_):
+    """Stands for a model that never replies in time."""
+    time.sleep(60)
+
+
+@query(f"""SELECT conv_id, turn, question AS worded, len({sql_sentences('answer')}) > 0 AS stopped,
+                  CAST(NULL AS DOUBLE) AS share, CAST(NULL AS DOUBLE) AS answer_relevancy, true AS in_time FROM ({_PAIRS})""")
+def hanging_hooks(spark: SparkSession, folder: str) -> DataFrame:
+    """A translator, a judge and a maker of back-questions that all hang: rows without their
+    results, in a time that does not grow with the rows."""
+    pairs = question_answer_pairs(messages(spark, folder)).repartition(spark.sparkContext.defaultParallelism)
+    worded = translate(pairs, lambda: _hanging, out="worded", template="{question}", time_limit=0.25)
+    scored = with_relevancy(worded, generated=back_questions("answer", lambda: _hanging, n=2, time_limit=0.25))
+    started = time.perf_counter()
+    rows = cut_lineage(scored.withColumn("_j", judged("answer", F.array("question"), lambda: _hanging, 0.25)))
+    # Three hooks, three calls each before they are given up, twice the limit a call, two rounds of tasks.
+    in_time = time.perf_counter() - started < 120
+    return rows.select("conv_id", "turn", "worded", F.col("_j.error").isNotNull().alias("stopped"), "_j.share",
+                       "answer_relevancy", F.lit(in_time).alias("in_time"))
+
+
 def _failing_embedder():
     """Stands for a model that fails on texts whose length five divides."""
     model = hashing_embedder()()

@@ -13,6 +13,7 @@ TOP_K = 6
 EMBEDDING_DIM = 384
 EXTENSIONS = (".pdf", ".docx", ".txt")
 QUALITY_THRESHOLD = 0.5
+METRIC_TIME_LIMIT = 1200.0
 MIN_HIT_CHARS = 50
 EXCERPT_CHARS = 400
 UNKNOWN_SOURCE = "unknown"
@@ -72,7 +73,8 @@ class Settings:
     top_k: int = TOP_K
     temperature: float = 0.3
     quality_threshold: float = QUALITY_THRESHOLD
-    time_limit: float | None = None  # seconds for one call of the generator
+    time_limit: float | None = None  # seconds for one call of the embedder, the translator or the generator
+    metric_time_limit: float | None = METRIC_TIME_LIMIT  # seconds for one call of a hook that scores answers
     prompt_template: str = field(default=PROMPT_TEMPLATE, repr=False)
 
     def __post_init__(self) -> None:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from askloom.config import EMBEDDING_DIM
 from askloom.functions.text import as_column, tokens
+from askloom.operators.hooks import Hook
 
 Embedder = Callable[[list[str]], np.ndarray]
 EmbedderFactory = Callable[[], Embedder]
@@ -90,37 +91,47 @@ def embed_text(
 VECTOR_OR_ERROR = pa.struct([("vector", pa.list_(pa.float32())), ("error", pa.string())])
 
 
-def embed_or_error(text: Column | str, factory: EmbedderFactory | None = None) -> Column:
+def embed_or_error(
+    text: Column | str, factory: EmbedderFactory | None = None, time_limit: float | None = None
+) -> Column:
     """``STRUCT<vector, error>``: like ``embed_text``, but a failing model does not stop the job.
 
-    A failing call is repeated text by text, so an error stays with its own row.
+    A failing call is repeated text by text, so an error stays with its own row; for
+    ``time_limit`` seconds a call see ``hooks.Hook``.
+    """
+    return F.get(embed_each(F.array(as_column(text)), factory, time_limit), F.lit(0))
+
+
+def embed_each(
+    texts: Column | str, factory: EmbedderFactory | None = None, time_limit: float | None = None
+) -> Column:
+    """``ARRAY<STRUCT<vector, error>>`` of an array of texts; all texts of a batch of rows are one call.
+
+    NULL for a NULL text and a NULL array.
     """
     load = factory or hashing_embedder()
 
-    def call(model: Embedder, texts: list[str]) -> list[dict]:
-        try:
-            vectors = np.asarray(model(texts), dtype=np.float64)
-            if len(vectors) != len(texts):
-                raise ValueError(f"{len(vectors)} vectors of {len(texts)} texts")
-        except Exception as problem:  # noqa: BLE001 - any failure of a hook becomes data
-            if len(texts) > 1:
-                return [call(model, [t])[0] for t in texts]
-            return [{"vector": None, "error": f"{type(problem).__name__}: {problem}"}]
-        norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
-        return [{"vector": (v / n).astype(np.float32) if n > 0 else None, "error": None} for v, n in zip(vectors, norms)]
-
-    @F.arrow_udf("vector array<float>, error string")
+    def unit(vector: np.ndarray) -> np.ndarray | None:
+        norm = float(np.sqrt(vector @ vector))
+        return (vector / norm).astype(np.float32) if norm > 0 else None
+
+    @F.arrow_udf("array<struct<vector:array<float>,error:string>>")
     def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = load()
+        hook = Hook(lambda some: np.asarray(model(some), dtype=np.float64), time_limit)
         for batch in batches:
-            texts = batch.to_pylist()
-            sent = [i for i, t in enumerate(texts) if t is not None]
-            rows: list[dict | None] = [None] * len(texts)
-            for i, row in zip(sent, call(model, [texts[i] for i in sent]) if sent else []):
-                rows[i] = row
-            yield pa.array(rows, VECTOR_OR_ERROR)
-
-    return embed.asNondeterministic()(as_column(text))
+            rows = batch.to_pylist()
+            made = iter(hook.outcomes([t for row in rows for t in row or () if t is not None]))
+
+            def place(text: str | None) -> dict | None:
+                if text is None:
+                    return None
+                found = next(made)
+                return {"vector": None if found.error else unit(found.value), "error": found.error}
+
+            yield pa.array([None if row is None else [place(t) for t in row] for row in rows], pa.list_(VECTOR_OR_ERROR))
+
+    return embed.asNondeterministic()(as_column(texts))
 
 
 def _place(present: np.ndarray, usable: np.ndarray) -> np.ndarray:

@@ -7,9 +7,6 @@ then fed batches.
 
 from __future__ import annotations
 
-import queue
-import threading
-import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -21,6 +18,7 @@ from askloom.functions.language import detect_language
 from askloom.functions.text import (
     as_column, bind, distinct_tokens, fill_template, render_history, sentences, strip_quotes,
 )
+from askloom.operators.hooks import Hook
 
 Generator = Callable[[list[str]], list[str]]
 GeneratorFactory = Callable[[], Generator]
@@ -29,68 +27,41 @@ CALL_SIZE = 32
 REPLY = pa.struct([("text", pa.string()), ("error", pa.string()), ("seconds", pa.float64())])
 
 
-def within(limit: float | None, model: Generator, prompts: list[str]) -> list[str]:
-    """The model's replies, or ``TimeoutError`` after ``limit`` seconds.
-
-    A call that never returns keeps its thread, which ends with the worker.
-    """
-    if limit is None:
-        return model(prompts)
-    replies: queue.Queue = queue.Queue()
-
-    def call() -> None:
-        try:
-            replies.put((model(prompts), None))
-        except Exception as problem:  # noqa: BLE001 - handed to the caller
-            replies.put((None, problem))
-
-    threading.Thread(target=call, daemon=True).start()
-    try:
-        found, problem = replies.get(timeout=limit)
-    except queue.Empty:
-        raise TimeoutError(f"no reply within {limit} seconds") from None
-    if problem is not None:
-        raise problem
-    return found
-
-
 def call_generator(
     prompt: Column | str, factory: GeneratorFactory, call_size: int = CALL_SIZE, time_limit: float | None = None
 ) -> Column:
     """``STRUCT<text, error, seconds>`` per prompt; a NULL prompt is not sent.
 
-    A failing call, or one that takes longer than ``time_limit`` seconds, is repeated prompt by
-    prompt, so an error stays with its own row.
+    A failing call is repeated prompt by prompt, so an error stays with its own row; for
+    ``time_limit`` seconds a call see ``hooks.Hook``.
     Marked as non-deterministic so that no optimizer rule duplicates the calls; write
     the result (``session.cut_lineage``) before using it more than once.
     """
+    return F.get(call_generator_times(prompt, factory, 1, call_size, time_limit), F.lit(0))
+
 
-    def call(model: Generator, prompts: list[str]) -> list[dict]:
-        started = time.perf_counter()
-        try:
-            replies = within(time_limit, model, prompts)
-            if len(replies) != len(prompts):
-                raise ValueError(f"{len(replies)} replies to {len(prompts)} prompts")
-        except Exception as problem:  # noqa: BLE001 - any failure of a hook becomes data
-            if len(prompts) > 1:
-                return [call(model, [p])[0] for p in prompts]
-            seconds = time.perf_counter() - started
-            return [{"text": None, "error": f"{type(problem).__name__}: {problem}", "seconds": seconds}]
-        seconds = (time.perf_counter() - started) / len(prompts)
-        return [{"text": r, "error": None, "seconds": seconds} for r in replies]
-
-    @F.arrow_udf("text string, error string, seconds double")
+def call_generator_times(
+    prompt: Column | str, factory: GeneratorFactory, times: int, call_size: int = CALL_SIZE, time_limit: float | None = None
+) -> Column:
+    """``ARRAY<STRUCT<text, error, seconds>>``: every prompt asked ``times`` times, in one call with its like.
+
+    NULL for a NULL prompt.
+    """
+
+    @F.arrow_udf("array<struct<text:string,error:string,seconds:double>>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model = factory()
+        hook = Hook(factory(), time_limit)
         for batch in batches:
             prompts = batch.to_pylist()
             sent = [i for i, p in enumerate(prompts) if p is not None]
-            replies: list[dict | None] = [None] * len(prompts)
+            replies: list[list[dict] | None] = [None] * len(prompts)
             for at in range(0, len(sent), call_size):
                 part = sent[at:at + call_size]
-                for i, reply in zip(part, call(model, [prompts[i] for i in part])):
-                    replies[i] = reply
-            yield pa.array(replies, REPLY)
+                found = hook.outcomes([prompts[i] for i in part for _ in range(times)])
+                for k, i in enumerate(part):
+                    replies[i] = [{"text": o.value, "error": o.error, "seconds": o.seconds}
+                                  for o in found[k * times:(k + 1) * times]]
+            yield pa.array(replies, pa.list_(REPLY))
 
     return run.asNondeterministic()(as_column(prompt))
 
@@ -131,6 +102,7 @@ def translate(
     question: str = "question",
     out: str = "question_en",
     template: str = TRANSLATION_TEMPLATE,
+    time_limit: float | None = None,
 ) -> DataFrame:
     """Add ``language`` and ``out``: French questions translated, others unchanged.
 
@@ -141,7 +113,7 @@ def translate(
     if factory is None:
         return questions.withColumn(out, F.col(question))
     wanted = F.when(F.col("language") == "fr", fill_template(template, question=F.col(question)))
-    return _reword(questions, wanted, factory, question, out)
+    return _reword(questions, wanted, factory, question, out, time_limit)
 
 
 def reword_follow_ups(
@@ -151,19 +123,20 @@ def reword_follow_ups(
     history: str = "history",
     out: str = "question",
     template: str = FOLLOW_UP_TEMPLATE,
+    time_limit: float | None = None,
 ) -> DataFrame:
     """Set ``out`` to the question worded without its history.
 
     A question without history is not sent, and one whose call fails stays as it is.
     """
     filled = fill_template(template, chat_history=render_history(history), question=F.col(question))
-    return _reword(questions, F.when(F.size(history) > 0, filled), factory, question, out)
+    return _reword(questions, F.when(F.size(history) > 0, filled), factory, question, out, time_limit)
 
 
 def _reword(
-    questions: DataFrame, prompt: Column, factory: GeneratorFactory, question: str, out: str
+    questions: DataFrame, prompt: Column, factory: GeneratorFactory, question: str, out: str, time_limit: float | None
 ) -> DataFrame:
-    reply = questions.withColumn("_reply", call_generator(prompt, factory))
+    reply = questions.withColumn("_reply", call_generator(prompt, factory, time_limit=time_limit))
     return reply.withColumn(out, F.coalesce(strip_quotes("_reply.text"), F.col(question))).drop("_reply")
 
 

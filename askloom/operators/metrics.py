@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from askloom.config import BACK_QUESTION_TEMPLATE
 from askloom.functions.text import as_column, bind, distinct_tokens, fill_template, sentences
 from askloom.functions.vectors import cosine, round_score
-from askloom.operators.embedding import EmbedderFactory, embed_or_error
-from askloom.operators.generation import GeneratorFactory, call_generator
+from askloom.operators.embedding import EmbedderFactory, embed_each
+from askloom.operators.generation import GeneratorFactory, call_generator_times
+from askloom.operators.hooks import Hook
 
 # ``(statements, contexts) -> one verdict per statement``
 Judge = Callable[[list[str], list[str]], Sequence[bool]]
@@ -25,7 +26,7 @@ def context_tokens(contexts: Column | str) -> Column:
 
 
 def faithfulness(
-    answer: Column | str, contexts: Column | str, judge: JudgeFactory | None = None
+    answer: Column | str, contexts: Column | str, judge: JudgeFactory | None = None, time_limit: float | None = None
 ) -> Column:
     """Share of the answer's statements that the contexts support; NULL without any.
 
@@ -33,7 +34,7 @@ def faithfulness(
     occur in the contexts.  A judge that fails gives NULL; ``judged`` tells why.
     """
     if judge is not None:
-        return judged(answer, contexts, judge)["share"]
+        return judged(answer, contexts, judge, time_limit)["share"]
 
     def share(statements: Column) -> Column:
         def supported(known: Column) -> Column:
@@ -48,26 +49,31 @@ def faithfulness(
     return bind(sentences(answer), share)
 
 
-def judged(answer: Column | str, contexts: Column | str, judge: JudgeFactory) -> Column:
-    """``STRUCT<share, error>`` of an answer; a judge that raises or gives another number of
-    verdicts than statements leaves the share NULL and says so in ``error``."""
+def judged(answer: Column | str, contexts: Column | str, judge: JudgeFactory, time_limit: float | None = None) -> Column:
+    """``STRUCT<share, error>`` of an answer; a judge that raises, gives another number of
+    verdicts than statements or takes longer than ``time_limit`` seconds leaves the share NULL
+    and says so in ``error``."""
 
-    def row(decide: Judge, some: list[str] | None, known: list[str] | None) -> dict:
+    def share(hook: Hook, some: list[str] | None, known: list[str] | None) -> dict:
         if not some:
             return {"share": None, "error": None}
-        try:
-            verdicts = decide(some, known or [])
-            if len(verdicts) != len(some):
-                raise ValueError(f"{len(verdicts)} verdicts on {len(some)} statements")
-        except Exception as problem:  # noqa: BLE001 - any failure of a hook becomes data
-            return {"share": None, "error": f"{type(problem).__name__}: {problem}"}
-        return {"share": sum(map(bool, verdicts)) / len(some), "error": None}
+        [found] = hook.outcomes([(some, known or [])])
+        return {"share": found.value, "error": found.error}
 
     @F.arrow_udf("share double, error string")
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         decide = judge()
+
+        def shares(rows: list) -> list[float]:
+            [(some, known)] = rows
+            verdicts = decide(some, known)
+            if len(verdicts) != len(some):
+                raise ValueError(f"{len(verdicts)} verdicts on {len(some)} statements")
+            return [sum(map(bool, verdicts)) / len(some)]
+
+        hook = Hook(shares, time_limit)
         for statements, contexts in batches:
-            yield pa.array([row(decide, s, c) for s, c in zip(statements.to_pylist(), contexts.to_pylist())], VERDICT)
+            yield pa.array([share(hook, s, c) for s, c in zip(statements.to_pylist(), contexts.to_pylist())], VERDICT)
 
     return run.asNondeterministic()(sentences(answer), as_column(contexts))
 
@@ -78,16 +84,16 @@ def first_sentence(answer: Column | str) -> Column:
 
 def back_questions(
     answer: Column | str, generator: GeneratorFactory | None = None, n: int = 1,
-    template: str = BACK_QUESTION_TEMPLATE,
+    template: str = BACK_QUESTION_TEMPLATE, time_limit: float | None = None,
 ) -> Column:
-    """``n`` questions that the answer would be an answer to, as an array.
+    """``n`` questions that the answer would be an answer to, as an array, all asked in one call.
 
     The default is the answer's first sentence, once.  Failed calls give no question.
     """
     if generator is None:
         return F.array(first_sentence(answer))
     filled = fill_template(template, answer=as_column(answer))
-    return F.array_compact(F.array(*[call_generator(filled, generator)["text"] for _ in range(n)]))
+    return F.array_compact(call_generator_times(filled, generator, n, time_limit=time_limit)["text"])
 
 
 def with_relevancy(
@@ -96,21 +102,23 @@ def with_relevancy(
     generated: Column | None = None,
     embedder: EmbedderFactory | None = None,
     n: int = 1,
+    time_limit: float | None = None,
 ) -> DataFrame:
     """Add ``answer_relevancy``: the mean cosine between the question and the up to ``n``
     questions ``generated`` from the answer (default: the answer's first sentence).
 
-    Row by row: nothing is shuffled.  A question that cannot be compared is skipped, as is one
-    on which the embedder fails.  The cosine divides by both lengths, so the model need not
-    return unit vectors.
+    Row by row: nothing is shuffled, and the question and what was made of the answer are embedded
+    in one call.  A question that cannot be compared is skipped, as is one on which the
+    embedder fails.  The cosine divides by both lengths, so the model need not return unit vectors.
     """
-    made = rows.withColumn("_made", back_questions("answer") if generated is None else generated)
-    for i in range(n):
-        made = made.withColumn(f"_v{i}", embed_or_error(F.get("_made", F.lit(i)), embedder)["vector"])
-    made = made.withColumn("_q", embed_or_error(question, embedder)["vector"])
-    cosines = F.array_compact(F.array(*[cosine("_q", f"_v{i}") for i in range(n)]))
-    mean = F.aggregate(cosines, F.lit(0.0), lambda acc, c: acc + c) / F.nullif(F.size(cosines), F.lit(0))
-    return made.withColumn("answer_relevancy", mean).drop("_made", "_q", *[f"_v{i}" for i in range(n)])
+    made = back_questions("answer") if generated is None else generated
+    # With the question first; an answer without questions has an empty rest.
+    texts = F.concat(F.array(F.col(question)), F.coalesce(F.slice(made, 1, n), F.array().cast("array<string>")))
+    vectors = rows.withColumn("_v", embed_each(texts, embedder, time_limit)["vector"])
+    cosines = vectors.withColumn("_c", F.array_compact(F.transform(
+        F.slice("_v", F.lit(2), F.greatest(F.size("_v") - 1, F.lit(0))), lambda v: cosine(F.get("_v", F.lit(0)), v))))
+    mean = F.aggregate("_c", F.lit(0.0), lambda acc, c: acc + c) / F.nullif(F.size("_c"), F.lit(0))
+    return cosines.withColumn("answer_relevancy", mean).drop("_v", "_c")
 
 
 def answer_relevancy(

@@ -29,14 +29,15 @@ def search(
 
     A question on which the embedder fails has none; ``question_vectors`` says why.
     """
-    return retrieve(question_vectors(questions, embedder, text).drop("embed_error"), index, settings.top_k, key=key)
+    vectors = question_vectors(questions, embedder, text, settings.time_limit)
+    return retrieve(vectors.drop("embed_error"), index, settings.top_k, key=key)
 
 
 def question_vectors(
-    questions: DataFrame, embedder: EmbedderFactory | None = None, text: str = "question"
+    questions: DataFrame, embedder: EmbedderFactory | None = None, text: str = "question", time_limit: float | None = None
 ) -> DataFrame:
     """``(question_id, embedding, embed_error)``."""
-    made = questions.select("question_id", embed_or_error(text, embedder).alias("_made"))
+    made = questions.select("question_id", embed_or_error(text, embedder, time_limit).alias("_made"))
     return made.select("question_id", F.col("_made.vector").alias("embedding"), F.col("_made.error").alias("embed_error"))
 
 
@@ -65,7 +66,8 @@ def ask(
 
 
 def conversation_questions(
-    messages: DataFrame, generator: GeneratorFactory | None = None, reset: Column | None = None
+    messages: DataFrame, generator: GeneratorFactory | None = None, reset: Column | None = None,
+    time_limit: float | None = None,
 ) -> DataFrame:
     """The pending user turn of every conversation as a stand-alone question with the
     history of the earlier turns.
@@ -78,7 +80,7 @@ def conversation_questions(
         "conv_id", "turn", F.concat_ws("/", "conv_id", "turn").alias("question_id"),
         F.col("text").alias("question"), "history")
     if generator is not None:
-        return cut_lineage(reword_follow_ups(asked, generator))
+        return cut_lineage(reword_follow_ups(asked, generator, time_limit=time_limit))
     rewritten = standalone_questions(messages, reset).select(
         "conv_id", "turn", F.col("standalone").alias("question"))
     return asked.drop("question").join(rewritten, ["conv_id", "turn"])

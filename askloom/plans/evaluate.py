@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from askloom.config import Settings
+from askloom.config import METRIC_TIME_LIMIT, Settings
 from askloom.operators import scoring
 from askloom.operators.embedding import EmbedderFactory
 from askloom.operators.generation import GeneratorFactory, answer, succeeded, translate
@@ -37,10 +37,10 @@ def gated_answers(
     Written once after the translation (retrieval must see the wording that is
     answered) and once after the answers, so that no model is asked twice.
     """
-    asked = translate(questions, generator)
+    asked = translate(questions, generator, time_limit=settings.time_limit)
     if generator is not None:
         asked = cut_lineage(asked)
-    vectors = cut_lineage(question_vectors(asked, embedder, "question_en"))
+    vectors = cut_lineage(question_vectors(asked, embedder, "question_en", settings.time_limit))
     hits = retrieve(vectors.drop("embed_error"), index, settings.top_k, key=key)
     gated = (
         asked.join(vectors.drop("embedding"), "question_id", "left")
@@ -61,19 +61,24 @@ def score_answers(
     embedder: EmbedderFactory | None = None,
     judge: JudgeFactory | None = None,
     back_generator: GeneratorFactory | None = None,
+    time_limit: float | None = METRIC_TIME_LIMIT,
 ) -> DataFrame:
     """Answered questions with both metrics.  Off-topic and failed ones are left out.
 
+    Every call of a hook may take ``time_limit`` seconds.
+
     A judge that fails leaves ``faithfulness`` NULL and its message in ``judge_error``; means
     skip such rows.
     """
     rows = with_relevancy(
-        succeeded(gated).where(~F.col("off_topic")), "question_en", back_questions("answer", back_generator), embedder)
+        succeeded(gated).where(~F.col("off_topic")), "question_en",
+        back_questions("answer", back_generator, time_limit=time_limit), embedder,
+        time_limit=None if embedder is None else time_limit)
     if judge is None:
         scored = rows.withColumn("faithfulness", faithfulness("answer", "contexts")).withColumn(
             "judge_error", F.lit(None).cast("string"))
     else:
-        scored = rows.withColumn("_judged", judged("answer", "contexts", judge)).withColumn(
+        scored = rows.withColumn("_judged", judged("answer", "contexts", judge, time_limit)).withColumn(
             "faithfulness", F.col("_judged.share")).withColumn("judge_error", F.col("_judged.error")).drop("_judged")
     return scored
 
@@ -104,7 +109,7 @@ def evaluate(
     run log all read them."""
     started = time.perf_counter()
     gated = gated_answers(questions, index, settings, embedder, generator, key)
-    rows = cut_lineage(score_answers(gated, embedder, judge, back_generator))
+    rows = cut_lineage(score_answers(gated, embedder, judge, back_generator, settings.metric_time_limit))
     gate = scoring.quality_gate(scoring.mean_scores(rows), settings.quality_threshold)
     return Evaluation(rows, scoring.question_counts(gated), gate, time.perf_counter() - started)
 

@@ -2,6 +2,9 @@ import time
 
 from pyspark.sql import functions as F
 
+from askloom.operators.embedding import embed_or_error, hashing_embedder
+from askloom.operators.hooks import Hook
+from askloom.operators.metrics import back_questions, judged, with_relevancy
 from askloom.operators.generation import answer, call_generator, extractive_answer, failed, generate, succeeded, translate
 
 
@@ -122,3 +125,80 @@ def test_time_limit(spark):
     assert time.perf_counter() - started < 25
     assert rows["slow"].answer is None and rows["slow"].error.startswith("TimeoutError")
     assert rows["a"].answer == "A" and rows["b"].answer == "B"
+
+
+def asleep(*_):
+    time.sleep(30)
+
+
+def test_one_item_that_hangs_does_not_take_the_others_time():
+    def reply(items):
+        if "slow" in items:
+            time.sleep(30)
+        return [i.upper() for i in items]
+
+    hook = Hook(reply, 2.0)
+    started = time.perf_counter()
+    found = hook.outcomes(["a", "slow", "b", "c"])
+    assert time.perf_counter() - started < 5
+    assert [o.value for o in found] == ["A", None, "B", "C"] and found[1].error.startswith("TimeoutError")
+    assert hook.silent == 0
+
+
+def test_a_hook_that_never_replies_is_given_up():
+    hook = Hook(asleep, 0.2)
+    started = time.perf_counter()
+    found = [hook.outcomes(list(range(10))) for _ in range(50)]
+    assert time.perf_counter() - started < 5
+    assert all(o.value is None and o.error.startswith("TimeoutError") for part in found for o in part)
+    assert "not asked" in found[-1][0].error and "not asked" not in found[0][0].error
+
+
+def test_a_failure_is_not_silence():
+    def refuses(items):
+        raise ValueError("no")
+
+    hook = Hook(refuses, 1.0)
+    assert {o.error for _ in range(9) for o in hook.outcomes([1, 2])} == {"ValueError: no"}
+    assert hook.silent == 0 and hook.outcomes([]) == []
+
+
+def test_all_hooks_have_a_limit(spark):
+    df = spark.createDataFrame([(i, f"Comment fonctionne le mod\u00e8le {i} ?", "It runs. It stops.") for i in range(200)],
+                               "id int, question string, answer string").coalesce(1)
+    def generator():
+        return asleep
+
+    started = time.perf_counter()
+    rows = translate(df, generator, template="{question}", time_limit=0.2)
+    rows = rows.withColumn("j", judged("answer", F.array("question"), generator, 0.2))
+    rows = with_relevancy(rows, generated=back_questions("answer", generator, n=3, time_limit=0.2))
+    rows = rows.withColumn("e", embed_or_error("question", generator, 0.2)).collect()
+    assert time.perf_counter() - started < 40
+    for r in rows:
+        assert r.question_en == r.question and r.j.share is None and r.j.error.startswith("TimeoutError")
+        assert r.answer_relevancy is None and r.e.vector is None and r.e.error.startswith("TimeoutError")
+
+
+def test_calls_of_a_model_are_as_many_as_batches(spark):
+    """Three back-questions an answer, and their vectors with the question's."""
+    asked, embedded = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def generator():
+        def reply(prompts):
+            asked.add(1)
+            return [f"{len(p)} words" for p in prompts]
+        return reply
+
+    def embedder():
+        model = hashing_embedder()()
+
+        def embed(texts):
+            embedded.add(1)
+            return model(texts)
+        return embed
+
+    df = spark.createDataFrame([(i, f"{i} words", "Some answer") for i in range(64)], "id int, question string, answer string").coalesce(1)
+    rows = with_relevancy(df, generated=back_questions("answer", generator, n=3), embedder=embedder, n=3).collect()
+    assert (asked.value, embedded.value) == (2, 1)
+    assert all(0 < r.answer_relevancy <= 1 for r in rows)
