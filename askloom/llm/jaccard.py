@@ -1,11 +1,16 @@
 """N-gram Jaccard join by count vectors and R-trees.
 
 A document is the set of its distinct five-word shingles; two link when the shared part is
-at least three quarters of the union.  Shingles are hashed into ``GROUPS`` groups, and the
-counts of a set by group are a point.  No two sets share more than the sum, over the groups,
-of the smaller counts, and no set shares more with any member of a tree node than the sum of
-the minima with the node's upper corner.  Blocks are joined by such trees, and what survives
-is verified on whole sets.
+at least three quarters of the union.  Shingles are hashed into groups, and the counts of a
+set by group are a point.  No two sets share more than the sum, over the groups, of the smaller
+counts, and no set shares more with any member of a tree node than the sum of the minima with
+the node's upper corner.  Blocks are joined by such trees, and what survives is verified on
+whole sets.
+
+Groups that hold many shingles have like counts in unlike sets.  So a larger set has more groups:
+a power of two, ``PER_GROUP`` shingles in one on average at most.  Groups are the leading bits
+of the hash, so a point is brought to half its groups by adding neighbours; sets that can link
+are of nearly one size and never more than one such step apart.
 
 A tree over all points would not prune: sets of one size have similar counts.  So blocks
 come first.  Shingles have one global order, those that a sample finds frequent last, and a
@@ -30,11 +35,13 @@ from pyspark.sql import functions as F
 
 from askloom.llm.components import components
 from askloom.llm.frames import written
-from askloom.llm.tokens import distinct, mixed, shingles, slices, words
+from askloom.llm.tokens import buffers, distinct, mixed, shingles, slices, words
 from askloom.operators.windows import running_number
 
-GROUPS = 256
+GROUPS, PER_GROUP = 256, 4
 LEAF = 16
+#: Counters compared at once.
+COUNTERS = 1 << 22
 #: Rows of a block that one tree takes; larger blocks are split into cells of pairs of parts.
 PART = 1024
 #: One of so many documents tells which shingles are frequent: those that two of them hold, or one
@@ -65,8 +72,49 @@ def _sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
 
 def _counts(held: np.ndarray) -> np.ndarray:
     """Counts by group; a set too large for its counters has all of them full, which prunes nothing."""
-    counts = np.bincount((held >> np.uint64(56)).astype(np.int64), minlength=GROUPS)
-    return (counts if counts.max() < 255 else np.full(GROUPS, 255)).astype(np.uint8)
+    bits = max(GROUPS.bit_length() - 1, (-(-len(held) // PER_GROUP) - 1).bit_length())
+    counts = np.bincount((held >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return (counts if counts.max() < 255 else np.full(1 << bits, 255)).astype(np.uint8)
+
+
+class Points:
+    """Count vectors of several widths, each a power of two."""
+
+    def __init__(self, counts: pa.Array) -> None:
+        data, offsets = buffers(counts)
+        self.width = np.diff(offsets)
+        self.place = np.zeros(len(self.width), np.int64)
+        self.of_width: dict[int, np.ndarray] = {}
+        self.full = np.zeros(len(self.width), bool)
+        for width in np.unique(self.width).tolist():
+            rows = np.flatnonzero(self.width == width)
+            self.place[rows] = np.arange(len(rows))
+            matrix = data[(offsets[rows][:, None] + np.arange(width)).ravel()].reshape(len(rows), width) \
+                if len(rows) < len(self.width) else data[offsets[0]:offsets[-1]].reshape(-1, width)
+            self.of_width[width] = matrix
+            self.full[rows] = matrix.min(1) == 255
+
+    def at(self, rows: np.ndarray, width: int) -> np.ndarray:
+        """The points of ``rows`` brought to ``width`` groups."""
+        out = np.zeros((len(rows), width), np.uint16)
+        for wide in np.unique(self.width[rows]).tolist():
+            here = np.flatnonzero(self.width[rows] == wide)
+            part = self.of_width[wide][self.place[rows[here]]]
+            out[here] = part if wide == width else part.reshape(len(here), width, wide // width).sum(2, dtype=np.uint16)
+        return out
+
+    def room(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The most that the sets of each pair of rows can share; beyond any size if the counters of one are full."""
+        room = np.zeros(len(x), np.int64)
+        width = np.minimum(self.width[x], self.width[y])
+        for w in np.unique(width).tolist():
+            of = np.flatnonzero(width == w)
+            step = max(1, COUNTERS // w)
+            for k in range(0, len(of), step):
+                some = of[k:k + step]
+                room[some] = np.minimum(self.at(x[some], w), self.at(y[some], w)).sum(1, dtype=np.int64)
+        room[self.full[x] | self.full[y]] = 1 << 62
+        return room
 
 
 def _needed(n: int, least: Fraction) -> int:
@@ -152,53 +200,56 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield kept(held, before, True)
 
 
-def tree_pairs(counts: np.ndarray, n: np.ndarray, group: np.ndarray, side: np.ndarray, least: Fraction) -> np.ndarray:
+def tree_pairs(points: Points, n: np.ndarray, group: np.ndarray, side: np.ndarray, least: Fraction) -> np.ndarray:
     """Pairs of places, of different ``group``, whose counts allow a link.
 
     ``side`` is 0 for rows that meet all others, 1 and 2 for rows that meet the other side only.
-    Rows are sorted by size and packed into leaves; a leaf pair is opened only if the minima
+    Every width has a tree of its own rows and those of twice the width; pairs of the latter
+    are left to their own tree.
+    """
+    found = [np.zeros((0, 2), np.int64)]
+    for width in points.of_width:
+        rows = np.flatnonzero((points.width == width) | (points.width == 2 * width))
+        pairs = _one_tree(points, rows, width, n, group, side, least)
+        found.append(pairs[(points.width[pairs] == width).any(1)])
+    return np.concatenate(found)
+
+
+def _one_tree(points: Points, rows: np.ndarray, width: int, n, group, side, least: Fraction) -> np.ndarray:
+    """Rows are sorted by size and packed into leaves; a leaf pair is opened only if the minima
     of the upper corners leave room for a link between its smallest sets, their sizes fit, and
     not all rows are of one group.
     """
     num, den = least.numerator, least.denominator
-    order = np.argsort(n, kind="stable")
-    counts, n, group, side = counts[order], n[order], group[order], side[order]
-    m = len(n)
+    rows = rows[np.argsort(n[rows], kind="stable")]
+    m = len(rows)
     edges = np.arange(0, m, LEAF)
-    corner = np.maximum.reduceat(counts, edges, axis=0)
-    small, large = np.minimum.reduceat(n, edges), np.maximum.reduceat(n, edges)
-    g_low, g_high = np.minimum.reduceat(group, edges), np.maximum.reduceat(group, edges)
-    found = []
+    corner = np.stack([points.at(rows[e:e + LEAF], width).max(0) for e in edges])
+    full = np.logical_or.reduceat(points.full[rows], edges)
+    small, large = np.minimum.reduceat(n[rows], edges), np.maximum.reduceat(n[rows], edges)
+    g_low, g_high = np.minimum.reduceat(group[rows], edges), np.maximum.reduceat(group[rows], edges)
+    found = [np.zeros((0, 2), np.int64)]
     for a in range(len(edges)):
         b = np.arange(a, len(edges))
-        fits = np.minimum(corner[a], corner[b]).sum(1, dtype=np.int64) * (num + den) >= num * (small[a] + small[b])
-        fits |= (corner[a].min() == 255) | (corner[b].min(1) == 255)
-        fits &= large[a] * den >= small[b] * num
-        fits &= ~((g_low[a] == g_high[a]) & (g_low[b] == g_high[b]) & (g_low[a] == g_low[b]))
-        rows_a = np.arange(edges[a], min(edges[a] + LEAF, m))
-        for leaf in b[fits]:
-            rows_b = np.arange(edges[leaf], min(edges[leaf] + LEAF, m))
-            x, y = np.repeat(rows_a, len(rows_b)), np.tile(rows_b, len(rows_a))
+        b = b[large[a] * den >= small[b] * num]
+        b = b[~((g_low[a] == g_high[a]) & (g_low[b] == g_high[b]) & (g_low[a] == g_low[b]))]
+        opens = np.minimum(corner[a], corner[b]).sum(1, dtype=np.int64) * (num + den) >= num * (small[a] + small[b])
+        for leaf in b[opens | full[a] | full[b]]:
+            of_a, of_b = np.arange(edges[a], min(edges[a] + LEAF, m)), np.arange(edges[leaf], min(edges[leaf] + LEAF, m))
+            x, y = np.repeat(of_a, len(of_b)), np.tile(of_b, len(of_a))
             apart = x < y
-            x, y = _allowed(counts, n, group, side, x[apart], y[apart], least)
-            found.append(np.stack([order[x], order[y]], 1))
-    return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+            found.append(np.stack(_allowed(points, n, group, side, rows[x[apart]], rows[y[apart]], least), 1))
+    return np.concatenate(found)
 
 
-def _allowed(counts, n, group, side, x, y, least: Fraction) -> tuple[np.ndarray, np.ndarray]:
+def _allowed(points: Points, n, group, side, x, y, least: Fraction) -> tuple[np.ndarray, np.ndarray]:
     """Of the pairs (x, y), those of different groups and sides whose sizes and counts allow a link."""
     num, den = least.numerator, least.denominator
     small, large = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
     ok = (group[x] != group[y]) & ((side[x] == 0) | (side[x] != side[y])) & (small * den >= large * num)
     x, y = x[ok], y[ok]
     # shared >= least / (1 + least) * (|x| + |y|)
-    keep = [np.zeros(0, bool)]
-    for k in range(0, len(x), 1 << 14):
-        i, j = x[k:k + (1 << 14)], y[k:k + (1 << 14)]
-        room = np.minimum(counts[i], counts[j]).sum(1, dtype=np.int64)
-        full = (counts[i, 0] == 255) | (counts[j, 0] == 255)
-        keep.append((room * (num + den) >= num * (n[i] + n[j])) | full)
-    keep = np.concatenate(keep)
+    keep = points.room(x, y) >= -(-num * (n[x] + n[y]) // (num + den))
     return x[keep], y[keep]
 
 
@@ -209,8 +260,9 @@ def _tree_join(least: Fraction):
     What is kept back for the next rows is one cell, of at most two parts.
     """
 
-    def of_cells(cols: list[np.ndarray], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def of_cells(cols: list[np.ndarray], counts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         token, i, j, node, n, group, side = cols
+        points = Points(counts)
         new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
         first = np.flatnonzero(new)
@@ -220,12 +272,12 @@ def _tree_join(least: Fraction):
             of = first[size == m]
             p, q = np.triu_indices(m, 1)
             x, y = (of[:, None] + p).ravel(), (of[:, None] + q).ravel()
-            x, y = _allowed(counts, n, group, side, x, y, least)
+            x, y = _allowed(points, n, group, side, x, y, least)
             xs.append(node[x])
             ys.append(node[y])
         for f, m in zip(first[size > LEAF], size[size > LEAF]):
             at = slice(f, f + m)
-            pairs = tree_pairs(counts[at], n[at], group[at], side[at], least) + f
+            pairs = tree_pairs(Points(counts.slice(f, m)), n[at], group[at], side[at], least) + f
             xs.append(node[pairs[:, 0]])
             ys.append(node[pairs[:, 1]])
         x, y = np.concatenate(xs), np.concatenate(ys)
@@ -238,14 +290,14 @@ def _tree_join(least: Fraction):
             if not batch.num_rows:
                 continue
             cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(7)]
-            counts = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint8).reshape(-1, GROUPS)
+            counts = batch.column(7)
             if kept is not None:
-                cols, counts = [np.concatenate(c) for c in zip(kept, cols)], np.concatenate([kept_counts, counts])
+                cols, counts = [np.concatenate(c) for c in zip(kept, cols)], pa.concat_arrays([kept_counts, counts])
             same = (cols[0] == cols[0][-1]) & (cols[1] == cols[1][-1]) & (cols[2] == cols[2][-1])
             cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-            kept, kept_counts = [c[cut:] for c in cols], counts[cut:]
+            kept, kept_counts = [c[cut:] for c in cols], counts.slice(cut)
             if cut:
-                x, y = of_cells([c[:cut] for c in cols], counts[:cut])
+                x, y = of_cells([c[:cut] for c in cols], counts.slice(0, cut))
                 yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
         if kept is not None:
             x, y = of_cells(kept, kept_counts)
@@ -400,7 +452,7 @@ def _possible(pairs: DataFrame, counts: DataFrame, least: Fraction) -> DataFrame
             m = batch.num_rows
             if not m:
                 continue
-            both = np.frombuffer(b"".join(batch.column(4).to_pylist() + batch.column(5).to_pylist()), np.uint8).reshape(-1, GROUPS)
+            both = Points(pa.concat_arrays([batch.column(4), batch.column(5)]))
             n = np.concatenate([batch.column(2).to_numpy(), batch.column(3).to_numpy()])
             at, _ = _allowed(both, n, np.arange(2 * m), np.zeros(2 * m, np.int64), np.arange(m), np.arange(m, 2 * m), least)
             yield batch.select([0, 1]).take(pa.array(at))

@@ -146,16 +146,65 @@ def test_component_odd_rows(spark):
     assert jaccard_components(docs.limit(0)).count() == 0
 
 
+def points_of(sets):
+    return jaccard.Points(pa.array([jaccard._counts(x).tobytes() for x in sets], pa.binary()))
+
+
 def test_tree_loses_no_pair():
+    """Sets of many sizes, on both sides of the borders between widths, against all pairs."""
     rng = np.random.default_rng(3)
-    base = rng.integers(0, 6, (30, jaccard.GROUPS))
-    counts = np.maximum(np.repeat(base, 6, 0) + rng.integers(-1, 2, (180, jaccard.GROUPS)), 0).astype(np.uint8)
-    n, group = counts.sum(1).astype(np.int64), rng.integers(0, 90, 180)
-    side = np.zeros(180, np.int64)
-    got = {tuple(sorted(p)) for p in tree_pairs(counts, n, group, side, Fraction(3, 4)).tolist()}
-    want = {(i, j) for i in range(180) for j in range(i + 1, 180) if group[i] != group[j]
-            and 7 * int(np.minimum(counts[i], counts[j]).sum()) >= 3 * (n[i] + n[j]) and 4 * min(n[i], n[j]) >= 3 * max(n[i], n[j])}
-    assert got == want and want
+    sets = []
+    for size in (10, 300, 900, 1020, 1030, 1200, 2040, 2060, 5000):
+        base = rng.integers(0, 2**64, size, np.uint64)
+        for share in (1.0, .95, .9, .8, .7):
+            own = base[:int(size * share)]
+            sets.append(np.unique(np.concatenate([own, rng.integers(0, 2**64, size // 40, np.uint64)])))
+        sets += [np.unique(rng.integers(0, 2**64, size, np.uint64)) for _ in range(6)]
+    n, m = np.array([len(x) for x in sets]), len(sets)
+    points, group = points_of(sets), np.arange(m) // 2
+    got = [tuple(sorted(p)) for p in tree_pairs(points, n, group, np.zeros(m, np.int64), Fraction(3, 4)).tolist()]
+    assert len(got) == len(set(got))
+    linked = set()
+    for i in range(m):
+        for j in range(i + 1, m):
+            shared = len(np.intersect1d(sets[i], sets[j]))
+            assert shared <= points.room(np.array([i]), np.array([j]))[0]
+            if group[i] != group[j] and 4 * shared >= 3 * (n[i] + n[j] - shared):
+                linked.add((i, j))
+    # Unrelated sets, of whatever size, hardly ever come out.
+    assert linked <= set(got) and len(linked) > 30 and len(got) < 1.5 * len(linked)
+
+
+def test_sides_and_full_counters():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 2**56, 2000, np.uint64)) for _ in range(2)]  # all in one group
+    sets += [np.unique(rng.integers(0, 2**64, 2000, np.uint64)) for _ in range(2)]
+    n, points = np.array([len(x) for x in sets]), points_of(sets)
+    assert points.full.tolist() == [True, True, False, False]
+    pairs = tree_pairs(points, n, np.arange(4), np.zeros(4, np.int64), Fraction(3, 4)).tolist()
+    assert {tuple(sorted(p)) for p in pairs} == {(0, 1), (0, 2), (0, 3), (1, 2), (1, 3)}
+    pairs = tree_pairs(points, n, np.arange(4), np.array([1, 1, 2, 2]), Fraction(3, 4)).tolist()
+    assert {tuple(sorted(p)) for p in pairs} == {(0, 2), (0, 3), (1, 2), (1, 3)}
+
+
+def test_large_sets(spark):
+    """Sets of up to 70,000 shingles that share a passage, some of them near copies."""
+    rng = random.Random(6)
+    vocabulary = [f"v{i}" for i in range(50_000)]
+    passage = [rng.choice(vocabulary) for _ in range(80)]
+    texts = []
+    for size in (10, 1_000, 10_000, 70_000):
+        base = [rng.choice(vocabulary) for _ in range(size)]
+        for edits, cut in ((0, 1), (size // 60, 1), (0, .8), (size // 12, 1)):
+            own = base[:int(size * cut)]
+            for _ in range(edits):
+                own[rng.randrange(len(own))] = rng.choice(vocabulary)
+            texts.append(" ".join(own + passage))
+        texts.append(" ".join([rng.choice(vocabulary) for _ in range(size)] + passage))
+    table = dict(enumerate(texts))
+    docs = spark.createDataFrame(list(table.items()), "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_components(docs).collect()}
+    assert got == plain_components(table)
 
 
 # -- decontamination
