@@ -26,7 +26,7 @@ from askloom.llm.frames import written
 
 #: Vectors of an interval, of a leaf, of the sample that finds the directions, and directions.
 INTERVAL, LEAF, SAMPLE, LEADING = 2048, 128, 4096, 4
-NODE = "label long, dims int, node long, copies long, embedding array<float>"
+NODE = "label long, dims int, node long, copies long, embedding"
 
 
 def directions(sample: np.ndarray, leading: int = LEADING) -> np.ndarray:
@@ -48,13 +48,18 @@ def _vectors(column) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def _kind(vectors: DataFrame) -> str:
+    """Floats stay floats; any other numbers are doubles, and none is rounded."""
+    return "array<float>" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "array<double>"
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """vec_id, label, dims and embedding of the vectors that can link."""
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return vectors.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull()).where(
         fine & F.exists("embedding", lambda x: x != 0)).select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"),
-        F.size("embedding").alias("dims"), F.col("embedding").cast("array<float>").alias("embedding"))
+        F.size("embedding").alias("dims"), F.col("embedding").cast(_kind(vectors)).alias("embedding"))
 
 
 def _placed(axes: dict[int, np.ndarray], eps: float):
@@ -174,10 +179,11 @@ def link_vectors(vectors: DataFrame, least: float = 0.98) -> DataFrame:
         sample = nodes.where(F.col("dims") == row["dims"]).orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("embedding").toArrow()
         axes[row["dims"]] = directions(_unit(_vectors(sample.column(0))))
     cells = ", ".join(f"c{k} int" for k in range(LEADING))
-    placed = nodes.mapInArrow(_placed(axes, eps), f"{NODE}, spot array<double>, {cells}")
+    node = f"{NODE} {_kind(vectors)}, spot array<double>, {cells}"
+    placed = nodes.mapInArrow(_placed(axes, eps), node)
     order = ["label", "dims", *(f"c{k}" for k in range(LEADING)), "node"]
     ordered = written(placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-        _intervals, f"{NODE}, spot array<double>, {cells}, interval long"), "ordered")
+        _intervals, f"{node}, interval long"), "ordered")
 
     def bounds(which, name: str):
         return F.array(*(which(F.col("spot")[k]) for k in range(LEADING))).alias(name)

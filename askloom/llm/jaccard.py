@@ -379,14 +379,19 @@ def keep_one_of_each(documents: DataFrame, least: Fraction = Fraction(3, 4)) ->
     one stays; if ids repeat, rows are numbered first, by id and text.
     """
     odd = documents.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    rows = running_number(documents, F.col("doc_id").asc_nulls_last(), "text", out="_row") if odd else documents
-    key = "_row" if odd else "doc_id"
-    given = rows.where("doc_id IS NOT NULL") if odd else rows
-    gone = written(jaccard_components(given.select(key, "text"), least, key).where("doc_id <> component_id").select(
-        F.col("doc_id").alias("_gone")), "gone")
+    # The row is packed, so no name of its columns meets one of these.
+    rows = documents.select(F.struct(*documents.columns).alias("row"))
+    if odd:
+        rows = running_number(rows, F.col("row")["doc_id"].asc_nulls_last(), F.col("row")["text"], out="key")
+        given = rows.where(F.col("row")["doc_id"].isNotNull()).select("key", F.col("row")["text"].alias("text"))
+    else:
+        rows = rows.withColumn("key", F.col("row")["doc_id"].cast("long"))
+        given = documents.select(F.col("doc_id").alias("key"), "text")
+    gone = written(jaccard_components(given, least, "key").where("doc_id <> component_id").select(
+        F.col("doc_id").alias("gone")), "gone")
     few = gone.count() <= BROADCAST_IDS
-    kept = rows.join(F.broadcast(gone) if few else gone, F.col(key) == F.col("_gone"), "left_anti")
-    return kept.select(*documents.columns)
+    kept = rows.join(F.broadcast(gone) if few else gone, F.col("key") == F.col("gone"), "left_anti")
+    return kept.select(*(F.col("row")[c].alias(c) for c in documents.columns))
 
 
 def _frequent(documents: DataFrame) -> np.ndarray:

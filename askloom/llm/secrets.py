@@ -166,13 +166,21 @@ def redact_secrets(documents: DataFrame, owner: Column, repo: Column, max_owners
     rows = documents.select(F.struct("doc_id", key.alias("hash")).alias("doc_id"), owner.alias("owner"), repo.alias("repo"), "text")
     found = scan_secrets(rows, max_owners).withColumn("spans", F.sort_array(F.concat("base", "added"))).where("size(spans) > 0")
     found = written(found.groupBy("doc_id").agg(F.first("spans").alias("spans")).select(
-        F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.hash").alias("_hash"), F.col("spans").alias("_spans")), "secrets")
+        F.col("doc_id.doc_id").alias("id"), F.col("doc_id.hash").alias("hash"), "spans"), "secrets")
     few = found.count() <= BROADCAST_ROWS
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_hash"))
-    joined = documents.join(F.broadcast(found) if few else found, same, "left")
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col("_spans"), mark))
-    out = joined.withColumn("_text", text)
-    columns = {"text": F.col("_text")}
-    if "n_chars" in documents.columns:
-        columns["n_chars"] = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("_text")).cast(documents.schema["n_chars"].dataType)
-    return out.select(*(columns.get(c, F.col(c)).alias(c) for c in documents.columns))
+    # The row is packed, so no name of its columns meets one of these.
+    packed = documents.select(F.struct(*documents.columns).alias("row"))
+    text = F.col("row")["text"]
+    same = F.col("row")["doc_id"].eqNullSafe(F.col("id")) & (F.xxhash64(text) == F.col("hash"))
+    joined = packed.join(F.broadcast(found) if few else found, same, "left")
+    clean = joined.withColumn("clean", F.when(F.col("spans").isNull(), text).otherwise(redacted(text, F.col("spans"), mark)))
+
+    def column(name: str) -> Column:
+        if name == "text":
+            return F.col("clean")
+        if name == "n_chars":
+            kept = F.when(F.col("spans").isNull(), F.col("row")[name]).otherwise(F.length("clean"))
+            return kept.cast(documents.schema[name].dataType)
+        return F.col("row")[name]
+
+    return clean.select(*(column(c).alias(c) for c in documents.columns))

@@ -170,8 +170,17 @@ def _in_block(key: np.ndarray, b: int, blocks: int) -> np.ndarray:
 
 
 def _arrays(level: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    table = level.select("key", "n", "total").toArrow()
-    return table.column(0).to_numpy().view(np.uint64), table.column(1).to_numpy(), table.column(2).to_numpy()
+    key, n, total = _columns(level.select("key", "n", "total"))
+    return key.view(np.uint64), n, total
+
+
+def _columns(frame: DataFrame) -> list[np.ndarray]:
+    """The columns of ``frame`` as arrays of their own; what Arrow held is given back to the system."""
+    table = frame.toArrow()
+    columns = [np.concatenate([np.zeros(0, c.type.to_pandas_dtype()), *(x.to_numpy() for x in c.chunks)]) for c in table.columns]
+    del table
+    pa.default_memory_pool().release_unused()
+    return columns
 
 
 def _below(key: np.ndarray, count: int) -> np.ndarray:
@@ -267,9 +276,9 @@ class Vocabulary:
 
     def block(self, b: int) -> tuple[np.ndarray, np.ndarray]:
         own = self.counts.where(F.pmod(F.xxhash64("key"), F.lit(self.blocks())) == b)
-        table = own.select("key", F.col("n").cast("int" if self.tokens < 1 << 31 else "long").alias("n")).toArrow()
-        order = np.argsort(table.column("key").to_numpy().view(np.uint64))
-        return table.column("key").to_numpy().view(np.uint64)[order], table.column("n").to_numpy()[order]
+        key, n = _columns(own.select("key", F.col("n").cast("int" if self.tokens < 1 << 31 else "long").alias("n")))
+        order = np.argsort(key.view(np.uint64))
+        return key.view(np.uint64)[order], n[order]
 
 
 def learn(training: DataFrame) -> tuple[Tree | StoredTree, Vocabulary]:

@@ -124,3 +124,18 @@ def test_links_equal_brute_force(spark, monkeypatch, interval, leaf):
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumn("node", F.lit("clash"))
     assert sorted(map(tuple, link_vectors(table.repartition(3)).collect()), key=str) == plain_links(rows)
     assert link_vectors(table.limit(0)).count() == 0
+
+
+def test_doubles_are_not_rounded(spark):
+    """Components beyond the range of floats, and pairs a hair's breadth on either side of the least cosine."""
+    def pair(cosine, scale):
+        return [scale, 0.0, 0.0], [scale * cosine, scale * (1 - cosine * cosine) ** .5, 0.0]
+
+    rows = []
+    for k, (cosine, scale) in enumerate(((.98 + 1e-10, 1.0), (.98 - 1e-10, 1.0), (.98 + 1e-10, 1e200), (.98 - 1e-10, 1e-200), (1 - 1e-12, 1e39))):
+        rows += [(10 * k + n, v, k) for n, v in enumerate(pair(cosine, scale))]
+    rows += [(90, [1e39, 1e39, 0.0], 9), (91, [1e39, 1e39, 0.0], 9), (92, [1e308, 1e308, 1e308], 9), (93, [float("inf"), 1.0, 1.0], 9)]
+    found = link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found}
+    assert got == {0: (1, 0), 1: (1, 0), 10: (0, 10), 11: (0, 11), 20: (1, 20), 21: (1, 20), 30: (0, 30), 31: (0, 31),
+                   40: (1, 40), 41: (1, 40), 90: (1, 90), 91: (1, 90), 92: (0, 92), 93: (0, 93)}

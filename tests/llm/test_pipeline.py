@@ -55,6 +55,24 @@ def test_run_and_registration(spark):
     assert "pipeline" not in __spark_entry__.oracle_sql()
 
 
+def test_extra_columns_keep_their_values(spark):
+    """Whatever names the operators use inside, the table's own columns come out as they went in."""
+    names = ["_id", "_hash", "_spans", "_gone", "_text", "_row", "row", "key", "id", "hash", "spans", "clean", "gone", "base", "x"]
+    near = " ".join(f"w{k}" for k in range(60))
+    for repeated in (False, True):
+        data = [(1, near, "s"), (2, near + " x", "s"), (3, "password=abcdefghijklmnop", "t"), (3 if repeated else 4, "other", None)]
+        docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+        docs = docs.withColumn("lang", F.lit("en")).withColumn("n_chars", F.length("text").cast("long"))
+        docs = docs.withColumns({c: F.concat(F.lit(f"{c} of "), "text") for c in names})
+        for stage, left in ((corpus_pipeline.one_of_near_copies, 3), (corpus_pipeline.without_secrets, 4),
+                            (corpus_pipeline.without_benchmark, 4), (corpus_pipeline.clean_of_toxicity, 4)):
+            out = stage(spark, docs, FOLDER)
+            assert out.columns == docs.columns
+            got = out.collect()
+            before = {r["x"]: r for r in docs.collect()}
+            assert len(got) == left and all(r[c] == before[r["x"]][c] for r in got for c in names)
+
+
 def test_odd_rows_through_all_stages(spark):
     near = " ".join(f"w{k}" for k in range(60))
     data = [(None, near, "en", "s", 9), (1, near, "en", "s", 9), (1, near, "en", "s", 9), (1, "other words " * 9, None, "s", 9), (2, near + " x", "en", None, 9),
