@@ -41,8 +41,8 @@ def test_run_log_and_report(spark, tmp_path):
     rows = sorted(read_runs(spark, path).collect(), key=lambda r: len(r.metrics))
     assert [r.metrics for r in rows] == [{}, {"score_global": 0.8}]
     assert rows[0].params == {"top_k": "6"} and rows[0].tags["commit"] == "abc" and rows[0].artifact == "a.csv"
-    gate = spark.createDataFrame([(0.82, 0.79, True)], "faithfulness double, answer_relevancy double, passed boolean")
-    write_report(evaluation_report(gate, 15.3), str(tmp_path / "report"))
+    gate = spark.createDataFrame([(0.625, 0.4375, True)], "faithfulness double, answer_relevancy double, passed boolean")
+    write_report(evaluation_report(gate, 2.5), str(tmp_path / "report"))
     [text] = [p.read_text() for p in (tmp_path / "report").glob("part-*.json") if p.stat().st_size]
-    assert json.loads(text) == {"faithfulness": 0.82, "answer_relevancy": 0.79, "execution_time": 15.3, "status": "completed"}
+    assert json.loads(text) == {"faithfulness": 0.625, "answer_relevancy": 0.4375, "execution_time": 2.5, "status": "completed"}
     assert re.match(r"\{", text) and gate.select(F.col("passed")).head()[0]
