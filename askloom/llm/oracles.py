@@ -184,12 +184,15 @@ def _found(pattern: str) -> str:
                  found := ({m})[i]))"""
 
 
-def secret_spans(max_owners: int = 2) -> str:
+def secret_spans(max_owners: int = 2, max_repos: int = 3) -> str:
     group = f"regexp_extract(x.found, {_quoted(secrets.ASSIGN)}, 2)"
     apart = "NOT coalesce(list_bool_or(list_transform({others}, lambda b: x.s < b.e AND b.s < x.e)), false)"
 
+    live = (f"NOT regexp_matches(lower(x.found), {_quoted(secrets.NOT_LIVE)}) AND "
+            f"len(list_distinct(regexp_extract_all(x.found, '.'))) >= {secrets.LEAST_DISTINCT}")
+
     def kind(rank: int, spans: str, value: str = "x.found") -> str:
-        return f"list_transform({spans}, lambda x: struct_pack(s := x.s, r := {rank}, e := x.e, v := {value}))"
+        return f"list_transform({spans}, lambda x: struct_pack(s := x.s, r := {rank}, e := x.e, v := {value}, l := {live}))"
 
     name = "CASE x.r " + " ".join(f"WHEN {k} THEN '{n}'" for k, n in enumerate(secrets.KINDS)) + " END"
 
@@ -197,22 +200,26 @@ def secret_spans(max_owners: int = 2) -> str:
         return f"coalesce(array_to_string(list_transform(list_sort({spans}), lambda x: {name} || ':' || x.s || ':' || x.e), ','), '')"
 
     return f"""
-        WITH d AS (SELECT doc_id, source AS owner, coalesce(text, '') AS t FROM documents),
-        raw AS (SELECT doc_id, owner, {_found(secrets.ASSIGN)} AS a, {_found(secrets.ACCESS)} AS c, {_found(secrets.HEX)} AS h,
+        WITH d AS (SELECT doc_id, source AS owner, concat_ws('/', source, lang) AS repo, coalesce(text, '') AS t FROM documents),
+        raw AS (SELECT doc_id, owner, repo, {_found(secrets.ASSIGN)} AS a, {_found(secrets.ACCESS)} AS c, {_found(secrets.HEX)} AS h,
                        {_found(secrets.KNOWN)} AS k, {_found(secrets.MIXED)} AS m FROM d),
-        based AS (SELECT doc_id, owner, k, m, list_concat(
+        based AS (SELECT doc_id, owner, repo, m, k, list_concat(
                       {kind(0, f"list_filter(a, lambda x: length({group}) >= {secrets.LEAST_VALUE})", group)},
                       {kind(1, 'c')}, {kind(2, 'h')}) AS base FROM raw),
-        known AS (SELECT *, {kind(3, f"list_filter(k, lambda x: {apart.format(others='base')})")} AS kn FROM based),
-        more AS (SELECT doc_id, owner, base, list_concat(kn, {kind(4, "list_filter(m, lambda x: regexp_matches(x.found, '[0-9]') "
+        known AS (SELECT *, {kind(3, f"list_filter(k, lambda x: {apart.format(others='base')})")} AS kn,
+                  list_concat(base, {kind(3, 'k')}) AS near FROM based),
+        more AS (SELECT doc_id, owner, repo, base, list_concat(kn, {kind(4, "list_filter(m, lambda x: regexp_matches(x.found, '[0-9]') "
                  "AND regexp_matches(x.found, '[a-z]') AND regexp_matches(x.found, '[A-Z]') AND "
-                 + apart.format(others='base') + " AND " + apart.format(others='kn') + ")")}) AS more FROM known),
-        held AS (SELECT doc_id, owner, unnest(list_concat(base, more)) AS x FROM more),
-        wide AS (SELECT x.v AS v FROM held GROUP BY x.v HAVING count(DISTINCT owner) > {max_owners}),
-        judged AS (SELECT doc_id, list(x) FILTER (wide.v IS NULL AND x.r >= 3) AS added, count(wide.v) AS n_shared
-                   FROM held LEFT JOIN wide ON held.x.v = wide.v GROUP BY doc_id)
+                 + apart.format(others='near') + ")")}) AS more FROM known),
+        held AS (SELECT doc_id, owner, repo, unnest(list_concat(base, more)) AS x FROM more),
+        owned AS (SELECT x.v AS v, count(DISTINCT coalesce('+' || owner, '')) AS o,
+                         count(DISTINCT coalesce('+' || owner, '') || chr(9) || coalesce('+' || repo, '')) AS n FROM held GROUP BY x.v),
+        judged AS (SELECT doc_id, list(x) FILTER (o <= {max_owners} AND n <= {max_repos} AND x.l AND x.r >= 3) AS added,
+                          count(*) FILTER (o > {max_owners} OR n > {max_repos}) AS n_shared, max(o) AS most_owners, max(n) AS most_repos
+                   FROM held JOIN owned ON held.x.v = owned.v GROUP BY doc_id)
         SELECT doc_id, len(list_filter(base, lambda x: x.r = 0)) AS n_assign, len(list_filter(base, lambda x: x.r = 1)) AS n_access,
                len(list_filter(base, lambda x: x.r = 2)) AS n_hex, sha256({joined('base')}) AS base_sha256,
                {joined('list_concat(base, coalesce(added, []))')} AS spans, coalesce(n_shared, 0) AS n_shared,
+               coalesce(most_owners, 0) AS most_owners, coalesce(most_repos, 0) AS most_repos,
                coalesce(len(added), 0) AS n_added
         FROM more LEFT JOIN judged USING (doc_id)"""

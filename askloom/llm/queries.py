@@ -65,7 +65,7 @@ def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", number(0).alias("n_assign"), number(1).alias("n_access"), number(2).alias("n_hex"),
         F.sha2(names(F.col("base")), 256).alias("base_sha256"),
-        names(F.sort_array(F.concat("base", "added"))).alias("spans"), "n_shared",
+        names(F.sort_array(F.concat("base", "added"))).alias("spans"), "n_shared", "most_owners", "most_repos",
         F.size("added").cast("long").alias("n_added"))
 
 

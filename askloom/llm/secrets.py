@@ -1,10 +1,11 @@
 """Secret scans with corpus-wide ownership frequency, in built-in functions only.
 
 Fixed patterns find assignments of secrets, access keys and long hexadecimal runs; these
-spans always count.  Wider patterns propose candidates.  The candidates' values are hashed
-and counted over the whole corpus by the repositories and the owners that hold them: a value
-that more than ``max_owners`` owners share is a copied example, one that few hold is a
-credential of theirs and its span is added.
+spans always count.  Wider patterns propose candidates; those that look live count: no
+placeholder, no run, no sequence, enough different characters.  Values are hashed and counted over the whole
+corpus by the repositories and the owners that hold them: a value that more than
+``max_owners`` owners or ``max_repos`` repositories share is a copied example, one that few
+hold is a credential of theirs and its span is added.
 """
 
 from __future__ import annotations
@@ -32,8 +33,52 @@ KNOWN = "|".join((
     "gh[opsur]_[A-Za-z0-9]{30,}", "xox[abprs]-[A-Za-z0-9-]{10,}", "sk[-_][A-Za-z0-9_-]{20,}",
     r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}", "AIza[A-Za-z0-9_-]{30,}"))
 MIXED = "[A-Za-z0-9+/_-]{20,}"
+#: Words of examples, in lower case.
+PLACEHOLDERS = ("example", "sample", "dummy", "placeholder", "changeme", "change_me", "your", "test", "fake")
+_DIGITS, _LETTERS = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+#: What no live value holds, in lower case: placeholders, a character four times, four in sequence.
+NOT_LIVE = "|".join((*PLACEHOLDERS, *(f"{c}{{4}}" for c in _DIGITS + _LETTERS),
+                     *(row[i:i + 4] for row in (_DIGITS, _LETTERS) for i in range(len(row) - 3))))
+LEAST_DISTINCT = 10
 KINDS = ("assign", "access", "hex", "known", "mixed")
-SPAN = "struct<start:int,rank:int,end:int,value:bigint>"
+SPAN = "struct<start:int,rank:int,end:int,value:bigint,live:boolean>"
+
+
+def _most(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
+def _least(a: Column, b: Column) -> Column:
+    return F.least(a, b)
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _blocks(items: Column) -> Column:
+    """An array in pieces of 64."""
+    return F.transform(F.sequence(F.lit(0), F.shiftright(F.size(items) - 1, 6)),
+                       lambda b: F.slice(items, b * 64 + 1, F.lit(64)))
+
+
+def _scan(items: Column, zero: Column, gain, best, make, kind: str) -> Column:
+    """``make(state, x)`` of every item, where the state folds the gains of all items before it by ``best``.
+
+    The fold runs inside blocks of 64 that start from the folds of the blocks before, so no
+    array of all items is copied item by item.  ``kind`` is the type that ``make`` gives.
+    """
+    def inside(blocks, totals):
+        return F.flatten(F.transform(blocks, lambda q, i: F.aggregate(
+            q, F.struct(F.aggregate(F.slice(totals, F.lit(1), i), zero, best).alias("at"),
+                        F.array().cast(f"array<{kind}>").alias("out")),
+            lambda a, x: F.struct(best(a["at"], gain(x)).alias("at"), F.array_append(a["out"], make(a["at"], x)).alias("out")),
+            lambda a: a["out"])))
+
+    return _let(items, lambda all_: _let(_blocks(all_), lambda blocks: _let(
+        F.transform(blocks, lambda q: F.aggregate(q, zero, lambda a, x: best(a, gain(x)))),
+        lambda totals: inside(blocks, totals))))
 
 
 def _matches(text: Column, pattern: str) -> Column:
@@ -42,19 +87,17 @@ def _matches(text: Column, pattern: str) -> Column:
     Splitting by the same pattern gives the texts between the matches, so places are
     running sums of lengths in code points.
     """
+    kind = "struct<start:int,end:int,found:string>"
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("found"))
-    none = "array<struct<start:int,end:int,found:string>>"
-    placed = F.aggregate(
-        pairs, F.struct(F.lit(0).alias("at"), F.array().cast(none).alias("out")),
-        lambda a, x: F.when(x["found"].isNull(), a).otherwise(F.struct(
-            (a["at"] + F.length(x["gap"]) + F.length(x["found"])).alias("at"),
-            F.array_append(a["out"], F.struct(
-                (a["at"] + F.length(x["gap"])).alias("start"),
-                (a["at"] + F.length(x["gap"]) + F.length(x["found"])).alias("end"),
-                x["found"].alias("found"))).alias("out"))),
-        lambda a: a["out"])
-    return F.when(text.rlike(pattern), placed).otherwise(F.array().cast(none))
+    # The gap after the last match has none.
+    pairs = F.filter(F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("found")),
+                     lambda x: x["found"].isNotNull())
+    placed = _scan(
+        pairs, F.lit(0), lambda x: F.length(x["gap"]) + F.length(x["found"]), lambda a, b: a + b,
+        lambda at, x: F.struct((at + F.length(x["gap"])).alias("start"),
+                               (at + F.length(x["gap"]) + F.length(x["found"])).alias("end"), x["found"].alias("found")),
+        kind)
+    return F.when(text.rlike(pattern), placed).otherwise(F.array().cast(f"array<{kind}>"))
 
 
 def names(spans: Column) -> Column:
@@ -66,21 +109,34 @@ def names(spans: Column) -> Column:
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
     """``text`` with every span of the sorted ``spans`` replaced by ``mark``; spans that overlap become one."""
-    step = F.aggregate(
-        spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda a, s: F.when(s["end"] <= a["at"], a)
-        .when(s["start"] < a["at"], F.struct(s["end"].alias("at"), a["out"].alias("out")))
-        .otherwise(F.struct(s["end"].alias("at"), F.concat(
-            a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit(mark)).alias("out"))),
-        lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, step).otherwise(text)
-
-
-def _spans(found: Column, kind: str, value=lambda m: m["found"], keep=None) -> Column:
+    def inside(blocks, ends):
+        def pieces(q, low, part):
+            return F.aggregate(
+                q, F.struct(low.alias("at"), F.array().cast("array<string>").alias("out")),
+                lambda a, s: F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(
+                    s["start"] >= a["at"], F.concat(a["out"], F.array(
+                        F.substring(part, a["at"] - low + 1, s["start"] - a["at"]), F.lit(mark)))
+                ).otherwise(a["out"]).alias("out")),
+                lambda a: a["out"])
+
+        # Only a block's own part of the text is searched for its places.
+        return F.flatten(F.transform(blocks, lambda q, i: _let(
+            F.aggregate(F.slice(ends, F.lit(1), i), F.lit(0), _most), lambda low: _let(
+                F.substring(text, low + 1, F.greatest(F.element_at(ends, i + 1) - low, F.lit(0))),
+                lambda part: pieces(q, low, part)))))
+
+    done = _let(_blocks(spans), lambda blocks: _let(
+        F.transform(blocks, lambda q: F.aggregate(q, F.lit(0), lambda a, s: F.greatest(a, s["end"]))),
+        lambda ends: F.array_join(F.concat(inside(blocks, ends), F.array(F.substring(
+            text, F.aggregate(ends, F.lit(0), _most) + 1, F.length(text)))), "")))
+    return F.when(F.size(spans) > 0, done).otherwise(text)
+
+
+def _spans(found: Column, kind: str, value=lambda m: m["found"], keep=None, live=lambda m: F.lit(True)) -> Column:
     kept = F.filter(found, keep) if keep else found
     return F.transform(kept, lambda m: F.struct(
         m["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), m["end"].alias("end"),
-        F.xxhash64(value(m)).alias("value")))
+        F.xxhash64(value(m)).alias("value"), live(m).alias("live")))
 
 
 def _assigned(m: Column) -> Column:
@@ -92,14 +148,39 @@ def _mixed(m: Column) -> Column:
     return text.rlike("[0-9]") & text.rlike("[a-z]") & text.rlike("[A-Z]")
 
 
-def _apart(span: Column, others: Column) -> Column:
-    return ~F.exists(others, lambda b: (span["start"] < b["end"]) & (b["start"] < span["end"]))
+def _live(m: Column) -> Column:
+    return ~F.lower(m["found"]).rlike(NOT_LIVE) & (
+        F.size(F.array_distinct(F.regexp_extract_all(m["found"], F.lit("."), F.lit(0)))) >= LEAST_DISTINCT)
+
+
+def _apart(spans: Column, rank: int, others: Column) -> Column:
+    """The spans, all of one rank, that touch none of ``others``, all of lower ranks.
+
+    In the order of starts a span touches one before it if the farthest end reaches over its
+    start, and one after it if the nearest start lies before its end.
+    """
+    other = lambda x: x["rank"] < rank
+    fields = ("start", "rank", "end", "value", "live")
+    mark = SPAN[:-1] + ",hit:boolean>"
+
+    def marked(x, hit):
+        return F.struct(*(x[f].alias(f) for f in fields), hit.alias("hit"))
+
+    before = _scan(F.sort_array(F.concat(others, spans)), F.lit(-1), lambda x: F.when(other(x), x["end"]).otherwise(-1),
+                   _most, lambda at, x: marked(x, at > x["start"]), mark)
+    far = F.lit(2**31 - 1)
+    after = _scan(F.reverse(before), far, lambda x: F.when(other(x), x["start"]).otherwise(far),
+                  _least, lambda at, x: marked(x, x["hit"] | (at < x["end"])), mark)
+    kept = F.transform(F.filter(after, lambda x: ~other(x) & ~x["hit"]), lambda x: F.struct(
+        *(x[f].alias(f) for f in fields)))
+    return F.when((F.size(spans) == 0) | (F.size(others) == 0), spans).otherwise(kept)
 
 
 def scanned(documents: DataFrame) -> DataFrame:
     """``base`` and ``more``: spans of ``documents`` (doc_id, owner, repo, text) by fixed and wider patterns.
 
-    A null text is empty.  Candidates that touch a base span, or a known shape, are left out.
+    A null text is empty.  Candidates that touch a base span, or a known shape, are left out;
+    those that do not look live are marked.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     small = F.lower(text)
@@ -111,51 +192,72 @@ def scanned(documents: DataFrame) -> DataFrame:
                                   lambda m: F.length(_assigned(m)) >= LEAST_VALUE)).otherwise(none)
     base = F.concat(assign, _spans(_matches(text, ACCESS), "access"), _spans(_matches(text, HEX), "hex"))
     found = documents.select("doc_id", "owner", "repo", base.alias("base"),
-                             _spans(_matches(text, KNOWN), "known").alias("known"),
-                             _spans(_matches(text, MIXED), "mixed", keep=_mixed).alias("mixed"))
-    known = F.filter("known", lambda s: _apart(s, F.col("base")))
-    mixed = F.filter("mixed", lambda s: _apart(s, F.col("base")) & _apart(s, F.col("known")))
+                             _spans(_matches(text, KNOWN), "known", live=_live).alias("known"),
+                             _spans(_matches(text, MIXED), "mixed", keep=_mixed, live=_live).alias("mixed"))
+    known = _apart(F.col("known"), KINDS.index("known"), F.col("base"))
+    mixed = _apart(F.col("mixed"), KINDS.index("mixed"), F.concat("base", "known"))
     return found.select("doc_id", "owner", "repo", "base", F.concat(known, mixed).alias("more"))
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """Value, number of repositories and of owners: every (value, owner, repo) counts once."""
-    held = found.select("owner", "repo", F.explode(F.concat("base", "more")).alias("s")).select(
-        F.col("s.value").alias("value"), "owner", "repo").distinct()
-    by_owner = held.groupBy("value", "owner").agg(F.count(F.lit(1)).alias("repos"))
-    return by_owner.groupBy("value").agg(F.sum("repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"))
+    """Value, number of repositories, of owners and of spans: every (value, owner, repo) counts once."""
+    held = found.select("owner", "repo", F.explode(F.concat("base", "more")).alias("s")).groupBy(
+        F.col("s.value").alias("value"), "owner", "repo").agg(F.count(F.lit(1)).alias("spans"))
+    by_owner = held.groupBy("value", "owner").agg(F.count(F.lit(1)).alias("repos"), F.sum("spans").alias("spans"))
+    return by_owner.groupBy("value").agg(
+        F.sum("repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"), F.sum("spans").alias("n_spans"))
+
+
+#: A value of more spans than this, and than one in ``MOST_HOT`` of all, is hot: at most ``MOST_HOT`` values are.
+HOT_SPANS = 1 << 16
+MOST_HOT = 100_000
+
+
+def _with_ownership(held: DataFrame, owned: DataFrame) -> DataFrame:
+    """``held`` with the ownership of its values; the spans of hot values stay where they are."""
+    total = owned.agg(F.sum("n_spans")).head()[0] or 0
+    hot = F.col("n_spans") > max(HOT_SPANS, total // MOST_HOT)
+    hottest = owned.where(hot)
+    if hottest.isEmpty():
+        return held.join(owned, "value")
+    few = F.broadcast(hottest)
+    return held.join(few, "value").unionByName(
+        held.join(few, "value", "left_anti").join(owned.where(~hot), "value"))
 
 
-def scan_secrets(documents: DataFrame, max_owners: int = 2) -> DataFrame:
+def scan_secrets(documents: DataFrame, max_owners: int = 2, max_repos: int = 3) -> DataFrame:
     """Spans of secrets of ``documents`` (doc_id, owner, repo, text).
 
-    One row per input row: doc_id, base and added (arrays of start, rank, end, value; code
-    points, end exclusive, sorted by start and rank; rank is the place in ``KINDS``), n_shared
-    (spans of either sort whose value more than ``max_owners`` owners hold) and row_id.  Null
-    and empty texts have no spans.  A null owner or repository counts as one of its own.
-    Repeated rows are scanned each; they do not raise an ownership count.  Other columns are
-    not read, and an empty table gives no rows.
+    One row per input row: doc_id, base and added (arrays of start, rank, end, value, live; code
+    points, end exclusive, sorted by start and rank; rank is the place in ``KINDS``; live), n_shared
+    (spans of either sort whose value more than ``max_owners`` owners or ``max_repos``
+    repositories hold), most_owners and most_repos (of any value in the text, 0 without spans)
+    and row_id.  Null and empty texts have no spans; the work for a text grows in proportion to it.
+    A null owner or repository counts as one of its own.  Repeated rows are scanned each; they
+    do not raise an ownership count.  Other columns are not read, and an empty table gives no rows.
     """
     # The number of a row is fixed once the rows are written.
     found = written(scanned(documents).withColumn("row_id", F.monotonically_increasing_id()), "spans")
     held = found.select("row_id", F.explode(F.concat("base", "more")).alias("s")).withColumn("value", F.col("s.value"))
-    judged = held.join(ownership(found), "value")
-    wide = F.col("n_owners") > max_owners
+    judged = _with_ownership(held, written(ownership(found), "ownership"))
+    wide = (F.col("n_owners") > max_owners) | (F.col("n_repos") > max_repos)
     first_candidate = KINDS.index("known")
     per_row = judged.groupBy("row_id").agg(
-        F.sort_array(F.collect_list(F.when(~wide & (F.col("s.rank") >= first_candidate), F.col("s")))).alias("added"),
-        F.count(F.when(wide, 1)).alias("n_shared"))
+        F.sort_array(F.collect_list(F.when(~wide & F.col("s.live") & (F.col("s.rank") >= first_candidate), F.col("s")))).alias("added"),
+        F.count(F.when(wide, 1)).alias("n_shared"),
+        F.max("n_owners").alias("most_owners"), F.max("n_repos").alias("most_repos"))
     none = F.array().cast(f"array<{SPAN}>")
     return found.join(per_row, "row_id", "left").select(
         "doc_id", F.sort_array("base").alias("base"), F.coalesce("added", none).alias("added"),
-        F.coalesce("n_shared", F.lit(0)).alias("n_shared"), "row_id")
+        *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n_shared", "most_owners", "most_repos")), "row_id")
 
 
 #: Documents with spans that may be sent to all tasks (a few hundred bytes each); more are joined.
 BROADCAST_ROWS = 1 << 17
 
 
-def redact_secrets(documents: DataFrame, owner: Column, repo: Column, max_owners: int = 2, mark: str = "[secret]") -> DataFrame:
+def redact_secrets(documents: DataFrame, owner: Column, repo: Column, max_owners: int = 2,
+                   max_repos: int = 3, mark: str = "[secret]") -> DataFrame:
     """``documents`` (any columns, with doc_id and text) with every secret replaced by ``mark``.
 
     Spans are those of ``scan_secrets``.  Rows without one are unchanged, a null text stays
@@ -164,7 +266,7 @@ def redact_secrets(documents: DataFrame, owner: Column, repo: Column, max_owners
     """
     key = F.xxhash64("text")
     rows = documents.select(F.struct("doc_id", key.alias("hash")).alias("doc_id"), owner.alias("owner"), repo.alias("repo"), "text")
-    found = scan_secrets(rows, max_owners).withColumn("spans", F.sort_array(F.concat("base", "added"))).where("size(spans) > 0")
+    found = scan_secrets(rows, max_owners, max_repos).withColumn("spans", F.sort_array(F.concat("base", "added"))).where("size(spans) > 0")
     found = written(found.groupBy("doc_id").agg(F.first("spans").alias("spans")).select(
         F.col("doc_id.doc_id").alias("id"), F.col("doc_id.hash").alias("hash"), "spans"), "secrets")
     few = found.count() <= BROADCAST_ROWS
