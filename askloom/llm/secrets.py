@@ -81,23 +81,27 @@ def _scan(items: Column, zero: Column, gain, best, make, kind: str) -> Column:
         lambda totals: inside(blocks, totals))))
 
 
-def _matches(text: Column, pattern: str) -> Column:
-    """Whole matches of ``pattern`` with their places: array of (start, end, found).
+PLACED = "array<struct<start:int,end:int,found:string>>"
 
-    Splitting by the same pattern gives the texts between the matches, so places are
-    running sums of lengths in code points.
-    """
-    kind = "struct<start:int,end:int,found:string>"
+
+def _gaps(text: Column, pattern: str, may: Column | None = None) -> Column:
+    """Whole matches of ``pattern``, each with the text between it and the one before; none unless ``may``."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     # The gap after the last match has none.
     pairs = F.filter(F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("found")),
                      lambda x: x["found"].isNotNull())
-    placed = _scan(
-        pairs, F.lit(0), lambda x: F.length(x["gap"]) + F.length(x["found"]), lambda a, b: a + b,
-        lambda at, x: F.struct((at + F.length(x["gap"])).alias("start"),
-                               (at + F.length(x["gap"]) + F.length(x["found"])).alias("end"), x["found"].alias("found")),
-        kind)
-    return F.when(text.rlike(pattern), placed).otherwise(F.array().cast(f"array<{kind}>"))
+    some = text.rlike(pattern) if may is None else may & text.rlike(pattern)
+    return F.when(some, pairs).otherwise(F.array().cast("array<struct<gap:string,found:string>>"))
+
+
+def _placed(gaps: Column) -> Column:
+    """Of an array of results of ``_gaps``, the matches with their places, in code points: running sums of lengths."""
+    def place(at, x):
+        start = at + F.length(x["gap"])
+        return F.struct(start.alias("start"), (start + F.length(x["found"])).alias("end"), x["found"].alias("found"))
+
+    return F.transform(gaps, lambda pairs: _scan(
+        pairs, F.lit(0), lambda x: F.length(x["gap"]) + F.length(x["found"]), lambda a, b: a + b, place, PLACED[6:-1]))
 
 
 def names(spans: Column) -> Column:
@@ -153,27 +157,36 @@ def _live(m: Column) -> Column:
         F.size(F.array_distinct(F.regexp_extract_all(m["found"], F.lit("."), F.lit(0)))) >= LEAST_DISTINCT)
 
 
-def _apart(spans: Column, rank: int, others: Column) -> Column:
-    """The spans, all of one rank, that touch none of ``others``, all of lower ranks.
+def _free(base: Column, known: Column, mixed: Column) -> Column:
+    """Known shapes that touch no base span, and mixed runs that touch neither those nor any known shape.
 
     In the order of starts a span touches one before it if the farthest end reaches over its
     start, and one after it if the nearest start lies before its end.
     """
-    other = lambda x: x["rank"] < rank
+    shape, run = KINDS.index("known"), KINDS.index("mixed")
     fields = ("start", "rank", "end", "value", "live")
-    mark = SPAN[:-1] + ",hit:boolean>"
+    far = 2**31 - 1
 
-    def marked(x, hit):
-        return F.struct(*(x[f].alias(f) for f in fields), hit.alias("hit"))
+    def scan(items, zero, side, best, hit):
+        def gain(x):
+            return F.struct(F.when(x["rank"] < shape, x[side]).otherwise(zero).alias("base"),
+                            F.when(x["rank"] == shape, x[side]).otherwise(zero).alias("known"))
 
-    before = _scan(F.sort_array(F.concat(others, spans)), F.lit(-1), lambda x: F.when(other(x), x["end"]).otherwise(-1),
-                   _most, lambda at, x: marked(x, at > x["start"]), mark)
-    far = F.lit(2**31 - 1)
-    after = _scan(F.reverse(before), far, lambda x: F.when(other(x), x["start"]).otherwise(far),
-                  _least, lambda at, x: marked(x, x["hit"] | (at < x["end"])), mark)
-    kept = F.transform(F.filter(after, lambda x: ~other(x) & ~x["hit"]), lambda x: F.struct(
-        *(x[f].alias(f) for f in fields)))
-    return F.when((F.size(spans) == 0) | (F.size(others) == 0), spans).otherwise(kept)
+        def fold(a, b):
+            return F.struct(best(a["base"], b["base"]).alias("base"), best(a["known"], b["known"]).alias("known"))
+
+        def make(at, x):
+            edge = F.when(x["rank"] == run, best(at["base"], at["known"])).otherwise(at["base"])
+            return F.struct(*(x[f].alias(f) for f in fields), hit(edge, x).alias("hit"))
+
+        return _scan(items, F.struct(F.lit(zero).alias("base"), F.lit(zero).alias("known")), gain, fold, make,
+                     SPAN[:-1] + ",hit:boolean>")
+
+    before = scan(F.sort_array(F.concat(base, known, mixed)), -1, "end", _most, lambda edge, x: edge > x["start"])
+    after = scan(F.reverse(before), far, "start", _least, lambda edge, x: x["hit"] | (edge < x["end"]))
+    kept = F.transform(F.filter(after, lambda x: (x["rank"] >= shape) & ~x["hit"]),
+                       lambda x: F.struct(*(x[f].alias(f) for f in fields)))
+    return F.when(F.size(known) + F.size(mixed) > 0, kept).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def scanned(documents: DataFrame) -> DataFrame:
@@ -187,16 +200,16 @@ def scanned(documents: DataFrame) -> DataFrame:
     named = F.lit(False)
     for word in KEYWORDS:
         named = named | F.contains(small, F.lit(word))
-    none = F.array().cast(f"array<{SPAN}>")
-    assign = F.when(named, _spans(_matches(text, ASSIGN), "assign", _assigned,
-                                  lambda m: F.length(_assigned(m)) >= LEAST_VALUE)).otherwise(none)
-    base = F.concat(assign, _spans(_matches(text, ACCESS), "access"), _spans(_matches(text, HEX), "hex"))
-    found = documents.select("doc_id", "owner", "repo", base.alias("base"),
-                             _spans(_matches(text, KNOWN), "known", live=_live).alias("known"),
-                             _spans(_matches(text, MIXED), "mixed", keep=_mixed, live=_live).alias("mixed"))
-    known = _apart(F.col("known"), KINDS.index("known"), F.col("base"))
-    mixed = _apart(F.col("mixed"), KINDS.index("mixed"), F.concat("base", "known"))
-    return found.select("doc_id", "owner", "repo", "base", F.concat(known, mixed).alias("more"))
+    gaps = F.array(_gaps(text, ASSIGN, named), *(_gaps(text, p) for p in (ACCESS, HEX, KNOWN, MIXED)))
+    placed = documents.select("doc_id", "owner", "repo", _placed(gaps).alias("placed"))
+    assign, access, hexes, known, mixed = (F.col("placed")[k] for k in range(len(KINDS)))
+    base = F.concat(
+        _spans(assign, "assign", _assigned, lambda m: F.length(_assigned(m)) >= LEAST_VALUE),
+        _spans(access, "access"), _spans(hexes, "hex"))
+    found = placed.select("doc_id", "owner", "repo", base.alias("base"),
+                          _spans(known, "known", live=_live).alias("known"),
+                          _spans(mixed, "mixed", keep=_mixed, live=_live).alias("mixed"))
+    return found.select("doc_id", "owner", "repo", "base", _free(F.col("base"), F.col("known"), F.col("mixed")).alias("more"))
 
 
 def ownership(found: DataFrame) -> DataFrame:
