@@ -21,7 +21,7 @@ from askloom.sources.files import concat_documents, decode_text, load_summary as
 from askloom.sources.index import (
     append_index, load_or_create, read_index, write_index, write_sessions,
 )
-from askloom.sources.questions import read_questions
+from askloom.sources.questions import read_questions, write_questions
 from askloom.sources.results import read_results, write_results
 from askloom.streaming.incremental import ingest_new_documents
 
@@ -254,11 +254,24 @@ def question_set(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "questions")
     items = questions(spark, folder)
     items.select("question", F.col("question_id").cast("string").alias("ground_truth")).write.json(path)
-    return read_questions(spark, path, lines=True).select(
+    return read_questions(spark, path).select(
         F.col("ground_truth").cast("bigint").alias("place"), F.char_length("question").alias("n"),
         F.md5("question").alias("digest"))
 
 
+@query("""SELECT doc_id, CAST(length(text) AS INTEGER) AS n, md5(text) AS digest, lang FROM documents""")
+def question_arrays(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as questions of JSON arrays, which hold any character, and back."""
+    path = scratch_path(spark, "arrays")
+    rows = documents(spark, folder, "doc_id", "lang", "text")
+    write_questions(rows.select(
+        F.col("text").alias("question"), F.concat_ws("/", "doc_id", "lang").alias("ground_truth")), path)
+    named = F.split("ground_truth", "/")
+    return read_questions(spark, path).select(
+        named[0].cast("bigint").alias("doc_id"), F.char_length("question").alias("n"), F.md5("question").alias("digest"),
+        named[1].alias("lang"))
+
+
 @query("""SELECT conv_id, turn, md5(text) AS answer, CASE WHEN role = 'user' THEN '' ELSE role END AS truth,
                  CASE WHEN role = 'system' THEN NULL ELSE md5(role || ', "' || text || '"') END AS quoted
           FROM conversations""")

@@ -2,8 +2,8 @@
 
 A plain window sends all rows of a key to one task.  Here a key is cut into groups of
 ``GROUP`` consecutive order values; the window runs inside the groups, and a table with
-one narrow row per group carries what crosses their borders.  When the order values show
-that no key can exceed one group (``group_width``), the plain window is safe and is used.
+one narrow row per group carries what crosses their borders.  A caller who knows that no key
+exceeds one group (``group_width`` asks the table) passes ``width=None`` for a plain window.
 
 ``order`` must be a whole number that is unique within a key.
 """

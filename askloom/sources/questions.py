@@ -1,28 +1,46 @@
 """Question sets."""
 
-from pyspark.errors import AnalysisException
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from askloom import schemas
 from askloom.operators.windows import running_number
+from askloom.sources.records import json_records
+
+
+def read_questions(spark: SparkSession, path: str) -> DataFrame:
+    """``(question_id, question, ground_truth)`` of JSON arrays or JSON lines, numbered from 1.
+
+    Files count in the order of their names.  A file of any size is read by as many tasks as it
+    has splits, however the array is laid out.  A record that cannot be parsed, or whose values
+    are no text, has NULL in their place.
+    """
+    read = F.from_json("record", schemas.QUESTIONS)
+    rows = json_records(spark, path).withColumn("_read", read)
+    return running_number(rows, "_file", "_record", out="question_id").select(
+        "question_id", *[F.col(f"_read.{name}").alias(name) for name in schemas.QUESTIONS.names])
+
+
+def _array_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    before, held = "[", False
+    for batch in batches:
+        lines = []
+        for record in batch.column(0).to_pylist():
+            lines.append(before + record)
+            before, held = ",", True
+        yield pa.RecordBatch.from_pydict({"value": pa.array(lines, pa.string())})
+    yield pa.RecordBatch.from_pydict({"value": pa.array(["]" if held else "[]"], pa.string())})
 
 
-def read_questions(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """``(question_id, question, ground_truth)`` of a JSON array, numbered from 1.
+def write_questions(questions: DataFrame, path: str) -> None:
+    """JSON arrays, one file for each partition; ``read_questions`` reads them back.
 
-    A JSON array is read by one task per file; large sets belong in several files or in
-    JSON lines (``lines=True``), which Spark splits.
+    NULL is left out of a record.
     """
-    try:
-        rows = spark.read.schema(schemas.QUESTIONS).option("multiLine", not lines).json(path)
-    except AnalysisException as problem:
-        if problem.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"no question set at '{path}'") from None
-        raise
-    # File order is the order of the set.
-    numbered = running_number(
-        rows.withColumn("_file", F.input_file_name()).withColumn("_row", F.monotonically_increasing_id()),
-        "_file", "_row", out="question_id",
-    )
-    return numbered.select("question_id", *schemas.QUESTIONS.names)
+    records = questions.select(F.to_json(F.struct(*schemas.QUESTIONS.names)).alias("value"))
+    records.mapInArrow(_array_lines, "value string").write.mode("overwrite").text(path)

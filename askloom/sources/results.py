@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from askloom import schemas
+from askloom.sources.records import csv_records
 
 _CSV = {
     "header": True, "quote": '"', "escape": '"', "encoding": "UTF-8",
@@ -26,7 +27,10 @@ def write_results(rows: DataFrame, path: str) -> None:
 
 
 def read_results(spark: SparkSession, path: str, schema: T.StructType = schemas.RESULTS) -> DataFrame:
-    return spark.read.schema(schema).options(**_READ).csv(path)
+    """Rows of result CSV files; a file of any size is read by as many tasks as it has splits."""
+    columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
+    rows = csv_records(spark, path).where(F.col("_record") > 0)
+    return rows.select(F.from_csv("record", columns, _READ).alias("_read")).select("_read.*")
 
 
 def run_record(

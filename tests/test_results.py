@@ -29,7 +29,7 @@ def test_question_set(spark, tmp_path):
     assert got == [(i + 1, f"q{i}", f"é {i}") for i in range(5)]
     lines = tmp_path / "lines.json"
     lines.write_text("\n".join(json.dumps(d) for d in data), encoding="utf-8")
-    assert read_questions(spark, str(lines), lines=True).count() == 5
+    assert read_questions(spark, str(lines)).count() == 5
     with pytest.raises(FileNotFoundError):
         read_questions(spark, str(tmp_path / "none.json"))
 
