@@ -21,6 +21,8 @@ from askloom.llm.frames import written
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Suffixes of more than one label under which names are registered (fixed values).
 LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.nz", "co.za")
+#: A suffix table up to this many rows goes to all tasks; a larger one is joined by shuffle.
+BROADCAST_SUFFIXES = 100_000
 LEVELS = ("host", "domain", "suffix")
 #: Correlation within a unit is kept inside these bounds, so prior strengths stay finite.
 LEAST_RHO, MOST_RHO = 0.001, 0.999
@@ -61,6 +63,29 @@ def domain_of(host: Column, suffix: Column, long_suffixes: Sequence[str] = LONG_
     return F.when(suffix.isin(*long_suffixes), three).otherwise(two) if long_suffixes else two
 
 
+def with_suffix(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
+    """Add ``suffix`` and ``domain`` to rows with a ``host``; each host occurs once.
+
+    ``suffixes`` has a column ``suffix`` (as of a public suffix list: names without a leading dot
+    under which anyone may register); the longest that the host ends with counts, and the last
+    label of a host that none fits.  Without a table ``LONG_SUFFIXES`` and last labels count.
+    Upper case, nulls, empty names and repeats in the table change nothing.
+    """
+    if suffixes is None:
+        suffix = suffix_of(F.col("host"))
+        return hosts.withColumn("suffix", suffix).withColumn("domain", domain_of(F.col("host"), F.col("suffix")))
+    known = suffixes.select(F.translate("suffix", UPPER, LOWER).alias("suffix")).where("suffix <> ''").distinct()
+    if known.limit(BROADCAST_SUFFIXES + 1).count() <= BROADCAST_SUFFIXES:
+        known = F.broadcast(known)
+    ends = hosts.select("host", F.explode(F.sequence(F.lit(1), F.size(F.split("host", "[.]")))).alias("_labels")).withColumn(
+        "suffix", F.expr("substring_index(host, '.', -_labels)"))
+    longest = ends.join(known, "suffix").groupBy("host").agg(F.max("_labels").alias("_labels"))
+    return (
+        hosts.join(longest, "host", "left").withColumn("_labels", F.coalesce("_labels", F.lit(1)))
+        .withColumn("suffix", F.expr("substring_index(host, '.', -_labels)"))
+        .withColumn("domain", F.expr("substring_index(host, '.', -_labels - 1)")).drop("_labels"))
+
+
 def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column, Column]:
     """Place and verdict of the longest rule that fits (the first of equally long ones), or nulls.
 
@@ -73,16 +98,17 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column,
     return place, verdict
 
 
-def host_reputation(outcomes: DataFrame, least_labels: int = 0) -> DataFrame:
+def host_reputation(outcomes: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
     """Posterior of every host of ``outcomes`` (host, good: boolean, null where unlabelled).
 
+    ``suffixes`` is as in ``with_suffix``.
+
     Returns host, domain, suffix, n_labels, n_good, prior_mean, prior_strength,
     posterior_mean and posterior_sd.  Without any label at all the mean is one half.
     """
-    suffix = suffix_of(F.col("host"))
-    hosts = written(
-        outcomes.groupBy("host").agg(F.count("good").alias("n"), F.count(F.when(F.col("good"), 1)).alias("k"))
-        .withColumn("suffix", suffix).withColumn("domain", domain_of(F.col("host"), suffix)), "hosts")
+    hosts = written(with_suffix(
+        outcomes.groupBy("host").agg(F.count("good").alias("n"), F.count(F.when(F.col("good"), 1)).alias("k")),
+        suffixes), "hosts")
 
     def counts(level: str, above: str | None) -> DataFrame:
         keys = [level] + ([above] if above else [])
@@ -115,20 +141,21 @@ def _shrunk(units: DataFrame) -> DataFrame:
 
 
 def judge_pages(pages: DataFrame, labels: DataFrame, rules: Sequence[Rule], least: float = 0.5,
-                z: float = 1.645) -> DataFrame:
+                z: float = 1.645, suffixes: DataFrame | None = None) -> DataFrame:
     """Judge each row of ``pages`` (page_id, url) by rule, else by its host's posterior.
 
     ``labels`` has page_id and good (boolean).  Returns one row per page row: page_id,
     host, path, rule, verdict, bound.  A null url or one without ``://`` has the empty host,
     which is judged like any other host.  Rows of labels with a null good or page_id tell
     nothing; a page labelled more than once counts with every label, and so do repeated page
-    rows.  With no label anywhere every bound is that of the even prior.  Other columns of
+    rows.  With no label anywhere every bound is that of the even prior.  ``suffixes`` is a table
+    of the names under which domains are registered (``with_suffix``).  Other columns of
     the inputs are not read.
     """
     url = F.col("url")
     judged = pages.select("page_id", url_host(url).alias("host"), url_path(url).alias("path"))
     marks = labels.where("good IS NOT NULL AND page_id IS NOT NULL").select("page_id", "good")
-    reputation = host_reputation(judged.select("page_id", "host").join(marks, "page_id", "left"))
+    reputation = host_reputation(judged.select("page_id", "host").join(marks, "page_id", "left"), suffixes)
     place, verdict = rule_of(F.col("host"), F.col("path"), rules)
     bound = F.col("posterior_mean") - z * F.col("posterior_sd")
     own = F.when(bound >= least, "allow").otherwise("block")

@@ -11,7 +11,7 @@ from askloom.llm.frames import read
 from askloom.llm.mixing import mix_sources, source_targets
 from askloom.llm.queries import QUERIES, RULES
 from askloom.llm.secrets import names, redact_secrets, redacted, scan_secrets, scanned
-from askloom.llm.url_reputation import Rule, judge_pages
+from askloom.llm.url_reputation import Rule, host_reputation, judge_pages, with_suffix
 
 FOLDER = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -190,6 +190,28 @@ def test_reputation_shrinks(spark):
     assert judge_pages(pages.limit(0), spark.createDataFrame(marks, "page_id long, good boolean"), (Rule("allow", "com/"),)).count() == 0
 
 
+def test_suffix_table_equals_python(spark):
+    listed = ["uk", "gov.uk", "co.uk", "city.kawasaki.jp", "kawasaki.jp", "JP", "", None, "co.uk", "github.io"]
+    hosts = ["a.b.gov.uk", "gov.uk", "uk", "x.co.uk", "www.x.co.uk", "y.city.kawasaki.jp", "z.kawasaki.jp", "q.jp",
+             "me.github.io", "notgithub.io", "plain", "", "a..b", ".", "t.unlisted.zone"]
+
+    def plain(host):
+        labels, known = host.split("."), {s.lower() for s in listed if s}
+        n = max((k for k in range(1, len(labels) + 1) if ".".join(labels[-k:]) in known), default=1)
+        return ".".join(labels[-n:]), ".".join(labels[-n - 1:])
+
+    table = spark.createDataFrame([(s, "clash") for s in listed], "suffix string, host string")
+    got = with_suffix(spark.createDataFrame([(h,) for h in hosts], "host string"), table).collect()
+    assert {r["host"]: (r["suffix"], r["domain"]) for r in got} == {h: plain(h) for h in hosts} and len(got) == len(hosts)
+    # Unlike names under a suffix tell nothing about one another beyond its own mean.
+    rows = [("a.good.gov.uk", True)] * 30 + [("a.bad.gov.uk", False)] * 30 + [("b.good.gov.uk", None), ("b.bad.gov.uk", None)]
+    outcomes = spark.createDataFrame(rows, "host string, good boolean")
+    mean = {r["host"]: r["posterior_mean"] for r in host_reputation(outcomes, table).collect()}
+    assert mean["b.good.gov.uk"] > 0.8 > 0.2 > mean["b.bad.gov.uk"]
+    mean = {r["host"]: r["posterior_mean"] for r in host_reputation(outcomes, table.limit(0)).collect()}
+    assert mean["b.good.gov.uk"] == mean["b.bad.gov.uk"]
+
+
 # -- mixing
 
 
