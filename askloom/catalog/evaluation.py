@@ -259,6 +259,20 @@ def result_table(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select([F.md5(c).alias(c) for c in rows.columns])
 
 
+_ASKED = "CASE WHEN role = 'user' THEN 'quel est le sens de la phrase ' || text ELSE text END"
+
+
+@query(f"""SELECT md5(q) AS question_originale, md5(CASE WHEN {_sql_language('q')} = 'fr' THEN '« ' || q || ' »' ELSE q END) AS question_anglais,
+                  role AS reponse_rag, conv_id || '/' || turn AS ground_truth
+           FROM (SELECT *, {_ASKED} AS q FROM conversations)""")
+def translated_results(spark: SparkSession, folder: str) -> DataFrame:
+    """The result table of translated questions, each with a truth of its own."""
+    asked = messages(spark, folder).select(
+        F.expr(_ASKED).alias("question"), F.col("role").alias("answer"), F.concat_ws("/", "conv_id", "turn").alias("ground_truth"))
+    rows = scoring.result_rows(translate(asked, _quoting_translator, template="« {question} »"))
+    return rows.withColumns({c: F.md5(c) for c in ("question_originale", "question_anglais")})
+
+
 _KNOWN = f"{sql_distinct_tokens('array_to_string(contexts, chr(10))')}"
 
 

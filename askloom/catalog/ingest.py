@@ -290,9 +290,9 @@ def result_csv(spark: SparkSession, folder: str) -> DataFrame:
         F.col("ground_truth").alias("truth"), F.md5("question_anglais").alias("quoted"))
 
 
-@query("SELECT conv_id, true AS valid, count(*) AS n_ids FROM conversations GROUP BY conv_id")
+@query("SELECT conv_id, true AS valid, count(*) AS n_ids, count(DISTINCT turn) AS n_distinct FROM conversations GROUP BY conv_id")
 def new_session_ids(spark: SparkSession, folder: str) -> DataFrame:
-    """A new session id for every message, all well formed."""
+    """A new session id for every message, all well formed and no two alike."""
     ids = messages(spark, folder).select("conv_id", session_id().alias("s"))
     return ids.groupBy("conv_id").agg(
-        F.bool_and(is_session_id("s")).alias("valid"), F.count("s").alias("n_ids"))
+        F.bool_and(is_session_id("s")).alias("valid"), F.count("s").alias("n_ids"), F.countDistinct("s").alias("n_distinct"))

@@ -35,11 +35,17 @@ def unquoted_turns(spark: SparkSession, folder: str) -> DataFrame:
     return messages(spark, folder).select("conv_id", "turn", _md5(fn.strip_quotes(quoted), "bare"))
 
 
-@query("""SELECT doc_id, source || '.v' || doc_id || '.TXT' AS file, '.TXT' AS extension, '' AS hidden_extension
-          FROM documents""")
+@query("""SELECT doc_id, f AS file, CASE lang WHEN 'en' THEN '.TXT' WHEN 'de' THEN '.gz' WHEN 'fr' THEN '' ELSE '.v' || doc_id END AS extension,
+                 CASE WHEN lang = 'en' THEN '.v' || doc_id ELSE '' END AS hidden_extension
+          FROM (SELECT doc_id, lang, source || CASE lang WHEN 'en' THEN '.v' || doc_id || '.TXT' WHEN 'de' THEN '.tar.gz'
+                       WHEN 'fr' THEN '' ELSE '.v' || doc_id END AS f FROM documents)""")
 def path_functions(spark: SparkSession, folder: str) -> DataFrame:
-    path = F.concat(F.lit("/corpus/"), "lang", F.lit("/"), "source", F.lit(".v"), "doc_id", F.lit(".TXT"))
-    hidden = F.concat(F.lit("/corpus/."), "source")
+    """Names with one suffix, with two, with none, and hidden ones."""
+    version = F.concat(F.lit(".v"), "doc_id")
+    tail = F.when(F.col("lang") == "en", F.concat(version, F.lit(".TXT"))).when(F.col("lang") == "de", ".tar.gz").when(
+        F.col("lang") == "fr", "").otherwise(version)
+    path = F.concat(F.lit("/corpus.d/"), "lang", F.lit("/"), "source", tail)
+    hidden = F.concat(F.lit("/corpus/."), "source", F.when(F.col("lang") == "en", version).otherwise(""))
     return documents(spark, folder, "doc_id", "lang", "source").select(
         "doc_id", fn.base_name(path).alias("file"), fn.file_extension(path).alias("extension"),
         fn.file_extension(hidden).alias("hidden_extension"))
