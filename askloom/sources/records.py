@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from askloom.operators.windows import running_sum, running_sums
 
-#: A column without a split keeps its rows together: the name that ``running_sums`` looks for.
+#: Where a split starts; ``running_sums`` orders the rows of one value of this column in one task.
 SPLIT = "_group"
 KEYS = ["_file"]
 
@@ -37,7 +37,7 @@ def _pieces(spark: SparkSession, path: str, border: str) -> DataFrame:
     return lines.select(
         F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias(SPLIT),
         F.monotonically_increasing_id().alias("_at"),
-        F.regexp_replace("value", "^﻿", "").alias("piece"))
+        F.regexp_replace("value", "^\ufeff", "").alias("piece"))
 
 
 def _count(text: Column, sign: str) -> Column:
