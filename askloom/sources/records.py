@@ -7,7 +7,7 @@ What a piece means depends only on how many quotes and braces come before it: th
 per piece and summed over the splits of the file, with one narrow row per split.  Pieces of a
 record then meet under the record's number; no file is ever whole in a task.
 
-Files are UTF-8; a byte order mark is dropped.
+Files are UTF-8; a byte order mark at the start of a file is dropped.
 """
 
 from __future__ import annotations
@@ -36,8 +36,7 @@ def _pieces(spark: SparkSession, path: str, border: str) -> DataFrame:
         raise
     return lines.select(
         F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias(SPLIT),
-        F.monotonically_increasing_id().alias("_at"),
-        F.regexp_replace("value", "^\ufeff", "").alias("piece"))
+        F.monotonically_increasing_id().alias("_at"), F.col("value").alias("piece"))
 
 
 def _count(text: Column, sign: str) -> Column:
@@ -60,7 +59,8 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     """
     counted = running_sum(_pieces(spark, path, "\n"), KEYS, "_at", _count(F.col("piece"), '"'), "_quotes")
     found = _joined(counted, F.col("_quotes") % 2 == 0, "\n")
-    return found.withColumn("record", F.regexp_replace("record", "\r$", "")).where(F.col("record") != "")
+    bare = F.when(F.col("_record") == 0, F.regexp_replace("record", "^\ufeff", "")).otherwise(F.col("record"))
+    return found.withColumn("record", F.regexp_replace(bare, "\r$", "")).where(F.col("record") != "")
 
 
 def json_records(spark: SparkSession, path: str) -> DataFrame:

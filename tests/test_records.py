@@ -91,6 +91,9 @@ def test_edges(spark, tmp_path):
     assert questions("empty.json", "") == questions("none.json", "[]") == questions("blank.json", " [ \n ] \n") == []
     assert questions("one.json", '{"question": "a"}') == [("a", None)]
     assert questions("bom.json", '\ufeff[{"question": "a", "ground_truth": "b"}]') == [("a", "b")]
+    assert questions("marks.json", '[{"question": "a}\\ufeffb", "ground_truth": "}\ufeff"}]') == [("a}\ufeffb", "}\ufeff")]
+    (tmp_path / "marks.csv").write_text('\ufeffx,y\n"a\n\ufeffb",c\n', encoding="utf-8")
+    assert [r.record for r in csv_records(spark, str(tmp_path / "marks.csv")).orderBy("_record").collect()] == ["x,y", '"a\n\ufeffb",c']
     assert questions("odd.json", '[{"question": "a"}, null, 5, {"question": {"b": 1}}, {"ground_truth": "c"}]') == [
         ("a", None), ('{"b":1}', None), (None, "c")]
     assert questions("broken.json", '[{"question": "a"}, {"question": b}]') == [("a", None), (None, None)]
