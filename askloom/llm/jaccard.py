@@ -30,7 +30,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from askloom.llm.components import components
@@ -42,6 +42,8 @@ GROUPS, PER_GROUP = 256, 4
 LEAF = 16
 #: Counters compared at once.
 COUNTERS = 1 << 22
+#: Blocks of a node just before each of its blocks that a row knows, to leave out pairs that met there.
+EARLIER = 8
 #: Rows of a block that one tree takes; larger blocks are split into cells of pairs of parts.
 PART = 1024
 #: One of so many documents tells which shingles are frequent: those that two of them hold, or one
@@ -200,22 +202,23 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield kept(held, before, True)
 
 
-def tree_pairs(points: Points, n: np.ndarray, group: np.ndarray, side: np.ndarray, least: Fraction) -> np.ndarray:
+def tree_pairs(points: Points, n: np.ndarray, group: np.ndarray, side: np.ndarray, least: Fraction,
+               earlier: np.ndarray | None = None) -> np.ndarray:
     """Pairs of places, of different ``group``, whose counts allow a link.
 
     ``side`` is 0 for rows that meet all others, 1 and 2 for rows that meet the other side only.
-    Every width has a tree of its own rows and those of twice the width; pairs of the latter
+    ``earlier`` holds blocks before this one by row; rows that share one of them have met there.  Every width has a tree of its own rows and those of twice the width; pairs of the latter
     are left to their own tree.
     """
     found = [np.zeros((0, 2), np.int64)]
     for width in points.of_width:
         rows = np.flatnonzero((points.width == width) | (points.width == 2 * width))
-        pairs = _one_tree(points, rows, width, n, group, side, least)
+        pairs = _one_tree(points, rows, width, n, group, side, least, earlier)
         found.append(pairs[(points.width[pairs] == width).any(1)])
     return np.concatenate(found)
 
 
-def _one_tree(points: Points, rows: np.ndarray, width: int, n, group, side, least: Fraction) -> np.ndarray:
+def _one_tree(points: Points, rows: np.ndarray, width: int, n, group, side, least: Fraction, earlier) -> np.ndarray:
     """Rows are sorted by size and packed into leaves; a leaf pair is opened only if the minima
     of the upper corners leave room for a link between its smallest sets, their sizes fit, and
     not all rows are of one group.
@@ -238,31 +241,53 @@ def _one_tree(points: Points, rows: np.ndarray, width: int, n, group, side, leas
             of_a, of_b = np.arange(edges[a], min(edges[a] + LEAF, m)), np.arange(edges[leaf], min(edges[leaf] + LEAF, m))
             x, y = np.repeat(of_a, len(of_b)), np.tile(of_b, len(of_a))
             apart = x < y
-            found.append(np.stack(_allowed(points, n, group, side, rows[x[apart]], rows[y[apart]], least), 1))
+            found.append(np.stack(_allowed(points, n, group, side, rows[x[apart]], rows[y[apart]], least, earlier), 1))
     return np.concatenate(found)
 
 
-def _allowed(points: Points, n, group, side, x, y, least: Fraction) -> tuple[np.ndarray, np.ndarray]:
-    """Of the pairs (x, y), those of different groups and sides whose sizes and counts allow a link."""
+def _met(earlier: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """True for the pairs whose rows share an earlier block."""
+    met = np.zeros(len(x), bool)
+    step = max(1, COUNTERS // earlier.shape[1] ** 2)
+    for k in range(0, len(x), step):
+        some = slice(k, k + step)
+        met[some] = (earlier[x[some]][:, :, None] == earlier[y[some]][:, None, :]).any((1, 2))
+    return met
+
+
+def _allowed(points: Points, n, group, side, x, y, least: Fraction, earlier=None) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs (x, y), those of different groups and sides whose sizes and counts allow a link and that have not met."""
     num, den = least.numerator, least.denominator
     small, large = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
     ok = (group[x] != group[y]) & ((side[x] == 0) | (side[x] != side[y])) & (small * den >= large * num)
     x, y = x[ok], y[ok]
+    if earlier is not None:
+        new = ~_met(earlier, x, y)
+        x, y = x[new], y[new]
     # shared >= least / (1 + least) * (|x| + |y|)
     keep = points.room(x, y) >= -(-num * (n[x] + n[y]) // (num + den))
     return x[keep], y[keep]
 
 
 def _tree_join(least: Fraction):
-    """Candidate pairs from rows sorted by cell (token, i, j): node, n, component, side, counts.
+    """Candidate pairs from rows sorted by cell (token, i, j): node, n, component, side, counts, earlier.
 
-    The pairs of small cells are formed for many cells at once; a larger cell has a tree.
+    A pair that shares many blocks is looked at in the first of them, and in a later one only if
+    none of the ``EARLIER`` blocks of each row just before it is shared.  The pairs of small cells are formed for many cells at once; a larger cell has a tree.
     What is kept back for the next rows is one cell, of at most two parts.
     """
 
-    def of_cells(cols: list[np.ndarray], counts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def before(lists: pa.Array, node: np.ndarray) -> np.ndarray:
+        """The earlier blocks by row; free places hold the row's own node, which no other row of the block has."""
+        offsets = lists.offsets.to_numpy()
+        size = np.diff(offsets)
+        out = np.repeat(node[:, None], EARLIER, 1)
+        out[np.arange(EARLIER) < size[:, None]] = lists.values.to_numpy()[offsets[0]:offsets[-1]]
+        return out
+
+    def of_cells(cols: list[np.ndarray], counts: pa.Array, lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         token, i, j, node, n, group, side = cols
-        points = Points(counts)
+        points, earlier = Points(counts), before(lists, node)
         new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
         first = np.flatnonzero(new)
@@ -272,12 +297,12 @@ def _tree_join(least: Fraction):
             of = first[size == m]
             p, q = np.triu_indices(m, 1)
             x, y = (of[:, None] + p).ravel(), (of[:, None] + q).ravel()
-            x, y = _allowed(points, n, group, side, x, y, least)
+            x, y = _allowed(points, n, group, side, x, y, least, earlier)
             xs.append(node[x])
             ys.append(node[y])
         for f, m in zip(first[size > LEAF], size[size > LEAF]):
             at = slice(f, f + m)
-            pairs = tree_pairs(Points(counts.slice(f, m)), n[at], group[at], side[at], least) + f
+            pairs = tree_pairs(Points(counts.slice(f, m)), n[at], group[at], side[at], least, earlier[at]) + f
             xs.append(node[pairs[:, 0]])
             ys.append(node[pairs[:, 1]])
         x, y = np.concatenate(xs), np.concatenate(ys)
@@ -285,22 +310,22 @@ def _tree_join(least: Fraction):
         return pairs[:, 0], pairs[:, 1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, kept_counts = None, None
+        kept, kept_lists = None, []
         for batch in batches:
             if not batch.num_rows:
                 continue
             cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(7)]
-            counts = batch.column(7)
+            lists = [batch.column(7), batch.column(8)]
             if kept is not None:
-                cols, counts = [np.concatenate(c) for c in zip(kept, cols)], pa.concat_arrays([kept_counts, counts])
+                cols, lists = [np.concatenate(c) for c in zip(kept, cols)], [pa.concat_arrays(c) for c in zip(kept_lists, lists)]
             same = (cols[0] == cols[0][-1]) & (cols[1] == cols[1][-1]) & (cols[2] == cols[2][-1])
             cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-            kept, kept_counts = [c[cut:] for c in cols], counts.slice(cut)
+            kept, kept_lists = [c[cut:] for c in cols], [c.slice(cut) for c in lists]
             if cut:
-                x, y = of_cells([c[:cut] for c in cols], counts.slice(0, cut))
+                x, y = of_cells([c[:cut] for c in cols], *(c.slice(0, cut) for c in lists))
                 yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
         if kept is not None:
-            x, y = of_cells(kept, kept_counts)
+            x, y = of_cells(kept, *kept_lists)
             yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
 
     return run
@@ -474,13 +499,14 @@ def _tree_candidates(shared: DataFrame, counts: DataFrame, found: DataFrame, lea
     mixed_blocks = rows.groupBy("token").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")
     ).where("low <> high").select("token", F.ceil(F.col("size") / PART).cast("int").alias("parts"))
-    rows = written(rows.join(mixed_blocks, "token"), "mixed")
+    before = Window.partitionBy("node").orderBy("token").rowsBetween(-EARLIER, -1)
+    rows = written(rows.join(mixed_blocks, "token"), "mixed").withColumn("earlier", F.collect_list("token").over(before))
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     every = F.sequence(F.lit(0), F.col("parts") - 1)
     # A row of part p meets part q in the cell (p, q) or (q, p), the smaller first.
     cells = rows.withColumn("p", part).withColumn("q", F.explode(every)).select(
-        "token", "node", "n", "component", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"),
+        "token", "node", "n", "component", "earlier", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"),
         F.when(F.col("p") == F.col("q"), 0).when(F.col("p") < F.col("q"), 1).otherwise(2).alias("side"))
     dealt = cells.join(counts.select("node", "counts"), "node").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    return dealt.select("token", "i", "j", "node", "n", "component", "side", "counts").mapInArrow(
+    return dealt.select("token", "i", "j", "node", "n", "component", "side", "counts", "earlier").mapInArrow(
         _tree_join(least), "x long, y long").distinct()

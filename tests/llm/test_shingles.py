@@ -146,6 +146,19 @@ def test_component_odd_rows(spark):
     assert jaccard_components(docs.limit(0)).count() == 0
 
 
+def test_pair_of_many_blocks_is_made_once():
+    """Rows of two like nodes in forty blocks, a batch for each, as tasks read them."""
+    rng = np.random.default_rng(4)
+    held = rng.integers(0, 2**64, 200, np.uint64)
+    counts = [jaccard._counts(np.unique(np.append(held, rng.integers(0, 2**64, 5, np.uint64)))).tobytes() for _ in range(2)]
+    blocks = list(range(100, 140))
+    batches = [pa.RecordBatch.from_arrays(
+        [pa.array([t] * 2), pa.array([0] * 2), pa.array([0] * 2), pa.array([1, 2]), pa.array([205] * 2), pa.array([1, 2]), pa.array([0] * 2),
+         pa.array(counts, pa.binary()), pa.array([blocks[max(0, k - jaccard.EARLIER):k]] * 2, pa.list_(pa.int64()))],
+        ["token", "i", "j", "node", "n", "component", "side", "counts", "earlier"]) for k, t in enumerate(blocks)]
+    assert [tuple(r.values()) for b in jaccard._tree_join(Fraction(3, 4))(iter(batches)) for r in b.to_pylist()] == [(1, 2)]
+
+
 def points_of(sets):
     return jaccard.Points(pa.array([jaccard._counts(x).tobytes() for x in sets], pa.binary()))
 
