@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from askloom.llm import grid_order
+from askloom.llm import grid_order, quality
 from askloom.llm.frames import fold, read
 from askloom.llm.grid_order import link_vectors
 from askloom.llm.quality import FEATURES, fit_ranking, score_quality, train_quality
@@ -57,6 +57,22 @@ def test_ranking_orders_pairs():
     assert ((model.score(features) >= .7) == labels).mean() > .95
 
 
+def test_every_labelled_row_counts(spark, monkeypatch):
+    """More rows than one block or a bounded sample holds; the cut is that of all of them, whichever label is scarce."""
+    rng = np.random.default_rng(2)
+    names = np.array(["ab", "abc", "abcdefg", "A1", "x?", "abcdefghijklmno", "Zed"])
+    rows = [(i, " ".join(rng.choice(names, rng.integers(3, 30))) + "z" * int(rng.integers(1, 40)), int(rng.random() < .3)) for i in range(20_500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int").repartition(4)
+    for labels in (docs, docs.select("doc_id", (F.col("doc_id") % 5000 == 0).cast("int").alias("label"))):
+        good = labels.where("label = 1").count()
+        model = train_quality(docs, labels)
+        with monkeypatch.context() as m:
+            m.setattr(quality, "BROADCAST_LABELS", 0)
+            again = train_quality(docs.repartition(3), labels)
+        assert abs(score_quality(docs, model).where("predicted = 1").count() - good) <= 3
+        assert np.allclose(model.weights, again.weights) and model.cut == pytest.approx(again.cut)
+
+
 def test_toxic_sentence_is_found(spark):
     rows = [(i, f"Plain words here {i}. " * 3 + ("You zorgle fool. " if i % 3 == 0 else "You dear friend. ") + "More text é.") for i in range(90)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
