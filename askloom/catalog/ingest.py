@@ -92,11 +92,12 @@ def recursive_split_rules(spark: SparkSession, folder: str) -> DataFrame:
     """What must hold for every document: a text that fits is one stripped chunk, no chunk
     is longer than the size, every chunk is a piece of the text."""
     docs = documents(spark, folder, "doc_id", "text").withColumn("whole", F.col("text"))
-    return recursive_chunks(docs).groupBy("doc_id").agg(
-        F.max(F.when(F.char_length("whole") <= 800, F.md5("text"))).alias("single"),
-        F.bool_and(F.char_length("text") <= 800).alias("bounded"),
-        F.bool_and(F.contains("whole", "text")).alias("found_in_text"),
-    )
+    # Judged before the grouping, which sorts its rows: texts take no part in it.
+    judged = recursive_chunks(docs).select(
+        "doc_id", F.when(F.char_length("whole") <= 800, F.md5("text")).alias("single"),
+        (F.char_length("text") <= 800).alias("bounded"), F.contains("whole", "text").alias("found_in_text"))
+    return judged.groupBy("doc_id").agg(
+        F.max("single").alias("single"), F.bool_and("bounded").alias("bounded"), F.bool_and("found_in_text").alias("found_in_text"))
 
 
 @query(f"""SELECT source, count(DISTINCT doc_id) AS n_sections, count(*) AS n_chunks,

@@ -144,3 +144,16 @@ def test_bad_sizes():
             windows("text", size, overlap)
         with pytest.raises(ValueError):
             recursive_pieces("text", size, overlap)
+
+
+def test_rules_sort_no_texts(spark, tmp_path, capsys):
+    """The grouping of ``recursive_split_rules`` sorts its rows; texts and chunks are judged before."""
+    from askloom.catalog import REGISTER
+
+    spark.createDataFrame([(1, "a b"), (2, "x. " * 900)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rules = REGISTER["recursive_split_rules"].run(spark, str(tmp_path))
+    rules.explain()
+    plan = capsys.readouterr().out.splitlines()
+    sorts = [k for k, line in enumerate(plan) if "Sort [doc_id" in line]
+    assert sorts and all("Project [doc_id" in plan[k + 1] and "AS single" in plan[k + 1] or "Exchange" in plan[k + 1] for k in sorts)
+    assert [tuple(r)[2:] for r in rules.collect()] == [(True, True)] * 2
