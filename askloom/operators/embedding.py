@@ -2,12 +2,13 @@
 
 An embedder factory is a zero-argument callable that returns a function
 ``list[str] -> float array (n, dim)``.  It is called once per task, so a real model
-is loaded once and then fed Arrow batches.
+is loaded once and then fed parts of Arrow batches.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from hashlib import md5
 
@@ -17,13 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from askloom.config import EMBEDDING_DIM
+from askloom.functions.batches import parts_of
 from askloom.functions.text import as_column, tokens
 from askloom.operators.hooks import Hook
 
 Embedder = Callable[[list[str]], np.ndarray]
 EmbedderFactory = Callable[[], Embedder]
 
-TOKENS_REMEMBERED = 1_000_000
+TOKENS_REMEMBERED = 1 << 17
 
 
 def token_bucket(token: Column, dim: int = EMBEDDING_DIM) -> Column:
@@ -50,13 +52,13 @@ def hashing_embedder(dim: int = EMBEDDING_DIM) -> EmbedderFactory:
             return value
 
         def embed(texts: list[str]) -> np.ndarray:
-            cells: list[int] = []
+            cells = array("q")
             for row, text in enumerate(texts):
                 base = row * dim
                 for token in find(text.lower()):
                     at = known.get(token)
                     cells.append(base + (bucket(token) if at is None else at))
-            counts = np.bincount(np.asarray(cells, dtype=np.int64), minlength=len(texts) * dim)
+            counts = np.bincount(np.frombuffer(cells, np.int64) if cells else np.zeros(0, np.int64), minlength=len(texts) * dim)
             return counts.reshape(len(texts), dim)
 
         return embed
@@ -76,14 +78,18 @@ def embed_text(
     @F.arrow_udf("array<float>")
     def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = load()
-        for batch in batches:
-            present = np.asarray(batch.is_valid())
-            texts = [t for t in batch.to_pylist() if t is not None]
+
+        def part_of_batch(part: pa.Array) -> pa.Array:
+            present = np.asarray(part.is_valid())
+            texts = [t for t in part.to_pylist() if t is not None]
             vectors = np.asarray(model(texts) if texts else np.zeros((0, 1)), dtype=np.float64)
             norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
             if normalize:
                 vectors = vectors / np.where(norms > 0, norms, 1.0)[:, None]
-            yield _to_arrow(vectors[norms > 0].astype(np.float32), _place(present, norms > 0))
+            return _to_arrow(vectors[norms > 0].astype(np.float32), _place(present, norms > 0))
+
+        for batch in batches:
+            yield pa.concat_arrays([part_of_batch(part) for part in parts_of(batch)])
 
     return embed(as_column(text))
 

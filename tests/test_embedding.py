@@ -1,7 +1,9 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from askloom.functions import batches
 from askloom.operators.embedding import embed, embed_text, nonzero, token_buckets
 from askloom.functions.text import tokens
 
@@ -38,3 +40,28 @@ def test_pluggable_model(spark):
 def test_model_runs_once_per_row(spark):
     plan = nonzero(embed(spark.createDataFrame([("a",)], "text string")), "text")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython [") == 1
+
+
+def test_texts_are_taken_in_parts(monkeypatch):
+    """What a task holds as Python objects does not grow with the batch; nothing is lost at the borders."""
+    texts = pa.array(["ab", None, "x" * 30, "", "c" * 9, "d", "e", None])
+    for rows, size in ((1, 100), (3, 100), (100, 10), (100, 100)):
+        monkeypatch.setattr(batches, "PART_ROWS", rows)
+        monkeypatch.setattr(batches, "PART_BYTES", size)
+        parts = list(batches.parts_of(texts))
+        assert pa.concat_arrays(parts).equals(texts) and all(len(p) <= rows for p in parts)
+        assert all(len(p) == 1 or sum(len(t or "") for t in p.to_pylist()) <= size for p in parts)
+    assert len(list(batches.parts_of(texts.slice(0, 0)))) == 1
+
+
+def test_model_is_called_with_bounded_parts(spark):
+    def load():
+        def model(some):
+            assert len(some) <= batches.PART_ROWS and sum(map(len, some)) <= batches.PART_BYTES
+            return np.ones((len(some), 2))
+
+        return model
+
+    docs = spark.range(0, 3000, 1, 1).select("id", F.repeat(F.lit("word "), 200).alias("text"))
+    got = embed(docs, load).where("size(embedding) = 2").agg(F.count("*"), F.countDistinct("id")).head()
+    assert tuple(got) == (3000, 3000)
