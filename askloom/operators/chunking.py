@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from askloom.config import CHUNK_OVERLAP, CHUNK_SIZE, SEPARATORS, check_chunking
+from askloom.functions.batches import parts_of
 from askloom.functions.text import as_column, bind
 
 
@@ -85,8 +86,9 @@ def recursive_pieces(
     @F.arrow_udf("array<string>")
     def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            pieces = [None if t is None else split_text(t, size, overlap, ladder) for t in batch.to_pylist()]
-            yield pa.array(pieces, pa.list_(pa.string()))
+            yield pa.concat_arrays([pa.array(
+                [None if t is None else split_text(t, size, overlap, ladder) for t in part.to_pylist()], pa.list_(pa.string()))
+                for part in parts_of(batch)])
 
     return cut(as_column(text))
 
