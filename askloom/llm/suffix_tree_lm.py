@@ -42,7 +42,7 @@ GAIN_EACH = 1.0
 HELD = 4 << 20
 VOCABULARY_BLOCK = 8 << 20
 #: Next symbols after two and three symbols that go to the tasks at once (about 12 bytes each).
-TREE_BLOCK = 2 << 20
+TREE_BLOCK = 3 << 19
 
 
 def symbols(data: np.ndarray, w: Words, docs: int) -> tuple[np.ndarray, np.ndarray]:
@@ -170,7 +170,10 @@ def _in_block(key: np.ndarray, b: int, blocks: int) -> np.ndarray:
 
 
 def _arrays(level: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    key, n, total = _columns(level.select("key", "n", "total"))
+    # Counts of 32 bits are half as wide on the driver, which holds one level of a block.
+    narrow = level.agg(F.max("total")).head()[0] or 0
+    kind = "int" if narrow < 1 << 31 else "long"
+    key, n, total = _columns(level.select("key", F.col("n").cast(kind).alias("n"), F.col("total").cast(kind).alias("total")))
     return key.view(np.uint64), n, total
 
 
@@ -202,19 +205,25 @@ def build_tree(levels: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> T
     tree, chances = Tree([], [], [], []), np.zeros(0)
     for d, (key, n, total) in enumerate(levels):
         order = np.argsort(key)
-        key, n, total = key[order], n[order].astype(np.float64), total[order].astype(np.float64)
-        context = key >> BITS
-        states, first = np.unique(context, return_index=True)
-        taken = np.add.reduceat(n - DISCOUNT, first) if len(first) else np.zeros(0)
-        left = 1 - taken / total[first] if len(first) else np.ones(0)
-        of = np.searchsorted(states, context)
+        key, share, total = key[order], n[order] - DISCOUNT, total[order]
+        del order, n
+        first = key >> BITS
+        first = np.flatnonzero(np.append(True, first[1:] != first[:-1])) if len(key) else np.zeros(0, np.int64)
+        states = key[first] >> BITS
+        left = 1 - np.add.reduceat(share, first) / total[first] if len(first) else np.ones(0)
+        share /= total
+        del total
+        rest = np.repeat(left, np.diff(np.append(first, len(key))))
         if d == 0:
             states, left = np.zeros(1, np.uint64), left if len(left) else np.ones(1)
-            parent = np.full(len(key), 2.0 ** -16)
+            rest *= 2.0 ** -16
         else:
             at, hit = _find(tree.nexts[d - 1], _below(key, d))
-            parent = np.where(hit, chances[at] if len(chances) else 0.0, 0.0)
-        chances = (n - DISCOUNT) / total + (left[of] * parent if len(of) else 0.0)
+            rest *= chances[at] if len(chances) else 0.0
+            rest[~hit] = 0.0
+            del at, hit
+        share += rest
+        chances = share
         tree.states.append(states)
         tree.left.append(np.log10(np.maximum(left, 1e-12)).astype(np.float32))
         tree.nexts.append(key)

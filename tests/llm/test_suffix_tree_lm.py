@@ -120,3 +120,21 @@ def test_odd_rows(spark):
         assert sorted(r["n_tokens"] for r in got) == [1, 1, 1, 2, 3, 20001]
         assert all(np.isfinite([r["score"], r["base_score"]]).all() for r in got)
     assert score_texts(docs.limit(0), *learn(docs)).count() == 0
+
+
+def test_tree_is_built_in_little_memory():
+    """A level's own arrays and few more, whatever its size."""
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    key = np.unique(rng.integers(0, 2**44, 400_000, np.uint64))
+    rng.shuffle(key)
+    n = rng.integers(2, 9, len(key), np.int32)
+    total = np.full(len(key), 1 << 20, np.int32)
+    tracemalloc.start()
+    try:
+        suffix_tree_lm.build_tree([(key, n, total)] * 2)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 110 * len(key)
