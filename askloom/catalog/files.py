@@ -18,7 +18,7 @@ from askloom.config import Settings
 from askloom.functions.text import strip_space
 from askloom.operators.scoring import NothingEvaluated, mean_scores, require_evaluated
 from askloom.plans.ingest import errors_of, ingest_folder, read_errors
-from askloom.session import read_table, scratch_path
+from askloom.session import gather, read_table, scratch_path
 from askloom.sources.files import folder_files, load_documents, load_totals, parse_files, write_texts
 from askloom.sources.index import read_index, write_index
 from askloom.streaming.incremental import ingest_new_files
@@ -46,7 +46,7 @@ def _folder(spark: SparkSession, folder: str) -> str:
     target = scratch_path(spark, "files")
     texts = _named_texts(spark, folder)
     write_texts(texts.where("lang NOT IN ('de', 'fr')"), target)
-    texts.where("lang = 'de'").select("text").write.mode("append").option("maxRecordsPerFile", 1).json(target)
+    write_texts(texts.where("lang = 'de'"), target, as_json=True)
     write_texts(texts.where("lang = 'fr'"), f"{target}/lang=fr")
     return target
 
@@ -126,7 +126,7 @@ def streamed_folder(spark: SparkSession, folder: str) -> DataFrame:
     """A folder as a stream, the second half of the files arriving later: indexed files and error rows."""
     target, index, checkpoint = _folder(spark, folder), scratch_path(spark, "index"), scratch_path(spark, "stream")
     settings = Settings(docs_folder=target, index_path=index, chunk_size=WHOLE.chunk_size, chunk_overlap=0)
-    arrived = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(target).select("path")
+    arrived = gather(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(target).select("path"))
     with _size_limit(spark, LIMIT):
         for _ in range(2):  # the second run finds nothing new
             ingest_new_files(spark, checkpoint, settings, files_per_batch=max(1, arrived.count() // 2))

@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 import io
+import os
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator, Mapping
+from contextlib import suppress
 from xml.etree import ElementTree
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from askloom.config import EXTENSIONS
 from askloom.functions.text import as_column, file_extension, unix_newlines
+from askloom.session import delete_path, file_system, gather
 
 # ``bytes -> [(page or None, text)]``
 Parser = Callable[[bytes], list[tuple[int | None, str]]]
@@ -76,7 +81,7 @@ def folder_files(spark: SparkSession, folder: str, supported_only: bool = False)
         if problem.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], "path string, content binary")
         raise
-    return direct_files(found, folder)
+    return gather(direct_files(found, folder))
 
 
 def direct_files(found: DataFrame, folder: str) -> DataFrame:
@@ -89,7 +94,9 @@ def direct_files(found: DataFrame, folder: str) -> DataFrame:
     parent = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
     direct = found.where(_one_root(parent) == _one_root(F.lit(_uri(spark, folder))))
     readable = direct.where(F.col("length") <= size_limit(spark)).select("path", "content")
-    too_large = direct.where(F.col("length") > size_limit(spark)).select("path", F.lit(None).cast("binary").alias("content"))
+    # By the size in the listing, so that no file is looked at a second time.
+    too_large = direct.where(F.col("_metadata.file_size") > size_limit(spark)).select(
+        "path", F.lit(None).cast("binary").alias("content"))
     return readable.unionByName(too_large)
 
 
@@ -100,8 +107,7 @@ def size_limit(spark: SparkSession) -> int:
 
 def _uri(spark: SparkSession, folder: str) -> str:
     """The folder as Spark writes it into ``_metadata``, but for the slashes after the scheme."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    path, system = file_system(spark, folder)
     return system.makeQualified(path).toUri().toString().rstrip("/")
 
 
@@ -177,12 +183,59 @@ def load_documents(
     return good_documents(parse_files(folder_files(spark, folder, supported_only=True), parsers))
 
 
-def write_texts(texts: DataFrame, folder: str) -> None:
-    """Write the ``text`` of every row as a file of its own, named by Spark, ending with a newline.
+def write_texts(texts: DataFrame, folder: str, as_json: bool = False) -> None:
+    """Write the ``text`` of every row as a file of its own, ending with a newline, or as a JSON record.
 
-    ``load_documents`` reads such a folder back.  Files that are there stay.
+    ``load_documents`` reads such a folder back (texts).  Files that are there stay.
     """
-    texts.select("text").write.mode("append").option("maxRecordsPerFile", 1).text(folder)
+    spark, rows = texts.sparkSession, texts.select("text")
+    path, system = file_system(spark, folder)
+    if system.getUri().getScheme() == "file":
+        content = F.to_json(F.struct("text")) if as_json else F.col("text")
+        system.mkdirs(path)
+        _write_local(rows.select(content.cast("binary")), system.makeQualified(path).toUri().getPath(), ".json" if as_json else ".txt")
+    else:
+        writer = rows.write.mode("append").option("maxRecordsPerFile", 1)
+        writer.json(folder) if as_json else writer.text(folder)
+
+
+def _write_local(contents: DataFrame, folder: str, extension: str) -> None:
+    """Write every row of a binary column as a file of a local or mounted folder.
+
+    Hadoop's local file system starts four processes (``chmod``) for every file, so tasks write
+    by themselves: first into a folder of the attempt that Spark's sources do not see.  When all
+    rows are written, the files of the attempts that ended well are moved to their place.
+    """
+    spark, run = contents.sparkSession, uuid.uuid4().hex
+    hidden = f"{folder}/_temporary-{run}"
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, n = TaskContext.get(), 0
+        mine = f"{hidden}/{task.partitionId()}-{task.taskAttemptId()}"
+        for batch in batches:
+            for content in batch.column(0):
+                if not n:
+                    os.makedirs(mine)
+                with open(f"{mine}/part-{task.partitionId():05d}-{run}-c{n:06d}{extension}", "wb") as file:
+                    file.write((content.as_py() or b"") + b"\n")
+                n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([mine] if n else [], pa.string())], ["path"])
+
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for made in batch.column(0).to_pylist():
+                with suppress(FileNotFoundError):  # an earlier attempt of this task has moved them
+                    for name in os.listdir(made):
+                        os.replace(f"{made}/{name}", f"{folder}/{name}")
+            yield batch.slice(0, 0)
+
+    try:
+        made = contents.mapInArrow(write, "path string").toArrow()  # a row a task
+        if len(made):
+            spark.createDataFrame(made).repartition(min(len(made), spark.sparkContext.defaultParallelism)).mapInArrow(
+                move, "path string").count()
+    finally:
+        delete_path(spark, f"file://{hidden}")
 
 
 def in_order(documents: DataFrame, *order: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from askloom.config import Settings
 from askloom.operators.embedding import EmbedderFactory
 from askloom.plans.ingest import errors_of, index_parsed, index_rows
-from askloom.session import literal_path
+from askloom.session import TASKS_PER_CORE, configured, gather, literal_path
 from askloom.sources.files import SUPPORTED_NAMES, Parser, direct_files, parse_files
 from askloom.sources.index import SHARED, append_index
 
@@ -96,11 +96,14 @@ def ingest_new_files(
 
     def handle(batch: DataFrame, load: str) -> None:
         index_parsed(
-            parse_files(batch, parsers),
+            parse_files(gather(batch), parsers),
             lambda documents: append_index(index_rows(documents, settings, embedder), settings.index_path, session, load),
             lambda failures: append_index(failures, errors, session, load))
 
-    process_arrivals(arriving_files(spark, settings.docs_folder, files_per_batch), handle, checkpoint)
+    # A batch lists its files once more, path by path, in up to 10,000 tasks if it is left to Spark.
+    with configured(spark, spark__sql__sources__parallelPartitionDiscovery__parallelism=
+                    TASKS_PER_CORE * spark.sparkContext.defaultParallelism):
+        process_arrivals(arriving_files(spark, settings.docs_folder, files_per_batch), handle, checkpoint)
 
 
 def ingest_new_documents(

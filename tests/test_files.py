@@ -1,4 +1,5 @@
 import io
+import os
 import zipfile
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from askloom import schemas
 from askloom.sources.files import (
     concat_documents, folder_files, good_documents, in_order, load_documents, load_summary, load_totals,
-    parse_docx, parse_files, quarantine,
+    parse_docx, parse_files, quarantine, write_texts,
 )
 
 W = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
@@ -123,3 +124,24 @@ def test_too_large_and_nested_files(spark, folder, monkeypatch):
     names = {r.source.rsplit("/", 1)[1]: r.error for r in parsed}
     assert names["large.txt"] == "larger than the limit for binary files"
     assert "big.txt" not in names and names["b.txt"] is None
+
+
+def test_each_text_is_one_file_and_nothing_else_is_left(spark, tmp_path):
+    texts = spark.createDataFrame([("a\r\nb",), ("",), (None,), ("é",), ("a\r\nb",)], "text string").repartition(3)
+    write_texts(texts, str(tmp_path))
+    write_texts(texts.limit(0), str(tmp_path))
+    write_texts(texts, str(tmp_path), as_json=True)
+    names = os.listdir(tmp_path)
+    assert sorted({n[n.rindex("."):] for n in names}) == [".json", ".txt"] and len(names) == 10
+    read = {end: sorted((tmp_path / n).read_bytes().decode() for n in names if n.endswith(end)) for end in (".txt", ".json")}
+    assert read[".txt"] == ["\n", "\n", "a\r\nb\n", "a\r\nb\n", "é\n"]
+    assert read[".json"] == ['{"text":""}\n', '{"text":"a\\r\\nb"}\n', '{"text":"a\\r\\nb"}\n', '{"text":"é"}\n', "{}\n"]
+    write_texts(texts.limit(1), str(tmp_path))
+    assert load_documents(spark, str(tmp_path)).count() == 6
+
+
+def test_very_many_small_files_are_read_by_few_tasks(spark, tmp_path):
+    write_texts(spark.range(1100).select(F.concat(F.lit("text "), "id").alias("text")), str(tmp_path))
+    files = folder_files(spark, str(tmp_path), supported_only=True)
+    assert files.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    assert sorted(r.text for r in parse_files(files).collect()) == sorted(f"text {i}\n" for i in range(1100))
