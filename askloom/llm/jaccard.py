@@ -37,6 +37,7 @@ from askloom.llm.components import components
 from askloom.llm.frames import written
 from askloom.llm.tokens import buffers, distinct, mixed, shingles, slices, words
 from askloom.operators.windows import running_number
+from askloom.session import configured
 
 GROUPS, PER_GROUP = 256, 4
 LEAF = 16
@@ -49,6 +50,9 @@ PART = 1024
 #: One of so many documents tells which shingles are frequent: those that two of them hold, or one
 #: in ``FREQUENT`` of them.  The order of shingles decides how large blocks get, never which pairs link.
 SAMPLED, FREQUENT = 8, 20_000
+#: Bytes of texts that a task turns into sets at once, bytes of an Arrow batch, and rows that a task sends on in one:
+#: what the workers of an executor hold beside its heap.
+SET_BYTES, BATCH_BYTES, BATCH_ROWS = 1 << 18, 1 << 22, 1 << 16
 #: Ids of nodes to fetch that may be sent to all tasks (about 24 bytes each); more are joined.
 BROADCAST_IDS = 1 << 20
 TOP = np.uint64(1) << np.uint64(63)
@@ -65,7 +69,7 @@ def _node(values: np.ndarray) -> int:
 
 def _sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
     """(row, sorted distinct shingles) of every row of a text column."""
-    for i, j, data, offsets in slices(column):
+    for i, j, data, offsets in slices(column, SET_BYTES):
         value, doc, _ = shingles(words(data, offsets))
         held, first = distinct(value, doc, j - i)
         for d in range(j - i):
@@ -138,33 +142,45 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        parts = [held for _, held in _sets(batch.column(0))]
-        yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(parts)) if parts else [], pa.int64())], ["token"])
+        yield from _in_batches(([held] for _, held in _sets(batch.column(0))), ["token"])
+
+
+def _in_batches(parts: Iterator[list[np.ndarray]], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Parts of columns of 64-bit numbers, joined to batches of about ``BATCH_ROWS`` rows."""
+    some, rows = [], 0
+    for part in parts:
+        some.append(part)
+        rows += len(part[0])
+        if rows >= BATCH_ROWS:
+            yield _joined(some, names)
+            some, rows = [], 0
+    if rows:
+        yield _joined(some, names)
+
+
+def _joined(parts: list[list[np.ndarray]], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(column))) for column in zip(*parts)], names)
 
 
 def _first_parts(frequent: np.ndarray, least: Fraction):
     """Rows (token, node, n) of the first part of each set, once per node and task."""
 
+    def parts(texts: pa.Array, seen: set[int]) -> Iterator[list[np.ndarray]]:
+        for _, held in _sets(texts):
+            if not len(held) or (node := _node(held)) in seen:
+                continue
+            seen.add(node)
+            rank = held >> np.uint64(1)
+            if len(frequent):
+                at = np.minimum(np.searchsorted(frequent, held), len(frequent) - 1)
+                rank[frequent[at] == held] |= TOP
+            first = held[np.argsort(rank)[:len(held) - _needed(len(held), least) + 1]]
+            yield [first, np.full(len(first), node, np.int64), np.full(len(first), len(held), np.int64)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            tokens, nodes, sizes = [], [], []
-            for _, held in _sets(batch.column(0)):
-                if not len(held) or (node := _node(held)) in seen:
-                    continue
-                seen.add(node)
-                rank = held >> np.uint64(1)
-                if len(frequent):
-                    at = np.minimum(np.searchsorted(frequent, held), len(frequent) - 1)
-                    rank[frequent[at] == held] |= TOP
-                first = held[np.argsort(rank)[:len(held) - _needed(len(held), least) + 1]]
-                tokens.append(first)
-                nodes.append(np.full(len(first), node, np.int64))
-                sizes.append(np.full(len(first), len(held), np.int64))
-            if tokens:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(_signed(np.concatenate(tokens))), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes))],
-                    ["token", "node", "n"])
+            yield from _in_batches(parts(batch.column(0), seen), ["token", "node", "n"])
 
     return run
 
@@ -380,11 +396,11 @@ def jaccard_components(documents: DataFrame, least: Fraction = Fraction(3, 4), i
     columns are not read; an empty table gives no rows.  Sets are told apart by 64-bit hashes.
     """
     rows = documents.select(F.col(id_column).cast("long").alias("row_id"), "text")
-    described = written(rows.mapInArrow(_describe, "row_id long, node long, n long, counts binary"), "described")
-    keyed = described.where("row_id IS NOT NULL AND node IS NOT NULL")
-    whole = rows.where("row_id IS NOT NULL")
-    links = node_links(whole, keyed, least)
-    found = components(links)
+    with configured(documents.sparkSession, spark__sql__execution__arrow__maxBytesPerBatch=BATCH_BYTES):
+        described = written(rows.mapInArrow(_describe, "row_id long, node long, n long, counts binary"), "described")
+        keyed = described.where("row_id IS NOT NULL AND node IS NOT NULL")
+        links = node_links(rows.where("row_id IS NOT NULL"), keyed, least)
+        found = components(links)
     placed = keyed.select("row_id", "node", "n").join(found, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     smallest = placed.groupBy("component").agg(F.min("row_id").alias("component_id"))

@@ -24,7 +24,7 @@ CUT = 0.7
 TRAIN_DOCS, KEPT, LEAST_DOCS = 20_000, 4096, 4
 AFFIX = range(3, 8)
 #: Bytes of text taken at once: every word has about eleven features.
-BYTES = 1 << 19
+BYTES = 1 << 18
 ROUNDS, RATE, RIDGE = 600, 0.15, 1e-4
 ENDS = np.zeros(256, bool)
 ENDS[[10, 33, 46, 63]] = True
@@ -241,10 +241,9 @@ def drop_toxic(documents: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [model.calibrated(_clean(model, data, offsets, j - i)[0]) < CUT
-                    for i, j, data, offsets in slices(batch.column(text), BYTES)]
-            if keep:
-                yield batch.filter(pa.array(np.concatenate(keep)))
+            for i, j, data, offsets in slices(batch.column(text), BYTES):
+                keep = model.calibrated(_clean(model, data, offsets, j - i)[0]) < CUT
+                yield batch.slice(i, j - i).filter(pa.array(keep))
 
     return documents.mapInArrow(run, documents.schema)
 

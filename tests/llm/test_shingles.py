@@ -267,3 +267,26 @@ def test_contamination_in_blocks(spark, monkeypatch):
     whole = {tuple(r) for r in contaminated(docs, items).collect()}
     monkeypatch.setattr(decontamination, "BLOCK_BYTES", 3000)
     assert {tuple(r) for r in contaminated(docs, items).collect()} == whole
+
+
+def test_tasks_take_and_send_bounded_batches(spark, monkeypatch):
+    texts = [" ".join(f"w{i}x{k}" for k in range(400)) for i in range(300)]
+    parts = jaccard._first_parts(np.zeros(0, np.uint64), Fraction(3, 4))
+    sent = [b.num_rows for b in parts(iter([pa.RecordBatch.from_arrays([pa.array(texts * 4)], ["text"])]))]
+    assert sum(sent) == 300 * 100 and max(sent) <= jaccard.BATCH_ROWS + 100
+    values = [b.num_rows for b in jaccard._values(iter([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])]))]
+    assert sum(values) == 300 * 396 and max(values) <= jaccard.BATCH_ROWS + 396
+
+    taken, describe = spark.sparkContext.accumulator(0), jaccard._describe
+
+    def counted(batches):
+        for batch in batches:
+            taken.add(1)
+            yield from describe(iter([batch]))
+
+    monkeypatch.setattr(jaccard, "_describe", counted)
+    monkeypatch.setattr(jaccard, "BATCH_BYTES", 1 << 16)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    assert jaccard_components(rows).where("component_id = doc_id AND n_shingles = 396").count() == 300
+    assert taken.value >= 10 and spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
