@@ -1,12 +1,13 @@
 """Quality ranking, toxicity and embedding links: held-out accuracy and brute force."""
 
 import collections
+import tracemalloc
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from askloom.llm import grid_order, quality
+from askloom.llm import grid_order, quality, toxicity
 from askloom.llm.frames import fold, read
 from askloom.llm.grid_order import link_vectors
 from askloom.llm.quality import FEATURES, fit_ranking, score_quality, train_quality
@@ -49,6 +50,32 @@ def test_quality_odd_rows(spark):
     assert score_quality(docs.limit(0), train_quality(docs.limit(0), none)).count() == 0
 
 
+def test_toxicity_fit_is_bounded(spark, monkeypatch):
+    """The fit holds a few bytes a feature, and the model is the same whatever it looks at together."""
+    rng = np.random.default_rng(2)
+    stems = ["".join(rng.choice(list("abcdefghijklmnop"), 9)) for _ in range(300)]
+    rows = [(i, ". ".join(" ".join(rng.choice(stems[100 * (i % 2):100 * (i % 2) + 200], 80)) for _ in range(30)) + ".", i % 2)
+            for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int").repartition(2).localCheckpoint()
+    fit, peaks, found = toxicity.fit, [], []
+
+    def measured(known, bags):
+        tracemalloc.start()
+        model = fit(known, bags)
+        peaks.append(tracemalloc.get_traced_memory()[1] / len(bags.feature))
+        tracemalloc.stop()
+        return model
+
+    monkeypatch.setattr(toxicity, "fit", measured)
+    monkeypatch.setattr(toxicity, "ROUNDS", 4)
+    for at_once in (1, 1 << 12, 1 << 30):
+        monkeypatch.setattr(toxicity, "AT_ONCE", at_once, raising=False)
+        found.append(train_toxicity(docs.select("doc_id", "text"), docs.select("doc_id", "label")))
+    assert peaks[1] < 12
+    assert all((m.weights == found[0].weights).all() and (m.base, m.cut) == (found[0].base, found[0].cut) for m in found)
+    assert found[0].weights.any()
+
+
 def test_ranking_orders_pairs():
     rng = np.random.default_rng(1)
     features = rng.normal(size=(600, len(FEATURES)))
