@@ -1,8 +1,11 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from askloom.operators import retrieval
 from askloom.operators.retrieval import (
     best_hit, hydrate, index_key, off_topic_gate, retrieve, score_pairs, top_k,
 )
@@ -72,6 +75,29 @@ def test_small_batches_give_the_same(spark, data):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_few_cells_are_scored_in_double_precision(monkeypatch):
+    """The hits are those of all cells, though most cells can't change them; ties and copies included."""
+    rng = np.random.default_rng(5)
+    asked, index = rng.poisson(.3, (50, 64)).astype(float), rng.poisson(.6, (6000, 64)).astype(np.float32)
+    asked[:, 0] += 1
+    index[:, 0] += 1
+    index[3000:3300] = index[:300]
+    asked /= np.sqrt((asked ** 2).sum(1))[:, None]
+    cells, units = [], retrieval._units
+    monkeypatch.setattr(retrieval, "_units", lambda scores: cells.append(scores.size) or units(scores))
+    best = retrieval.RunningTopK(asked, ["chunk_no"], "embedding", 6)
+    order = rng.permutation(6000)
+    for at in range(0, 6000, 100):
+        rows = order[at:at + 100]
+        best.add(pa.table({"chunk_no": rows, "embedding": list(index[rows])}))
+    got = best.result(pa.schema([("_q", pa.int32()), ("chunk_no", pa.int64()), ("score", pa.float64())])).to_pylist()
+    exact = index.astype(float)
+    exact = np.floor(asked @ (exact / np.sqrt((exact ** 2).sum(1))[:, None]).T * 1e6 + .5) / 1e6
+    assert {(r["_q"], r["chunk_no"], r["score"]) for r in got} == {
+        (q, c, exact[q, c]) for q in range(50) for c in sorted(range(6000), key=lambda c: (-exact[q, c], c))[:6]}
+    assert sum(cells) < 50 * 6000 / 10
+
+
 def test_empty_sides(spark):
     none = spark.createDataFrame([], SCHEMA_Q)
     index = spark.createDataFrame([("s", 1, 0, [1.0, 0.0])], SCHEMA_I)
