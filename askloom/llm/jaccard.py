@@ -444,7 +444,7 @@ def _frequent(documents: DataFrame) -> np.ndarray:
     sample = documents.where(F.pmod(F.xxhash64("row_id"), F.lit(SAMPLED)) == 0).select("text")
     least = max(2, sample.count() // FREQUENT)
     counts = sample.mapInArrow(_values, "token long").groupBy("token").count()
-    return np.sort(counts.where(F.col("count") >= least).select("token").toPandas()["token"].to_numpy(np.int64).view(np.uint64))
+    return np.sort(counts.where(F.col("count") >= least).select("token").toArrow().column("token").to_numpy().view(np.uint64))
 
 
 def node_links(documents: DataFrame, described: DataFrame, least: Fraction) -> DataFrame:

@@ -290,3 +290,18 @@ def test_tasks_take_and_send_bounded_batches(spark, monkeypatch):
     before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
     assert jaccard_components(rows).where("component_id = doc_id AND n_shingles = 396").count() == 300
     assert taken.value >= 10 and spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
+def test_frequent_shingles_take_few_bytes_in_the_driver(spark, monkeypatch):
+    import tracemalloc
+
+    monkeypatch.setattr(jaccard, "SAMPLED", 1)
+    text = " ".join(f"w{k}" for k in range(60_004))
+    docs = spark.createDataFrame([(1, text), (2, text), (3, "a b c d e")], "row_id long, text string")
+    assert len(jaccard._frequent(docs.limit(0))) == 0  # imports
+    tracemalloc.start()
+    found = jaccard._frequent(docs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 60_000 and (found[1:] > found[:-1]).all() and found.dtype == "uint64"
+    assert peak < 60 * len(found)
