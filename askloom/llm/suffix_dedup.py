@@ -14,8 +14,9 @@ share one such anchor are a segment, and only segments of equal anchors can matc
    segments only the first stays, the others are removed whole.  Anchors with very
    many different segments are cut into single strings before, so that equal ones meet and
    nothing else does.
-2. What is left, different segments of one anchor, is fetched from the texts.  Suffix order, common
-   prefixes, nearest smaller places and factors are found for many anchors at once.
+2. What is left, different segments of one anchor, is fetched from the texts.  Of their strings that have an
+   equal one by hash, suffix order, common prefixes, nearest smaller places and factors are found for many
+   anchors at once.
 3. The spans found are joined to their documents.
 """
 
@@ -37,8 +38,9 @@ WIDTH, GRAM = 100, 24
 #: One of so many documents tells which anchors to cut: those with this many different segments there,
 #: or as many as one in ``CUT_SHARE`` of these documents.
 SAMPLED, CUT_LEAST, CUT_SHARE = 8, 64, 1000
-#: Segments that a task holds before it merges equal ones; bytes of segments in one suffix array.
-HELD, ARRAY_BYTES = 1 << 19, 4 << 20
+#: Segments that a task holds before it merges equal ones; bytes of segments in one suffix array; bytes of text
+#: cut at once, few enough for the work arrays to stay in the cache.
+HELD, ARRAY_BYTES, CUT_BYTES = 1 << 19, 4 << 20, 1 << 17
 LOW = np.uint64(0xFFFFFFFF)
 SEGMENT = "anchor long, segment long, doc long, place long"
 
@@ -110,7 +112,7 @@ def _cut(cut: np.ndarray):
         parts, held = [], 0
         for batch in batches:
             keys = batch.column(0).to_numpy()
-            for i, j, data, offsets in slices(batch.column(1)):
+            for i, j, data, offsets in slices(batch.column(1), CUT_BYTES):
                 anchor, segment, first, last, away, doc = segments(data, offsets)
                 split = np.isin(anchor, cut) if len(cut) else np.zeros(len(anchor), bool)
                 whole = ~split
@@ -133,7 +135,7 @@ def _cut(cut: np.ndarray):
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for _, _, data, offsets in slices(batch.column(0)):
+        for _, _, data, offsets in slices(batch.column(0), CUT_BYTES):
             anchor, segment, *_ = segments(data, offsets)
             yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(segment)], ["anchor", "segment"])
 
@@ -156,7 +158,8 @@ def _first_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_open = ~removed & (kinds[of] > 1)
         keep = removed | is_open
         return pa.RecordBatch.from_arrays(
-            [pa.array(anchor[keep]), pa.array(doc[keep]), pa.array(place[keep]), pa.array(is_open[keep])],
+            # The anchor of what is removed is not asked for any more.
+            [pa.array(np.where(is_open, anchor, 0)[keep]), pa.array(doc[keep]), pa.array(place[keep]), pa.array(is_open[keep])],
             ["anchor", "doc", "place", "open"])
 
     kept = None
@@ -236,6 +239,15 @@ def previous_factors(rank: np.ndarray, common: np.ndarray, least: int = WIDTH) -
     return np.maximum(before, after)
 
 
+def repeated(values: np.ndarray) -> np.ndarray:
+    """Places of the values that occur more than once."""
+    order = np.argsort(values)
+    again = np.zeros(len(values), bool)
+    again[1:] = values[order[1:]] == values[order[:-1]]
+    again[:-1] |= again[1:]
+    return np.sort(order[again])
+
+
 def _factors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From open segments sorted by anchor: (doc, start, end) of the runs of removed bytes.
 
@@ -250,11 +262,14 @@ def _factors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = np.repeat(np.arange(len(doc)), count)
         within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         start = (packed >> 16)[of] + within
-        rank = np.empty(len(of), np.int64)
-        rank[np.lexsort((start, doc[of]))] = np.arange(len(of))
-        order, common = suffix_order(data, offsets[of] + within, rank)
+        place = offsets[of] + within
+        # Only strings that have an equal one by hash; the factors of the others are smaller.
+        some = repeated(span_hashes(prefix_hashes(data), place, place + WIDTH))
+        rank = np.empty(len(some), np.int64)
+        rank[np.lexsort((start[some], doc[of[some]]))] = np.arange(len(some))
+        order, common = suffix_order(data, place[some], rank)
         hit = np.zeros(len(of), bool)
-        hit[order] = previous_factors(rank[order], common) >= WIDTH
+        hit[some[order]] = previous_factors(rank[order], common) >= WIDTH
         # Runs of places next to each other in one segment.
         at = np.flatnonzero(hit)
         opens = np.ones(len(at), bool)
@@ -349,8 +364,8 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     odd = rows.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").limit(1).count()
     if odd:  # ids do not tell the rows apart: number them
         rows = written(running_number(rows, F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first(), out="doc"), "numbered")
-    else:
-        rows = rows.withColumn("doc", F.col("doc_id"))
+    else:  # none is null; said here, both joins with the texts share one shuffle of them
+        rows = rows.where("doc_id IS NOT NULL").withColumn("doc", F.col("doc_id"))
     spans = repeated_spans(rows.select("doc", "text")).groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     joined = rows.select("doc", "text").join(spans, "doc", "left") if not odd else rows.join(spans, "doc", "left")
     return joined.select(F.col("doc_id") if odd else F.col("doc").alias("doc_id"), "text", "spans").mapInArrow(

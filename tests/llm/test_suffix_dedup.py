@@ -2,14 +2,17 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from askloom.llm import suffix_dedup
 from askloom.llm.frames import read
 from askloom.llm.suffix_dedup import previous_factors, remove_repeats, suffix_order
+from askloom.session import configured
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -90,3 +93,22 @@ def test_previous_factors():
             k = next((k for k in range(100) if text[p + k] != text[q + k]), 100)
             best = max(best, k)
         assert factors[p] == best
+
+
+def test_only_strings_that_have_an_equal_one_are_ordered(monkeypatch):
+    """Three segments of one anchor, two of which share a string."""
+    ordered, whole = [], suffix_dedup.suffix_order
+    monkeypatch.setattr(suffix_dedup, "suffix_order", lambda data, place, rank: ordered.append(len(place)) or whole(data, place, rank))
+    shared = bytes(range(100, 200))
+    rows = [(7, 1, 5 << 16, b"abcd" + shared), (7, 2, 0, shared + b"efg"), (7, 3, 0, shared[:60] + bytes(60))]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["anchor", "doc", "place", "bytes"])
+    [found] = suffix_dedup._factors(iter([batch]))
+    assert found.to_pylist() == [{"doc": 2, "start": 0, "end": 100}]
+    assert ordered == [2]
+
+
+def test_texts_are_shuffled_once(spark):
+    with configured(spark, spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold=-1):
+        plan = remove_repeats(read(spark, FOLDER, "documents"))._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"ReusedExchange \[doc#\d+L, text#", plan)
