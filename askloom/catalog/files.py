@@ -18,8 +18,8 @@ from askloom.config import Settings
 from askloom.functions.text import strip_space
 from askloom.operators.scoring import NothingEvaluated, mean_scores, require_evaluated
 from askloom.plans.ingest import errors_of, ingest_folder, read_errors
-from askloom.session import gather, read_table, scratch_path
-from askloom.sources.files import folder_files, load_documents, load_totals, parse_files, write_texts
+from askloom.session import read_table, scratch_path
+from askloom.sources.files import folder_files, list_folder, load_documents, load_totals, parse_files, write_texts
 from askloom.sources.index import read_index, write_index
 from askloom.streaming.incremental import ingest_new_files
 
@@ -69,8 +69,7 @@ def folder_totals(spark: SparkSession, folder: str) -> DataFrame:
     found = None
     for place, at in (("folder", full), ("empty", empty), ("absent", scratch_path(spark, "absent"))):
         supported = parse_files(folder_files(spark, at, supported_only=True))
-        files = folder_files(spark, at).select("path")
-        totals = load_totals(supported, files).select(F.lit(place).alias("place"), "*")
+        totals = load_totals(supported, list_folder(spark, at).paths).select(F.lit(place).alias("place"), "*")
         found = totals if found is None else found.unionByName(totals)
     return found
 
@@ -126,7 +125,7 @@ def streamed_folder(spark: SparkSession, folder: str) -> DataFrame:
     """A folder as a stream, the second half of the files arriving later: indexed files and error rows."""
     target, index, checkpoint = _folder(spark, folder), scratch_path(spark, "index"), scratch_path(spark, "stream")
     settings = Settings(docs_folder=target, index_path=index, chunk_size=WHOLE.chunk_size, chunk_overlap=0)
-    arrived = gather(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(target).select("path"))
+    arrived = list_folder(spark, target).paths
     with _size_limit(spark, LIMIT):
         for _ in range(2):  # the second run finds nothing new
             ingest_new_files(spark, checkpoint, settings, files_per_batch=max(1, arrived.count() // 2))

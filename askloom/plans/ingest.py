@@ -11,7 +11,7 @@ from askloom.config import Settings
 from askloom.operators.chunking import recursive_chunks
 from askloom.operators.embedding import EmbedderFactory, embed
 from askloom.session import stored
-from askloom.sources.files import Parser, folder_files, good_documents, load_documents, parse_files, quarantine
+from askloom.sources.files import Parser, good_documents, list_folder, parse_files, quarantine
 from askloom.sources.index import SHARED, Load, append_index, read_index, write_index
 
 
@@ -60,15 +60,15 @@ def ingest_folder(
     are none, an index that is there stays.  With ``errors_path`` files that cannot be read are
     recorded there, see ``read_errors``; the sections are then stored in between.
     """
-    files = folder_files(spark, settings.docs_folder, supported_only=True)
-    if files.select("path").isEmpty():
+    listed = list_folder(spark, settings.docs_folder, supported_only=True)
+    if listed.paths.isEmpty():
         return False
+    parsed = parse_files(listed.files, parsers)
     write = append_index if append else write_index
 
     def to_index(documents: DataFrame) -> Load:
         return write(index_rows(documents, settings, embedder), settings.index_path, session)
 
     if errors_path is None:
-        return to_index(load_documents(spark, settings.docs_folder, parsers)).n_rows > 0
-    return index_parsed(
-        parse_files(files, parsers), to_index, lambda failures: write(failures, errors_path, session)).n_rows > 0
+        return to_index(good_documents(parsed)).n_rows > 0
+    return index_parsed(parsed, to_index, lambda failures: write(failures, errors_path, session)).n_rows > 0

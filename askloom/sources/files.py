@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import io
 import os
+import re
+import stat
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator, Mapping
 from contextlib import suppress
+from typing import NamedTuple
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -18,7 +21,7 @@ from pyspark.sql import functions as F
 
 from askloom.config import EXTENSIONS
 from askloom.functions.text import as_column, file_extension, unix_newlines
-from askloom.session import delete_path, file_system, gather
+from askloom.session import cut_lineage, delete_path, file_system, gather, has_shared_dir
 
 # ``bytes -> [(page or None, text)]``
 Parser = Callable[[bytes], list[tuple[int | None, str]]]
@@ -59,19 +62,46 @@ def _word_text(xml: bytes) -> str:
 PARSERS: Mapping[str, Parser] = {".pdf": parse_pdf, ".docx": parse_docx}
 
 
+# What a listing holds: names as the file system has them, sizes, times in nanoseconds.
+NAMES = "name binary, length long, modified long"
+FILES_PER_TASK = 1000
+# Names and bytes of contents that a task holds.
+_NAMES_AT_ONCE, _READ_AT_ONCE = 10_000, 4 << 20
+# As Spark's file sources have it.
+_HIDDEN = re.compile(rb"^(\.|_[^=]*$)|\._COPYING_$")
 TOO_LARGE = "larger than the limit for binary files"
 # The supported extensions in any letter case, as a file name pattern.
 SUPPORTED_NAMES = "*{%s}" % ",".join(
     "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in ext) for ext in EXTENSIONS)
 
 
+class Listed(NamedTuple):
+    """The direct files of a folder; ``paths`` does not look into them."""
+
+    paths: DataFrame  # path
+    files: DataFrame  # path, content
+
+
 def folder_files(spark: SparkSession, folder: str, supported_only: bool = False) -> DataFrame:
     """``(path, content)`` of the direct files of a folder; no rows when it is absent.
 
     Files of sub-folders, and with ``supported_only`` other kinds of files, are dropped while
     listing, before their content is read.  A file above Spark's limit for binary files has
-    no content.  Names that start with ``_`` or ``.`` are invisible to Spark's file sources.
+    no content.  Names that start with ``_`` or ``.``, and empty files, are invisible to Spark's file sources.
+    """
+    return list_folder(spark, folder, supported_only).files
+
+
+def list_folder(spark: SparkSession, folder: str, supported_only: bool = False) -> Listed:
+    """What ``folder_files`` reads, listed once.
+
+    Spark's file sources hold every file of a folder in the driver.  A local or mounted folder is listed
+    and read by tasks instead, and the list is a table in the shared folder.
     """
+    place = local_folder(spark, folder)
+    if place:
+        names = cut_lineage(local_names(spark, place, supported_only))
+        return Listed(names.select(_path(place)), local_files(names, place, size_limit(spark)))
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if supported_only:
         reader = reader.option("pathGlobFilter", SUPPORTED_NAMES)
@@ -79,9 +109,90 @@ def folder_files(spark: SparkSession, folder: str, supported_only: bool = False)
         found = reader.load(folder)
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], "path string, content binary")
+            none = spark.createDataFrame([], "path string, content binary")
+            return Listed(none.select("path"), none)
         raise
-    return gather(direct_files(found, folder))
+    files = gather(direct_files(found, folder))
+    return Listed(files.select("path"), files)
+
+
+class LocalFolder(NamedTuple):
+    path: str  # as tasks open it
+    uri: str  # as Spark names it
+
+
+def local_folder(spark: SparkSession, folder: str) -> LocalFolder | None:
+    """A local or mounted folder that tasks can list; None for any other path."""
+    path, system = file_system(spark, folder)
+    if system.getUri().getScheme() != "file" or not has_shared_dir(spark):
+        return None
+    if not system.exists(path) or not system.getFileStatus(path).isDirectory():
+        return None
+    whole = system.makeQualified(path)
+    return LocalFolder(whole.toUri().getPath(), whole.toString().rstrip("/"))
+
+
+def local_names(spark: SparkSession, place: LocalFolder, supported_only: bool) -> DataFrame:
+    """``NAMES`` of the direct files that Spark's sources see, listed by one task."""
+    folder = place.path
+    wanted = re.compile(rb"(?i)\.(%s)\Z" % b"|".join(e[1:].encode() for e in EXTENSIONS)) if supported_only else None
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            pass
+        rows: list[tuple[bytes, int, int]] = []
+        with os.scandir(os.fsencode(folder)) as entries:
+            for entry in entries:
+                if _HIDDEN.search(entry.name) or wanted and not wanted.search(entry.name):
+                    continue
+                with suppress(FileNotFoundError):  # it has just gone
+                    status = entry.stat()
+                    if stat.S_ISREG(status.st_mode) and status.st_size:
+                        rows.append((entry.name, status.st_size, status.st_mtime_ns))
+                if len(rows) == _NAMES_AT_ONCE:
+                    yield batch(rows)
+                    rows = []
+        if rows:
+            yield batch(rows)
+
+    def batch(rows: list[tuple[bytes, int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*rows), (pa.binary(), pa.int64(), pa.int64()))], ["name", "length", "modified"])
+
+    return spark.range(0, 1, 1, 1).mapInArrow(found, NAMES)
+
+
+def local_files(names: DataFrame, place: LocalFolder, most: int) -> DataFrame:
+    """``(path, content)`` of listed files, read by tasks; files above ``most`` bytes have no content.
+
+    A task has about ``FILES_PER_TASK`` files, fewer if they are large.
+    """
+    spark, folder = names.sparkSession, os.fsencode(place.path)
+    n, size = names.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).head()
+    at_once = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    tasks = max(spark.sparkContext.defaultParallelism, n // FILES_PER_TASK, size // at_once)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, contents, held = 0, [], 0
+            for k, (name, length) in enumerate(zip(batch.column(1), batch.column(2)), 1):
+                content = None
+                if length.as_py() <= most:
+                    with open(os.path.join(folder, name.as_py()), "rb") as file:
+                        content = file.read()
+                    held += len(content)
+                contents.append(content if content is None or len(content) <= most else None)
+                if held >= _READ_AT_ONCE or k == batch.num_rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(first, k - first), pa.array(contents, pa.binary())], ["path", "content"])
+                    first, contents, held = k, [], 0
+
+    dealt = names.select(_path(place), "name", "length").repartition(int(max(1, min(n, tasks))))
+    return dealt.mapInArrow(read, "path string, content binary")
+
+
+def _path(place: LocalFolder) -> Column:
+    return F.concat(F.lit(f"{place.uri}/"), F.make_valid_utf8(F.col("name").cast("string"))).alias("path")
 
 
 def direct_files(found: DataFrame, folder: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from askloom import schemas
 from askloom.sources.files import (
-    concat_documents, folder_files, good_documents, in_order, load_documents, load_summary, load_totals,
+    concat_documents, folder_files, good_documents, in_order, list_folder, load_documents, load_summary, load_totals,
     parse_docx, parse_files, quarantine, write_texts,
 )
 
@@ -145,3 +145,35 @@ def test_very_many_small_files_are_read_by_few_tasks(spark, tmp_path):
     files = folder_files(spark, str(tmp_path), supported_only=True)
     assert files.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
     assert sorted(r.text for r in parse_files(files).collect()) == sorted(f"text {i}\n" for i in range(1100))
+
+
+def test_a_local_folder_is_listed_by_tasks_as_spark_lists_it(spark, tmp_path):
+    """Spark's file source would hold every file of the folder in the driver."""
+    names = ("a.txt", "B.TXT", "é +%20.txt", "x=1.pdf", "_k=1.txt", "_hidden.txt", ".hidden.txt", "c.txt._COPYING_", "empty.txt", "d.json")
+    for name in names:
+        (tmp_path / name).write_text("" if name == "empty.txt" else f"in {name}")
+    (tmp_path / "sub.txt").mkdir()
+    (tmp_path / "sub.txt" / "inner.txt").write_text("not direct")
+    (tmp_path / "link.txt").symlink_to(tmp_path / "a.txt")
+    (tmp_path / "broken.txt").symlink_to(tmp_path / "gone")
+    listed = list_folder(spark, f"{tmp_path}/")
+    want = {r.path: bytes(r.content) for r in spark.read.format("binaryFile").load(f"{tmp_path}/*[!d].*").collect()
+            if "/sub.txt/" not in r.path}
+    want |= {r.path: bytes(r.content) for r in spark.read.format("binaryFile").load(str(tmp_path / "d.json")).collect()}
+    assert {r.path: bytes(r.content) for r in listed.files.collect()} == want and len(want) == 7
+    assert {r.path for r in listed.paths.collect()} == want.keys()
+    supported = folder_files(spark, str(tmp_path), supported_only=True)
+    assert {r.path for r in supported.collect()} == {p for p in want if not p.endswith(".json")}
+    assert "binaryFile" not in supported._jdf.queryExecution().toString()
+
+
+def test_large_files_have_tasks_of_their_own(spark, tmp_path):
+    for k in range(8):
+        (tmp_path / f"{k}.txt").write_bytes(b"x" * 9000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        files = folder_files(spark, str(tmp_path))
+        assert files.rdd.getNumPartitions() == 8
+        assert sorted(len(r.content) for r in files.collect()) == [9000] * 8
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
