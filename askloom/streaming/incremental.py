@@ -12,8 +12,10 @@ from pyspark.sql import types as T
 from askloom.config import Settings
 from askloom.operators.embedding import EmbedderFactory
 from askloom.plans.ingest import errors_of, index_parsed, index_rows
-from askloom.session import TASKS_PER_CORE, configured, gather, literal_path
-from askloom.sources.files import SUPPORTED_NAMES, Parser, direct_files, parse_files
+from askloom.session import TASKS_PER_CORE, configured, file_system, gather, literal_path, stored
+from askloom.sources.files import (
+    NAMES, SUPPORTED_NAMES, LocalFolder, Parser, direct_files, local_files, local_folder, local_names, parse_files, size_limit,
+)
 from askloom.sources.index import SHARED, append_index
 
 # A large backlog is worked off in batches of this many files, each with its own commit.
@@ -76,6 +78,36 @@ def arriving_files(spark: SparkSession, folder: str, files_per_batch: int = FILE
     return direct_files(found, folder)
 
 
+def arrived_names(spark: SparkSession, place: LocalFolder, checkpoint: str, files_per_batch: int) -> DataFrame | None:
+    """A stream of ``NAMES`` of new files of a local or mounted folder; None if there has never been one.
+
+    Spark's file stream holds all files of a folder, and of a batch with their paths, in the driver.  Here
+    the names that the checkpoint does not have yet are added to a table in it, oldest files first and a Parquet file
+    a batch, and the stream reads that table.  What a run that failed has not added, the next one finds again.
+    """
+    table = _arrivals(checkpoint)
+    path, system = file_system(spark, table)
+    with stored(local_names(spark, place, supported_only=True), "listed") as names:
+        if system.exists(path):
+            names = names.join(spark.read.schema(NAMES).parquet(literal_path(table)), "name", "left_anti")
+        if not names.isEmpty():
+            names.repartition(1).sortWithinPartitions("modified", "name").write.mode("append").option(
+                "maxRecordsPerFile", files_per_batch).parquet(table)
+    if not system.exists(path):
+        return None
+    return spark.readStream.schema(NAMES).option("maxFilesPerTrigger", 1).parquet(literal_path(table))
+
+
+def _arrivals(checkpoint: str) -> str:
+    return f"{checkpoint.rstrip('/')}/arrivals"
+
+
+def _begun_by_file_stream(spark: SparkSession, checkpoint: str) -> bool:
+    """Whether the checkpoint knows its files as Spark's file stream does: it goes on that way."""
+    (sources, system), (table, _) = (file_system(spark, f) for f in (f"{checkpoint}/sources", _arrivals(checkpoint)))
+    return system.exists(sources) and not system.exists(table)
+
+
 def ingest_new_files(
     spark: SparkSession,
     checkpoint: str,
@@ -94,16 +126,23 @@ def ingest_new_files(
     """
     errors = errors_path or errors_of(settings.index_path)
 
-    def handle(batch: DataFrame, load: str) -> None:
+    def handle(files: DataFrame, load: str) -> None:
         index_parsed(
-            parse_files(gather(batch), parsers),
+            parse_files(files, parsers),
             lambda documents: append_index(index_rows(documents, settings, embedder), settings.index_path, session, load),
             lambda failures: append_index(failures, errors, session, load))
 
+    place = local_folder(spark, settings.docs_folder)
+    if place and not _begun_by_file_stream(spark, checkpoint):
+        arrived, most = arrived_names(spark, place, checkpoint, files_per_batch), size_limit(spark)
+        if arrived is not None:
+            process_arrivals(arrived, lambda names, load: handle(local_files(names, place, most), load), checkpoint)
+        return
     # A batch lists its files once more, path by path, in up to 10,000 tasks if it is left to Spark.
     with configured(spark, spark__sql__sources__parallelPartitionDiscovery__parallelism=
                     TASKS_PER_CORE * spark.sparkContext.defaultParallelism):
-        process_arrivals(arriving_files(spark, settings.docs_folder, files_per_batch), handle, checkpoint)
+        process_arrivals(arriving_files(spark, settings.docs_folder, files_per_batch),
+                         lambda batch, load: handle(gather(batch), load), checkpoint)
 
 
 def ingest_new_documents(

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 from askloom.config import Settings
@@ -139,3 +141,39 @@ def test_repeated_batch_replaces_itself(spark, tmp_path):
     from askloom import schemas
 
     assert read_index(spark, str(tmp_path / "index"), schema=schemas.INDEX).count() == 5
+
+
+def test_names_of_files_go_through_a_table(spark, tmp_path):
+    """The stream's own log has a file a batch, however many files arrive; oldest files come first."""
+    docs, checkpoint = tmp_path / "documents", tmp_path / "checkpoint"
+    (docs / "sub").mkdir(parents=True)
+    (docs / "sub" / "inner.txt").write_text("not direct")
+    settings = Settings(docs_folder=str(docs), index_path=str(tmp_path / "stream"))
+    ingest_new_files(spark, str(checkpoint), settings)  # nothing yet
+    for k in range(5):
+        (docs / f"{k}.txt").write_text(f"text {k}")
+        os.utime(docs / f"{k}.txt", (1e9 - k, 1e9 - k))
+    for _ in range(2):
+        ingest_new_files(spark, str(checkpoint), settings, files_per_batch=2)
+        by_load = {}
+        for r in read_index(spark, settings.index_path).collect():
+            by_load.setdefault(r.load_id.rsplit("-", 1)[1], set()).add(r.text)
+        assert by_load == {"0": {"text 4", "text 3"}, "1": {"text 2", "text 1"}, "2": {"text 0"}}
+    log = "".join(p.read_text() for p in (checkpoint / "sources" / "0").iterdir() if not p.name.startswith("."))
+    assert log.count('"path"') == 3 and ".txt" not in log
+
+
+def test_a_checkpoint_of_a_file_stream_goes_on(spark, tmp_path):
+    from askloom.streaming.incremental import arriving_files, process_arrivals
+
+    docs, checkpoint = tmp_path / "documents", str(tmp_path / "checkpoint")
+    docs.mkdir()
+    settings = Settings(docs_folder=str(docs), index_path=str(tmp_path / "stream"))
+    (docs / "early.txt").write_text("came early")
+    seen = []
+    process_arrivals(arriving_files(spark, str(docs)), lambda batch, load: seen.extend(r.path for r in batch.collect()), checkpoint)
+    assert len(seen) == 1
+    (docs / "late.txt").write_text("came later")
+    for _ in range(2):
+        ingest_new_files(spark, checkpoint, settings)
+        assert [r.text for r in read_index(spark, settings.index_path).collect()] == ["came later"]
