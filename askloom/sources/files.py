@@ -165,7 +165,7 @@ def local_names(spark: SparkSession, place: LocalFolder, supported_only: bool) -
 def local_files(names: DataFrame, place: LocalFolder, most: int) -> DataFrame:
     """``(path, content)`` of listed files, read by tasks; files above ``most`` bytes have no content.
 
-    A task has about ``FILES_PER_TASK`` files, fewer if they are large.
+    A task has about ``FILES_PER_TASK`` files, fewer if they are large.  A file that has gone is left out.
     """
     spark, folder = names.sparkSession, os.fsencode(place.path)
     n, size = names.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).head()
@@ -174,18 +174,21 @@ def local_files(names: DataFrame, place: LocalFolder, most: int) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            first, contents, held = 0, [], 0
-            for k, (name, length) in enumerate(zip(batch.column(1), batch.column(2)), 1):
+            paths, contents, held = [], [], 0
+            for k, (path, name, length) in enumerate(zip(*batch.columns), 1):
                 content = None
-                if length.as_py() <= most:
-                    with open(os.path.join(folder, name.as_py()), "rb") as file:
-                        content = file.read()
-                    held += len(content)
-                contents.append(content if content is None or len(content) <= most else None)
+                try:
+                    if length.as_py() <= most:
+                        with open(os.path.join(folder, name.as_py()), "rb") as file:
+                            content = file.read()
+                        held += len(content)
+                    paths.append(path.as_py())
+                    contents.append(content if content is None or len(content) <= most else None)
+                except FileNotFoundError:  # gone since it was listed, unless all are
+                    os.stat(folder)
                 if held >= _READ_AT_ONCE or k == batch.num_rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(first, k - first), pa.array(contents, pa.binary())], ["path", "content"])
-                    first, contents, held = k, [], 0
+                    yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(contents, pa.binary())], ["path", "content"])
+                    paths, contents, held = [], [], 0
 
     dealt = names.select(_path(place), "name", "length").repartition(int(max(1, min(n, tasks))))
     return dealt.mapInArrow(read, "path string, content binary")

@@ -164,6 +164,8 @@ def test_a_local_folder_is_listed_by_tasks_as_spark_lists_it(spark, tmp_path):
     assert {r.path for r in listed.paths.collect()} == want.keys()
     supported = folder_files(spark, str(tmp_path), supported_only=True)
     assert {r.path for r in supported.collect()} == {p for p in want if not p.endswith(".json")}
+    os.remove(tmp_path / "B.TXT")
+    assert {r.path for r in listed.files.collect()} == {p for p in want if not p.endswith("B.TXT")}
     assert "binaryFile" not in supported._jdf.queryExecution().toString()
 
 
